@@ -6,7 +6,9 @@ after the single exchange that ``decompose`` already needs, so the detector adds
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricwatch.operators.series import N, decompose
@@ -63,7 +65,8 @@ def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float
         raise ValueError("latest_only needs a cutoff")
     if latest_only:
         last = F.max(order).over(Window.partitionBy(*key))
-        c = F.to_date(F.lit(cutoff)) if isinstance(cutoff, str) else (cutoff if hasattr(cutoff, "_jc") else F.lit(cutoff))
+        c = cutoff if isinstance(cutoff, Column) else F.lit(
+            cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff)))
         df = df.withColumn("_last", last).filter(F.col("_last") == c).drop("_last")
     s = scored_series(df, key, order, value, k=k, min_rows=min_rows, period=period, fill_days=fill_days)
     if latest_only:

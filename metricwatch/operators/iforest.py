@@ -16,6 +16,7 @@ holds at most ``rows x trees`` rows per series.
 
 from __future__ import annotations
 
+import datetime as _dt
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -140,7 +141,8 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
     if latest_only:
         if cutoff is None:
             raise ValueError("latest_only needs a cutoff")
-        c = F.to_date(F.lit(cutoff)) if isinstance(cutoff, str) else (cutoff if isinstance(cutoff, Column) else F.lit(cutoff))
+        c = cutoff if isinstance(cutoff, Column) else F.lit(
+            cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff)))
         df = df.filter(F.col(order) <= c)
         df = df.withColumn("_last", F.max(order).over(Window.partitionBy(*key))).filter(F.col("_last") == c).drop("_last")
     raw = df.select(*key, order, *features)

@@ -26,3 +26,90 @@ SELECT d.domain, w.day, CAST(sum(w.leads) AS BIGINT) AS leads, CAST(sum(w.sessio
 FROM web w JOIN dict d ON w.account_id_norm = d.account_id_norm GROUP BY 1, 2"""
 
 SQL["gold_daily"] = with_(ALL_GOLD) + "\nSELECT domain, day, spend, leads, sessions FROM gold ORDER BY domain, day"
+
+# ------------------------------------------------------------------ series and detectors
+from metricwatch.plans.oracle import EVENTS_DAILY, GOLD_LONG, decompose_sql, iforest_sql, mad_sql  # noqa: E402
+
+_EV_LEVELS = 5    # ceil(log2(30)): events span 30 days
+_GOLD_LEVELS = 7  # ceil(log2(66))
+_FEATS = ["events", "value_sum", "users"]
+_GOLD_FEATS = ["spend", "leads", "sessions"]
+
+
+def _r(c: str) -> str:
+    return f"round({c}, 6) AS {c}"
+
+
+SQL["scored_events"] = with_(EVENTS_DAILY, decompose_sql("ev", ["event_type"], "day", "events"),
+                             mad_sql("dec", ["event_type"], 3.2)) + f"""
+SELECT event_type, day, _y AS value, {_r('trend')}, {_r('seasonal')}, {_r('resid')}, {_r('resid_median')},
+       {_r('mad')}, {_r('lower')}, {_r('upper')}, (resid > upper OR resid < lower) AS is_outlier
+FROM mad"""
+
+SQL["decompose_events"] = with_(EVENTS_DAILY, decompose_sql("ev", ["event_type"], "day", "events")) + f"""
+SELECT event_type, day, pos, n, _y AS value, {_r('trend')}, {_r('seasonal')}, {_r('resid')} FROM dec"""
+
+SQL["mad_bounds"] = with_(EVENTS_DAILY, decompose_sql("ev", ["event_type"], "day", "events"),
+                          mad_sql("dec", ["event_type"], 3.2)) + f"""
+SELECT DISTINCT event_type, n, {_r('resid_median')}, {_r('mad')}, {_r('lower')}, {_r('upper')} FROM mad"""
+
+_ALERT_SELECT = """
+SELECT domain, day, metric, 'seasonal_mad' AS method, CASE WHEN resid > 0 THEN 'spike' ELSE 'drop' END AS type,
+       _y AS value, round(abs(resid) / mad, 2) AS score,
+       CASE WHEN series_mean <> 0 THEN round(abs(resid) / series_mean * 100.0, 2) ELSE 0.0 END AS relative_magnitude,
+       metric AS affected, '{params}' AS params
+FROM mad WHERE (resid > upper OR resid < lower){extra}"""
+
+SQL["mad_alerts_all"] = with_(ALL_GOLD, GOLD_LONG, decompose_sql("gold_long", ["domain", "metric"], "day", "value"),
+                              mad_sql("dec", ["domain", "metric"], 3.2)) + _ALERT_SELECT.format(params="MAD=3.2", extra="")
+
+_FRESH = f"""
+fresh AS (
+  SELECT * FROM (SELECT *, max(day) OVER (PARTITION BY domain, metric) AS _last FROM gold_long)
+  WHERE _last = CAST('{CUTOFF}' AS DATE)
+)"""
+
+SQL["mad_alerts_latest"] = with_(ALL_GOLD, GOLD_LONG, _FRESH, decompose_sql("fresh", ["domain", "metric"], "day", "value"),
+                                 mad_sql("dec", ["domain", "metric"], 1.0)) + _ALERT_SELECT.format(
+    params="MAD=1.0", extra=" AND pos = n - 1")
+
+SQL["iforest_scores"] = with_(EVENTS_DAILY, iforest_sql("ev", ["event_type"], "day", _FEATS, levels=_EV_LEVELS)) + f"""
+SELECT event_type, day, events, {_r('value_sum')}, users, n, psi, {_r('mean_path')}, {_r('score')} FROM ifo"""
+
+
+def _forest_alerts(q: float, params: str) -> str:
+    return with_(EVENTS_DAILY, iforest_sql("ev", ["event_type"], "day", _FEATS, levels=_EV_LEVELS)) + f""",
+th AS (SELECT *, quantile_cont(score, {q}) OVER (PARTITION BY event_type) AS q FROM ifo WHERE n >= 10)
+SELECT event_type, day, 'iforest' AS method, 'irregular' AS type, round(score - q, 4) AS score,
+       'events,value_sum,users' AS affected, CAST(events AS DOUBLE) AS ctx_events,
+       round(value_sum, 6) AS ctx_value_sum, CAST(users AS DOUBLE) AS ctx_users, '{params}' AS params
+FROM th WHERE score > q"""
+
+
+SQL["iforest_alerts"] = _forest_alerts(0.95, "Contam=0.05")
+SQL["score_p99"] = _forest_alerts(0.99, "P99.0")
+
+SQL["iforest_latest"] = with_(ALL_GOLD, f"""
+g AS (SELECT * FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))""",
+                              iforest_sql("g", ["domain"], "day", _GOLD_FEATS, levels=_GOLD_LEVELS)) + f""",
+r AS (
+  SELECT *, quantile_cont(score, 0.8) OVER (PARTITION BY domain) AS cutoff_score,
+         CAST(rank() OVER (PARTITION BY domain ORDER BY score DESC) AS BIGINT) AS score_rank,
+         max(day) OVER (PARTITION BY domain) AS _last
+  FROM ifo WHERE n >= 20
+)
+SELECT domain, day, n, {_r('score')}, {_r('cutoff_score')}, score_rank, score > cutoff_score AS is_alert
+FROM r WHERE day = _last AND day = CAST('{CUTOFF}' AS DATE)"""
+
+SQL["anscombe"] = with_(EVENTS_DAILY, """
+eva AS (SELECT *, 2.0 * sqrt(CAST(events AS DOUBLE) + 0.375) AS value FROM ev)""",
+                        decompose_sql("eva", ["event_type"], "day", "value")) + f"""
+SELECT event_type, day, {_r('value')}, {_r('trend')}, {_r('seasonal')}, {_r('resid')} FROM dec"""
+
+_Z = ",\n  ".join(
+    f"round(CASE WHEN stddev_pop(CAST({f} AS DOUBLE)) OVER w > 0 THEN (CAST({f} AS DOUBLE) - avg(CAST({f} AS DOUBLE)) OVER w) "
+    f"/ stddev_pop(CAST({f} AS DOUBLE)) OVER w ELSE 0.0 END, 6) AS z_{f}" for f in _FEATS)
+SQL["standardize"] = with_(EVENTS_DAILY) + f"""
+SELECT event_type, day,
+  {_Z}
+FROM ev WINDOW w AS (PARTITION BY event_type)"""

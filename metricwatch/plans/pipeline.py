@@ -1,0 +1,75 @@
+"""The two end-to-end variants, each one lazy plan from inputs to fused alerts.
+
+LOCAL: every day of every series is tested (k = 3.2, contamination 0.01, forest minimum 10 rows).
+DAILY: only the cutoff day is tested, and only for series that end on it (k = 3.5 configured,
+contamination 0.01, forest minimum 20 rows).
+
+No per-domain loop: the univariate detector runs on the long form (domain, metric) in one
+window plan and the forest on (domain) in another; both hang off the same gold plan, whose
+exchanges Spark reuses within the query. For very large runs ``checkpoint_gold=True`` writes the
+gold table to the cluster's checkpoint folder first, so a lost executor does not recompute the
+raw-table aggregation.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from metricwatch.functions.plan import cut_lineage
+from metricwatch.operators.alerts import fuse_alerts
+from metricwatch.operators.detect import seasonal_mad
+from metricwatch.operators.gold import GOLD_METRICS, build_gold
+from metricwatch.operators.iforest import default_levels, iforest_alerts
+from metricwatch.operators.quality import missing_day_alerts, missing_days, range_alerts, range_rules
+from metricwatch.operators.series import to_long
+
+
+def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01, min_rows: int = 14,
+                  forest_min_rows: int = 10, metrics=GOLD_METRICS, max_days: int | None = None,
+                  quality: bool = False, start=None, end=None, domains: DataFrame | None = None) -> DataFrame:
+    """Every flagged day of every (domain, metric) series plus every forest outlier day.
+
+    ``max_days`` (the longest series) lets the forest plan only the split levels it needs.
+    With ``quality=True`` missing-day alerts over [start, end] (for ``domains`` or the gold
+    domains) and range alerts are fused in as well.
+    """
+    long = to_long(gold, ["domain", "day"], list(metrics))
+    uni = seasonal_mad(long, ["domain", "metric"], "day", "value", k=k, min_rows=min_rows)
+    multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
+                           min_rows=forest_min_rows, levels=default_levels(256, max_days))
+    parts = [uni, multi]
+    if quality:
+        spark = gold.sparkSession
+        if start is not None and end is not None:
+            parts.append(missing_day_alerts(missing_days(gold, ["domain"], "day", start, end, domains),
+                                            ["domain"], "day"))
+        parts.append(range_alerts(long, range_rules(spark)))
+    return fuse_alerts(*parts)
+
+
+def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
+                  cutoff: _dt.date | str, days: int = 65, k: float = 3.5, contamination: float = 0.01,
+                  min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = False,
+                  **gold_kwargs) -> DataFrame:
+    """The production job: raw daily tables -> gold -> alerts of the cutoff day."""
+    cutoff = cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff))
+    gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, **gold_kwargs)
+    if checkpoint_gold:
+        gold = cut_lineage(gold)
+    return daily_alerts(gold, cutoff, days, k, contamination, min_rows, forest_min_rows)
+
+
+def daily_alerts(gold: DataFrame, cutoff: _dt.date, days: int = 65, k: float = 3.5,
+                 contamination: float = 0.01, min_rows: int = 14, forest_min_rows: int = 20,
+                 metrics=GOLD_METRICS) -> DataFrame:
+    """DAILY detection on an existing gold table: alerts dated ``cutoff`` only."""
+    long = to_long(gold, ["domain", "day"], list(metrics))
+    uni = seasonal_mad(long, ["domain", "metric"], "day", "value", k=k, min_rows=min_rows,
+                       latest_only=True, cutoff=F.lit(cutoff))
+    multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
+                           min_rows=forest_min_rows, latest_only=True, cutoff=F.lit(cutoff),
+                           levels=default_levels(256, days + 1))
+    return fuse_alerts(uni, multi)

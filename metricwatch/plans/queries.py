@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from metricwatch.functions.columns import anscombe
+from metricwatch.operators.detect import scored_series, seasonal_mad
 from metricwatch.operators.gold import GOLD_METRICS, build_gold, map_to_domain, union_sources
+from metricwatch.operators.iforest import default_levels, iforest_alerts, iforest_scores, standardize
+from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
 from metricwatch.sources.tables import account_dictionary, analysis_window, daily_sum
 
@@ -85,6 +89,117 @@ def q_gold_daily(spark: SparkSession, d: str) -> DataFrame:
     return gold(spark, d).orderBy("domain", "day")
 
 
+# ------------------------------------------------------------------ series and detectors
+K_LOCAL = 3.2
+K_LATEST = 1.0              # with the configured 3.5 (or 2.0) almost no domain is flagged at sf0.01
+EVENT_KEY = ["event_type"]
+EVENT_LEVELS = default_levels(256, 30)   # events span 30 days
+GOLD_LEVELS = default_levels(256, fx.DAYS + 1)
+
+
+def gold_long(spark: SparkSession, d: str) -> DataFrame:
+    return to_long(gold(spark, d), ["domain", "day"], list(GOLD_METRICS))
+
+
+def _alert_out(df: DataFrame, key: str = "domain") -> DataFrame:
+    """Alert rows with the array column as text (maps are dropped or flattened by the caller)."""
+    return df.select(key, "day", "metric", "method", "type", "value", "score", "relative_magnitude",
+                     F.array_join("affected", ",").alias("affected"), "params")
+
+
+def q_scored_events(spark: SparkSession, d: str) -> DataFrame:
+    """Flagship (entry): daily event counts per type, decomposed, with MAD bounds and flags."""
+    s = scored_series(fx.events_daily(spark, d), EVENT_KEY, "day", "events", k=K_LOCAL)
+    return s.select("event_type", "day", F.col("events").cast("double").alias("value"), _r("trend"),
+                    _r("seasonal"), _r("resid"), _r("resid_median"), _r("mad"), _r("lower"), _r("upper"),
+                    "is_outlier")
+
+
+def q_decompose_events(spark: SparkSession, d: str) -> DataFrame:
+    """Trend, seasonal, residual of the daily event counts per type."""
+    dec = decompose(fx.events_daily(spark, d), EVENT_KEY, "day", "events")
+    return dec.select("event_type", "day", "pos", "n", F.col("events").cast("double").alias("value"),
+                      _r("trend"), _r("seasonal"), _r("resid"))
+
+
+def q_mad_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Per event type the residual median, scaled MAD and bounds at k = 3.2."""
+    s = scored_series(fx.events_daily(spark, d), EVENT_KEY, "day", "events", k=K_LOCAL)
+    per = s.groupBy("event_type").agg(F.first("n").alias("n"), F.first("resid_median").alias("resid_median"),
+                                      F.first("mad").alias("mad"), F.first("lower").alias("lower"),
+                                      F.first("upper").alias("upper"))
+    return per.select("event_type", "n", _r("resid_median"), _r("mad"), _r("lower"), _r("upper"))
+
+
+def q_mad_alerts_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every flagged day of every (domain, metric) gold series, k = 3.2."""
+    return _alert_out(seasonal_mad(gold_long(spark, d), ["domain", "metric"], "day", "value", k=K_LOCAL))
+
+
+def q_mad_alerts_latest(spark: SparkSession, d: str) -> DataFrame:
+    """The cutoff day only, for series that end on it (k = 1.0)."""
+    a = seasonal_mad(gold_long(spark, d), ["domain", "metric"], "day", "value", k=K_LATEST,
+                     latest_only=True, cutoff=fx.CUTOFF)
+    return _alert_out(a)
+
+
+def q_iforest_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Forest scores of (events, value_sum, users) per event type and day."""
+    s = iforest_scores(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, levels=EVENT_LEVELS)
+    return s.select("event_type", "day", "events", _r("value_sum"), "users", "n", "psi",
+                    _r("mean_path"), _r("score"))
+
+
+def _forest_alert_out(a: DataFrame) -> DataFrame:
+    return a.select("event_type", "day", "method", "type", "score",
+                    F.array_join("affected", ",").alias("affected"),
+                    F.col("context")["events"].alias("ctx_events"),
+                    F.round(F.col("context")["value_sum"], 6).alias("ctx_value_sum"),
+                    F.col("context")["users"].alias("ctx_users"), "params")
+
+
+def q_iforest_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows above the contamination cut-off (0.05), with their context values."""
+    a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, contamination=0.05,
+                       levels=EVENT_LEVELS)
+    return _forest_alert_out(a)
+
+
+def q_score_p99(spark: SparkSession, d: str) -> DataFrame:
+    """rows above the 99th percentile of their series' scores."""
+    a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, percentile=99.0,
+                       levels=EVENT_LEVELS)
+    return _forest_alert_out(a)
+
+
+def q_iforest_latest(spark: SparkSession, d: str) -> DataFrame:
+    """The cutoff day of each gold domain (contamination 0.2, >= 20 rows): its score,
+    the cut-off, the rank of its score in the series and the verdict."""
+    g = gold(spark, d).filter(F.col("day") <= F.lit(fx.CUTOFF))
+    s = iforest_scores(g, ["domain"], "day", list(GOLD_METRICS), levels=GOLD_LEVELS)
+    w = Window.partitionBy("domain")
+    s = (s.filter(F.col("n") >= 20)
+         .withColumn("cutoff_score", F.percentile("score", F.lit(0.8)).over(w))
+         .withColumn("score_rank", F.rank().over(w.orderBy(F.col("score").desc())).cast("bigint"))
+         .withColumn("_last", F.max("day").over(w)))
+    s = s.filter((F.col("day") == F.col("_last")) & (F.col("day") == F.lit(fx.CUTOFF)))
+    return s.select("domain", "day", "n", _r("score"), _r("cutoff_score"), "score_rank",
+                    (F.col("score") > F.col("cutoff_score")).alias("is_alert"))
+
+
+def q_anscombe(spark: SparkSession, d: str) -> DataFrame:
+    """decomposition of 2·sqrt(count + 3/8) per event type."""
+    ev = fx.events_daily(spark, d).withColumn("value", anscombe("events"))
+    dec = decompose(ev, EVENT_KEY, "day", "value")
+    return dec.select("event_type", "day", _r("value"), _r("trend"), _r("seasonal"), _r("resid"))
+
+
+def q_standardize(spark: SparkSession, d: str) -> DataFrame:
+    """the forest features standardized per event type."""
+    z = standardize(fx.events_daily(spark, d), EVENT_KEY, fx.EVENTS_FEATURES, prefix="z_")
+    return z.select("event_type", "day", *[_r("z_" + f) for f in fx.EVENTS_FEATURES])
+
+
 QUERIES: dict[str, Query] = {
     "normalize_ids": q_normalize_ids,
     "window_filter": q_window_filter,
@@ -93,4 +208,15 @@ QUERIES: dict[str, Query] = {
     "spend_by_domain": q_spend_by_domain,
     "web_by_domain": q_web_by_domain,
     "gold_daily": q_gold_daily,
+    "scored_events": q_scored_events,
+    "decompose_events": q_decompose_events,
+    "mad_bounds": q_mad_bounds,
+    "mad_alerts_all": q_mad_alerts_all,
+    "mad_alerts_latest": q_mad_alerts_latest,
+    "iforest_scores": q_iforest_scores,
+    "iforest_alerts": q_iforest_alerts,
+    "iforest_latest": q_iforest_latest,
+    "score_p99": q_score_p99,
+    "anscombe": q_anscombe,
+    "standardize": q_standardize,
 }
