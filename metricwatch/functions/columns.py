@@ -66,11 +66,16 @@ def unit_draw(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def python_float_text(c: Column | str) -> Column:
-    """Render a double the way Python's ``str(float)`` does for whole numbers ('5.0').
+def python_float_text(c: Column | str, decimals: int = 6) -> Column:
+    """Render a double the way Python's ``str(float)`` does for the values alerts carry.
 
-    Whole values below 1e15 print as '<int>.0'; others use Spark's double-to-string. NULL stays NULL.
+    Whole values below 1e15 print as '<int>.0'; other values print with at most ``decimals``
+    decimals and no trailing zeros ('12.3', '0.0005'), which is Python's text for a value
+    already rounded to that many decimals. NULL stays NULL.
     """
     x = _col(c).cast("double")
     whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
-    return F.when(whole, F.concat(x.cast("bigint").cast("string"), F.lit(".0"))).otherwise(x.cast("string"))
+    fixed = F.regexp_replace(F.format_string(f"%.{decimals}f", x), "0+$", "")
+    fixed = F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed)
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(whole, F.concat(x.cast("bigint").cast("string"), F.lit(".0"))).otherwise(fixed))

@@ -24,13 +24,12 @@ def mad_bounds(df: DataFrame, key: list[str], k: float, resid: str = "resid") ->
     guarded for exact zero, so float noise on a perfectly regular series cannot raise flags.
     """
     w = Window.partitionBy(*key)
-    df = df.withColumn("resid_median", F.median(resid).over(w))
-    mad = F.median(F.abs(F.col(resid) - F.col("resid_median"))).over(w) * F.lit(MAD_SCALE)
-    df = df.withColumn("mad", F.greatest(mad, F.lit(MAD_FLOOR)))
-    return (
-        df.withColumn("lower", F.col("resid_median") - F.lit(float(k)) * F.col("mad"))
-        .withColumn("upper", F.col("resid_median") + F.lit(float(k)) * F.col("mad"))
-    )
+    df = df.select("*", F.median(resid).over(w).alias("resid_median"))
+    mad = F.greatest(F.median(F.abs(F.col(resid) - F.col("resid_median"))).over(w) * F.lit(MAD_SCALE), F.lit(MAD_FLOOR))
+    df = df.select("*", mad.alias("mad"))
+    kk = F.lit(float(k))
+    return df.select("*", (F.col("resid_median") - kk * F.col("mad")).alias("lower"),
+                     (F.col("resid_median") + kk * F.col("mad")).alias("upper"))
 
 
 def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: float = 3.2,
@@ -42,9 +41,9 @@ def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: floa
     """
     dec = decompose(df, key, order, value, period=period, fill_days=fill_days)
     dec = dec.filter(F.col(N) >= F.lit(max(min_rows, 2 * period)))
+    dec = dec.select("*", F.avg(F.col(value).cast("double")).over(Window.partitionBy(*key)).alias("series_mean"))
     out = mad_bounds(dec, key, k)
-    out = out.withColumn("series_mean", F.avg(F.col(value).cast("double")).over(Window.partitionBy(*key)))
-    return out.withColumn("is_outlier", (F.col("resid") > F.col("upper")) | (F.col("resid") < F.col("lower")))
+    return out.select("*", ((F.col("resid") > F.col("upper")) | (F.col("resid") < F.col("lower"))).alias("is_outlier"))
 
 
 def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float = 3.2,

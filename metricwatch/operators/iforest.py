@@ -76,50 +76,64 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     Returns key..., order, features..., carry..., ``n``, ``psi``, ``mean_path``, ``score``.
     """
     levels = levels or default_levels(sample)
-    w_key = Window.partitionBy(*key)
+    q = lambda c: f"`{c}`"
+    ks = ", ".join(q(c) for c in key)
+    feats = [q(f) for f in features]
+    # Expressions are SQL text (one parse per select instead of thousands of client round trips).
+
+    def draw(*parts: str) -> str:
+        joined = ", ".join(f"CAST({p} AS STRING)" for p in parts)
+        return f"(CAST(conv(substr(md5(concat_ws('|', {joined})), 1, 8), 16, 10) AS DOUBLE) / 4294967296.0)"
+
+    w_node = f"OVER (PARTITION BY {ks}, tree, _node)"
+
     base = df.select(*key, order, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features],
                      *carry)
     # The only exchange of the plan: hash on the series key, on the un-replicated rows.
-    base = base.withColumn("n", F.count(F.lit(1)).over(w_key))
-    base = base.withColumn("psi", F.least(F.col("n"), F.lit(sample)))
-    base = base.withColumn("_limit", depth_limit(F.col("psi")))
-    x = base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-
-    w_tree = Window.partitionBy(*key, "tree").orderBy(unit_draw(F.lit(seed), *key, "tree", order, F.lit("s")), F.col(order))
-    x = x.withColumn("_in", (F.col("n") <= F.lit(sample)) | (F.row_number().over(w_tree) <= F.lit(sample)))
-    x = x.withColumn("_node", F.lit(1).cast("bigint")).withColumn("_depth", F.lit(0)) \
-        .withColumn("_done", F.lit(False)).withColumn("_leaf", F.lit(None).cast("bigint"))
-
-    w_node = Window.partitionBy(*key, "tree", "_node")
+    base = base.selectExpr("*", f"count(1) OVER (PARTITION BY {ks}) AS n")
+    x = base.selectExpr(
+        "*", f"least(n, {int(sample)}) AS psi",
+        f"length(bin(CAST(greatest(least(n, {int(sample)}), 2) AS BIGINT) - 1)) AS _limit",
+        f"explode(sequence(0, {int(trees) - 1})) AS tree")
+    keep = [*[q(c) for c in key], q(order), *feats, *[q(c) for c in carry], "n", "psi", "_limit", "tree"]
+    sample_rank = (f"row_number() OVER (PARTITION BY {ks}, tree ORDER BY "
+                   f"{draw(str(int(seed)), *[q(c) for c in key], 'tree', q(order), repr('s'))}, {q(order)})")
+    x = x.selectExpr(*keep, f"(n <= {int(sample)} OR {sample_rank} <= {int(sample)}) AS _in",
+                     "CAST(1 AS BIGINT) AS _node", "0 AS _depth", "false AS _done", "CAST(NULL AS BIGINT) AS _leaf")
+    keep = keep + ["_in"]
+    state = ["_node", "_depth", "_done", "_leaf"]
+
+    spread = [f"(_mx{i} > _mn{i})" for i in range(len(features))]
+    n_spread = "(" + " + ".join(f"CAST({sp} AS INT)" for sp in spread) + ")"
+    stop = f"(_done OR _cnt <= 1 OR _depth >= _limit OR {n_spread} = 0)"
+    pick = f"floor({draw(str(int(seed)), *[q(c) for c in key], 'tree', '_node', repr('f'))} * {n_spread})"
+    u = draw(str(int(seed)), *[q(c) for c in key], "tree", "_node", repr("t"))
+    # the split feature is the pick-th feature that has spread in the node
+    branches, before = [], "0"
+    for i, f in enumerate(feats):
+        branches.append(f"WHEN {spread[i]} AND ({before}) = _pick THEN {f} > _mn{i} + _u * (_mx{i} - _mn{i})")
+        before = f"{before} + CAST({spread[i]} AS INT)"
+    right = "CASE " + " ".join(branches) + " ELSE false END"
+    stats = [f"count(CASE WHEN _in THEN 1 END) {w_node} AS _cnt"]
+    stats += [f"min(CASE WHEN _in THEN {f} END) {w_node} AS _mn{i}" for i, f in enumerate(feats)]
+    stats += [f"max(CASE WHEN _in THEN {f} END) {w_node} AS _mx{i}" for i, f in enumerate(feats)]
+    mids = [f"_mn{i}" for i in range(len(features))] + [f"_mx{i}" for i in range(len(features))]
     for _ in range(levels):
-        mins = [F.min(F.when(F.col("_in"), F.col(f))).over(w_node) for f in features]
-        maxs = [F.max(F.when(F.col("_in"), F.col(f))).over(w_node) for f in features]
-        x = x.withColumn("_cnt", F.count(F.when(F.col("_in"), F.lit(1))).over(w_node))
-        for i, f in enumerate(features):
-            x = x.withColumn(f"_mn{i}", mins[i]).withColumn(f"_mx{i}", maxs[i])
-        spread = [F.col(f"_mx{i}") > F.col(f"_mn{i}") for i in range(len(features))]
-        n_spread = sum(s.cast("int") for s in spread)
-        stop = (F.col("_cnt") <= 1) | (F.col("_depth") >= F.col("_limit")) | (n_spread == 0)
-        pick = F.floor(unit_draw(F.lit(seed), *key, "tree", "_node", F.lit("f")) * n_spread)
-        u = unit_draw(F.lit(seed), *key, "tree", "_node", F.lit("t"))
-        # choose the pick-th feature among those with spread in the node
-        right = F.lit(False)
-        before = F.lit(0)
-        for i, f in enumerate(features):
-            chosen = spread[i] & (before == pick)
-            thr = F.col(f"_mn{i}") + u * (F.col(f"_mx{i}") - F.col(f"_mn{i}"))
-            right = F.when(chosen, F.col(f) > thr).otherwise(right)
-            before = before + spread[i].cast("int")
-        x = x.withColumn("_stop", F.col("_done") | stop)
-        x = x.withColumn("_leaf", F.when(~F.col("_done") & F.col("_stop"), F.col("_cnt")).otherwise(F.col("_leaf")))
-        x = x.withColumn("_node", F.when(F.col("_stop"), F.col("_node")).otherwise(F.col("_node") * 2 + right.cast("bigint")))
-        x = x.withColumn("_depth", F.when(F.col("_stop"), F.col("_depth")).otherwise(F.col("_depth") + 1))
-        x = x.withColumn("_done", F.col("_stop"))
-        x = x.drop("_cnt", "_stop", *[f"_mn{i}" for i in range(len(features))], *[f"_mx{i}" for i in range(len(features))])
-    # rows still open after the last planned level: leaf size of the node they reached
-    x = x.withColumn("_cnt", F.count(F.when(F.col("_in"), F.lit(1))).over(w_node))
-    x = x.withColumn("_leaf", F.when(F.col("_done"), F.col("_leaf")).otherwise(F.col("_cnt")))
-    x = x.withColumn("_path", F.col("_depth").cast("double") + avg_path_length(F.col("_leaf")))
+        # one Window operator per level: node size and per-feature min/max over the sampled rows
+        x = x.selectExpr(*keep, *state, *stats)
+        x = x.selectExpr(*keep, *state, "_cnt", *mids, f"{stop} AS _stop", f"{pick} AS _pick", f"{u} AS _u")
+        x = x.selectExpr(
+            *keep,
+            f"CASE WHEN _stop THEN _node ELSE _node * 2 + CAST({right} AS BIGINT) END AS _node",
+            "CASE WHEN _stop THEN _depth ELSE _depth + 1 END AS _depth",
+            "_stop AS _done",
+            "CASE WHEN NOT _done AND _stop THEN _cnt ELSE _leaf END AS _leaf",
+        )
+    # rows still open after the last planned level take the size of the node they reached
+    x = x.selectExpr(*keep, "_depth",
+                     f"CASE WHEN _done THEN _leaf ELSE count(CASE WHEN _in THEN 1 END) {w_node} END AS _leaf")
+    x = x.select(*[F.col(c.strip("`")) for c in keep],
+                 (F.col("_depth").cast("double") + avg_path_length(F.col("_leaf"))).alias("_path"))
 
     scored = x.groupBy(*key, order, *features, *carry, "n", "psi").agg(F.avg("_path").alias("mean_path"))
     return scored.withColumn("score", F.pow(F.lit(2.0), -F.col("mean_path") / avg_path_length(F.col("psi"))))

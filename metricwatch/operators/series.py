@@ -62,44 +62,47 @@ def decompose(df: DataFrame, key: list[str], order: str, value: str, period: int
         df = fill_calendar(df, key, order, value)
     h = period // 2
     y = F.col(value).cast("double")
-    w_all = Window.partitionBy(*key)
     w_ord = Window.partitionBy(*key).orderBy(F.col(order))
+    # whole-series frame on the same (partition, order) spec: lands in the same Window operator
+    w_all = w_ord.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w_phase = Window.partitionBy(*key, "_phase")
+    cols = df.columns
 
-    df = df.withColumn(POS, F.row_number().over(w_ord) - 1).withColumn(N, F.count(F.lit(1)).over(w_all))
     if period % 2:
         raw = F.avg(y).over(w_ord.rowsBetween(-h, h))
     else:
         total = F.sum(y).over(w_ord.rowsBetween(-h, h))
-        ends = F.lag(y, h).over(w_ord) + F.lead(y, h).over(w_ord)
-        raw = (total - F.lit(0.5) * ends) / F.lit(float(period))
+        raw = (total - F.lit(0.5) * (F.lag(y, h).over(w_ord) + F.lead(y, h).over(w_ord))) / F.lit(float(period))
+    # Window operator 1: position, length and the centred moving average
+    df = df.select("*", (F.row_number().over(w_ord) - 1).alias(POS), F.count(F.lit(1)).over(w_all).alias(N),
+                   raw.alias("_raw"))
     pos, n = F.col(POS), F.col(N)
     back = n - 1 - h
-    df = df.withColumn("_t", F.when((pos >= h) & (pos <= back) & (n >= 2 * period), raw))
+    ok = n >= 2 * period
+    df = df.select(*cols, POS, N, F.when((pos >= h) & (pos <= back) & ok, F.col("_raw")).alias("_t"))
 
+    # Window operator 2: least-squares lines through the nearest defined trend rows at each end
     front_rows = (pos >= h) & (pos < F.least(F.lit(h + period), back))
     back_rows = (pos >= F.greatest(F.lit(h), back - period)) & (pos < back)
     posd = pos.cast("double")
-    df = (
-        df.withColumn("_fs", F.regr_slope(F.when(front_rows, F.col("_t")), posd).over(w_all))
-        .withColumn("_fi", F.regr_intercept(F.when(front_rows, F.col("_t")), posd).over(w_all))
-        .withColumn("_bs", F.regr_slope(F.when(back_rows, F.col("_t")), posd).over(w_all))
-        .withColumn("_bi", F.regr_intercept(F.when(back_rows, F.col("_t")), posd).over(w_all))
-    )
+    ft, bt = F.when(front_rows, F.col("_t")), F.when(back_rows, F.col("_t"))
+    df = df.select("*", F.regr_slope(ft, posd).over(w_all).alias("_fs"), F.regr_intercept(ft, posd).over(w_all).alias("_fi"),
+                   F.regr_slope(bt, posd).over(w_all).alias("_bs"), F.regr_intercept(bt, posd).over(w_all).alias("_bi"))
     trend = (
         F.when(F.col("_t").isNotNull(), F.col("_t"))
-        .when((n >= 2 * period) & (pos < h), F.col("_fs") * posd + F.col("_fi"))
-        .when((n >= 2 * period) & (pos > back), F.col("_bs") * posd + F.col("_bi"))
-    )
-    df = df.withColumn("trend", trend).withColumn("_phase", pos % period)
-    df = (
-        df.withColumn("_pm", F.avg(y - F.col("trend")).over(w_phase))
-        .withColumn("_pc", F.count(F.col("trend")).over(w_phase))
+        .when(ok & (pos < h), F.col("_fs") * posd + F.col("_fi"))
+        .when(ok & (pos > back), F.col("_bs") * posd + F.col("_bi"))
     )
-    df = df.withColumn("_grand", F.sum(F.col("_pm") / F.col("_pc")).over(w_all) / F.lit(float(period)))
-    df = df.withColumn("seasonal", F.col("_pm") - F.col("_grand"))
-    df = df.withColumn("resid", y - F.col("trend") - F.col("seasonal"))
-    return df.drop("_t", "_fs", "_fi", "_bs", "_bi", "_phase", "_pm", "_pc", "_grand")
+    df = df.select(*cols, POS, N, trend.alias("trend"), (pos % period).alias("_phase"))
+
+    # Window operator 3: phase means (same hash partitioning, sorted by phase inside)
+    df = df.select("*", F.avg(y - F.col("trend")).over(w_phase).alias("_pm"),
+                   F.count(F.col("trend")).over(w_phase).alias("_pc"))
+    # Window operator 4: centre the phase means so that they average to 0
+    w_key = Window.partitionBy(*key)
+    grand = F.sum(F.col("_pm") / F.col("_pc")).over(w_key) / F.lit(float(period))
+    df = df.select(*cols, POS, N, "trend", (F.col("_pm") - grand).alias("seasonal"))
+    return df.select("*", (y - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
 def latest(df: DataFrame, key: list[str], order: str, cutoff=None) -> DataFrame:

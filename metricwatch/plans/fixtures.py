@@ -18,7 +18,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwatch.functions.plan import broadcast_if_small
 from metricwatch.sources.tables import read_source
 
 # Fixed values of the fixture mapping
@@ -32,8 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """custkey -> c_name. Joined by a shuffle unless a bounded count proves it small."""
-    return broadcast_if_small(table(spark, sf_dir, "customer").select("c_custkey", "c_name"))
+    """custkey -> c_name. No hint: Spark broadcasts it only when its size estimate (or AQE's
+    runtime measurement) is under the broadcast threshold, else joins by shuffle."""
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_name")
 
 
 def dictionary_raw(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:

@@ -113,3 +113,247 @@ SQL["standardize"] = with_(EVENTS_DAILY) + f"""
 SELECT event_type, day,
   {_Z}
 FROM ev WINDOW w AS (PARTITION BY event_type)"""
+
+# ------------------------------------------------------------------ data quality
+_START = "2001-05-28"  # cutoff - 65 days
+
+SQL["missing_days"] = f"""
+WITH obs AS (
+  SELECT DISTINCT n.n_name AS domain, CAST(o.o_orderdate AS DATE) AS day
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE {_in_window('o.o_orderdate')}
+),
+cal AS (
+  SELECT n.n_name AS domain, CAST(t.d AS DATE) AS day
+  FROM (SELECT DISTINCT n_name FROM nation) n,
+       generate_series(TIMESTAMP '{_START} 00:00:00', TIMESTAMP '{CUTOFF} 00:00:00', INTERVAL 1 DAY) t(d)
+)
+SELECT domain, day, 'missing_day' AS method, 'missing' AS type, 'tolerance=0' AS params
+FROM cal WHERE NOT EXISTS (SELECT 1 FROM obs WHERE obs.domain = cal.domain AND obs.day = cal.day)"""
+
+_RULES = """
+rules AS (SELECT metric, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi
+          FROM (VALUES ('sessions', 0, 100000), ('leads', 0, 10000), ('spend', 0, 50000)) t(metric, lo, hi))"""
+
+SQL["range_alerts"] = with_(ALL_GOLD, GOLD_LONG, _RULES) + """
+SELECT g.domain, g.day, g.metric, 'out_of_range' AS method, 'range' AS type, g.value, r.lo AS ctx_lo, r.hi AS ctx_hi
+FROM gold_long g JOIN rules r ON g.metric = r.metric WHERE NOT (g.value BETWEEN r.lo AND r.hi)"""
+
+SQL["duplicate_days"] = with_(ADS_RAW) + """
+SELECT account_id, CAST(date AS DATE) AS day, count(*) AS rows
+FROM ads_raw WHERE source = 'a' GROUP BY 1, 2 HAVING count(*) > 1"""
+
+SQL["validate"] = with_(ADS_RAW, """
+per AS (SELECT account_id, CAST(date AS DATE) AS day, count(*) AS c FROM ads_raw WHERE source = 'a' GROUP BY 1, 2)""") + """
+SELECT '' AS missing_columns, coalesce(sum(c), 0) = 0 AS is_empty, CAST(coalesce(sum(c), 0) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE c > 1) AS BIGINT) AS duplicate_days, coalesce(sum(c), 0) > 0 AS valid
+FROM per"""
+
+# ------------------------------------------------------------------ alerts
+_FUSED_CTES = with_(ALL_GOLD, GOLD_LONG, decompose_sql("gold_long", ["domain", "metric"], "day", "value"),
+                    mad_sql("dec", ["domain", "metric"], 3.2),
+                    iforest_sql("gold", ["domain"], "day", _GOLD_FEATS, levels=_GOLD_LEVELS), _RULES) + f""",
+uni AS (
+  SELECT domain, day, metric, 'seasonal_mad' AS method, CASE WHEN resid > 0 THEN 'spike' ELSE 'drop' END AS type,
+         _y AS value, round(abs(resid) / mad, 2) AS score,
+         CASE WHEN series_mean <> 0 THEN round(abs(resid) / series_mean * 100.0, 2) ELSE 0.0 END AS relative_magnitude,
+         metric AS affected, 'MAD=3.2' AS params
+  FROM mad WHERE resid > upper OR resid < lower
+),
+multi AS (
+  SELECT domain, day, CAST(NULL AS VARCHAR) AS metric, 'iforest' AS method, 'irregular' AS type,
+         CAST(NULL AS DOUBLE) AS value, round(score - q, 4) AS score, CAST(NULL AS DOUBLE) AS relative_magnitude,
+         'spend,leads,sessions' AS affected, 'Contam=0.01' AS params
+  FROM (SELECT *, quantile_cont(score, 0.99) OVER (PARTITION BY domain) AS q FROM ifo WHERE n >= 10)
+  WHERE score > q
+),
+cal AS (
+  SELECT d.domain, CAST(t.d AS DATE) AS day
+  FROM (SELECT DISTINCT domain FROM dict) d,
+       generate_series(TIMESTAMP '{_START} 00:00:00', TIMESTAMP '{CUTOFF} 00:00:00', INTERVAL 1 DAY) t(d)
+),
+miss AS (
+  SELECT c.domain, c.day, CAST(NULL AS VARCHAR) AS metric, 'missing_day' AS method, 'missing' AS type,
+         CAST(NULL AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS DOUBLE) AS relative_magnitude,
+         '' AS affected, 'tolerance=0' AS params
+  FROM cal c WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE g.domain = c.domain AND g.day = c.day)
+),
+rng AS (
+  SELECT g.domain, g.day, g.metric, 'out_of_range' AS method, 'range' AS type, g.value,
+         CAST(NULL AS DOUBLE) AS score, CAST(NULL AS DOUBLE) AS relative_magnitude, g.metric AS affected,
+         'range=[' || CAST(r.lo AS VARCHAR) || ', ' || CAST(r.hi AS VARCHAR) || ']' AS params
+  FROM gold_long g JOIN rules r ON g.metric = r.metric WHERE NOT (g.value BETWEEN r.lo AND r.hi)
+),
+fused AS (
+  SELECT * FROM uni UNION ALL SELECT * FROM multi UNION ALL SELECT * FROM miss UNION ALL SELECT * FROM rng
+),
+pr AS (
+  SELECT *, CASE WHEN method = 'missing_day' THEN 'critical' WHEN relative_magnitude >= 80 THEN 'critical'
+                 WHEN relative_magnitude >= 50 THEN 'high' WHEN relative_magnitude >= 25 THEN 'medium'
+                 WHEN relative_magnitude >= 10 THEN 'low' END AS priority
+  FROM fused
+)"""
+
+_FUSED_COLS = "domain, day, metric, method, type, value, score, relative_magnitude, affected, params"
+
+SQL["fused_alerts"] = _FUSED_CTES + f"\nSELECT {_FUSED_COLS} FROM fused"
+
+SQL["priority_route"] = _FUSED_CTES + """
+SELECT domain, day, metric, method, type, relative_magnitude, priority,
+       CASE WHEN priority = 'critical' THEN 'alertas-criticas' ELSE 'alertas-marketing' END AS channel,
+       CASE WHEN method IN ('missing_day', 'out_of_range') THEN 'analytics_it'
+            WHEN metric = 'sessions' AND type = 'drop' THEN 'technical_seo'
+            WHEN metric = 'spend' THEN 'performance'
+            WHEN method = 'iforest' THEN 'performance'
+            ELSE 'marketing' END AS team
+FROM pr"""
+
+SQL["cap_per_day"] = _FUSED_CTES + """,
+rk AS (
+  SELECT *, row_number() OVER (PARTITION BY day ORDER BY
+           CASE priority WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 4 END,
+           score DESC NULLS LAST, domain ASC NULLS LAST, metric ASC NULLS LAST, method, type) AS rank_in_day
+  FROM pr
+)
+SELECT domain, day, metric, method, type, priority, score, CAST(rank_in_day AS BIGINT) AS rank_in_day
+FROM rk WHERE rank_in_day <= 3"""
+
+
+def _pytext(x: str) -> str:
+    s = f"regexp_replace(printf('%.6f', {x}), '0+$', '')"
+    return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN {x} = floor({x}) AND abs({x}) < 1e15 "
+            f"THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) || '.0' "
+            f"WHEN {s} LIKE '%.' THEN {s} || '0' ELSE {s} END)")
+
+
+_DAILY_WORDS = ("CASE type WHEN 'spike' THEN 'Pico Inusual' WHEN 'drop' THEN 'Caída Abrupta' "
+                "WHEN 'irregular' THEN 'Patrón Irregular (Gasto/Tráfico)' WHEN 'missing' THEN 'Día Faltante' "
+                "WHEN 'range' THEN 'Fuera de Rango' ELSE type END")
+_LOCAL_WORDS = ("CASE type WHEN 'spike' THEN 'pico' WHEN 'drop' THEN 'caida' WHEN 'irregular' THEN 'patron_multivariante' "
+                "WHEN 'missing' THEN 'faltante' WHEN 'range' THEN 'fuera_de_rango' ELSE type END")
+
+SQL["adaptive_card"] = _FUSED_CTES + f""",
+cards AS (
+  SELECT *, json_object('type', 'message', 'attachments', json_array(json_object(
+      'contentType', 'application/vnd.microsoft.card.adaptive',
+      'content', json_object('type', 'AdaptiveCard', 'version', '1.4',
+        'body', json_array(
+          json_object('type', 'TextBlock',
+                      'text', (CASE WHEN type = 'drop' THEN '🚨' ELSE '📈' END) || ' Alerta: ' || coalesce(domain, 'Dominio'),
+                      'weight', 'Bolder', 'size', 'Medium',
+                      'color', CASE WHEN type = 'drop' THEN 'Attention' ELSE 'Warning' END),
+          json_object('type', 'FactSet', 'facts', json_array(
+            json_object('title', 'Métrica:', 'value', coalesce(metric, CASE WHEN method = 'iforest' THEN 'Multivariante' END, 'N/A')),
+            json_object('title', 'Tipo:', 'value', coalesce({_DAILY_WORDS}, 'N/A')),
+            json_object('title', 'Valor:', 'value', coalesce({_pytext('value')}, 'N/A')),
+            json_object('title', 'Fecha:', 'value', strftime(day, '%Y-%m-%d'))))),
+        'actions', json_array(json_object('type', 'Action.OpenUrl', 'title', '📊 Ver en Power BI',
+                                          'url', 'https://dashboard.example/report')))))) AS card
+  FROM fused
+)
+SELECT domain, day, metric, method, type,
+       json_extract_string(card, '$.attachments[0].content.body[0].text') AS title,
+       json_extract_string(card, '$.attachments[0].content.body[0].color') AS color,
+       json_extract_string(card, '$.attachments[0].content.body[1].facts[0].value') AS fact_metric,
+       json_extract_string(card, '$.attachments[0].content.body[1].facts[1].value') AS fact_type,
+       json_extract_string(card, '$.attachments[0].content.body[1].facts[2].value') AS fact_value,
+       json_extract_string(card, '$.attachments[0].content.body[1].facts[3].value') AS fact_date,
+       json_extract_string(card, '$.attachments[0].content.actions[0].url') AS url
+FROM cards"""
+
+_METHOD_WORDS = ("CASE method WHEN 'seasonal_mad' THEN 'STL+MAD' WHEN 'iforest' THEN 'Isolation Forest' "
+                 "WHEN 'missing_day' THEN 'Calendario' WHEN 'out_of_range' THEN 'Rango' ELSE method END")
+
+SQL["message_card"] = _FUSED_CTES + f""",
+cards AS (
+  SELECT *, json_object(
+      '@type', 'MessageCard', '@context', 'http://schema.org/extensions',
+      'themeColor', CASE WHEN method = 'iforest' THEN 'FF0000' WHEN type = 'spike' THEN 'FFA500' ELSE '008000' END,
+      'summary', CASE WHEN method = 'iforest' THEN 'Alerta - Patrón Multivariante'
+                      ELSE 'Alerta - ' || ({_LOCAL_WORDS}) || ' - ' || coalesce(metric, 'N/A') END,
+      'sections', json_array(json_object(
+        'activityTitle', CASE WHEN method = 'iforest' THEN '🤖 ALERTA - PATRÓN MULTIVARIANTE'
+                              ELSE (CASE WHEN type = 'spike' THEN '📈' ELSE '📉' END) || ' ALERTA - '
+                                   || upper({_LOCAL_WORDS}) || ' DETECTADA' END,
+        'facts', CASE WHEN method = 'iforest' THEN json_array(
+                        json_object('name', 'Score:', 'value', coalesce({_pytext('score')}, 'N/A')),
+                        json_object('name', 'Métricas:', 'value', replace(affected, ',', ', ')),
+                        json_object('name', 'Fecha:', 'value', strftime(day, '%Y-%m-%d')))
+                      ELSE json_array(
+                        json_object('name', 'Métrica:', 'value', coalesce(metric, 'N/A')),
+                        json_object('name', 'Fecha:', 'value', strftime(day, '%Y-%m-%d')),
+                        json_object('name', 'Magnitud:', 'value', coalesce({_pytext('relative_magnitude')}, 'N/A') || '%'),
+                        json_object('name', 'Método:', 'value', {_METHOD_WORDS})) END))) AS card
+  FROM fused
+)
+SELECT domain, day, metric, method, type,
+       json_extract_string(card, '$.themeColor') AS color, json_extract_string(card, '$.summary') AS summary,
+       json_extract_string(card, '$.sections[0].activityTitle') AS title,
+       {", ".join(f"json_extract_string(card, '$.sections[0].facts[{i}].name') AS fact{i}_name" for i in range(4))},
+       {", ".join(f"json_extract_string(card, '$.sections[0].facts[{i}].value') AS fact{i}_value" for i in range(4))}
+FROM cards"""
+
+SQL["evaluate"] = _FUSED_CTES + """,
+a AS (SELECT DISTINCT domain, day, metric FROM uni),
+lab AS (
+  SELECT DISTINCT domain, day, metric
+  FROM (SELECT *, avg(value) OVER (PARTITION BY domain, metric) AS m FROM gold_long)
+  WHERE value > 1.5 * m OR value < 0.5 * m
+),
+j AS (
+  SELECT a.domain IS NOT NULL AS _a, l.domain IS NOT NULL AS _l
+  FROM a FULL JOIN lab l ON a.domain = l.domain AND a.day = l.day AND a.metric = l.metric
+),
+c AS (
+  SELECT CAST(count(*) FILTER (WHERE _a AND _l) AS BIGINT) AS tp,
+         CAST(count(*) FILTER (WHERE _a AND NOT _l) AS BIGINT) AS fp,
+         CAST(count(*) FILTER (WHERE NOT _a AND _l) AS BIGINT) AS fn
+  FROM j
+),
+pr2 AS (
+  SELECT *, CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END AS p,
+            CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END AS r
+  FROM c
+)
+SELECT tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) END, 6) AS f1
+FROM pr2"""
+
+SQL["run_report"] = _FUSED_CTES + """
+SELECT CAST((SELECT count(DISTINCT domain) FROM gold) AS BIGINT) AS total_domains,
+       CAST((SELECT count(*) FROM gold) AS BIGINT) AS gold_rows,
+       CAST(count(*) AS BIGINT) AS total_alerts,
+       CAST(count(*) FILTER (WHERE method = 'seasonal_mad') AS BIGINT) AS alerts_seasonal_mad,
+       CAST(count(*) FILTER (WHERE method = 'iforest') AS BIGINT) AS alerts_iforest,
+       CAST(count(*) FILTER (WHERE method = 'missing_day') AS BIGINT) AS alerts_missing,
+       CAST(count(*) FILTER (WHERE method = 'out_of_range') AS BIGINT) AS alerts_range
+FROM fused"""
+
+SQL["retain"] = _FUSED_CTES + f"""
+SELECT {_FUSED_COLS} FROM fused WHERE day >= CAST('{CUTOFF}' AS DATE) - 30"""
+
+SQL["daily_alerts"] = with_(ALL_GOLD, GOLD_LONG, _FRESH, decompose_sql("fresh", ["domain", "metric"], "day", "value"),
+                            mad_sql("dec", ["domain", "metric"], 3.5), f"""
+gfresh AS (
+  SELECT * FROM (SELECT *, max(day) OVER (PARTITION BY domain) AS _last FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))
+  WHERE _last = CAST('{CUTOFF}' AS DATE)
+)""", iforest_sql("gfresh", ["domain"], "day", _GOLD_FEATS, levels=_GOLD_LEVELS)) + f""",
+uni AS (
+  SELECT domain, day, metric, 'seasonal_mad' AS method, CASE WHEN resid > 0 THEN 'spike' ELSE 'drop' END AS type,
+         _y AS value, round(abs(resid) / mad, 2) AS score,
+         CASE WHEN series_mean <> 0 THEN round(abs(resid) / series_mean * 100.0, 2) ELSE 0.0 END AS relative_magnitude,
+         metric AS affected, 'MAD=3.5' AS params
+  FROM mad WHERE (resid > upper OR resid < lower) AND pos = n - 1
+),
+multi AS (
+  SELECT domain, day, CAST(NULL AS VARCHAR) AS metric, 'iforest' AS method, 'irregular' AS type,
+         CAST(NULL AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS DOUBLE) AS relative_magnitude,
+         'spend,leads,sessions' AS affected, 'Contam=0.01' AS params
+  FROM (SELECT *, quantile_cont(score, 0.99) OVER (PARTITION BY domain) AS q,
+               max(day) OVER (PARTITION BY domain) AS _l FROM ifo WHERE n >= 20)
+  WHERE score > q AND day = _l
+)
+SELECT {_FUSED_COLS} FROM uni UNION ALL SELECT {_FUSED_COLS} FROM multi"""
+
+SQL["cutoff_day"] = """
+SELECT event_id, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Bogota' AS DATE) - 1 AS cutoff FROM events"""

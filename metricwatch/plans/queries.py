@@ -8,12 +8,21 @@ that two engines agree on the last bits.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import anscombe
+from metricwatch.functions.columns import anscombe, cutoff_day
+from metricwatch.operators.alerts import (
+    adaptive_card, cap_per_day, message_card, prioritize, retain, route, run_report,
+)
+from metricwatch.operators.evaluate import evaluate
+from metricwatch.operators.quality import (
+    duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, validate,
+)
+from metricwatch.plans.pipeline import daily_variant, local_variant
 from metricwatch.operators.detect import scored_series, seasonal_mad
 from metricwatch.operators.gold import GOLD_METRICS, build_gold, map_to_domain, union_sources
 from metricwatch.operators.iforest import default_levels, iforest_alerts, iforest_scores, standardize
@@ -200,6 +209,150 @@ def q_standardize(spark: SparkSession, d: str) -> DataFrame:
     return z.select("event_type", "day", *[_r("z_" + f) for f in fx.EVENTS_FEATURES])
 
 
+# ------------------------------------------------------------------ data quality
+WINDOW_START = fx.CUTOFF - _dt.timedelta(days=fx.DAYS)
+
+
+def q_missing_days(spark: SparkSession, d: str) -> DataFrame:
+    """(nation, day) pairs of the window without any order, for all 25 nations."""
+    o = analysis_window(fx.table(spark, d, "orders").select("o_custkey", "o_orderdate"), "o_orderdate",
+                        fx.CUTOFF, fx.DAYS)
+    c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = F.broadcast(fx.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("domain")))
+    obs = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+           .select("domain", F.to_date("o_orderdate").alias("day")))
+    miss = missing_days(obs, ["domain"], "day", WINDOW_START, fx.CUTOFF, keys=n.select("domain"))
+    a = missing_day_alerts(miss, ["domain"], "day")
+    return a.select("domain", "day", "method", "type", "params")
+
+
+def q_range_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """gold values outside the configured range of their metric."""
+    a = range_alerts(gold_long(spark, d), range_rules(spark))
+    return a.select("domain", "day", "metric", "method", "type", "value",
+                    F.col("context")["lo"].alias("ctx_lo"), F.col("context")["hi"].alias("ctx_hi"))
+
+
+def _ads_a_days(spark: SparkSession, d: str) -> DataFrame:
+    return fx.ads_raw(spark, d, "a").withColumn("day", F.to_date("date"))
+
+
+def q_duplicate_days(spark: SparkSession, d: str) -> DataFrame:
+    """(account, day) pairs of ads source A that occur more than once."""
+    return duplicate_days(_ads_a_days(spark, d), ["account_id"], "day")
+
+
+def q_validate(spark: SparkSession, d: str) -> DataFrame:
+    """Required columns, emptiness and repeated days of ads source A, one row."""
+    return validate(_ads_a_days(spark, d), ["account_id", "date", "spend_gbp"], ["account_id"], "day")
+
+
+# ------------------------------------------------------------------ alerts
+FIXTURE_URL = "https://dashboard.example/report"
+CAP_N = 3  # the configured 100 per day is never reached by 5 domains; 3 makes the cut visible
+
+
+def fused(spark: SparkSession, d: str) -> DataFrame:
+    """LOCAL variant with quality checks on the gold fixture: MAD (k = 3.2), forest (0.01, >= 10
+    rows), missing days over the window for every dictionary domain, range rules."""
+    g = gold(spark, d)
+    domains = _dictionary(spark, d).select("domain").distinct()
+    return local_variant(g, max_days=fx.DAYS + 1, quality=True, start=WINDOW_START, end=fx.CUTOFF,
+                         domains=domains)
+
+
+def _fused_out(df: DataFrame) -> DataFrame:
+    return df.select("domain", "day", "metric", "method", "type", "value", "score", "relative_magnitude",
+                     F.array_join("affected", ",").alias("affected"), "params")
+
+
+def q_fused_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """Every detector's alerts in one table."""
+    return _fused_out(fused(spark, d))
+
+
+def q_priority_route(spark: SparkSession, d: str) -> DataFrame:
+    """L3, L4: priority from the relative magnitude, channel and team per alert."""
+    r = route(prioritize(fused(spark, d)))
+    return r.select("domain", "day", "metric", "method", "type", "relative_magnitude", "priority", "channel", "team")
+
+
+def q_cap_per_day(spark: SparkSession, d: str) -> DataFrame:
+    """The strongest alerts per day (priority, then score)."""
+    c = cap_per_day(fused(spark, d), n=CAP_N)
+    return c.select("domain", "day", "metric", "method", "type", "priority", "score",
+                    F.col("rank_in_day").cast("bigint").alias("rank_in_day"))
+
+
+def q_adaptive_card(spark: SparkSession, d: str) -> DataFrame:
+    """Adaptive Card per alert; the JSON is parsed back into its fields."""
+    c = adaptive_card(fused(spark, d), FIXTURE_URL)
+    j = lambda p: F.get_json_object("card", p)
+    return c.select(
+        "domain", "day", "metric", "method", "type",
+        j("$.attachments[0].content.body[0].text").alias("title"),
+        j("$.attachments[0].content.body[0].color").alias("color"),
+        j("$.attachments[0].content.body[1].facts[0].value").alias("fact_metric"),
+        j("$.attachments[0].content.body[1].facts[1].value").alias("fact_type"),
+        j("$.attachments[0].content.body[1].facts[2].value").alias("fact_value"),
+        j("$.attachments[0].content.body[1].facts[3].value").alias("fact_date"),
+        j("$.attachments[0].content.actions[0].url").alias("url"),
+    )
+
+
+def q_message_card(spark: SparkSession, d: str) -> DataFrame:
+    """L2: MessageCard per alert; the JSON is parsed back into its fields."""
+    c = message_card(fused(spark, d))
+    j = lambda p: F.get_json_object("card", p)
+    return c.select(
+        "domain", "day", "metric", "method", "type",
+        j("$.themeColor").alias("color"), j("$.summary").alias("summary"),
+        j("$.sections[0].activityTitle").alias("title"),
+        *[j(f"$.sections[0].facts[{i}].name").alias(f"fact{i}_name") for i in range(4)],
+        *[j(f"$.sections[0].facts[{i}].value").alias(f"fact{i}_value") for i in range(4)],
+    )
+
+
+def eval_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels by a threshold rule on the gold series: a day is anomalous when its value is above
+    1.5x or below 0.5x its series mean."""
+    gl = gold_long(spark, d)
+    m = F.avg("value").over(Window.partitionBy("domain", "metric"))
+    return gl.withColumn("_m", m).select(
+        "domain", "day", "metric",
+        ((F.col("value") > F.lit(1.5) * F.col("_m")) | (F.col("value") < F.lit(0.5) * F.col("_m"))).alias("is_anomaly"))
+
+
+def q_evaluate(spark: SparkSession, d: str) -> DataFrame:
+    """Precision, recall, F1 of the k = 3.2 MAD alerts against the threshold labels."""
+    a = seasonal_mad(gold_long(spark, d), ["domain", "metric"], "day", "value", k=K_LOCAL)
+    e = evaluate(a, eval_labels(spark, d))
+    return e.select("tp", "fp", "fn", _r("precision"), _r("recall"), _r("f1"))
+
+
+def q_run_report(spark: SparkSession, d: str) -> DataFrame:
+    """Domains, gold rows and alerts per method for one run (no clock columns)."""
+    return run_report(gold(spark, d), fused(spark, d))
+
+
+def q_retain(spark: SparkSession, d: str) -> DataFrame:
+    """Alerts of the last 30 days up to the cutoff."""
+    return _fused_out(retain(fused(spark, d), fx.CUTOFF, 30))
+
+
+def q_daily_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The DAILY job as configured (k = 3.5, contamination 0.01, forest >= 20 rows) on the fixtures."""
+    a = daily_variant(fx.web_raw(spark, d), [fx.ads_raw(spark, d, "a"), fx.ads_raw(spark, d, "b")],
+                      fx.dictionary_raw(spark, d), fx.CUTOFF, fx.DAYS)
+    return _fused_out(a)
+
+
+def q_cutoff_day(spark: SparkSession, d: str) -> DataFrame:
+    """B4: 'yesterday' in America/Bogota for every event time read as a UTC instant."""
+    e = fx.table(spark, d, "events").select("event_id", "ts")
+    return e.select("event_id", cutoff_day("America/Bogota", F.col("ts"), now_zone="UTC").alias("cutoff"))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_ids": q_normalize_ids,
     "window_filter": q_window_filter,
@@ -219,4 +372,18 @@ QUERIES: dict[str, Query] = {
     "score_p99": q_score_p99,
     "anscombe": q_anscombe,
     "standardize": q_standardize,
+    "missing_days": q_missing_days,
+    "range_alerts": q_range_alerts,
+    "duplicate_days": q_duplicate_days,
+    "validate": q_validate,
+    "fused_alerts": q_fused_alerts,
+    "priority_route": q_priority_route,
+    "cap_per_day": q_cap_per_day,
+    "adaptive_card": q_adaptive_card,
+    "message_card": q_message_card,
+    "evaluate": q_evaluate,
+    "run_report": q_run_report,
+    "retain": q_retain,
+    "daily_alerts": q_daily_alerts,
+    "cutoff_day": q_cutoff_day,
 }
