@@ -40,7 +40,8 @@ def cutoff_day(tz: str, now: Column | str | _dt.datetime | None = None,
     elif isinstance(now, _dt.datetime):
         if now.tzinfo is None:
             raise ValueError("cutoff_day needs a timezone-aware datetime")
-        ts = F.lit(now.astimezone(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+        utc_wall = now.astimezone(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+        ts = F.lit(utc_wall).cast("timestamp_ntz")
         now_zone = "UTC"
     else:
         ts = _col(now)
