@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metricwatch.operators.alerts import retain
 
@@ -46,7 +47,8 @@ def deliver(cards: DataFrame, send: Callable[[str, float], bool], attempts: int
     is tried up to ``attempts`` times, an exception counts as a failed try. Adds ``sent`` (bool)
     and ``attempts_used`` (int). Summarize with :func:`delivery_summary`.
     """
-    schema = cards.schema.add("sent", "boolean").add("attempts_used", "int")
+    schema = T.StructType([*cards.schema.fields, T.StructField("sent", T.BooleanType()),
+                           T.StructField("attempts_used", T.IntegerType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
