@@ -61,7 +61,8 @@ def default_levels(sample: int, max_rows: int | None = None) -> int:
 
 def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str],
                    trees: int = 100, sample: int = 256, seed: int = 42,
-                   levels: int | None = None, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
+                   levels: int | None = None, carry: list[str] | tuple[str, ...] = (),
+                   max_rows: int | None = None) -> DataFrame:
     """F8 + F9: anomaly score in (0, 1] for every row of every series, higher = stranger.
 
     Features are doubles with NULL -> 0 (B6). Each tree is grown on ``min(n, sample)`` rows of
@@ -69,13 +70,15 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     ceil(log2(psi)); every row, sampled or not, is routed through the tree. Path length =
     depth + c(leaf size); score = 2^(-mean path / c(psi)).
 
-    ``levels`` is the number of split levels in the plan; it must be at least the largest depth
-    limit, i.e. ceil(log2(min(sample, longest series))). The default assumes series up to
-    ``sample`` rows.
+    ``max_rows`` is the longest series the caller expects (e.g. the analysis window length).
+    It sizes the plan: ``levels`` defaults to ceil(log2(min(sample, max_rows))), and when
+    ``max_rows <= sample`` the per-tree subsampling sort is left out (every row is in every
+    tree's sample). A longer series then fails the job instead of being scored wrongly.
+    ``levels`` may also be given directly; it must be at least the largest depth limit.
 
     Returns key..., order, features..., carry..., ``n``, ``psi``, ``mean_path``, ``score``.
     """
-    levels = levels or default_levels(sample)
+    levels = levels or default_levels(sample, max_rows)
     q = lambda c: f"`{c}`"
     ks = ", ".join(q(c) for c in key)
     feats = [q(f) for f in features]
@@ -91,6 +94,10 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
                      *carry)
     # The only exchange of the plan: hash on the series key, on the un-replicated rows.
     base = base.selectExpr("*", f"count(1) OVER (PARTITION BY {ks}) AS n")
+    if max_rows is not None:
+        base = base.selectExpr(*[q(c) for c in base.columns if c != "n"],
+                               f"CASE WHEN n > {int(max_rows)} THEN raise_error('iforest: series longer than "
+                               f"max_rows={int(max_rows)}') ELSE n END AS n")
     x = base.selectExpr(
         "*", f"least(n, {int(sample)}) AS psi",
         f"length(bin(CAST(greatest(least(n, {int(sample)}), 2) AS BIGINT) - 1)) AS _limit",
@@ -98,7 +105,8 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     keep = [*[q(c) for c in key], q(order), *feats, *[q(c) for c in carry], "n", "psi", "_limit", "tree"]
     sample_rank = (f"row_number() OVER (PARTITION BY {ks}, tree ORDER BY "
                    f"{draw(str(int(seed)), *[q(c) for c in key], 'tree', q(order), repr('s'))}, {q(order)})")
-    x = x.selectExpr(*keep, f"(n <= {int(sample)} OR {sample_rank} <= {int(sample)}) AS _in",
+    in_expr = "true" if max_rows is not None and max_rows <= sample else f"(n <= {int(sample)} OR {sample_rank} <= {int(sample)})"
+    x = x.selectExpr(*keep, f"{in_expr} AS _in",
                      "CAST(1 AS BIGINT) AS _node", "0 AS _depth", "false AS _done", "CAST(NULL AS BIGINT) AS _leaf")
     keep = keep + ["_in"]
     state = ["_node", "_depth", "_done", "_leaf"]
@@ -143,7 +151,7 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
                    contamination: float = 0.01, min_rows: int = 10, latest_only: bool = False,
                    cutoff=None, percentile: float | None = None, standardize_features: bool = False,
                    trees: int = 100, sample: int = 256, seed: int = 42,
-                   levels: int | None = None) -> DataFrame:
+                   levels: int | None = None, max_rows: int | None = None) -> DataFrame:
     """F10-F12 (+ D12, F14, F15, B9-B11): rows whose score is strictly above the cut-off.
 
     Cut-off (D12) = exact linear percentile of the series' scores at 1 - contamination, or at
@@ -163,9 +171,10 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
     if standardize_features:
         z = [f"_z_{f}" for f in features]
         s = iforest_scores(standardize(raw, key, features, prefix="_z_"), key, order, z, trees=trees,
-                           sample=sample, seed=seed, levels=levels, carry=features)
+                           sample=sample, seed=seed, levels=levels, carry=features, max_rows=max_rows)
     else:
-        s = iforest_scores(raw, key, order, features, trees=trees, sample=sample, seed=seed, levels=levels)
+        s = iforest_scores(raw, key, order, features, trees=trees, sample=sample, seed=seed, levels=levels,
+                           max_rows=max_rows)
     s = s.filter(F.col("n") >= F.lit(min_rows))
     q = 1.0 - contamination if percentile is None else percentile / 100.0
     w = Window.partitionBy(*key)

@@ -25,6 +25,8 @@ SQL["web_by_domain"] = with_(DICTIONARY, WEB_RAW, WEB_DAILY) + """
 SELECT d.domain, w.day, CAST(sum(w.leads) AS BIGINT) AS leads, CAST(sum(w.sessions) AS BIGINT) AS sessions
 FROM web w JOIN dict d ON w.account_id_norm = d.account_id_norm GROUP BY 1, 2"""
 
+SQL["combine_sources"] = with_(ALL_GOLD) + "\nSELECT domain, day, spend, leads, sessions FROM gold"
+
 SQL["gold_daily"] = with_(ALL_GOLD) + "\nSELECT domain, day, spend, leads, sessions FROM gold ORDER BY domain, day"
 
 # ------------------------------------------------------------------ series and detectors

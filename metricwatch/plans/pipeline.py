@@ -5,10 +5,12 @@ DAILY: only the cutoff day is tested, and only for series that end on it (k = 3.
 contamination 0.01, forest minimum 20 rows).
 
 No per-domain loop: the univariate detector runs on the long form (domain, metric) in one
-window plan and the forest on (domain) in another; both hang off the same gold plan, whose
-exchanges Spark reuses within the query. For very large runs ``checkpoint_gold=True`` writes the
-gold table to the cluster's checkpoint folder first, so a lost executor does not recompute the
-raw-table aggregation.
+window plan and the forest on (domain) in another. Both branches consume the gold table, and
+each prunes it differently, so Spark cannot share one evaluation of it between them; the
+daily job therefore writes gold once to the cluster's checkpoint folder (``checkpoint_gold``,
+on by default): the raw tables are scanned and aggregated once, and a lost executor later on
+re-reads the small gold files instead of re-running the raw-table aggregation. Callers of
+``local_variant`` with a gold plan built from raw tables should do the same (``cut_lineage``).
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from metricwatch.functions.plan import cut_lineage
 from metricwatch.operators.alerts import fuse_alerts
 from metricwatch.operators.detect import seasonal_mad
 from metricwatch.operators.gold import GOLD_METRICS, build_gold
-from metricwatch.operators.iforest import default_levels, iforest_alerts
+from metricwatch.operators.iforest import iforest_alerts
 from metricwatch.operators.quality import missing_day_alerts, missing_days, range_alerts, range_rules
 from metricwatch.operators.series import to_long
 
@@ -39,7 +41,7 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
     long = to_long(gold, ["domain", "day"], list(metrics))
     uni = seasonal_mad(long, ["domain", "metric"], "day", "value", k=k, min_rows=min_rows)
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
-                           min_rows=forest_min_rows, levels=default_levels(256, max_days))
+                           min_rows=forest_min_rows, max_rows=max_days)
     parts = [uni, multi]
     if quality:
         spark = gold.sparkSession
@@ -52,7 +54,7 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
 
 def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
                   cutoff: _dt.date | str, days: int = 65, k: float = 3.5, contamination: float = 0.01,
-                  min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = False,
+                  min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True,
                   **gold_kwargs) -> DataFrame:
     """The production job: raw daily tables -> gold -> alerts of the cutoff day."""
     cutoff = cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff))
@@ -71,5 +73,5 @@ def daily_alerts(gold: DataFrame, cutoff: _dt.date, days: int = 65, k: float = 3
                        latest_only=True, cutoff=F.lit(cutoff))
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
                            min_rows=forest_min_rows, latest_only=True, cutoff=F.lit(cutoff),
-                           levels=default_levels(256, days + 1))
+                           max_rows=days + 1)
     return fuse_alerts(uni, multi)

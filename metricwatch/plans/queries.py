@@ -24,8 +24,9 @@ from metricwatch.operators.quality import (
 )
 from metricwatch.plans.pipeline import daily_variant, local_variant
 from metricwatch.operators.detect import scored_series, seasonal_mad
-from metricwatch.operators.gold import GOLD_METRICS, build_gold, map_to_domain, union_sources
-from metricwatch.operators.iforest import default_levels, iforest_alerts, iforest_scores, standardize
+from metricwatch.functions.plan import cut_lineage
+from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources
+from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize
 from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
 from metricwatch.sources.tables import account_dictionary, analysis_window, daily_sum
@@ -93,6 +94,12 @@ def gold(spark: SparkSession, d: str) -> DataFrame:
                       fx.dictionary_raw(spark, d), fx.CUTOFF, fx.DAYS)
 
 
+def q_combine_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Domain-day spend full-outer-joined with domain-day web metrics, gaps filled with 0."""
+    c = combine_sources(q_spend_by_domain(spark, d), q_web_by_domain(spark, d))
+    return c.select("domain", "day", *[F.col(m).cast("bigint").alias(m) for m in GOLD_METRICS])
+
+
 def q_gold_daily(spark: SparkSession, d: str) -> DataFrame:
     """One row per (domain, day) with spend, leads, sessions."""
     return gold(spark, d).orderBy("domain", "day")
@@ -102,8 +109,8 @@ def q_gold_daily(spark: SparkSession, d: str) -> DataFrame:
 K_LOCAL = 3.2
 K_LATEST = 1.0              # with the configured 3.5 (or 2.0) almost no domain is flagged at sf0.01
 EVENT_KEY = ["event_type"]
-EVENT_LEVELS = default_levels(256, 30)   # events span 30 days
-GOLD_LEVELS = default_levels(256, fx.DAYS + 1)
+EVENT_DAYS = 30            # the events table spans 30 days
+GOLD_DAYS = fx.DAYS + 1
 
 
 def gold_long(spark: SparkSession, d: str) -> DataFrame:
@@ -154,7 +161,7 @@ def q_mad_alerts_latest(spark: SparkSession, d: str) -> DataFrame:
 
 def q_iforest_scores(spark: SparkSession, d: str) -> DataFrame:
     """Forest scores of (events, value_sum, users) per event type and day."""
-    s = iforest_scores(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, levels=EVENT_LEVELS)
+    s = iforest_scores(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, max_rows=EVENT_DAYS)
     return s.select("event_type", "day", "events", _r("value_sum"), "users", "n", "psi",
                     _r("mean_path"), _r("score"))
 
@@ -170,14 +177,14 @@ def _forest_alert_out(a: DataFrame) -> DataFrame:
 def q_iforest_alerts(spark: SparkSession, d: str) -> DataFrame:
     """Rows above the contamination cut-off (0.05), with their context values."""
     a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, contamination=0.05,
-                       levels=EVENT_LEVELS)
+                       max_rows=EVENT_DAYS)
     return _forest_alert_out(a)
 
 
 def q_score_p99(spark: SparkSession, d: str) -> DataFrame:
     """rows above the 99th percentile of their series' scores."""
     a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, percentile=99.0,
-                       levels=EVENT_LEVELS)
+                       max_rows=EVENT_DAYS)
     return _forest_alert_out(a)
 
 
@@ -185,7 +192,7 @@ def q_iforest_latest(spark: SparkSession, d: str) -> DataFrame:
     """The cutoff day of each gold domain (contamination 0.2, >= 20 rows): its score,
     the cut-off, the rank of its score in the series and the verdict."""
     g = gold(spark, d).filter(F.col("day") <= F.lit(fx.CUTOFF))
-    s = iforest_scores(g, ["domain"], "day", list(GOLD_METRICS), levels=GOLD_LEVELS)
+    s = iforest_scores(g, ["domain"], "day", list(GOLD_METRICS), max_rows=GOLD_DAYS)
     w = Window.partitionBy("domain")
     s = (s.filter(F.col("n") >= 20)
          .withColumn("cutoff_score", F.percentile("score", F.lit(0.8)).over(w))
@@ -255,10 +262,16 @@ CAP_N = 3  # the configured 100 per day is never reached by 5 domains; 3 makes t
 def fused(spark: SparkSession, d: str) -> DataFrame:
     """LOCAL variant with quality checks on the gold fixture: MAD (k = 3.2), forest (0.01, >= 10
     rows), missing days over the window for every dictionary domain, range rules."""
-    g = gold(spark, d)
+    return fused_with_gold(spark, d)[1]
+
+
+def fused_with_gold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    # gold feeds four detector branches that each prune it differently, so Spark could not
+    # share one computation of it: materialize it once in the checkpoint folder instead.
+    g = cut_lineage(gold(spark, d))
     domains = _dictionary(spark, d).select("domain").distinct()
-    return local_variant(g, max_days=fx.DAYS + 1, quality=True, start=WINDOW_START, end=fx.CUTOFF,
-                         domains=domains)
+    return g, local_variant(g, max_days=fx.DAYS + 1, quality=True, start=WINDOW_START, end=fx.CUTOFF,
+                            domains=domains)
 
 
 def _fused_out(df: DataFrame) -> DataFrame:
@@ -332,7 +345,8 @@ def q_evaluate(spark: SparkSession, d: str) -> DataFrame:
 
 def q_run_report(spark: SparkSession, d: str) -> DataFrame:
     """Domains, gold rows and alerts per method for one run (no clock columns)."""
-    return run_report(gold(spark, d), fused(spark, d))
+    g, alerts = fused_with_gold(spark, d)
+    return run_report(g, alerts)
 
 
 def q_retain(spark: SparkSession, d: str) -> DataFrame:
@@ -343,7 +357,7 @@ def q_retain(spark: SparkSession, d: str) -> DataFrame:
 def q_daily_alerts(spark: SparkSession, d: str) -> DataFrame:
     """The DAILY job as configured (k = 3.5, contamination 0.01, forest >= 20 rows) on the fixtures."""
     a = daily_variant(fx.web_raw(spark, d), [fx.ads_raw(spark, d, "a"), fx.ads_raw(spark, d, "b")],
-                      fx.dictionary_raw(spark, d), fx.CUTOFF, fx.DAYS)
+                      fx.dictionary_raw(spark, d), fx.CUTOFF, fx.DAYS, checkpoint_gold=True)
     return _fused_out(a)
 
 
@@ -360,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "ads_daily": q_ads_daily,
     "spend_by_domain": q_spend_by_domain,
     "web_by_domain": q_web_by_domain,
+    "combine_sources": q_combine_sources,
     "gold_daily": q_gold_daily,
     "scored_events": q_scored_events,
     "decompose_events": q_decompose_events,
