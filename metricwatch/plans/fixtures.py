@@ -26,8 +26,18 @@ DAYS = 65
 EVENTS_FEATURES = ["events", "value_sum", "users"]
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_source(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, read lazily once per session and path (schema discovery is a Spark job,
+    so repeated ``spark.read.parquet`` calls of the same file would each pay for one)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = read_source(spark, path)
+    return df
 
 
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
