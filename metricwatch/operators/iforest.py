@@ -129,7 +129,10 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     for _ in range(levels):
         # one Window operator per level: node size and per-feature min/max over the sampled rows
         x = x.selectExpr(*keep, *state, *stats)
-        x = x.selectExpr(*keep, *state, "_cnt", *mids, f"{stop} AS _stop", f"{pick} AS _pick", f"{u} AS _u")
+        # draws only for nodes that still split (most rows are settled after a few levels)
+        x = x.selectExpr(*keep, *state, "_cnt", *mids, f"{stop} AS _stop",
+                         f"CASE WHEN {stop} THEN NULL ELSE {pick} END AS _pick",
+                         f"CASE WHEN {stop} THEN NULL ELSE {u} END AS _u")
         x = x.selectExpr(
             *keep,
             f"CASE WHEN _stop THEN _node ELSE _node * 2 + CAST({right} AS BIGINT) END AS _node",
