@@ -53,6 +53,14 @@ def standardize(df: DataFrame, key: list[str], features: list[str], prefix: str
     return out
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get("spark.sql.shuffle.partitions", None)
+    try:
+        return int(v)
+    except (TypeError, ValueError):
+        return df.sparkSession.sparkContext.defaultParallelism
+
+
 def default_levels(sample: int, max_rows: int | None = None) -> int:
     """Number of split levels to plan: ceil(log2(min(sample, max_rows)))."""
     psi = sample if max_rows is None else min(sample, max_rows)
@@ -62,7 +70,7 @@ def default_levels(sample: int, max_rows: int | None = None) -> int:
 def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str],
                    trees: int = 100, sample: int = 256, seed: int = 42,
                    levels: int | None = None, carry: list[str] | tuple[str, ...] = (),
-                   max_rows: int | None = None) -> DataFrame:
+                   max_rows: int | None = None, partitions: int | None = None) -> DataFrame:
     """F8 + F9: anomaly score in (0, 1] for every row of every series, higher = stranger.
 
     Features are doubles with NULL -> 0 (B6). Each tree is grown on ``min(n, sample)`` rows of
@@ -76,6 +84,12 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     tree's sample). A longer series then fails the job instead of being scored wrongly.
     ``levels`` may also be given directly; it must be at least the largest depth limit.
 
+    ``partitions`` fixes the number of partitions of the key exchange (default: the session's
+    ``spark.sql.shuffle.partitions``). The input of that exchange is small in bytes but each row
+    becomes ``trees`` rows and ``levels`` windows afterwards, so letting AQE coalesce it by input
+    size would put the whole forest in a handful of tasks; an exchange with an explicit count is
+    left alone by AQE.
+
     Returns key..., order, features..., carry..., ``n``, ``psi``, ``mean_path``, ``score``.
     """
     levels = levels or default_levels(sample, max_rows)
@@ -93,6 +107,7 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     base = df.select(*key, order, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features],
                      *carry)
     # The only exchange of the plan: hash on the series key, on the un-replicated rows.
+    base = base.repartition(partitions or _shuffle_partitions(df), *key)
     base = base.selectExpr("*", f"count(1) OVER (PARTITION BY {ks}) AS n")
     if max_rows is not None:
         base = base.selectExpr(*[q(c) for c in base.columns if c != "n"],
@@ -154,7 +169,8 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
                    contamination: float = 0.01, min_rows: int = 10, latest_only: bool = False,
                    cutoff=None, percentile: float | None = None, standardize_features: bool = False,
                    trees: int = 100, sample: int = 256, seed: int = 42,
-                   levels: int | None = None, max_rows: int | None = None) -> DataFrame:
+                   levels: int | None = None, max_rows: int | None = None,
+                   partitions: int | None = None) -> DataFrame:
     """F10-F12 (+ D12, F14, F15, B9-B11): rows whose score is strictly above the cut-off.
 
     Cut-off (D12) = exact linear percentile of the series' scores at 1 - contamination, or at
@@ -174,10 +190,11 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
     if standardize_features:
         z = [f"_z_{f}" for f in features]
         s = iforest_scores(standardize(raw, key, features, prefix="_z_"), key, order, z, trees=trees,
-                           sample=sample, seed=seed, levels=levels, carry=features, max_rows=max_rows)
+                           sample=sample, seed=seed, levels=levels, carry=features, max_rows=max_rows,
+                           partitions=partitions)
     else:
         s = iforest_scores(raw, key, order, features, trees=trees, sample=sample, seed=seed, levels=levels,
-                           max_rows=max_rows)
+                           max_rows=max_rows, partitions=partitions)
     s = s.filter(F.col("n") >= F.lit(min_rows))
     q = 1.0 - contamination if percentile is None else percentile / 100.0
     w = Window.partitionBy(*key)
