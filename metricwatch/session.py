@@ -38,17 +38,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the cluster's shared checkpoint folder; set a scratch one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is. Only when it is
-    unset (local tests) a fresh folder under the system temp dir is created.
+    unset (local tests) a fresh folder under the system temp dir is created. Sessions without a
+    SparkContext handle (Spark Connect) are left to their server-side configuration.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+        current = sc._jsc.sc().getCheckpointDir()
+    except Exception:  # Spark Connect: no JVM context on the client
+        return spark.conf.get("spark.checkpoint.dir", None)
     if current.isDefined():
         return current.get()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="metricwatch-ckpt-")
     sc.setCheckpointDir(configured)
