@@ -129,31 +129,30 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     spread = [f"(_mx{i} > _mn{i})" for i in range(len(features))]
     n_spread = "(" + " + ".join(f"CAST({sp} AS INT)" for sp in spread) + ")"
     stop = f"(_done OR _cnt <= 1 OR _depth >= _limit OR {n_spread} = 0)"
-    pick = f"floor({draw(str(int(seed)), *[q(c) for c in key], 'tree', '_node', repr('f'))} * {n_spread})"
+    pick_draw = draw(str(int(seed)), *[q(c) for c in key], "tree", "_node", repr("f"))
     u = draw(str(int(seed)), *[q(c) for c in key], "tree", "_node", repr("t"))
     # the split feature is the pick-th feature that has spread in the node
     branches, before = [], "0"
     for i, f in enumerate(feats):
-        branches.append(f"WHEN {spread[i]} AND ({before}) = _pick THEN {f} > _mn{i} + _u * (_mx{i} - _mn{i})")
+        branches.append(f"WHEN {spread[i]} AND ({before}) = floor(_pd * {n_spread}) THEN {f} > _mn{i} + _u * (_mx{i} - _mn{i})")
         before = f"{before} + CAST({spread[i]} AS INT)"
     right = "CASE " + " ".join(branches) + " ELSE false END"
     stats = [f"count(CASE WHEN _in THEN 1 END) {w_node} AS _cnt"]
     stats += [f"min(CASE WHEN _in THEN {f} END) {w_node} AS _mn{i}" for i, f in enumerate(feats)]
     stats += [f"max(CASE WHEN _in THEN {f} END) {w_node} AS _mx{i}" for i, f in enumerate(feats)]
-    mids = [f"_mn{i}" for i in range(len(features))] + [f"_mx{i}" for i in range(len(features))]
     for _ in range(levels):
-        # one Window operator per level: node size and per-feature min/max over the sampled rows
-        x = x.selectExpr(*keep, *state, *stats)
-        # draws only for nodes that still split (most rows are settled after a few levels)
-        x = x.selectExpr(*keep, *state, "_cnt", *mids, f"{stop} AS _stop",
-                         f"CASE WHEN {stop} THEN NULL ELSE {pick} END AS _pick",
-                         f"CASE WHEN {stop} THEN NULL ELSE {u} END AS _u")
+        # One Window operator per level: node size and per-feature min/max over the sampled rows.
+        # The node's split draws depend only on (seed, series, tree, node), so they are computed
+        # in the same select (skipped for rows already settled).
+        x = x.selectExpr(*keep, *state, *stats,
+                         f"CASE WHEN _done THEN NULL ELSE {pick_draw} END AS _pd",
+                         f"CASE WHEN _done THEN NULL ELSE {u} END AS _u")
         x = x.selectExpr(
             *keep,
-            f"CASE WHEN _stop THEN _node ELSE _node * 2 + CAST({right} AS BIGINT) END AS _node",
-            "CASE WHEN _stop THEN _depth ELSE _depth + 1 END AS _depth",
-            "_stop AS _done",
-            "CASE WHEN NOT _done AND _stop THEN _cnt ELSE _leaf END AS _leaf",
+            f"CASE WHEN {stop} THEN _node ELSE _node * 2 + CAST({right} AS BIGINT) END AS _node",
+            f"CASE WHEN {stop} THEN _depth ELSE _depth + 1 END AS _depth",
+            f"{stop} AS _done",
+            f"CASE WHEN NOT _done AND {stop} THEN _cnt ELSE _leaf END AS _leaf",
         )
     # rows still open after the last planned level take the size of the node they reached
     x = x.selectExpr(*keep, "_depth",
