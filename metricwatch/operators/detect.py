@@ -33,13 +33,13 @@ def mad_bounds(df: DataFrame, key: list[str], k: float, resid: str = "resid") ->
 
 
 def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: float = 3.2,
-                  min_rows: int = 14, period: int = 7, fill_days: bool = False) -> DataFrame:
+                  min_rows: int = 14, period: int = 7, fill_calendar: bool = False) -> DataFrame:
     """Decompose, bound and flag every row of every series with at least ``min_rows`` rows.
 
     Adds trend/seasonal/resid, resid_median, mad, lower, upper, ``series_mean`` (D10) and
     ``is_outlier`` (F2: strictly outside the bounds).
     """
-    dec = decompose(df, key, order, value, period=period, fill_days=fill_days)
+    dec = decompose(df, key, order, value, period=period, fill_calendar=fill_calendar)
     dec = dec.filter(F.col(N) >= F.lit(max(min_rows, 2 * period)))
     dec = dec.select("*", F.avg(F.col(value).cast("double")).over(Window.partitionBy(*key)).alias("series_mean"))
     out = mad_bounds(dec, key, k)
@@ -48,7 +48,7 @@ def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: floa
 
 def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float = 3.2,
                  min_rows: int = 14, latest_only: bool = False, cutoff=None, period: int = 7,
-                 metric_col: str | None = "metric", fill_days: bool = False) -> DataFrame:
+                 metric_col: str | None = "metric", fill_calendar: bool = False) -> DataFrame:
     """seasonal-residual MAD alerts for every series in ``df`` (long form).
 
     * ``latest_only=False`` (LOCAL variant): every flagged day.
@@ -67,7 +67,7 @@ def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float
         c = cutoff if isinstance(cutoff, Column) else F.lit(
             cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff)))
         df = df.withColumn("_last", last).filter(F.col("_last") == c).drop("_last")
-    s = scored_series(df, key, order, value, k=k, min_rows=min_rows, period=period, fill_days=fill_days)
+    s = scored_series(df, key, order, value, k=k, min_rows=min_rows, period=period, fill_calendar=fill_calendar)
     if latest_only:
         s = s.filter(F.col("pos") == F.col(N) - 1)
     s = s.filter(F.col("is_outlier"))

@@ -39,7 +39,7 @@ def depth_limit(psi: Column) -> Column:
     return F.length(F.bin(F.greatest(psi, F.lit(2)).cast("bigint") - 1))
 
 
-def standardize(df: DataFrame, key: list[str], features: list[str], prefix: str = "") -> DataFrame:
+def standardize_columns(df: DataFrame, key: list[str], features: list[str], prefix: str = "") -> DataFrame:
     """(x - mean) / population std per series (NULL -> 0 first); a constant feature becomes 0.
 
     Writes ``prefix + feature``; with the default empty prefix the features are replaced.
@@ -166,7 +166,7 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
 
 def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str],
                    contamination: float = 0.01, min_rows: int = 10, latest_only: bool = False,
-                   cutoff=None, percentile: float | None = None, standardize_features: bool = False,
+                   cutoff=None, percentile: float | None = None, standardize: bool = False,
                    trees: int = 100, sample: int = 256, seed: int = 42,
                    levels: int | None = None, max_rows: int | None = None,
                    partitions: int | None = None) -> DataFrame:
@@ -186,9 +186,9 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
         df = df.filter(F.col(order) <= c)
         df = df.withColumn("_last", F.max(order).over(Window.partitionBy(*key))).filter(F.col("_last") == c).drop("_last")
     raw = df.select(*key, order, *features)
-    if standardize_features:
+    if standardize:
         z = [f"_z_{f}" for f in features]
-        s = iforest_scores(standardize(raw, key, features, prefix="_z_"), key, order, z, trees=trees,
+        s = iforest_scores(standardize_columns(raw, key, features, prefix="_z_"), key, order, z, trees=trees,
                            sample=sample, seed=seed, levels=levels, carry=features, max_rows=max_rows,
                            partitions=partitions)
     else:

@@ -28,7 +28,7 @@ def with_position(df: DataFrame, key: list[str], order: str, pos: str = POS) ->
     return df.withColumn(pos, F.row_number().over(w) - 1)
 
 
-def fill_calendar(df: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
+def calendar_fill(df: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
     """Add the missing calendar days between each series' first and last day with value 0.
 
     The calendar is generated per series with ``sequence`` (bounded by the series' own span),
@@ -40,7 +40,7 @@ def fill_calendar(df: DataFrame, key: list[str], order: str, value: str) -> Data
 
 
 def decompose(df: DataFrame, key: list[str], order: str, value: str, period: int = 7,
-              fill_days: bool = False) -> DataFrame:
+              fill_calendar: bool = False) -> DataFrame:
     """Classical additive decomposition, value = trend + seasonal + resid.
 
     * trend (E1): centred moving average over ``period`` rows (2 x period filter for an even
@@ -55,11 +55,11 @@ def decompose(df: DataFrame, key: list[str], order: str, value: str, period: int
 
     Adds ``pos``, ``n``, ``trend``, ``seasonal``, ``resid`` (doubles). A series with fewer than
     2 x period rows gets NULL components (the decomposition is undefined there).
-    ``fill_days=True`` first inserts missing calendar days with 0 so that phase follows the
+    ``fill_calendar=True`` first inserts missing calendar days with 0 so that phase follows the
     calendar instead of the row count.
     """
-    if fill_days:
-        df = fill_calendar(df, key, order, value)
+    if fill_calendar:
+        df = calendar_fill(df, key, order, value)
     h = period // 2
     y = F.col(value).cast("double")
     w_ord = Window.partitionBy(*key).orderBy(F.col(order))

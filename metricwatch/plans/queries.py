@@ -26,7 +26,7 @@ from metricwatch.plans.pipeline import daily_variant, local_variant
 from metricwatch.operators.detect import scored_series, seasonal_mad
 from metricwatch.functions.plan import cut_lineage
 from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources
-from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize
+from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize_columns
 from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
 from metricwatch.sources.tables import account_dictionary, analysis_window, daily_sum
@@ -212,7 +212,7 @@ def q_anscombe(spark: SparkSession, d: str) -> DataFrame:
 
 def q_standardize(spark: SparkSession, d: str) -> DataFrame:
     """the forest features standardized per event type."""
-    z = standardize(fx.events_daily(spark, d), EVENT_KEY, fx.EVENTS_FEATURES, prefix="z_")
+    z = standardize_columns(fx.events_daily(spark, d), EVENT_KEY, fx.EVENTS_FEATURES, prefix="z_")
     return z.select("event_type", "day", *[_r("z_" + f) for f in fx.EVENTS_FEATURES])
 
 

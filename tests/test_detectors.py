@@ -143,17 +143,17 @@ def test_forest_subsample_longer_series(spark):
 
 def test_forest_standardize_and_percentile(spark):
     a = iforest_alerts(forest_df(spark, 66, outlier_at=12), ["k"], "day", ["f1", "f2", "f3"], percentile=99.0,
-                       standardize_features=True, levels=7).collect()
+                       standardize=True, levels=7).collect()
     assert len(a) == 1 and (a[0].day - D0).days == 12 and a[0].context["f3"] == 900.0
 
 
 def test_fill_days_follows_calendar(spark):
-    # 42 days with every 5th day missing: with fill_days the gaps become 0-valued rows
+    # 42 days with every 5th day missing: with fill_calendar the gaps become 0-valued rows
     days = [i for i in range(42) if i % 5 != 4]
     rows = [("a", D0 + dt.timedelta(days=i), 100.0 + (i % 7) * 10) for i in days]
     df = spark.createDataFrame(rows, "k string, day date, v double")
     plain = decompose(df, ["k"], "day", "v").toPandas()
-    filled = decompose(df, ["k"], "day", "v", fill_days=True).toPandas().sort_values("day")
+    filled = decompose(df, ["k"], "day", "v", fill_calendar=True).toPandas().sort_values("day")
     assert len(plain) == len(days) and len(filled) == 42
     assert (filled[filled.day.map(lambda d: (d - D0).days % 5 == 4)].v == 0).all()
     t, s, r = classical_decompose(filled.v.to_numpy())
