@@ -63,7 +63,8 @@ def daily_sum(df: DataFrame, id_col: str, date_col: str, metrics: dict[str, str]
     aggregation, and the aggregation is partial (map-side), so only one row per account, day and
     map task crosses the shuffle no matter how hot an account is.
     """
-    windowed = analysis_window(df.select(id_col, date_col, *metrics.values()), date_col, cutoff, days)
+    needed = list(dict.fromkeys([id_col, date_col, *metrics.values()]))
+    windowed = analysis_window(df.select(*needed), date_col, cutoff, days)
     return (
         windowed.select(
             normalize_account_id(F.col(id_col)).alias(ID),

@@ -173,3 +173,12 @@ def test_anscombe(spark):
     from metricwatch.functions.columns import anscombe
     v = spark.createDataFrame([(0.0,), (10.0,)], "x double").select(anscombe("x")).collect()
     assert abs(v[0][0] - 2 * np.sqrt(0.375)) < 1e-12 and abs(v[1][0] - 2 * np.sqrt(10.375)) < 1e-12
+
+
+def test_even_period_matches_brute_force(spark):
+    rng = np.random.default_rng(21)
+    y = rng.normal(50, 5, 40) + 8 * np.tile([1, -1, 2, 0, -2, 0], 7)[:40]
+    out = decompose(series_df(spark, {"a": y}), ["k"], "day", "v", period=6).toPandas().sort_values("day")
+    t, s, r = classical_decompose(y, period=6)
+    np.testing.assert_allclose(out.trend, t, atol=1e-9)
+    np.testing.assert_allclose(out.resid, r, atol=1e-9)

@@ -63,3 +63,9 @@ def test_gold_fills_missing_side_with_zero(spark):
 def test_python_float_text(spark):
     df = spark.createDataFrame([(5.0,), (12.3,), (0.0005,), (None,), (-3.0,)], "x double")
     assert [r[0] for r in df.select(python_float_text("x")).collect()] == ["5.0", "12.3", "0.0005", None, "-3.0"]
+
+
+def test_daily_sum_same_source_twice(spark):
+    df = spark.createDataFrame([("1", dt.datetime(2001, 8, 1), 2.0)], "id string, date timestamp_ntz, x double")
+    r = daily_sum(df, "id", "date", {"a": "x", "b": "x"}, dt.date(2001, 8, 1), 65).first()
+    assert (r.a, r.b) == (2, 2)
