@@ -36,6 +36,24 @@ METHOD_WORDING = {"seasonal_mad": "STL+MAD", "iforest": "Isolation Forest", "mis
                   "out_of_range": "Rango"}
 MULTIVARIATE_LABEL = "Multivariante"
 NA = "N/A"
+# Adaptive Card (L1) texts, in card order.
+ADAPTIVE = {
+    "emoji_drop": "🚨", "emoji_other": "📈", "title_sep": " Alerta: ", "domain_default": "Dominio",
+    "weight": "Bolder", "size": "Medium", "color_drop": "Attention", "color_other": "Warning",
+    "fact_metric": "Métrica:", "fact_type": "Tipo:", "fact_value": "Valor:", "fact_date": "Fecha:",
+    "link_title": "📊 Ver en Power BI", "version": "1.4",
+    "content_type": "application/vnd.microsoft.card.adaptive",
+}
+# MessageCard (L2) texts, in card order.
+MESSAGE = {
+    "context": "http://schema.org/extensions",
+    "color_spike": "FFA500", "color_other": "008000", "color_multi": "FF0000",
+    "summary_prefix": "Alerta - ", "summary_sep": " - ", "summary_multi": "Alerta - Patrón Multivariante",
+    "emoji_spike": "📈", "emoji_other": "📉", "title_mid": " ALERTA - ", "title_end": " DETECTADA",
+    "title_multi": "🤖 ALERTA - PATRÓN MULTIVARIANTE",
+    "fact_metric": "Métrica:", "fact_date": "Fecha:", "fact_magnitude": "Magnitud:", "fact_method": "Método:",
+    "fact_score": "Score:", "fact_metrics": "Métricas:",
+}
 
 
 def conform(df: DataFrame, key: str = "domain") -> DataFrame:
@@ -131,36 +149,37 @@ def adaptive_card(df: DataFrame, dashboard_url: str, wording: str = "daily") ->
     otherwise), a fact set (metric, type, value, date) and a link to the dashboard. Built with
     ``to_json(named_struct(...))`` on the executors.
     """
+    t = ADAPTIVE
+    lit = F.lit
     is_drop = F.col("type") == "drop"
-    metric = F.coalesce(F.col("metric"), F.when(F.col("method") == "iforest", F.lit(MULTIVARIATE_LABEL)), F.lit(NA))
-    tipo = F.coalesce(_wording(F.col("type"), wording), F.lit(NA))
-    fact = lambda t, v: F.struct(F.lit(t).alias("title"), v.alias("value"))
+    metric = F.coalesce(F.col("metric"), F.when(F.col("method") == "iforest", lit(MULTIVARIATE_LABEL)), lit(NA))
+    tipo = F.coalesce(_wording(F.col("type"), wording), lit(NA))
+    fact = lambda title, v: F.struct(lit(title).alias("title"), v.alias("value"))
     body = F.array(
         F.struct(
-            F.lit("TextBlock").alias("type"),
-            F.concat(F.when(is_drop, F.lit("🚨")).otherwise(F.lit("📈")), F.lit(" Alerta: "),
-                     F.coalesce(F.col("domain"), F.lit("Dominio"))).alias("text"),
-            F.lit("Bolder").alias("weight"), F.lit("Medium").alias("size"),
-            F.when(is_drop, F.lit("Attention")).otherwise(F.lit("Warning")).alias("color"),
-            F.lit(None).cast("array<struct<title:string,value:string>>").alias("facts"),
+            lit("TextBlock").alias("type"),
+            F.concat(F.when(is_drop, lit(t["emoji_drop"])).otherwise(lit(t["emoji_other"])), lit(t["title_sep"]),
+                     F.coalesce(F.col("domain"), lit(t["domain_default"]))).alias("text"),
+            lit(t["weight"]).alias("weight"), lit(t["size"]).alias("size"),
+            F.when(is_drop, lit(t["color_drop"])).otherwise(lit(t["color_other"])).alias("color"),
+            lit(None).cast("array<struct<title:string,value:string>>").alias("facts"),
         ),
         F.struct(
-            F.lit("FactSet").alias("type"),
-            F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("weight"),
-            F.lit(None).cast("string").alias("size"), F.lit(None).cast("string").alias("color"),
-            F.array(fact("Métrica:", metric), fact("Tipo:", tipo), fact("Valor:", value_text()),
-                    fact("Fecha:", F.date_format("day", "yyyy-MM-dd"))).alias("facts"),
+            lit("FactSet").alias("type"),
+            lit(None).cast("string").alias("text"), lit(None).cast("string").alias("weight"),
+            lit(None).cast("string").alias("size"), lit(None).cast("string").alias("color"),
+            F.array(fact(t["fact_metric"], metric), fact(t["fact_type"], tipo), fact(t["fact_value"], value_text()),
+                    fact(t["fact_date"], F.date_format("day", "yyyy-MM-dd"))).alias("facts"),
         ),
     )
     content = F.struct(
-        F.lit("AdaptiveCard").alias("type"), F.lit("1.4").alias("version"), body.alias("body"),
-        F.array(F.struct(F.lit("Action.OpenUrl").alias("type"), F.lit("📊 Ver en Power BI").alias("title"),
-                         F.lit(dashboard_url).alias("url"))).alias("actions"),
+        lit("AdaptiveCard").alias("type"), lit(t["version"]).alias("version"), body.alias("body"),
+        F.array(F.struct(lit("Action.OpenUrl").alias("type"), lit(t["link_title"]).alias("title"),
+                         lit(dashboard_url).alias("url"))).alias("actions"),
     )
     payload = F.struct(
-        F.lit("message").alias("type"),
-        F.array(F.struct(F.lit("application/vnd.microsoft.card.adaptive").alias("contentType"),
-                         content.alias("content"))).alias("attachments"),
+        lit("message").alias("type"),
+        F.array(F.struct(lit(t["content_type"]).alias("contentType"), content.alias("content"))).alias("attachments"),
     )
     return df.withColumn("card", F.to_json(payload, {"ignoreNullFields": "true"}))
 
@@ -173,29 +192,32 @@ def message_card(df: DataFrame, wording: str = "local") -> DataFrame:
     alerts: colour FF0000, facts score, metrics (comma-joined), date. The branch is chosen by
     method code, not by display text.
     """
+    t = MESSAGE
+    lit = F.lit
     is_if = F.col("method") == "iforest"
     is_spike = F.col("type") == "spike"
     tipo = _wording(F.col("type"), wording)
     day_txt = F.date_format("day", "yyyy-MM-dd")
-    fact = lambda t, v: F.struct(F.lit(t).alias("name"), v.alias("value"))
+    fact = lambda name, v: F.struct(lit(name).alias("name"), v.alias("value"))
     uni_facts = F.array(
-        fact("Métrica:", F.coalesce(F.col("metric"), F.lit(NA))), fact("Fecha:", day_txt),
-        fact("Magnitud:", F.concat(F.coalesce(python_float_text(F.col("relative_magnitude")), F.lit(NA)), F.lit("%"))),
-        fact("Método:", F.coalesce(_method_text(), F.col("method"))),
+        fact(t["fact_metric"], F.coalesce(F.col("metric"), lit(NA))), fact(t["fact_date"], day_txt),
+        fact(t["fact_magnitude"],
+             F.concat(F.coalesce(python_float_text(F.col("relative_magnitude")), lit(NA)), lit("%"))),
+        fact(t["fact_method"], F.coalesce(_method_text(), F.col("method"))),
     )
     if_facts = F.array(
-        fact("Score:", F.coalesce(python_float_text(F.col("score")), F.lit(NA))),
-        fact("Métricas:", F.array_join(F.col("affected"), ", ")),
-        fact("Fecha:", day_txt),
+        fact(t["fact_score"], F.coalesce(python_float_text(F.col("score")), lit(NA))),
+        fact(t["fact_metrics"], F.array_join(F.col("affected"), ", ")),
+        fact(t["fact_date"], day_txt),
     )
-    color = F.when(is_if, F.lit("FF0000")).when(is_spike, F.lit("FFA500")).otherwise(F.lit("008000"))
-    summary = F.when(is_if, F.lit("Alerta - Patrón Multivariante")).otherwise(
-        F.concat(F.lit("Alerta - "), tipo, F.lit(" - "), F.coalesce(F.col("metric"), F.lit(NA))))
-    title = F.when(is_if, F.lit("🤖 ALERTA - PATRÓN MULTIVARIANTE")).otherwise(
-        F.concat(F.when(is_spike, F.lit("📈")).otherwise(F.lit("📉")), F.lit(" ALERTA - "), F.upper(tipo),
-                 F.lit(" DETECTADA")))
+    color = F.when(is_if, lit(t["color_multi"])).when(is_spike, lit(t["color_spike"])).otherwise(lit(t["color_other"]))
+    summary = F.when(is_if, lit(t["summary_multi"])).otherwise(
+        F.concat(lit(t["summary_prefix"]), tipo, lit(t["summary_sep"]), F.coalesce(F.col("metric"), lit(NA))))
+    title = F.when(is_if, lit(t["title_multi"])).otherwise(
+        F.concat(F.when(is_spike, lit(t["emoji_spike"])).otherwise(lit(t["emoji_other"])), lit(t["title_mid"]),
+                 F.upper(tipo), lit(t["title_end"])))
     payload = F.struct(
-        F.lit("MessageCard").alias("@type"), F.lit("http://schema.org/extensions").alias("@context"),
+        lit("MessageCard").alias("@type"), lit(t["context"]).alias("@context"),
         color.alias("themeColor"), summary.alias("summary"),
         F.array(F.struct(title.alias("activityTitle"),
                          F.when(is_if, if_facts).otherwise(uni_facts).alias("facts"))).alias("sections"),
