@@ -22,7 +22,7 @@ from metricwatch.operators.evaluate import evaluate
 from metricwatch.operators.quality import (
     duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, validate,
 )
-from metricwatch.plans.pipeline import daily_variant, local_variant
+from metricwatch.plans.variants import daily_variant, local_variant
 from metricwatch.operators.detect import scored_series, seasonal_mad
 from metricwatch.functions.plan import cut_lineage
 from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources

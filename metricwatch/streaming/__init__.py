@@ -2,5 +2,5 @@
 
 The job this library re-expresses is a daily batch over "yesterday": it has no stream source or
 sink, no watermark, no time window and no stateful operator. The daily variant in
-``metricwatch.plans.pipeline`` is the unit of work; schedule it once per day.
+``metricwatch.plans.variants`` is the unit of work; schedule it once per day.
 """

@@ -17,3 +17,15 @@ def con():
 def test_query_matches_sql(spark, con, name):
     r = compare(spark, con, name, SF)
     assert r["cols_match"] and r["hash_match"], r
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_partition_count_does_not_change_results(spark, con, parts):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        for name in ["iforest_scores", "fused_alerts"]:
+            r = compare(spark, con, name, SF)
+            assert r["hash_match"], r
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

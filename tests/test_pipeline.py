@@ -2,7 +2,7 @@ import datetime as dt
 
 import numpy as np
 
-from metricwatch.plans.pipeline import daily_variant, local_variant
+from metricwatch.plans.variants import daily_variant, local_variant
 from metricwatch.operators.gold import build_gold
 
 CUT = dt.date(2001, 8, 1)
