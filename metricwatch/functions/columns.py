@@ -67,6 +67,12 @@ def unit_draw(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def unit_draw_sql(*parts: str) -> str:
+    """The same draw as :func:`unit_draw`, as SQL expression text over column names/literals."""
+    joined = ", ".join(f"CAST({p} AS STRING)" for p in parts)
+    return f"(CAST(conv(substr(md5(concat_ws('|', {joined})), 1, 8), 16, 10) AS DOUBLE) / 4294967296.0)"
+
+
 def python_float_text(c: Column | str, decimals: int = 6) -> Column:
     """Render a double the way Python's ``str(float)`` does for the values alerts carry.
 

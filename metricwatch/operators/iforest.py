@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import unit_draw
+from metricwatch.functions.columns import unit_draw_sql
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -97,10 +97,7 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     ks = ", ".join(q(c) for c in key)
     feats = [q(f) for f in features]
     # Expressions are SQL text (one parse per select instead of thousands of client round trips).
-
-    def draw(*parts: str) -> str:
-        joined = ", ".join(f"CAST({p} AS STRING)" for p in parts)
-        return f"(CAST(conv(substr(md5(concat_ws('|', {joined})), 1, 8), 16, 10) AS DOUBLE) / 4294967296.0)"
+    draw = unit_draw_sql
 
     w_node = f"OVER (PARTITION BY {ks}, tree, _node)"
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from metricwatch.plans.oracle import (
-    ADS_DAILY, ADS_RAW, ALL_GOLD, CUTOFF, DAYS, DICTIONARY, WEB_DAILY, WEB_RAW, _in_window, with_,
+    ADS_DAILY, ADS_RAW, ALL_GOLD, CUTOFF, DICTIONARY, WEB_DAILY, WEB_RAW, _in_window, with_,
 )
 
 SQL: dict[str, str] = {}

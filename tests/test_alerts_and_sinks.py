@@ -2,7 +2,6 @@ import datetime as dt
 import json
 import tempfile
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from metricwatch.operators.alerts import (

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from metricwatch.operators.detect import scored_series, seasonal_mad

@@ -1,5 +1,3 @@
-import pytest
-
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"

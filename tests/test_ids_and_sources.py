@@ -69,3 +69,11 @@ def test_daily_sum_same_source_twice(spark):
     df = spark.createDataFrame([("1", dt.datetime(2001, 8, 1), 2.0)], "id string, date timestamp_ntz, x double")
     r = daily_sum(df, "id", "date", {"a": "x", "b": "x"}, dt.date(2001, 8, 1), 65).first()
     assert (r.a, r.b) == (2, 2)
+
+
+def test_unit_draw_column_and_sql_agree(spark):
+    from metricwatch.functions.columns import unit_draw, unit_draw_sql
+    df = spark.createDataFrame([("a", 1, 7), ("b", 2, 9)], "k string, t int, n bigint")
+    a = [r[0] for r in df.select(unit_draw(F.lit(42), "k", "t", "n", F.lit("f"))).collect()]
+    b = [r[0] for r in df.selectExpr(unit_draw_sql("42", "k", "t", "n", "'f'")).collect()]
+    assert a == b and all(0 <= x < 1 for x in a)
