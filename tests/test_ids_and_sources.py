@@ -77,3 +77,36 @@ def test_unit_draw_column_and_sql_agree(spark):
     a = [r[0] for r in df.select(unit_draw(F.lit(42), "k", "t", "n", F.lit("f"))).collect()]
     b = [r[0] for r in df.selectExpr(unit_draw_sql("42", "k", "t", "n", "'f'")).collect()]
     assert a == b and all(0 <= x < 1 for x in a)
+
+
+def test_read_source_by_name_and_path(spark, tmp_path):
+    from metricwatch.sources.tables import read_source
+    df = spark.createDataFrame([(1,)], "x int")
+    df.createOrReplaceTempView("mw_src_view")
+    assert read_source(spark, "mw_src_view").count() == 1
+    p = str(tmp_path / "t.parquet")
+    df.write.parquet(p)
+    assert read_source(spark, p).count() == 1
+
+
+def test_broadcast_if_small_checks_size(spark):
+    from metricwatch.functions.plan import broadcast_if_small
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(broadcast_if_small(small, max_rows=100), "k")
+        plain = big.join(broadcast_if_small(small, max_rows=5), "k")
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert hinted.count() == plain.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cut_lineage_reads_back(spark):
+    from metricwatch.functions.plan import cut_lineage
+    df = spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count()
+    c = cut_lineage(df)
+    assert sorted(map(tuple, c.collect())) == sorted(map(tuple, df.collect()))
+    assert "Exchange" not in c._jdf.queryExecution().executedPlan().toString()
