@@ -25,7 +25,7 @@ def to_long(df: DataFrame, ids: list[str], metrics: list[str] | tuple[str, ...],
 def with_position(df: DataFrame, key: list[str], order: str, pos: str = POS) -> DataFrame:
     """0-based row index by ``order`` within each series (positions count rows, not days)."""
     w = Window.partitionBy(*key).orderBy(F.col(order))
-    return df.withColumn(pos, F.row_number().over(w) - 1)
+    return df.withColumn(pos, (F.row_number().over(w) - 1).cast("bigint"))
 
 
 def calendar_fill(df: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
@@ -74,7 +74,7 @@ def decompose(df: DataFrame, key: list[str], order: str, value: str, period: int
         total = F.sum(y).over(w_ord.rowsBetween(-h, h))
         raw = (total - F.lit(0.5) * (F.lag(y, h).over(w_ord) + F.lead(y, h).over(w_ord))) / F.lit(float(period))
     # Window operator 1: position, length and the centred moving average
-    df = df.select("*", (F.row_number().over(w_ord) - 1).alias(POS), F.count(F.lit(1)).over(w_all).alias(N),
+    df = df.select("*", (F.row_number().over(w_ord) - 1).cast("bigint").alias(POS), F.count(F.lit(1)).over(w_all).alias(N),
                    raw.alias("_raw"))
     pos, n = F.col(POS), F.col(N)
     back = n - 1 - h

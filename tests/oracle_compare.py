@@ -48,6 +48,11 @@ def digest(columns: list[str], rows: list[tuple]) -> str:
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+SPARK_TO_SQL = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN",
+                "TimestampNTZType()": "TIMESTAMP", "ShortType()": "SMALLINT", "FloatType()": "FLOAT"}
+
+
 def compare(spark, con, name: str, sf_dir: str) -> dict:
     from __spark_entry__ import oracle_sql, queries
     t0 = time.time()
@@ -60,9 +65,14 @@ def compare(spark, con, name: str, sf_dir: str) -> dict:
     if sql is None:
         out["oracle"] = "none"
         return out
-    res = con.execute(sql)
-    ocols = [d[0] for d in res.description]
-    orows = res.fetchall()
+    rel = con.sql(sql)
+    otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    ocols = list(rel.columns)
+    orows = rel.fetchall()
+    stypes = {f.name: SPARK_TO_SQL.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
+    out["types_match"] = stypes == otypes
+    if not out["types_match"]:
+        out["types"] = {c: (stypes.get(c), otypes.get(c)) for c in set(stypes) | set(otypes) if stypes.get(c) != otypes.get(c)}
     out.update(oracle_rows=len(orows), cols_match=sorted(scols) == sorted(ocols),
                hash_match=digest(scols, srows) == digest(ocols, orows))
     if not out["cols_match"]:
@@ -91,7 +101,7 @@ def main(argv: list[str]) -> int:
             r = compare(spark, con, n, sf_dir)
         except Exception as e:  # report and go on
             r = {"name": n, "error": f"{type(e).__name__}: {str(e)[:400]}"}
-        ok = r.get("hash_match", r.get("oracle") == "none") and "error" not in r
+        ok = r.get("hash_match", r.get("oracle") == "none") and r.get("types_match", True) and "error" not in r
         bad += not ok
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     return 1 if bad else 0

@@ -16,7 +16,7 @@ def con():
                                   "daily_alerts", "validate"])
 def test_query_matches_sql(spark, con, name):
     r = compare(spark, con, name, SF)
-    assert r["cols_match"] and r["hash_match"], r
+    assert r["cols_match"] and r["hash_match"] and r["types_match"], r
 
 
 @pytest.mark.parametrize("parts", [1, 3])
