@@ -31,7 +31,8 @@ from metricwatch.operators.series import to_long
 
 def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01, min_rows: int = 14,
                   forest_min_rows: int = 10, metrics=GOLD_METRICS, max_days: int | None = None,
-                  quality: bool = False, start=None, end=None, domains: DataFrame | None = None) -> DataFrame:
+                  quality: bool = False, start=None, end=None, domains: DataFrame | None = None,
+                  fill_calendar: bool = False) -> DataFrame:
     """Every flagged day of every (domain, metric) series plus every forest outlier day.
 
     ``max_days`` (the longest series) lets the forest plan only the split levels it needs.
@@ -39,7 +40,8 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
     domains) and range alerts are fused in as well.
     """
     long = to_long(gold, ["domain", "day"], list(metrics))
-    uni = seasonal_mad(long, ["domain", "metric"], "day", "value", k=k, min_rows=min_rows)
+    uni = seasonal_mad(long, ["domain", "metric"], "day", "value", k=k, min_rows=min_rows,
+                       fill_calendar=fill_calendar)
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
                            min_rows=forest_min_rows, max_rows=max_days)
     parts = [uni, multi]
@@ -55,22 +57,23 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
 def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
                   cutoff: _dt.date | str, days: int = 65, k: float = 3.5, contamination: float = 0.01,
                   min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True,
-                  **gold_kwargs) -> DataFrame:
+                  fill_calendar: bool = False, **gold_kwargs) -> DataFrame:
     """The production job: raw daily tables -> gold -> alerts of the cutoff day."""
     cutoff = cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff))
     gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, **gold_kwargs)
     if checkpoint_gold:
         gold = cut_lineage(gold)
-    return daily_alerts(gold, cutoff, days, k, contamination, min_rows, forest_min_rows)
+    return daily_alerts(gold, cutoff, days, k, contamination, min_rows, forest_min_rows,
+                        fill_calendar=fill_calendar)
 
 
 def daily_alerts(gold: DataFrame, cutoff: _dt.date, days: int = 65, k: float = 3.5,
                  contamination: float = 0.01, min_rows: int = 14, forest_min_rows: int = 20,
-                 metrics=GOLD_METRICS) -> DataFrame:
+                 metrics=GOLD_METRICS, fill_calendar: bool = False) -> DataFrame:
     """DAILY detection on an existing gold table: alerts dated ``cutoff`` only."""
     long = to_long(gold, ["domain", "day"], list(metrics))
     uni = seasonal_mad(long, ["domain", "metric"], "day", "value", k=k, min_rows=min_rows,
-                       latest_only=True, cutoff=F.lit(cutoff))
+                       latest_only=True, cutoff=F.lit(cutoff), fill_calendar=fill_calendar)
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
                            min_rows=forest_min_rows, latest_only=True, cutoff=F.lit(cutoff),
                            max_rows=days + 1)
