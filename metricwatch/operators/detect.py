@@ -17,14 +17,17 @@ MAD_SCALE = 1.4826  # consistency factor of the MAD for a normal distribution
 MAD_FLOOR = 1e-6    # a MAD below this (flat or perfectly seasonal series) is raised to it
 
 
-def mad_bounds(df: DataFrame, key: list[str], k: float, resid: str = "resid") -> DataFrame:
+def mad_bounds(df: DataFrame, key: list[str], k: float, resid: str = "resid",
+               mean_of: str | None = None) -> DataFrame:
     """D8 + D9 + F1: per series median of the residual, scaled MAD and the bounds median ± k·MAD.
 
     Exact medians (``median`` as a window aggregate). The MAD is floored at 1e-6 rather than
     guarded for exact zero, so float noise on a perfectly regular series cannot raise flags.
+    ``mean_of`` also adds ``series_mean`` (D10), computed in the same Window operator as the median.
     """
     w = Window.partitionBy(*key)
-    df = df.select("*", F.median(resid).over(w).alias("resid_median"))
+    extra = [F.avg(F.col(mean_of).cast("double")).over(w).alias("series_mean")] if mean_of else []
+    df = df.select("*", F.median(resid).over(w).alias("resid_median"), *extra)
     mad = F.greatest(F.median(F.abs(F.col(resid) - F.col("resid_median"))).over(w) * F.lit(MAD_SCALE), F.lit(MAD_FLOOR))
     df = df.select("*", mad.alias("mad"))
     kk = F.lit(float(k))
@@ -41,8 +44,7 @@ def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: floa
     """
     dec = decompose(df, key, order, value, period=period, fill_calendar=fill_calendar)
     dec = dec.filter(F.col(N) >= F.lit(max(min_rows, 2 * period)))
-    dec = dec.select("*", F.avg(F.col(value).cast("double")).over(Window.partitionBy(*key)).alias("series_mean"))
-    out = mad_bounds(dec, key, k)
+    out = mad_bounds(dec, key, k, mean_of=value)
     return out.select("*", ((F.col("resid") > F.col("upper")) | (F.col("resid") < F.col("lower"))).alias("is_outlier"))
 
 
