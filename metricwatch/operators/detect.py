@@ -50,7 +50,8 @@ def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: floa
 
 def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float = 3.2,
                  min_rows: int = 14, latest_only: bool = False, cutoff=None, period: int = 7,
-                 metric_col: str | None = "metric", fill_calendar: bool = False) -> DataFrame:
+                 metric_col: str | None = "metric", fill_calendar: bool = False,
+                 report_value: str | None = None) -> DataFrame:
     """seasonal-residual MAD alerts for every series in ``df`` (long form).
 
     * ``latest_only=False`` (LOCAL variant): every flagged day.
@@ -61,7 +62,11 @@ def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float
     (F6: sign of the residual), value, score = round(|resid| / MAD, 2) (F4, not centred on the
     median), relative_magnitude = round(|resid| / mean * 100, 2), 0 for a zero mean (F5),
     affected, context, params.
+
+    ``report_value`` names the column reported as ``value`` when the tested column is a
+    transform of it (e.g. the Anscombe transform of a count, F13); default: ``value`` itself.
     """
+    shown = report_value or value
     if latest_only and cutoff is None:
         raise ValueError("latest_only needs a cutoff")
     if latest_only:
@@ -82,10 +87,10 @@ def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float
         metric.cast("string").alias("metric"),
         F.lit("seasonal_mad").alias("method"),
         F.when(F.col("resid") > 0, F.lit("spike")).otherwise(F.lit("drop")).alias("type"),
-        F.col(value).cast("double").alias("value"),
+        F.col(shown).cast("double").alias("value"),
         F.round(resid_abs / F.col("mad"), 2).alias("score"),
         rel.alias("relative_magnitude"),
         F.array(metric.cast("string")).alias("affected"),
-        F.create_map(metric.cast("string"), F.col(value).cast("double")).alias("context"),
+        F.create_map(metric.cast("string"), F.col(shown).cast("double")).alias("context"),
         F.lit(f"MAD={float(k)}").alias("params"),
     )

@@ -50,3 +50,10 @@ def test_local_variant_with_quality(spark):
     assert ("a.com", "missing_day") in methods
     assert ("a.com", "seasonal_mad") in methods and ("b.com", "iforest") in methods
     assert any(r.method == "out_of_range" and r.metric == "sessions" for r in alerts) is False
+
+
+def test_anscombe_option_reports_raw_values(spark):
+    w, a, d = raw_tables(spark)
+    alerts = daily_variant(w, [a], d, CUT, 65, anscombe_counts=True).collect()
+    spike = [r for r in alerts if r.domain == "a.com" and r.metric == "sessions"]
+    assert len(spike) == 1 and spike[0].value == 9000.0 and spike[0].type == "spike"
