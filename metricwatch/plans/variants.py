@@ -45,20 +45,24 @@ def _tested_long(gold: DataFrame, metrics, anscombe_counts: bool) -> tuple[DataF
 def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01, min_rows: int = 14,
                   forest_min_rows: int = 10, metrics=GOLD_METRICS, max_days: int | None = None,
                   quality: bool = False, start=None, end=None, domains: DataFrame | None = None,
-                  fill_calendar: bool = False, anscombe_counts: bool = False) -> DataFrame:
+                  fill_calendar: bool = False, anscombe_counts: bool = False,
+                  forest_percentile: float | None = None, standardize: bool = False) -> DataFrame:
     """Every flagged day of every (domain, metric) series plus every forest outlier day.
 
     ``max_days`` (the longest series) lets the forest plan only the split levels it needs.
     With ``quality=True`` missing-day alerts over [start, end] (for ``domains`` or the gold
     domains) and range alerts are fused in as well. ``anscombe_counts`` tests 2·sqrt(x + 3/8) of
     the count metrics (leads, sessions) instead of the raw counts; alerts still report raw values.
+    ``forest_percentile`` (F15) replaces the contamination cut-off by a score percentile and
+    ``standardize`` (F14) scales the forest features per domain first.
     """
     long = to_long(gold, ["domain", "day"], list(metrics))
     tested, col = _tested_long(gold, metrics, anscombe_counts)
     uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
                        fill_calendar=fill_calendar, report_value="value")
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
-                           min_rows=forest_min_rows, max_rows=max_days)
+                           min_rows=forest_min_rows, max_rows=max_days, percentile=forest_percentile,
+                           standardize=standardize)
     parts = [uni, multi]
     if quality:
         spark = gold.sparkSession
@@ -72,24 +76,27 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
 def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
                   cutoff: _dt.date | str, days: int = 65, k: float = 3.5, contamination: float = 0.01,
                   min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True,
-                  fill_calendar: bool = False, anscombe_counts: bool = False, **gold_kwargs) -> DataFrame:
+                  fill_calendar: bool = False, anscombe_counts: bool = False,
+                  forest_percentile: float | None = None, standardize: bool = False, **gold_kwargs) -> DataFrame:
     """The production job: raw daily tables -> gold -> alerts of the cutoff day."""
     cutoff = cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff))
     gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, **gold_kwargs)
     if checkpoint_gold:
         gold = cut_lineage(gold)
     return daily_alerts(gold, cutoff, days, k, contamination, min_rows, forest_min_rows,
-                        fill_calendar=fill_calendar, anscombe_counts=anscombe_counts)
+                        fill_calendar=fill_calendar, anscombe_counts=anscombe_counts,
+                        forest_percentile=forest_percentile, standardize=standardize)
 
 
 def daily_alerts(gold: DataFrame, cutoff: _dt.date, days: int = 65, k: float = 3.5,
                  contamination: float = 0.01, min_rows: int = 14, forest_min_rows: int = 20,
-                 metrics=GOLD_METRICS, fill_calendar: bool = False, anscombe_counts: bool = False) -> DataFrame:
+                 metrics=GOLD_METRICS, fill_calendar: bool = False, anscombe_counts: bool = False,
+                 forest_percentile: float | None = None, standardize: bool = False) -> DataFrame:
     """DAILY detection on an existing gold table: alerts dated ``cutoff`` only."""
     tested, col = _tested_long(gold, metrics, anscombe_counts)
     uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
                        latest_only=True, cutoff=F.lit(cutoff), fill_calendar=fill_calendar, report_value="value")
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
                            min_rows=forest_min_rows, latest_only=True, cutoff=F.lit(cutoff),
-                           max_rows=days + 1)
+                           max_rows=days + 1, percentile=forest_percentile, standardize=standardize)
     return fuse_alerts(uni, multi)

@@ -57,3 +57,10 @@ def test_anscombe_option_reports_raw_values(spark):
     alerts = daily_variant(w, [a], d, CUT, 65, anscombe_counts=True).collect()
     spike = [r for r in alerts if r.domain == "a.com" and r.metric == "sessions"]
     assert len(spike) == 1 and spike[0].value == 9000.0 and spike[0].type == "spike"
+
+
+def test_forest_options_in_daily_variant(spark):
+    w, a, d = raw_tables(spark)
+    alerts = daily_variant(w, [a], d, CUT, 65, forest_percentile=99.0, standardize=True).collect()
+    assert ("b.com", "iforest") in {(r.domain, r.method) for r in alerts}
+    assert all(r.params == "P99.0" for r in alerts if r.method == "iforest")
