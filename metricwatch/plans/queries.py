@@ -1,7 +1,7 @@
 """Registered queries: one callable (spark, sf_dir) -> DataFrame per operator group.
 
 Inputs are the driver tables seen through ``fixtures``; every query reads whole tables. Column
-names match the SQL statements in ``oracle_statements`` (``metricwatch.plans.oracle_queries``).
+names match the SQL statements in ``metricwatch.plans.oracle_queries.SQL``.
 Doubles that come out of floating arithmetic are rounded to 6 decimals in the final select so
 that two engines agree on the last bits.
 """
@@ -15,20 +15,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricwatch.functions.columns import anscombe, cutoff_day
+from metricwatch.functions.plan import cut_lineage
 from metricwatch.operators.alerts import (
     adaptive_card, cap_per_day, message_card, prioritize, retain, route, run_report,
 )
+from metricwatch.operators.detect import scored_series, seasonal_mad
 from metricwatch.operators.evaluate import evaluate
+from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources
+from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize_columns
 from metricwatch.operators.quality import (
     duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, validate,
 )
-from metricwatch.plans.variants import daily_variant, local_variant
-from metricwatch.operators.detect import scored_series, seasonal_mad
-from metricwatch.functions.plan import cut_lineage
-from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources
-from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize_columns
 from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
+from metricwatch.plans.variants import daily_variant, local_variant
 from metricwatch.sources.tables import account_dictionary, analysis_window, daily_sum
 
 Query = Callable[[SparkSession, str], DataFrame]
