@@ -14,8 +14,18 @@ from pyspark.sql import types as T
 from metricwatch.operators.alerts import retain
 
 
-def write_alerts(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Append alerts to a parquet history partitioned by day (partition pruning on read)."""
+def write_alerts(df: DataFrame, path: str, mode: str = "append", files_per_day: int | None = None) -> None:
+    """Append alerts to a parquet history partitioned by day (partition pruning on read).
+
+    ``files_per_day`` bounds the number of files written into each day folder: rows are hashed on
+    their identity (domain, metric, method, type) into ``files_per_day`` salts per day, each
+    (day, salt) group lands in one task, so a busy day is still written by up to
+    ``files_per_day`` tasks in parallel and never by one.
+    """
+    if files_per_day:
+        ident = [c for c in ("domain", "metric", "method", "type") if c in df.columns]
+        salt = F.pmod(F.xxhash64(*ident), F.lit(int(files_per_day)))
+        df = df.repartition(F.col("day"), salt)
     df.write.mode(mode).partitionBy("day").parquet(path)
 
 

@@ -89,7 +89,10 @@ def test_write_read_back_and_report(spark):
     path = tempfile.mkdtemp(prefix="mw-hist-") + "/alerts"
     a = alerts_df(spark)
     write_alerts(a, path)
-    write_alerts(a, path)
+    write_alerts(a, path, files_per_day=2)
+    import glob
+    day_files = glob.glob(path + f"/day={D0}/*.parquet")
+    assert 1 <= len(day_files) <= a.rdd.getNumPartitions() + 2
     back = read_alerts(spark, path, D0 + dt.timedelta(days=1), D0 + dt.timedelta(days=2))
     assert back.count() == 2 * a.filter(F.col("day") >= D0 + dt.timedelta(days=1)).count()
     assert set(ALERT_COLUMNS) == set(back.columns)
