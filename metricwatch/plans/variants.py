@@ -33,9 +33,8 @@ from metricwatch.operators.series import to_long
 COUNT_METRICS = ("leads", "sessions")
 
 
-def _tested_long(gold: DataFrame, metrics, anscombe_counts: bool) -> tuple[DataFrame, str]:
+def _tested_long(long: DataFrame, anscombe_counts: bool) -> tuple[DataFrame, str]:
     """Long form plus the column the univariate test runs on (F13: Anscombe on counts, optional)."""
-    long = to_long(gold, ["domain", "day"], list(metrics))
     if not anscombe_counts:
         return long, "value"
     t = F.when(F.col("metric").isin(*COUNT_METRICS), anscombe("value")).otherwise(F.col("value"))
@@ -57,7 +56,7 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
     ``standardize`` (F14) scales the forest features per domain first.
     """
     long = to_long(gold, ["domain", "day"], list(metrics))
-    tested, col = _tested_long(gold, metrics, anscombe_counts)
+    tested, col = _tested_long(long, anscombe_counts)
     uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
                        fill_calendar=fill_calendar, report_value="value")
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
@@ -93,7 +92,7 @@ def daily_alerts(gold: DataFrame, cutoff: _dt.date, days: int = 65, k: float = 3
                  metrics=GOLD_METRICS, fill_calendar: bool = False, anscombe_counts: bool = False,
                  forest_percentile: float | None = None, standardize: bool = False) -> DataFrame:
     """DAILY detection on an existing gold table: alerts dated ``cutoff`` only."""
-    tested, col = _tested_long(gold, metrics, anscombe_counts)
+    tested, col = _tested_long(to_long(gold, ["domain", "day"], list(metrics)), anscombe_counts)
     uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
                        latest_only=True, cutoff=F.lit(cutoff), fill_calendar=fill_calendar, report_value="value")
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
