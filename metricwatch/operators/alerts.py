@@ -61,8 +61,8 @@ def conform(df: DataFrame, key: str = "domain") -> DataFrame:
     cols = []
     for c, t in ALERT_SCHEMA:
         src = key if c == "domain" else c
-        cols.append((F.col(src) if src in df.columns else F.lit(None)).cast(t).alias(c))
-    return df.select(*cols)
+        cols.append(f"CAST({f'`{src}`' if src in df.columns else 'NULL'} AS {t}) AS {c}")
+    return df.selectExpr(*cols)
 
 
 def fuse_alerts(*dfs: DataFrame, key: str = "domain") -> DataFrame:

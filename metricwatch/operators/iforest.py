@@ -191,25 +191,22 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
     else:
         s = iforest_scores(raw, key, order, features, trees=trees, sample=sample, seed=seed, levels=levels,
                            max_rows=max_rows, partitions=partitions)
-    s = s.filter(F.col("n") >= F.lit(min_rows))
     q = 1.0 - contamination if percentile is None else percentile / 100.0
-    w = Window.partitionBy(*key)
-    s = s.withColumn("cutoff_score", F.percentile(F.col("score"), F.lit(q)).over(w))
+    bq = lambda c: f"`{c}`"
+    ks = ", ".join(bq(c) for c in key)
+    s = s.filter(F.col("n") >= F.lit(min_rows)).selectExpr(
+        "*", f"percentile(score, {q!r}) OVER (PARTITION BY {ks}) AS cutoff_score",
+        *([f"max({bq(order)}) OVER (PARTITION BY {ks}) AS _last"] if latest_only else []))
     if latest_only:
-        s = s.withColumn("_last", F.max(order).over(w)).filter(F.col(order) == F.col("_last"))
+        s = s.filter(F.col(order) == F.col("_last"))
     s = s.filter(F.col("score") > F.col("cutoff_score"))
-    score = F.lit(None).cast("double") if latest_only else F.round(F.col("score") - F.col("cutoff_score"), 4)
+    score = "CAST(NULL AS DOUBLE)" if latest_only else "round(score - cutoff_score, 4)"
     param = f"Contam={contamination}" if percentile is None else f"P{percentile}"
-    return s.select(
-        *[F.col(c) for c in key],
-        F.col(order).alias("day"),
-        F.lit(None).cast("string").alias("metric"),
-        F.lit("iforest").alias("method"),
-        F.lit("irregular").alias("type"),
-        F.lit(None).cast("double").alias("value"),
-        score.alias("score"),
-        F.lit(None).cast("double").alias("relative_magnitude"),
-        F.array(*[F.lit(f) for f in features]).alias("affected"),
-        F.create_map(*[e for f in features for e in (F.lit(f), F.col(f).cast("double"))]).alias("context"),
-        F.lit(param).alias("params"),
+    names = ", ".join(f"'{f}'" for f in features)
+    pairs = ", ".join(f"'{f}', CAST({bq(f)} AS DOUBLE)" for f in features)
+    return s.selectExpr(
+        *[bq(c) for c in key], f"{bq(order)} AS day", "CAST(NULL AS STRING) AS metric", "'iforest' AS method",
+        "'irregular' AS type", "CAST(NULL AS DOUBLE) AS value", f"{score} AS score",
+        "CAST(NULL AS DOUBLE) AS relative_magnitude", f"array({names}) AS affected", f"map({pairs}) AS context",
+        f"'{param}' AS params",
     )
