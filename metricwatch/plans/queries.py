@@ -326,10 +326,9 @@ def q_message_card(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def eval_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Labels by a threshold rule on the gold series: a day is anomalous when its value is above
-    1.5x or below 0.5x its series mean."""
-    gl = gold_long(spark, d)
+def eval_labels(gl: DataFrame) -> DataFrame:
+    """Labels by a threshold rule on the long-form gold series: a day is anomalous when its value
+    is above 1.5x or below 0.5x its series mean."""
     m = F.avg("value").over(Window.partitionBy("domain", "metric"))
     return gl.withColumn("_m", m).select(
         "domain", "day", "metric",
@@ -338,8 +337,9 @@ def eval_labels(spark: SparkSession, d: str) -> DataFrame:
 
 def q_evaluate(spark: SparkSession, d: str) -> DataFrame:
     """Precision, recall, F1 of the k = 3.2 MAD alerts against the threshold labels."""
-    a = seasonal_mad(gold_long(spark, d), ["domain", "metric"], "day", "value", k=K_LOCAL)
-    e = evaluate(a, eval_labels(spark, d))
+    gl = gold_long(spark, d)  # one plan feeds both sides, so Spark shares its stages
+    a = seasonal_mad(gl, ["domain", "metric"], "day", "value", k=K_LOCAL)
+    e = evaluate(a, eval_labels(gl))
     return e.select("tp", "fp", "fn", _r("precision"), _r("recall"), _r("f1"))
 
 
