@@ -114,3 +114,17 @@ def validate(df: DataFrame, required: list[str], key: list[str], order: str) ->
         F.col("duplicate_days"),
         (F.lit(not missing) & (F.col("rows") > 0)).alias("valid"),
     )
+
+
+def series_status(df: DataFrame, key: list[str], order: str, min_rows: int = 14, cutoff=None) -> DataFrame:
+    """Why a series is or is not tested (instead of silently returning no alerts).
+
+    One row per series: ``rows``, ``last_day`` and ``status``: 'stale' when ``cutoff`` is given
+    and the series does not end on it (B10), else 'too_short' below ``min_rows`` (B11), else 'ok'.
+    One partial aggregation over the series key.
+    """
+    agg = df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.max(order).alias("last_day"))
+    status = F.when(F.col("rows") < F.lit(min_rows), F.lit("too_short")).otherwise(F.lit("ok"))
+    if cutoff is not None:
+        status = F.when(F.col("last_day") != _day(cutoff), F.lit("stale")).otherwise(status)
+    return agg.withColumn("status", status)

@@ -151,6 +151,18 @@ SELECT '' AS missing_columns, coalesce(sum(c), 0) = 0 AS is_empty, CAST(coalesce
        CAST(count(*) FILTER (WHERE c > 1) AS BIGINT) AS duplicate_days, coalesce(sum(c), 0) > 0 AS valid
 FROM per"""
 
+SQL["series_status"] = f"""
+WITH s AS (
+  SELECT n.n_name AS domain, CAST(o.o_orderdate AS DATE) AS day, count(*) AS orders
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE {_in_window('o.o_orderdate')}
+  GROUP BY 1, 2
+)
+SELECT domain, count(*) AS rows, max(day) AS last_day,
+       CASE WHEN max(day) <> CAST('{CUTOFF}' AS DATE) THEN 'stale'
+            WHEN count(*) < 14 THEN 'too_short' ELSE 'ok' END AS status
+FROM s GROUP BY domain"""
+
 # ------------------------------------------------------------------ alerts
 _FUSED_CTES = with_(ALL_GOLD, GOLD_LONG, decompose_sql("gold_long", ["domain", "metric"], "day", "value"),
                     mad_sql("dec", ["domain", "metric"], 3.2),

@@ -24,7 +24,7 @@ from metricwatch.operators.evaluate import evaluate
 from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources
 from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize_columns
 from metricwatch.operators.quality import (
-    duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, validate,
+    duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, series_status, validate,
 )
 from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
@@ -254,6 +254,18 @@ def q_validate(spark: SparkSession, d: str) -> DataFrame:
     return validate(_ads_a_days(spark, d), ["account_id", "date", "spend_gbp"], ["account_id"], "day")
 
 
+def q_series_status(spark: SparkSession, d: str) -> DataFrame:
+    """B10, B11 reported: per (nation, metric) order-count series of the window, whether the DAILY
+    detector would test it (ok), or skip it (stale last day, fewer than 14 rows)."""
+    o = analysis_window(fx.table(spark, d, "orders").select("o_custkey", "o_orderdate"), "o_orderdate",
+                        fx.CUTOFF, fx.DAYS)
+    c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = F.broadcast(fx.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("domain")))
+    series = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+              .groupBy("domain", F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders")))
+    return series_status(series, ["domain"], "day", min_rows=14, cutoff=fx.CUTOFF)
+
+
 # ------------------------------------------------------------------ alerts
 FIXTURE_URL = "https://dashboard.example/report"
 CAP_N = 3  # the configured 100 per day is never reached by 5 domains; 3 makes the cut visible
@@ -391,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "range_alerts": q_range_alerts,
     "duplicate_days": q_duplicate_days,
     "validate": q_validate,
+    "series_status": q_series_status,
     "fused_alerts": q_fused_alerts,
     "priority_route": q_priority_route,
     "cap_per_day": q_cap_per_day,
