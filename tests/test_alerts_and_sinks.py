@@ -135,3 +135,13 @@ def test_fuse_and_evaluate(spark):
                                    "domain string, day date, metric string, is_anomaly boolean")
     e = evaluate(alerts, labels).first()
     assert (e.tp, e.fp, e.fn) == (1, 1, 1) and abs(e.precision - 0.5) < 1e-12 and abs(e.f1 - 0.5) < 1e-12
+
+
+def test_retain_history_rewrites_window(spark):
+    from metricwatch.sources.sinks import retain_history
+    base = tempfile.mkdtemp(prefix="mw-ret-")
+    a = alerts_df(spark, n_days=5, per_day=4)
+    write_alerts(a, base + "/hist")
+    retain_history(spark, base + "/hist", base + "/kept", D0 + dt.timedelta(days=32), 30)
+    kept = read_alerts(spark, base + "/kept")
+    assert sorted({r.day for r in kept.collect()}) == [D0 + dt.timedelta(days=d) for d in (2, 3, 4)]
