@@ -22,6 +22,9 @@ def summarize(plan: str) -> dict:
         "smj": plan.count("SortMergeJoin"), "bhj": plan.count("BroadcastHashJoin"),
         "windows": len(re.findall(r"\bWindow \[", plan)),
         "scans": len(re.findall(r"FileScan parquet", plan)),
+        "python": sum(plan.count(n) for n in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+                                               "FlatMapGroupsInPandas")),
+        "cross": sum(plan.count(n) for n in ("CartesianProduct", "BroadcastNestedLoopJoin")),
         "reused": plan.count("ReusedExchange"),
         "pushed": [p for p in pushed if p],
     }
@@ -33,8 +36,9 @@ def main() -> None:
     import __spark_entry__ as E
     spark = get_spark()
     print(f"# Physical plans ({sf_dir}, after execution with AQE)\n")
-    print("| query | shuffle exchanges | reused exchanges | broadcast | SMJ | BHJ | Window ops | parquet scans |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | shuffle exchanges | reused exchanges | broadcast | SMJ | BHJ | Window ops | parquet scans "
+          "| Python nodes | cross joins |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     details = []
     for name, fn in E.queries().items():
         df = fn(spark, sf_dir)
@@ -42,7 +46,7 @@ def main() -> None:
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         s = summarize(plan)
         print(f"| {name} | {len(s['exchanges'])} | {s['reused']} | {s['broadcast_exchanges']} | {s['smj']} | {s['bhj']} | "
-              f"{s['windows']} | {s['scans']} |")
+              f"{s['windows']} | {s['scans']} | {s['python']} | {s['cross']} |")
         details.append((name, s))
     print("\n## Exchanges and pushed filters per query\n")
     for name, s in details:
