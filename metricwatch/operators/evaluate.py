@@ -10,13 +10,19 @@ def evaluate(alerts: DataFrame, labels: DataFrame, key: list[str] | None = None)
     """One row: tp, fp, fn, precision, recall, f1.
 
     ``labels`` has the key columns and ``is_anomaly``. Alerts and positive labels are reduced to
-    distinct keys and full-outer-joined on (domain, day, metric); the counts come from one
-    aggregation. Ratios are NULL when their denominator is 0.
+    distinct keys and full-outer-joined on (domain, day, metric) with NULL-safe equality, so a
+    multivariate alert (metric NULL) matches a label for the whole day (metric NULL); the counts
+    come from one aggregation. Ratios are NULL when their denominator is 0.
     """
     key = key or ["domain", "day", "metric"]
     a = alerts.select(*key).distinct().withColumn("_a", F.lit(True))
-    lab = labels.filter(F.col("is_anomaly")).select(*key).distinct().withColumn("_l", F.lit(True))
-    j = a.join(lab, key, "full")
+    lab = labels.filter(F.col("is_anomaly")).select(*[F.col(c).alias(f"_l_{c}") for c in key]).distinct() \
+        .withColumn("_l", F.lit(True))
+    cond = None
+    for c in key:
+        e = a[c].eqNullSafe(lab[f"_l_{c}"])
+        cond = e if cond is None else cond & e
+    j = a.join(lab, cond, "full")
     c = j.agg(
         F.count_if(F.col("_a") & F.col("_l")).cast("bigint").alias("tp"),
         F.count_if(F.col("_a") & F.col("_l").isNull()).cast("bigint").alias("fp"),

@@ -316,7 +316,8 @@ lab AS (
 ),
 j AS (
   SELECT a.domain IS NOT NULL AS _a, l.domain IS NOT NULL AS _l
-  FROM a FULL JOIN lab l ON a.domain = l.domain AND a.day = l.day AND a.metric = l.metric
+  FROM a FULL JOIN lab l ON a.domain IS NOT DISTINCT FROM l.domain AND a.day IS NOT DISTINCT FROM l.day
+                          AND a.metric IS NOT DISTINCT FROM l.metric
 ),
 c AS (
   SELECT CAST(count(*) FILTER (WHERE _a AND _l) AS BIGINT) AS tp,

@@ -145,3 +145,10 @@ def test_retain_history_rewrites_window(spark):
     retain_history(spark, base + "/hist", base + "/kept", D0 + dt.timedelta(days=32), 30)
     kept = read_alerts(spark, base + "/kept")
     assert sorted({r.day for r in kept.collect()}) == [D0 + dt.timedelta(days=d) for d in (2, 3, 4)]
+
+
+def test_evaluate_matches_multivariate_alerts(spark):
+    alerts = spark.createDataFrame([("d", D0, None), ("d", D0, "m")], "domain string, day date, metric string")
+    labels = spark.createDataFrame([("d", D0, None, True)], "domain string, day date, metric string, is_anomaly boolean")
+    e = evaluate(alerts, labels).first()
+    assert (e.tp, e.fp, e.fn) == (1, 1, 0)
