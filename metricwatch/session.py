@@ -38,22 +38,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the cluster's shared checkpoint folder; set a scratch one only when none is configured.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is. Only when it is
-    unset (local tests) a fresh folder under the system temp dir is created. Sessions without a
-    SparkContext handle (Spark Connect) are left to their server-side configuration.
+    Only a local session (driver and executors in one process) may do without that setting: it
+    gets a fresh scratch folder. A cluster without it is an error, since a folder of the driver's
+    machine is not the executors'. Spark Connect sessions have no handle and use the setting alone.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-        current = sc._jsc.sc().getCheckpointDir()
     except Exception:  # Spark Connect: no JVM context on the client
-        return spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        raise
+    current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
-        return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        return configured or current.get()
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="metricwatch-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
