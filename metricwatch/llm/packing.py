@@ -27,25 +27,40 @@ from pyspark.sql import functions as F
 
 from metricwatch.llm.common import checkpoint
 
-#: Distinct words whose ids a Python worker remembers (about 200 bytes each).
-REMEMBERED_WORDS = 400_000
+#: Distinct words whose ids a Python worker remembers, in each of two generations (about 200 bytes each).
+REMEMBERED_WORDS = 500_000
 _blanks = re.compile("[ \t\n\r]+").split
-_workers: dict[str, tuple] = {}
+#: Characters at which str.split cuts, or might cut, though the tokenizer does not.
+_odd_blank = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+#: A run of Latin-1 letters (all of them composed, each with a lower case of one letter) and then stops or commas.
+_plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]*)").fullmatch
+_workers: dict[str, "WordTokenizer"] = {}
 
 
-class WordTokenizer:
-    """Ids of texts for tokenizers that never join characters across blanks: words are looked up.
+def _byte_letters() -> list[str]:
+    """The character that byte-level BPE writes for each byte: itself where printable, else one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
+
+
+class WordTokenizer(dict):
+    """Ids of texts for tokenizers that never join characters across blanks: word -> its ids as bytes.
 
     Exact: the tokenizer drops white space and cuts there, so a text's ids are its words' ids in
-    order. Words are encoded once per worker; the memory is bounded, further words are encoded
-    again in each batch.
+    order. A word is encoded when it is first met and remembered, in two generations so that the
+    memory is bounded and frequent words stay. Plain words skip the normalizer: their lower-case
+    letters go straight to the tokenizer's own BPE model, as its rules would pass them on; whether
+    the file at hand has such rules is tried out first, else all words take the whole way.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.encoder = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.letters, self.old, self.tails = _byte_letters(), {}, {"": b""}
+        self.direct = all(self._plain_ids(w) == self._ids(w) for w in ("Été", "naïve.", "THE", "Straße,", "of", "x..,"))
 
     @classmethod
     def of(cls, path: str) -> "WordTokenizer":
@@ -54,24 +69,34 @@ class WordTokenizer:
             _workers[path] = cls(path)
         return _workers[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [_blanks(t) for t in texts]
-        known = self.known
-        unseen = list({w for words in split for w in words if w not in known})
-        extra: dict[str, bytes] = {}
-        for at in range(0, len(unseen), 4096):
-            part = unseen[at:at + 4096]
-            for word, got in zip(part, self.encoder.encode_batch_fast(part, add_special_tokens=False)):
-                extra[word] = np.array(got.ids, "<u4").tobytes()
-        room = REMEMBERED_WORDS - len(known)
-        if len(extra) <= room:
-            known.update(extra)
-            return [b"".join([known[w] for w in words]) for words in split]
-        out = [b"".join([known[w] if w in known else extra[w] for w in words]) for words in split]
-        for word in unseen[:max(0, room)]:
-            known[word] = extra[word]
-        return out
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _plain_ids(self, word: str) -> bytes | None:
+        parts = _plain(word)
+        if not parts:
+            return None
+        head, tail = parts[1].lower(), parts[2]
+        if not head.isascii():
+            head = "".join(map(self.letters.__getitem__, head.encode()))
+        if tail not in self.tails:
+            self.tails[tail] = self._ids(tail)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.encoder.model.tokenize(head)]) + self.tails[tail]
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = (self._plain_ids(word) if self.direct else None) or self._ids(word)
+        if len(self) >= REMEMBERED_WORDS:
+            self.old = dict(self)
+            self.clear()
+            self.tails = {"": b""}
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text."""
+        return b"".join(map(self.__getitem__, _blanks(text) if _odd_blank(text) else text.split()))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
@@ -89,8 +114,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for k, data in enumerate(tok.encode(batch.column(1).to_pylist())):
-                    data += end
+                for k, text in enumerate(batch.column(1)):
+                    data = tok.encode(text.as_py()) + end
                     for n, first in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[first:first + 4 * capacity]
                         row.append(k)
