@@ -44,7 +44,7 @@ RULES = (
     Rule("mean_word_length", "mean_word_length", 2.0, 14.0),
     Rule("symbols", "symbols_per_word", None, 0.1),
     Rule("stop_words", "stop_word_ratio", 0.02, None),
-    Rule("repeated_lines", "dup_line_ratio", None, 0.3),
+    Rule("repeated_lines", "dup_line_ratio", None, 0.5),
     Rule("cut_lines", "ellipsis_line_ratio", None, 0.3),
 )
 
