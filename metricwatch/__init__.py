@@ -7,7 +7,6 @@ sources/    reading daily tables, the account dictionary, windows, writing alert
 operators/  gold table, series decomposition, MAD and isolation-forest detectors, data quality,
             alert shaping, evaluation
 plans/      the two end-to-end variants and the driver-table fixtures
-streaming/  (empty on purpose: the detection job is a daily batch)
 """
 
 __version__ = "0.1.0"

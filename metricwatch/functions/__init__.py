@@ -7,9 +7,9 @@ from metricwatch.functions.columns import (
     unit_draw,
     unit_draw_sql,
 )
-from metricwatch.functions.plan import broadcast_if_small, cut_lineage
+from metricwatch.functions.plan import cut_lineage
 
 __all__ = [
-    "anscombe", "broadcast_if_small", "cut_lineage", "cutoff_day", "normalize_account_id",
+    "anscombe", "cut_lineage", "cutoff_day", "normalize_account_id",
     "python_float_text", "to_day", "unit_draw", "unit_draw_sql",
 ]

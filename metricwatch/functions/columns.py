@@ -46,7 +46,7 @@ def cutoff_day(tz: str, now: Column | str | _dt.datetime | None = None,
     else:
         ts = _col(now)
     if now_zone is None:
-        local = F.convert_timezone(F.lit(tz), ts)
+        local = F.convert_timezone(None, F.lit(tz), ts)
     else:
         local = F.convert_timezone(F.lit(now_zone), F.lit(tz), ts.cast("timestamp_ntz"))
     return F.date_sub(F.to_date(local), 1)
@@ -73,6 +73,16 @@ def unit_draw_sql(*parts: str) -> str:
     return f"(CAST(conv(substr(md5(concat_ws('|', {joined})), 1, 8), 16, 10) AS DOUBLE) / 4294967296.0)"
 
 
+def node_hash_sql(*parts: str) -> str:
+    """md5 over ``parts`` joined by '|', as SQL expression text."""
+    return f"md5(concat_ws('|', {', '.join(f'CAST({p} AS STRING)' for p in parts)}))"
+
+
+def hash_draw_sql(hash_col: str, at: int) -> str:
+    """Draw in [0, 1) from the 8 hex digits of ``hash_col`` that begin at ``at`` (1-based)."""
+    return f"(CAST(conv(substr({hash_col}, {at}, 8), 16, 10) AS DOUBLE) / 4294967296.0)"
+
+
 def python_float_text(c: Column | str, decimals: int = 6) -> Column:
     """Render a double the way Python's ``str(float)`` does for the values alerts carry.
 

@@ -1,28 +1,11 @@
-"""Plan helpers: size-checked broadcast and lineage cuts."""
+"""Plan helper: lineage cuts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from metricwatch.session import ensure_checkpoint_dir
 
-# Rows above which a lookup side is joined by shuffle instead of broadcast. 2M rows of
-# (id, domain) strings is well under the 8 GB broadcast limit and a few hundred MB per executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1).count()``), so it never scans more than
-    ``max_rows + 1`` rows' worth of output. Above the bound the side is returned unchanged and the
-    join falls back to a shuffle join (with AQE free to re-plan at runtime).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Materialize ``df`` in the cluster's checkpoint folder (``spark.checkpoint.dir``).
 

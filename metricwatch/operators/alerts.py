@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricwatch.functions.columns import python_float_text
+from metricwatch.functions.plan import cut_lineage
 
 # Unified alert schema (the series key column is ``domain``).
 ALERT_SCHEMA = [
@@ -20,6 +21,7 @@ ALERT_COLUMNS = [c for c, _ in ALERT_SCHEMA]
 
 # Fixed values from the reference configuration.
 PRIORITY_THRESHOLDS = {"critical": 80.0, "high": 50.0, "medium": 25.0, "low": 10.0}
+PRIORITIES = ("critical", "high", "medium", "low")
 CHANNEL_MAIN = "alertas-marketing"
 CHANNEL_CRITICAL = "alertas-criticas"
 DAILY_CAP = 100
@@ -34,6 +36,9 @@ TYPE_WORDING = {
 }
 METHOD_WORDING = {"seasonal_mad": "STL+MAD", "iforest": "Isolation Forest", "missing_day": "Calendario",
                   "out_of_range": "Rango"}
+# Own choice: how quality alerts (missing days, values out of range) look on a MessageCard.
+QUALITY_COLOR = "7B1FA2"
+QUALITY_RULE_FACT = "Regla:"
 MULTIVARIATE_LABEL = "Multivariante"
 NA = "N/A"
 # Adaptive Card (L1) texts, in card order.
@@ -76,6 +81,9 @@ def prioritize(df: DataFrame, thresholds: dict[str, float] | None = None) -> Dat
     alerts without a magnitude (forest, range) take NULL.
     """
     t = thresholds or PRIORITY_THRESHOLDS
+    unknown = set(t) - set(PRIORITIES)
+    if unknown:
+        raise ValueError(f"priorities are {', '.join(PRIORITIES)}; not {', '.join(sorted(unknown))}")
     m = F.col("relative_magnitude")
     pr = F.when(F.col("method") == "missing_day", F.lit("critical"))
     for name, lo in sorted(t.items(), key=lambda kv: -kv[1]):
@@ -210,7 +218,12 @@ def message_card(df: DataFrame, wording: str = "local") -> DataFrame:
         fact(t["fact_metrics"], F.array_join(F.col("affected"), ", ")),
         fact(t["fact_date"], day_txt),
     )
-    color = F.when(is_if, lit(t["color_multi"])).when(is_spike, lit(t["color_spike"])).otherwise(lit(t["color_other"]))
+    is_quality = F.col("method").isin("missing_day", "out_of_range")
+    quality_facts = F.array(
+        fact(t["fact_metric"], F.coalesce(F.col("metric"), lit(NA))), fact(t["fact_date"], day_txt),
+        fact(QUALITY_RULE_FACT, F.col("params")), fact(t["fact_method"], F.coalesce(_method_text(), F.col("method"))),
+    )
+    color = F.when(is_if, lit(t["color_multi"])).when(is_quality, lit(QUALITY_COLOR)).when(is_spike, lit(t["color_spike"])).otherwise(lit(t["color_other"]))
     summary = F.when(is_if, lit(t["summary_multi"])).otherwise(
         F.concat(lit(t["summary_prefix"]), tipo, lit(t["summary_sep"]), F.coalesce(F.col("metric"), lit(NA))))
     title = F.when(is_if, lit(t["title_multi"])).otherwise(
@@ -220,7 +233,7 @@ def message_card(df: DataFrame, wording: str = "local") -> DataFrame:
         lit("MessageCard").alias("@type"), lit(t["context"]).alias("@context"),
         color.alias("themeColor"), summary.alias("summary"),
         F.array(F.struct(title.alias("activityTitle"),
-                         F.when(is_if, if_facts).otherwise(uni_facts).alias("facts"))).alias("sections"),
+                         F.when(is_if, if_facts).when(is_quality, quality_facts).otherwise(uni_facts).alias("facts"))).alias("sections"),
     )
     return df.withColumn("card", F.to_json(payload))
 
@@ -255,9 +268,10 @@ def run_report(gold: DataFrame, alerts: DataFrame, started_at: _dt.datetime | No
     )
     rep = rep.withColumn("gold_rows", F.coalesce(F.col("gold_rows"), F.lit(0).cast("bigint")))
     if started_at is not None:
-        start_us = int(started_at.timestamp() * 1_000_000)
-        rep = rep.withColumn("run_at", F.current_timestamp()).withColumn(
-            "run_seconds", (F.unix_micros(F.current_timestamp()) - F.lit(start_us)) / F.lit(1e6))
+        # the one row is made (with everything lazy behind it) before the clock is read
+        rep = cut_lineage(rep)
+        now = _dt.datetime.now(_dt.timezone.utc)
+        rep = rep.withColumn("run_at", F.lit(now)).withColumn("run_seconds", F.lit((now - started_at.astimezone(_dt.timezone.utc)).total_seconds()))
     return rep
 
 
@@ -265,4 +279,4 @@ def retain(df: DataFrame, cutoff, days: int = 30, order: str = "day") -> DataFra
     """Keep the last ``days`` days up to ``cutoff`` (older history is dropped)."""
     c = cutoff if isinstance(cutoff, Column) else F.lit(
         cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff)))
-    return df.filter(F.col(order) >= F.date_sub(c, days))
+    return df.filter(F.col(order).between(F.date_sub(c, days), c))

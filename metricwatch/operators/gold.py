@@ -8,27 +8,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricwatch.functions.plan import broadcast_if_small
 from metricwatch.sources.tables import DAY, DOMAIN, ID, account_dictionary, daily_sum
 
 GOLD_METRICS = ("spend", "leads", "sessions")
 
 
-def map_to_domain(df: DataFrame, dictionary: DataFrame, metrics: list[str] | tuple[str, ...],
-                  broadcast_rows: int | None = None) -> DataFrame:
+def map_to_domain(df: DataFrame, dictionary: DataFrame, metrics: list[str] | tuple[str, ...]) -> DataFrame:
     """C1 + D3/D4: attach the domain to account-day rows and sum each metric per (domain, day).
 
     Inner join: accounts missing from the dictionary (or with NULL ids) would get a NULL domain
     and be dropped by B7 anyway, so dropping them at the join is the same result and keeps them
-    out of the shuffle. Broadcast is decided by size: by default Spark's own checks (the planner's
-    size estimate against ``autoBroadcastJoinThreshold``, then AQE's measured shuffle size at
-    runtime), falling back to a sort-merge join; with ``broadcast_rows`` an explicit bounded row
-    count decides instead. The input is already one row per account and day, so a hot account
+    out of the shuffle. Broadcast is decided by size, by Spark's own checks (the planner's size
+    estimate against ``autoBroadcastJoinThreshold``, then AQE's measured shuffle size at runtime),
+    falling back to a sort-merge join. The input is already one row per account and day, so a hot account
     cannot skew the join.
     """
-    d = dictionary if broadcast_rows is None else broadcast_if_small(dictionary, broadcast_rows)
     return (
-        df.join(d, ID, "inner")
+        df.join(dictionary, ID, "inner")
         .groupBy(DOMAIN, DAY)
         .agg(*[F.sum(m).alias(m) for m in metrics])
     )
@@ -55,8 +51,7 @@ def build_gold(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: Da
                cutoff: Column | str | _dt.date, days: int = 65, *,
                web_cols: tuple[str, str, str, str] = ("propertyID", "date", "TotalConversions", "TotalSessions"),
                ads_cols: tuple[str, str, str] = ("account_id", "date", "spend_gbp"),
-               dict_cols: tuple[str, str] = ("AccountID", "domain"),
-               broadcast_rows: int | None = None) -> DataFrame:
+               dict_cols: tuple[str, str] = ("AccountID", "domain")) -> DataFrame:
     """The whole ETL as one lazy plan: (domain, day, spend, leads, sessions), bigint metrics.
 
     Each source is first summed per account-day on its own (B14 truncates each source
@@ -77,5 +72,5 @@ def build_gold(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: Da
         ads.select(ID, DAY, "spend", none.alias("leads"), none.alias("sessions")),
         web.select(ID, DAY, none.alias("spend"), "leads", "sessions"),
     )
-    summed = map_to_domain(rows, dictionary, list(GOLD_METRICS), broadcast_rows)
+    summed = map_to_domain(rows, dictionary, list(GOLD_METRICS))
     return summed.select(DOMAIN, DAY, *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in GOLD_METRICS])

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import unit_draw_sql
+from metricwatch.functions.columns import hash_draw_sql, node_hash_sql, unit_draw_sql
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -34,23 +34,17 @@ def avg_path_length(n: Column) -> Column:
     return F.when(n <= 1, F.lit(0.0)).when(n == 2, F.lit(1.0)).otherwise(general)
 
 
-def depth_limit(psi: Column) -> Column:
-    """ceil(log2(max(psi, 2))) computed exactly as the bit length of max(psi, 2) - 1."""
-    return F.length(F.bin(F.greatest(psi, F.lit(2)).cast("bigint") - 1))
-
-
 def standardize_columns(df: DataFrame, key: list[str], features: list[str], prefix: str = "") -> DataFrame:
     """(x - mean) / population std per series (NULL -> 0 first); a constant feature becomes 0.
 
     Writes ``prefix + feature``; with the default empty prefix the features are replaced.
     """
     w = Window.partitionBy(*key)
-    out = df
-    for f in features:
+    def scaled(f: str) -> Column:
         x = F.coalesce(F.col(f).cast("double"), F.lit(0.0))
         sd = F.stddev_pop(x).over(w)
-        out = out.withColumn(prefix + f, F.when(sd > 0, (x - F.avg(x).over(w)) / sd).otherwise(F.lit(0.0)))
-    return out
+        return F.when(sd > 0, (x - F.avg(x).over(w)) / sd).otherwise(F.lit(0.0))
+    return df.withColumns({prefix + f: scaled(f) for f in features})  # one select, one Window operator
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -61,16 +55,9 @@ def _shuffle_partitions(df: DataFrame) -> int:
         return df.sparkSession.sparkContext.defaultParallelism
 
 
-def default_levels(sample: int, max_rows: int | None = None) -> int:
-    """Number of split levels to plan: ceil(log2(min(sample, max_rows)))."""
-    psi = sample if max_rows is None else min(sample, max_rows)
-    return max(1, math.ceil(math.log2(max(psi, 2))))
-
-
 def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str],
                    trees: int = 100, sample: int = 256, seed: int = 42,
-                   levels: int | None = None, carry: list[str] | tuple[str, ...] = (),
-                   max_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+                   carry: list[str] | tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
     """F8 + F9: anomaly score in (0, 1] for every row of every series, higher = stranger.
 
     Features are doubles with NULL -> 0 (B6). Each tree is grown on ``min(n, sample)`` rows of
@@ -78,11 +65,9 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     ceil(log2(psi)); every row, sampled or not, is routed through the tree. Path length =
     depth + c(leaf size); score = 2^(-mean path / c(psi)).
 
-    ``max_rows`` is the longest series the caller expects (e.g. the analysis window length).
-    It sizes the plan: ``levels`` defaults to ceil(log2(min(sample, max_rows))), and when
-    ``max_rows <= sample`` the per-tree subsampling sort is left out (every row is in every
-    tree's sample). A longer series then fails the job instead of being scored wrongly.
-    ``levels`` may also be given directly; it must be at least the largest depth limit.
+    ``sample`` is the method's published parameter; with it the largest depth limit is
+    ceil(log2(sample)), so that many levels are planned and a series of any length is scored.
+    Rows are numbered within their series first: rows that repeat day and features keep a score each.
 
     ``partitions`` fixes the number of partitions of the key exchange (default: the session's
     ``spark.sql.shuffle.partitions``). The input of that exchange is small in bytes but each row
@@ -92,7 +77,7 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
 
     Returns key..., order, features..., carry..., ``n``, ``psi``, ``mean_path``, ``score``.
     """
-    levels = levels or default_levels(sample, max_rows)
+    levels = max(1, math.ceil(math.log2(max(sample, 2))))
     q = lambda c: f"`{c}`"
     ks = ", ".join(q(c) for c in key)
     feats = [q(f) for f in features]
@@ -106,18 +91,16 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     # The only exchange of the plan: hash on the series key, on the un-replicated rows.
     base = base.repartition(partitions or _shuffle_partitions(df), *key)
     base = base.selectExpr("*", f"count(1) OVER (PARTITION BY {ks}) AS n")
-    if max_rows is not None:
-        base = base.selectExpr(*[q(c) for c in base.columns if c != "n"],
-                               f"CASE WHEN n > {int(max_rows)} THEN raise_error('iforest: series longer than "
-                               f"max_rows={int(max_rows)}') ELSE n END AS n")
+    base = base.selectExpr("*", f"row_number() OVER (PARTITION BY {ks} ORDER BY {', '.join([q(order), *feats])}) AS _row")
     x = base.selectExpr(
         "*", f"least(n, {int(sample)}) AS psi",
         f"length(bin(CAST(greatest(least(n, {int(sample)}), 2) AS BIGINT) - 1)) AS _limit",
         f"explode(sequence(0, {int(trees) - 1})) AS tree")
-    keep = [*[q(c) for c in key], q(order), *feats, *[q(c) for c in carry], "n", "psi", "_limit", "tree"]
-    sample_rank = (f"row_number() OVER (PARTITION BY {ks}, tree ORDER BY "
-                   f"{draw(str(int(seed)), *[q(c) for c in key], 'tree', q(order), repr('s'))}, {q(order)})")
-    in_expr = "true" if max_rows is not None and max_rows <= sample else f"(n <= {int(sample)} OR {sample_rank} <= {int(sample)})"
+    keep = [*[q(c) for c in key], q(order), *feats, *[q(c) for c in carry], "n", "_row", "psi", "_limit", "tree"]
+    # rows of a series within the sample are all drawn: no hash for them
+    sample_rank = (f"row_number() OVER (PARTITION BY {ks}, tree ORDER BY CASE WHEN n > {int(sample)} THEN "
+                   f"{draw(str(int(seed)), *[q(c) for c in key], 'tree', q(order), repr('s'))} END, _row)")
+    in_expr = f"(n <= {int(sample)} OR {sample_rank} <= {int(sample)})"
     x = x.selectExpr(*keep, f"{in_expr} AS _in",
                      "CAST(1 AS BIGINT) AS _node", "0 AS _depth", "false AS _done", "CAST(NULL AS BIGINT) AS _leaf")
     keep = keep + ["_in"]
@@ -126,8 +109,8 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     spread = [f"(_mx{i} > _mn{i})" for i in range(len(features))]
     n_spread = "(" + " + ".join(f"CAST({sp} AS INT)" for sp in spread) + ")"
     stop = f"(_done OR _cnt <= 1 OR _depth >= _limit OR {n_spread} = 0)"
-    pick_draw = draw(str(int(seed)), *[q(c) for c in key], "tree", "_node", repr("f"))
-    u = draw(str(int(seed)), *[q(c) for c in key], "tree", "_node", repr("t"))
+    # both draws of a node come from one hash: its first and its next 32 bits
+    node_hash = node_hash_sql(str(int(seed)), *[q(c) for c in key], "tree", "_node")
     # the split feature is the pick-th feature that has spread in the node
     branches, before = [], "0"
     for i, f in enumerate(feats):
@@ -139,11 +122,10 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     stats += [f"max(CASE WHEN _in THEN {f} END) {w_node} AS _mx{i}" for i, f in enumerate(feats)]
     for _ in range(levels):
         # One Window operator per level: node size and per-feature min/max over the sampled rows.
-        # The node's split draws depend only on (seed, series, tree, node), so they are computed
-        # in the same select (skipped for rows already settled).
-        x = x.selectExpr(*keep, *state, *stats,
-                         f"CASE WHEN _done THEN NULL ELSE {pick_draw} END AS _pd",
-                         f"CASE WHEN _done THEN NULL ELSE {u} END AS _u")
+        # The node's split draws depend only on (seed, series, tree, node); settled rows need none.
+        x = x.selectExpr(*keep, *state, *stats, f"CASE WHEN NOT _done THEN {node_hash} END AS _h")
+        x = x.selectExpr(*keep, *state, *[f"_{m}{i}" for m in ("mn", "mx") for i in range(len(feats))], "_cnt",
+                         f"{hash_draw_sql('_h', 1)} AS _pd", f"{hash_draw_sql('_h', 9)} AS _u")
         x = x.selectExpr(
             *keep,
             f"CASE WHEN {stop} THEN _node ELSE _node * 2 + CAST({right} AS BIGINT) END AS _node",
@@ -157,7 +139,8 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     x = x.select(*[F.col(c.strip("`")) for c in keep],
                  (F.col("_depth").cast("double") + avg_path_length(F.col("_leaf"))).alias("_path"))
 
-    scored = x.groupBy(*key, order, *features, *carry, "n", "psi").agg(F.avg("_path").alias("mean_path"))
+    scored = x.groupBy(*key, "_row").agg(*[F.first(c).alias(c) for c in (order, *features, *carry, "n", "psi")],
+                                         F.avg("_path").alias("mean_path")).drop("_row")
     return scored.withColumn("score", F.pow(F.lit(2.0), -F.col("mean_path") / avg_path_length(F.col("psi"))))
 
 
@@ -165,7 +148,6 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
                    contamination: float = 0.01, min_rows: int = 10, latest_only: bool = False,
                    cutoff=None, percentile: float | None = None, standardize: bool = False,
                    trees: int = 100, sample: int = 256, seed: int = 42,
-                   levels: int | None = None, max_rows: int | None = None,
                    partitions: int | None = None) -> DataFrame:
     """F10-F12 (+ D12, F14, F15, B9-B11): rows whose score is strictly above the cut-off.
 
@@ -186,11 +168,10 @@ def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str
     if standardize:
         z = [f"_z_{f}" for f in features]
         s = iforest_scores(standardize_columns(raw, key, features, prefix="_z_"), key, order, z, trees=trees,
-                           sample=sample, seed=seed, levels=levels, carry=features, max_rows=max_rows,
-                           partitions=partitions)
+                           sample=sample, seed=seed, carry=features, partitions=partitions)
     else:
-        s = iforest_scores(raw, key, order, features, trees=trees, sample=sample, seed=seed, levels=levels,
-                           max_rows=max_rows, partitions=partitions)
+        s = iforest_scores(raw, key, order, features, trees=trees, sample=sample, seed=seed,
+                           partitions=partitions)
     q = 1.0 - contamination if percentile is None else percentile / 100.0
     bq = lambda c: f"`{c}`"
     ks = ", ".join(bq(c) for c in key)

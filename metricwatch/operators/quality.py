@@ -58,11 +58,10 @@ def range_alerts(long: DataFrame, rules: DataFrame, key: list[str] | None = None
                  order: str = "day", metric_col: str = "metric", value_col: str = "value") -> DataFrame:
     """long-form rows whose value lies outside [lo, hi] of their metric's rule.
 
-    The rules table is a handful of rows built from configuration, so it is broadcast; the
-    long-form side is never shuffled.
+    No hint: Spark broadcasts a small rules table by its size and shuffles for a large one.
     """
     key = key or ["domain"]
-    j = long.join(F.broadcast(rules), metric_col, "inner")
+    j = long.join(rules, metric_col, "inner")
     bad = j.filter(~F.col(value_col).between(F.col("lo"), F.col("hi")))
     return bad.select(
         *[F.col(c) for c in key if c != metric_col],

@@ -22,12 +22,6 @@ def to_long(df: DataFrame, ids: list[str], metrics: list[str] | tuple[str, ...],
     return cast.unpivot(ids, list(metrics), metric_col, value_col)
 
 
-def with_position(df: DataFrame, key: list[str], order: str, pos: str = POS) -> DataFrame:
-    """0-based row index by ``order`` within each series (positions count rows, not days)."""
-    w = Window.partitionBy(*key).orderBy(F.col(order))
-    return df.withColumn(pos, (F.row_number().over(w) - 1).cast("bigint"))
-
-
 def calendar_fill(df: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
     """Add the missing calendar days between each series' first and last day with value 0.
 

@@ -25,9 +25,9 @@ def _in_window(col: str, cutoff: str = CUTOFF, days: int = DAYS) -> str:
     return f"CAST({col} AS DATE) BETWEEN CAST('{cutoff}' AS DATE) - {days} AND CAST('{cutoff}' AS DATE)"
 
 
-def _draw(*parts: str) -> str:
+def _draw(*parts: str, at: int = 1) -> str:
     joined = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"(CAST(('0x' || substr(md5(concat_ws('|', {joined})), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(('0x' || substr(md5(concat_ws('|', {joined})), {at}, 8)) AS BIGINT) / 4294967296.0)"
 
 
 # ---------------------------------------------------------------- fixture inputs
@@ -179,15 +179,16 @@ def mad_sql(src: str, key: list[str], k_mult: float, name: str = "mad", min_rows
 
 # ---------------------------------------------------------------- isolation forest
 def iforest_sql(src: str, key: list[str], order: str, features: list[str], name: str = "ifo",
-                trees: int = 100, sample: int = 256, seed: int = 42, levels: int | None = None) -> str:
+                trees: int = 100, sample: int = 256, seed: int = 42) -> str:
     """CTEs ending in ``{name}``: (key, order, features, n, psi, mean_path, score)."""
-    levels = levels or max(1, math.ceil(math.log2(max(sample, 2))))
+    levels = max(1, math.ceil(math.log2(max(sample, 2))))
     k = ", ".join(key)
     feats = ", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in features)
     fl = ", ".join(features)
     ctes = [f"""
 {name}_b AS (
-  SELECT {k}, {order}, {feats}, count(*) OVER (PARTITION BY {k}) AS n FROM {src}
+  SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {order}, {fl}) AS _row
+  FROM (SELECT {k}, {order}, {feats}, count(*) OVER (PARTITION BY {k}) AS n FROM {src})
 ),
 {name}_x AS (
   SELECT *, least(n, {sample}) AS psi,
@@ -196,11 +197,11 @@ def iforest_sql(src: str, key: list[str], order: str, features: list[str], name:
   FROM {name}_b, (SELECT CAST(range AS INTEGER) AS tree FROM range({trees})) t
 ),
 {name}_0 AS (
-  SELECT *, (n <= {sample} OR row_number() OVER (PARTITION BY {k}, tree ORDER BY {_draw(str(seed), *key, 'tree', order, "'s'")}, {order}) <= {sample}) AS _in,
+  SELECT *, (n <= {sample} OR row_number() OVER (PARTITION BY {k}, tree ORDER BY {_draw(str(seed), *key, 'tree', order, "'s'")}, _row) <= {sample}) AS _in,
          CAST(1 AS BIGINT) AS _node, 0 AS _depth, false AS _done, CAST(NULL AS BIGINT) AS _leaf
   FROM {name}_x
 )"""]
-    base_cols = f"{k}, {order}, {fl}, n, psi, _limit, tree, _in"
+    base_cols = f"{k}, {order}, {fl}, n, _row, psi, _limit, tree, _in"
     for lvl in range(levels):
         prev, st, nx = f"{name}_{lvl}", f"{name}_{lvl}s", f"{name}_{lvl + 1}"
         stats = ",\n         ".join(
@@ -208,8 +209,8 @@ def iforest_sql(src: str, key: list[str], order: str, features: list[str], name:
             for i, f in enumerate(features))
         spread = [f"(_mx{i} > _mn{i})" for i in range(len(features))]
         nsp = " + ".join(f"CAST({s} AS INTEGER)" for s in spread)
-        pick = f"floor({_draw(str(seed), *key, 'tree', '_node', repr('f'))} * ({nsp}))"
-        u = _draw(str(seed), *key, "tree", "_node", "'t'")
+        pick = f"floor({_draw(str(seed), *key, 'tree', '_node')} * ({nsp}))"
+        u = _draw(str(seed), *key, "tree", "_node", at=9)
         # right-hand branch test: the pick-th feature with spread
         cases = []
         before = "0"
@@ -245,7 +246,7 @@ def iforest_sql(src: str, key: list[str], order: str, features: list[str], name:
 ),
 {name}_p AS (
   SELECT {k}, {order}, {fl}, n, psi, avg(_depth + {c_leaf}) AS mean_path
-  FROM {name}_l GROUP BY {k}, {order}, {fl}, n, psi
+  FROM {name}_l GROUP BY {k}, {order}, {fl}, n, _row, psi
 ),
 {name} AS (
   SELECT *, pow(2.0, -mean_path / ({c_psi})) AS score FROM {name}_p

@@ -32,8 +32,6 @@ SQL["gold_daily"] = with_(ALL_GOLD) + "\nSELECT domain, day, spend, leads, sessi
 # ------------------------------------------------------------------ series and detectors
 from metricwatch.plans.oracle import EVENTS_DAILY, GOLD_LONG, decompose_sql, iforest_sql, mad_sql  # noqa: E402
 
-_EV_LEVELS = 5    # ceil(log2(30)): events span 30 days
-_GOLD_LEVELS = 7  # ceil(log2(66))
 _FEATS = ["events", "value_sum", "users"]
 _GOLD_FEATS = ["spend", "leads", "sessions"]
 
@@ -75,12 +73,12 @@ SQL["mad_alerts_latest"] = with_(ALL_GOLD, GOLD_LONG, _FRESH, decompose_sql("fre
                                  mad_sql("dec", ["domain", "metric"], 1.0)) + _ALERT_SELECT.format(
     params="MAD=1.0", extra=" AND pos = n - 1")
 
-SQL["iforest_scores"] = with_(EVENTS_DAILY, iforest_sql("ev", ["event_type"], "day", _FEATS, levels=_EV_LEVELS)) + f"""
+SQL["iforest_scores"] = with_(EVENTS_DAILY, iforest_sql("ev", ["event_type"], "day", _FEATS)) + f"""
 SELECT event_type, day, events, {_r('value_sum')}, users, n, psi, {_r('mean_path')}, {_r('score')} FROM ifo"""
 
 
 def _forest_alerts(q: float, params: str) -> str:
-    return with_(EVENTS_DAILY, iforest_sql("ev", ["event_type"], "day", _FEATS, levels=_EV_LEVELS)) + f""",
+    return with_(EVENTS_DAILY, iforest_sql("ev", ["event_type"], "day", _FEATS)) + f""",
 th AS (SELECT *, quantile_cont(score, {q}) OVER (PARTITION BY event_type) AS q FROM ifo WHERE n >= 10)
 SELECT event_type, day, 'iforest' AS method, 'irregular' AS type, round(score - q, 4) AS score,
        'events,value_sum,users' AS affected, CAST(events AS DOUBLE) AS ctx_events,
@@ -91,9 +89,9 @@ FROM th WHERE score > q"""
 SQL["iforest_alerts"] = _forest_alerts(0.95, "Contam=0.05")
 SQL["score_p99"] = _forest_alerts(0.99, "P99.0")
 
-SQL["iforest_latest"] = with_(ALL_GOLD, f"""
+SQL["iforest_latest_rank"] = with_(ALL_GOLD, f"""
 g AS (SELECT * FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))""",
-                              iforest_sql("g", ["domain"], "day", _GOLD_FEATS, levels=_GOLD_LEVELS)) + f""",
+                              iforest_sql("g", ["domain"], "day", _GOLD_FEATS)) + f""",
 r AS (
   SELECT *, quantile_cont(score, 0.8) OVER (PARTITION BY domain) AS cutoff_score,
          CAST(rank() OVER (PARTITION BY domain ORDER BY score DESC) AS BIGINT) AS score_rank,
@@ -103,6 +101,24 @@ r AS (
 SELECT domain, day, n, {_r('score')}, {_r('cutoff_score')}, score_rank, score > cutoff_score AS is_alert
 FROM r WHERE day = _last AND day = CAST('{CUTOFF}' AS DATE)"""
 
+SQL["iforest_latest"] = with_(ALL_GOLD, f"""
+g AS (
+  SELECT * FROM (SELECT *, max(day) OVER (PARTITION BY domain) AS _last FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))
+  WHERE _last = CAST('{CUTOFF}' AS DATE)
+)""", iforest_sql("g", ["domain"], "day", _GOLD_FEATS)) + f"""
+SELECT domain, day, 'iforest' AS method, 'irregular' AS type, CAST(NULL AS DOUBLE) AS score, 'spend,leads,sessions' AS affected,
+       spend AS ctx_spend, leads AS ctx_leads, sessions AS ctx_sessions, 'Contam=0.4' AS params
+FROM (SELECT *, quantile_cont(score, 0.6) OVER (PARTITION BY domain) AS q FROM ifo WHERE n >= 20)
+WHERE score > q AND day = CAST('{CUTOFF}' AS DATE)"""
+
+SQL["iforest_long"] = with_("""
+daily AS (
+  SELECT n_regionkey AS region, CAST(o_orderdate AS DATE) AS day, count(*) AS orders,
+         sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2
+)""", iforest_sql("daily", ["region"], "day", ["orders", "revenue"], trees=20)) + f"""
+SELECT region, day, orders, round(revenue, 2) AS revenue, n, psi, {_r('mean_path')}, {_r('score')} FROM ifo"""
+
 SQL["anscombe"] = with_(EVENTS_DAILY, """
 eva AS (SELECT *, 2.0 * sqrt(CAST(events AS DOUBLE) + 0.375) AS value FROM ev)""",
                         decompose_sql("eva", ["event_type"], "day", "value")) + f"""
@@ -141,15 +157,19 @@ SQL["range_alerts"] = with_(ALL_GOLD, GOLD_LONG, _RULES) + """
 SELECT g.domain, g.day, g.metric, 'out_of_range' AS method, 'range' AS type, g.value, r.lo AS ctx_lo, r.hi AS ctx_hi
 FROM gold_long g JOIN rules r ON g.metric = r.metric WHERE NOT (g.value BETWEEN r.lo AND r.hi)"""
 
-SQL["duplicate_days"] = with_(ADS_RAW) + """
-SELECT account_id, CAST(date AS DATE) AS day, count(*) AS rows
-FROM ads_raw WHERE source = 'a' GROUP BY 1, 2 HAVING count(*) > 1"""
+_INPUTS = with_(WEB_RAW, ADS_RAW, """
+inputs AS (
+  SELECT 'web' AS input, propertyID AS account, CAST(date AS DATE) AS day FROM web_raw
+  UNION ALL SELECT 'ads_' || source, account_id, CAST(date AS DATE) FROM ads_raw
+),
+per AS (SELECT input, account, day, count(*) AS c FROM inputs GROUP BY 1, 2, 3)""")
+
+SQL["duplicate_days"] = _INPUTS + "\nSELECT input, account, day, c AS rows FROM per WHERE c > 1"
 
-SQL["validate"] = with_(ADS_RAW, """
-per AS (SELECT account_id, CAST(date AS DATE) AS day, count(*) AS c FROM ads_raw WHERE source = 'a' GROUP BY 1, 2)""") + """
-SELECT '' AS missing_columns, coalesce(sum(c), 0) = 0 AS is_empty, CAST(coalesce(sum(c), 0) AS BIGINT) AS rows,
+SQL["validate"] = _INPUTS + """
+SELECT i.input, '' AS missing_columns, coalesce(sum(c), 0) = 0 AS is_empty, CAST(coalesce(sum(c), 0) AS BIGINT) AS rows,
        CAST(count(*) FILTER (WHERE c > 1) AS BIGINT) AS duplicate_days, coalesce(sum(c), 0) > 0 AS valid
-FROM per"""
+FROM (VALUES ('web'), ('ads_a'), ('ads_b')) i(input) LEFT JOIN per ON per.input = i.input GROUP BY 1"""
 
 SQL["series_status"] = f"""
 WITH s AS (
@@ -166,7 +186,7 @@ FROM s GROUP BY domain"""
 # ------------------------------------------------------------------ alerts
 _FUSED_CTES = with_(ALL_GOLD, GOLD_LONG, decompose_sql("gold_long", ["domain", "metric"], "day", "value"),
                     mad_sql("dec", ["domain", "metric"], 3.2),
-                    iforest_sql("gold", ["domain"], "day", _GOLD_FEATS, levels=_GOLD_LEVELS), _RULES) + f""",
+                    iforest_sql("gold", ["domain"], "day", _GOLD_FEATS), _RULES) + f""",
 uni AS (
   SELECT domain, day, metric, 'seasonal_mad' AS method, CASE WHEN resid > 0 THEN 'spike' ELSE 'drop' END AS type,
          _y AS value, round(abs(resid) / mad, 2) AS score,
@@ -282,7 +302,7 @@ SQL["message_card"] = _FUSED_CTES + f""",
 cards AS (
   SELECT *, json_object(
       '@type', 'MessageCard', '@context', 'http://schema.org/extensions',
-      'themeColor', CASE WHEN method = 'iforest' THEN 'FF0000' WHEN type = 'spike' THEN 'FFA500' ELSE '008000' END,
+      'themeColor', CASE WHEN method = 'iforest' THEN 'FF0000' WHEN method IN ('missing_day', 'out_of_range') THEN '7B1FA2' WHEN type = 'spike' THEN 'FFA500' ELSE '008000' END,
       'summary', CASE WHEN method = 'iforest' THEN 'Alerta - Patrón Multivariante'
                       ELSE 'Alerta - ' || ({_LOCAL_WORDS}) || ' - ' || coalesce(metric, 'N/A') END,
       'sections', json_array(json_object(
@@ -293,6 +313,11 @@ cards AS (
                         json_object('name', 'Score:', 'value', coalesce({_pytext('score')}, 'N/A')),
                         json_object('name', 'Métricas:', 'value', replace(affected, ',', ', ')),
                         json_object('name', 'Fecha:', 'value', strftime(day, '%Y-%m-%d')))
+                      WHEN method IN ('missing_day', 'out_of_range') THEN json_array(
+                        json_object('name', 'Métrica:', 'value', coalesce(metric, 'N/A')),
+                        json_object('name', 'Fecha:', 'value', strftime(day, '%Y-%m-%d')),
+                        json_object('name', 'Regla:', 'value', params),
+                        json_object('name', 'Método:', 'value', {_METHOD_WORDS}))
                       ELSE json_array(
                         json_object('name', 'Métrica:', 'value', coalesce(metric, 'N/A')),
                         json_object('name', 'Fecha:', 'value', strftime(day, '%Y-%m-%d')),
@@ -347,28 +372,48 @@ FROM fused"""
 SQL["retain"] = _FUSED_CTES + f"""
 SELECT {_FUSED_COLS} FROM fused WHERE day >= CAST('{CUTOFF}' AS DATE) - 30"""
 
-SQL["daily_alerts"] = with_(ALL_GOLD, GOLD_LONG, _FRESH, decompose_sql("fresh", ["domain", "metric"], "day", "value"),
-                            mad_sql("dec", ["domain", "metric"], 3.5), f"""
+
+
+def _daily(k: float, contamination: float, level: str) -> str:
+    """The DAILY job: both detectors on fresh series, missing days and ranges of the cutoff day."""
+    return with_(ALL_GOLD.replace("r.r_name", level), GOLD_LONG, _FRESH, decompose_sql("fresh", ["domain", "metric"], "day", "value"),
+                 mad_sql("dec", ["domain", "metric"], k), f"""
 gfresh AS (
   SELECT * FROM (SELECT *, max(day) OVER (PARTITION BY domain) AS _last FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))
   WHERE _last = CAST('{CUTOFF}' AS DATE)
-)""", iforest_sql("gfresh", ["domain"], "day", _GOLD_FEATS, levels=_GOLD_LEVELS)) + f""",
+)""", iforest_sql("gfresh", ["domain"], "day", _GOLD_FEATS), _RULES) + f""",
 uni AS (
   SELECT domain, day, metric, 'seasonal_mad' AS method, CASE WHEN resid > 0 THEN 'spike' ELSE 'drop' END AS type,
          _y AS value, round(abs(resid) / mad, 2) AS score,
          CASE WHEN series_mean <> 0 THEN round(abs(resid) / series_mean * 100.0, 2) ELSE 0.0 END AS relative_magnitude,
-         metric AS affected, 'MAD=3.5' AS params
+         metric AS affected, 'MAD={k}' AS params
   FROM mad WHERE (resid > upper OR resid < lower) AND pos = n - 1
 ),
 multi AS (
   SELECT domain, day, CAST(NULL AS VARCHAR) AS metric, 'iforest' AS method, 'irregular' AS type,
          CAST(NULL AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS DOUBLE) AS relative_magnitude,
-         'spend,leads,sessions' AS affected, 'Contam=0.01' AS params
-  FROM (SELECT *, quantile_cont(score, 0.99) OVER (PARTITION BY domain) AS q,
+         'spend,leads,sessions' AS affected, 'Contam={contamination}' AS params
+  FROM (SELECT *, quantile_cont(score, {1.0 - contamination!r}) OVER (PARTITION BY domain) AS q,
                max(day) OVER (PARTITION BY domain) AS _l FROM ifo WHERE n >= 20)
   WHERE score > q AND day = _l
+),
+dark AS (
+  SELECT DISTINCT domain, CAST('{CUTOFF}' AS DATE) AS day, CAST(NULL AS VARCHAR) AS metric, 'missing_day' AS method, 'missing' AS type,
+         CAST(NULL AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS DOUBLE) AS relative_magnitude,
+         '' AS affected, 'tolerance=0' AS params
+  FROM dict WHERE domain NOT IN (SELECT domain FROM gold WHERE day = CAST('{CUTOFF}' AS DATE))
+),
+outside AS (
+  SELECT domain, day, metric, 'out_of_range' AS method, 'range' AS type, value, CAST(NULL AS DOUBLE) AS score,
+         CAST(NULL AS DOUBLE) AS relative_magnitude, metric AS affected, 'range=[' || lo || ', ' || hi || ']' AS params
+  FROM gold_long JOIN rules USING (metric) WHERE NOT (value BETWEEN lo AND hi) AND day = CAST('{CUTOFF}' AS DATE)
 )
-SELECT {_FUSED_COLS} FROM uni UNION ALL SELECT {_FUSED_COLS} FROM multi"""
+SELECT {_FUSED_COLS} FROM uni UNION ALL SELECT {_FUSED_COLS} FROM multi UNION ALL SELECT {_FUSED_COLS} FROM dark
+UNION ALL SELECT {_FUSED_COLS} FROM outside"""
+
+
+SQL["daily_alerts"] = _daily(3.5, 0.01, "r.r_name")
+SQL["daily_alerts_sensitive"] = _daily(1.0, 0.2, "n.n_name")
 
 SQL["cutoff_day"] = """
 SELECT event_id, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Bogota' AS DATE) - 1 AS cutoff FROM events"""

@@ -109,8 +109,6 @@ def q_gold_daily(spark: SparkSession, d: str) -> DataFrame:
 K_LOCAL = 3.2
 K_LATEST = 1.0              # with the configured 3.5 (or 2.0) almost no domain is flagged at sf0.01
 EVENT_KEY = ["event_type"]
-EVENT_DAYS = 30            # the events table spans 30 days
-GOLD_DAYS = fx.DAYS + 1
 
 
 def gold_long(spark: SparkSession, d: str) -> DataFrame:
@@ -161,7 +159,7 @@ def q_mad_alerts_latest(spark: SparkSession, d: str) -> DataFrame:
 
 def q_iforest_scores(spark: SparkSession, d: str) -> DataFrame:
     """Forest scores of (events, value_sum, users) per event type and day."""
-    s = iforest_scores(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, max_rows=EVENT_DAYS)
+    s = iforest_scores(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES)
     return s.select("event_type", "day", "events", _r("value_sum"), "users", "n", "psi",
                     _r("mean_path"), _r("score"))
 
@@ -176,23 +174,42 @@ def _forest_alert_out(a: DataFrame) -> DataFrame:
 
 def q_iforest_alerts(spark: SparkSession, d: str) -> DataFrame:
     """Rows above the contamination cut-off (0.05), with their context values."""
-    a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, contamination=0.05,
-                       max_rows=EVENT_DAYS)
+    a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, contamination=0.05)
     return _forest_alert_out(a)
 
 
 def q_score_p99(spark: SparkSession, d: str) -> DataFrame:
     """rows above the 99th percentile of their series' scores."""
-    a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, percentile=99.0,
-                       max_rows=EVENT_DAYS)
+    a = iforest_alerts(fx.events_daily(spark, d), EVENT_KEY, "day", fx.EVENTS_FEATURES, percentile=99.0)
     return _forest_alert_out(a)
 
 
 def q_iforest_latest(spark: SparkSession, d: str) -> DataFrame:
-    """The cutoff day of each gold domain (contamination 0.2, >= 20 rows): its score,
+    """The cutoff day of each gold domain whose score is above the cut-off (contamination 0.4,
+    so that a domain is flagged at every size), through the DAILY branch of the operator."""
+    a = iforest_alerts(gold(spark, d), ["domain"], "day", list(GOLD_METRICS), contamination=0.4, min_rows=20,
+                       latest_only=True, cutoff=fx.CUTOFF)
+    ctx = [F.col("context")[m].alias(f"ctx_{m}") for m in GOLD_METRICS]
+    return a.select("domain", "day", "method", "type", "score", F.array_join("affected", ",").alias("affected"), *ctx, "params")
+
+
+def q_iforest_long(spark: SparkSession, d: str) -> DataFrame:
+    """F8, F9 on series longer than a tree's sample: daily orders and revenue per region over all days."""
+    o = fx.table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = fx.table(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    daily = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+             .groupBy(F.col("n_regionkey").alias("region"), F.to_date("o_orderdate").alias("day"))
+             .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue")))
+    s = iforest_scores(daily, ["region"], "day", ["orders", "revenue"], trees=20)
+    return s.select("region", "day", "orders", _r("revenue", 2), "n", "psi", _r("mean_path"), _r("score"))
+
+
+def q_iforest_latest_rank(spark: SparkSession, d: str) -> DataFrame:
+    """The cutoff day of each gold domain (contamination 0.2, >= 20 rows): its score,
     the cut-off, the rank of its score in the series and the verdict."""
     g = gold(spark, d).filter(F.col("day") <= F.lit(fx.CUTOFF))
-    s = iforest_scores(g, ["domain"], "day", list(GOLD_METRICS), max_rows=GOLD_DAYS)
+    s = iforest_scores(g, ["domain"], "day", list(GOLD_METRICS))
     w = Window.partitionBy("domain")
     s = (s.filter(F.col("n") >= 20)
          .withColumn("cutoff_score", F.percentile("score", F.lit(0.8)).over(w))
@@ -240,18 +257,25 @@ def q_range_alerts(spark: SparkSession, d: str) -> DataFrame:
                     F.col("context")["lo"].alias("ctx_lo"), F.col("context")["hi"].alias("ctx_hi"))
 
 
-def _ads_a_days(spark: SparkSession, d: str) -> DataFrame:
-    return fx.ads_raw(spark, d, "a").withColumn("day", F.to_date("date"))
+def _inputs(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, list[str], str]]:
+    """Every raw input with its day: name -> (rows, required columns, key)."""
+    with_day = lambda df: df.withColumn("day", F.to_date("date"))
+    ads = ["account_id", "date", "spend_gbp"]
+    return {"web": (with_day(fx.web_raw(spark, d)), ["propertyID", "date", "TotalConversions", "TotalSessions"], "propertyID"),
+            "ads_a": (with_day(fx.ads_raw(spark, d, "a")), ads, "account_id"),
+            "ads_b": (with_day(fx.ads_raw(spark, d, "b")), ads, "account_id")}
 
 
 def q_duplicate_days(spark: SparkSession, d: str) -> DataFrame:
-    """(account, day) pairs of ads source A that occur more than once."""
-    return duplicate_days(_ads_a_days(spark, d), ["account_id"], "day")
+    """Per input the (account, day) pairs that occur more than once."""
+    return union_sources(*[duplicate_days(df.withColumnRenamed(key, "account"), ["account"], "day").withColumn("input", F.lit(name))
+                           for name, (df, _, key) in _inputs(spark, d).items()]).select("input", "account", "day", "rows")
 
 
 def q_validate(spark: SparkSession, d: str) -> DataFrame:
-    """Required columns, emptiness and repeated days of ads source A, one row."""
-    return validate(_ads_a_days(spark, d), ["account_id", "date", "spend_gbp"], ["account_id"], "day")
+    """Per input the required columns, emptiness and repeated days, one row each."""
+    return union_sources(*[validate(df, required, [key], "day").withColumn("input", F.lit(name))
+                           for name, (df, required, key) in _inputs(spark, d).items()])
 
 
 def q_series_status(spark: SparkSession, d: str) -> DataFrame:
@@ -282,7 +306,7 @@ def fused_with_gold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     # share one computation of it: materialize it once in the checkpoint folder instead.
     g = cut_lineage(gold(spark, d))
     domains = _dictionary(spark, d).select("domain").distinct()
-    return g, local_variant(g, max_days=fx.DAYS + 1, quality=True, start=WINDOW_START, end=fx.CUTOFF,
+    return g, local_variant(g, quality=True, start=WINDOW_START, end=fx.CUTOFF,
                             domains=domains)
 
 
@@ -373,6 +397,13 @@ def q_daily_alerts(spark: SparkSession, d: str) -> DataFrame:
     return _fused_out(a)
 
 
+def q_daily_alerts_sensitive(spark: SparkSession, d: str) -> DataFrame:
+    """The DAILY job per nation with k = 1.0 and contamination 0.2, so that every method raises alerts."""
+    a = daily_variant(fx.web_raw(spark, d), [fx.ads_raw(spark, d, "a"), fx.ads_raw(spark, d, "b")],
+                      fx.dictionary_raw(spark, d, "nation"), F.lit(fx.CUTOFF), fx.DAYS, k=1.0, contamination=0.2)
+    return _fused_out(a)
+
+
 def q_cutoff_day(spark: SparkSession, d: str) -> DataFrame:
     """B4: 'yesterday' in America/Bogota for every event time read as a UTC instant."""
     e = fx.table(spark, d, "events").select("event_id", "ts")
@@ -396,6 +427,8 @@ QUERIES: dict[str, Query] = {
     "iforest_scores": q_iforest_scores,
     "iforest_alerts": q_iforest_alerts,
     "iforest_latest": q_iforest_latest,
+    "iforest_latest_rank": q_iforest_latest_rank,
+    "iforest_long": q_iforest_long,
     "score_p99": q_score_p99,
     "anscombe": q_anscombe,
     "standardize": q_standardize,
@@ -413,5 +446,6 @@ QUERIES: dict[str, Query] = {
     "run_report": q_run_report,
     "retain": q_retain,
     "daily_alerts": q_daily_alerts,
+    "daily_alerts_sensitive": q_daily_alerts_sensitive,
     "cutoff_day": q_cutoff_day,
 }

@@ -1,4 +1,7 @@
-"""The two end-to-end variants, each one lazy plan from inputs to fused alerts.
+"""The two end-to-end variants, from inputs to fused alerts.
+
+LOCAL is one lazy plan; DAILY runs the ETL when it is called (gold is checkpointed) and the
+detectors lazily.
 
 LOCAL: every day of every series is tested (k = 3.2, contamination 0.01, forest minimum 10 rows).
 DAILY: only the cutoff day is tested, and only for series that end on it (k = 3.5 configured,
@@ -17,38 +20,46 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import anscombe
+from metricwatch.functions.columns import anscombe, cutoff_day
 from metricwatch.functions.plan import cut_lineage
-from metricwatch.operators.alerts import fuse_alerts
+from metricwatch.operators.alerts import DAILY_CAP, adaptive_card, cap_per_day, fuse_alerts, prioritize, route, run_report
 from metricwatch.operators.detect import seasonal_mad
 from metricwatch.operators.gold import GOLD_METRICS, build_gold
 from metricwatch.operators.iforest import iforest_alerts
 from metricwatch.operators.quality import missing_day_alerts, missing_days, range_alerts, range_rules
-from metricwatch.operators.series import to_long
+from metricwatch.operators.series import calendar_fill, to_long
+from metricwatch.sources.sinks import deliver, delivery_summary, write_alerts, write_report
+from metricwatch.sources.tables import account_dictionary
 
 
 COUNT_METRICS = ("leads", "sessions")
 
 
-def _tested_long(long: DataFrame, anscombe_counts: bool) -> tuple[DataFrame, str]:
-    """Long form plus the column the univariate test runs on (F13: Anscombe on counts, optional)."""
+def tested_long(long: DataFrame, anscombe_counts: bool, fill_calendar: bool = False,
+                count_metrics=COUNT_METRICS) -> tuple[DataFrame, str]:
+    """Long form plus the column the univariate test runs on (F13: Anscombe on counts, optional).
+
+    Missing calendar days are filled with 0 before the transform, so they are 0 as raw values and
+    the transform of 0 as tested ones.
+    """
+    if fill_calendar:
+        long = calendar_fill(long, ["domain", "metric"], "day", "value")
     if not anscombe_counts:
         return long, "value"
-    t = F.when(F.col("metric").isin(*COUNT_METRICS), anscombe("value")).otherwise(F.col("value"))
+    t = F.when(F.col("metric").isin(*count_metrics), anscombe("value")).otherwise(F.col("value"))
     return long.withColumn("value_tested", t), "value_tested"
 
 
 def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01, min_rows: int = 14,
-                  forest_min_rows: int = 10, metrics=GOLD_METRICS, max_days: int | None = None,
-                  quality: bool = False, start=None, end=None, domains: DataFrame | None = None,
+                  forest_min_rows: int = 10, metrics=GOLD_METRICS, quality: bool = False, start=None, end=None, domains: DataFrame | None = None,
                   fill_calendar: bool = False, anscombe_counts: bool = False,
-                  forest_percentile: float | None = None, standardize: bool = False) -> DataFrame:
+                  forest_percentile: float | None = None, standardize: bool = False,
+                  count_metrics=COUNT_METRICS, rules=None) -> DataFrame:
     """Every flagged day of every (domain, metric) series plus every forest outlier day.
 
-    ``max_days`` (the longest series) lets the forest plan only the split levels it needs.
     With ``quality=True`` missing-day alerts over [start, end] (for ``domains`` or the gold
     domains) and range alerts are fused in as well. ``anscombe_counts`` tests 2·sqrt(x + 3/8) of
     the count metrics (leads, sessions) instead of the raw counts; alerts still report raw values.
@@ -56,46 +67,82 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
     ``standardize`` (F14) scales the forest features per domain first.
     """
     long = to_long(gold, ["domain", "day"], list(metrics))
-    tested, col = _tested_long(long, anscombe_counts)
-    uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
-                       fill_calendar=fill_calendar, report_value="value")
+    tested, col = tested_long(long, anscombe_counts, fill_calendar, count_metrics)
+    uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows, report_value="value")
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
-                           min_rows=forest_min_rows, max_rows=max_days, percentile=forest_percentile,
-                           standardize=standardize)
+                           min_rows=forest_min_rows, percentile=forest_percentile, standardize=standardize)
     parts = [uni, multi]
     if quality:
         spark = gold.sparkSession
         if start is not None and end is not None:
             parts.append(missing_day_alerts(missing_days(gold, ["domain"], "day", start, end, domains),
                                             ["domain"], "day"))
-        parts.append(range_alerts(long, range_rules(spark)))
+        parts.append(range_alerts(long, range_rules(spark, rules)))
     return fuse_alerts(*parts)
 
 
 def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
-                  cutoff: _dt.date | str, days: int = 65, k: float = 3.5, contamination: float = 0.01,
-                  min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True,
-                  fill_calendar: bool = False, anscombe_counts: bool = False,
-                  forest_percentile: float | None = None, standardize: bool = False, **gold_kwargs) -> DataFrame:
-    """The production job: raw daily tables -> gold -> alerts of the cutoff day."""
-    cutoff = cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff))
-    gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, **gold_kwargs)
+                  cutoff: _dt.date | str | Column | None = None, days: int = 65, k: float = 3.5, contamination: float = 0.01,
+                  min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True, tz: str | None = None,
+                  quality: bool = True, dict_cols: tuple[str, str] = ("AccountID", "domain"), **options) -> DataFrame:
+    """The production job: raw daily tables -> gold -> alerts of the cutoff day.
+
+    ``cutoff`` is a date, ISO text or a Column; without one it is yesterday in the time zone ``tz``
+    (B4). With ``quality`` a dictionary domain without a row on that day raises a missing-day alert
+    and values out of range raise one each. Further ``options`` go to :func:`daily_alerts` or
+    :func:`build_gold` by name.
+    """
+    if cutoff is None:
+        if tz is None:
+            raise ValueError("daily_variant needs a cutoff or a time zone")
+        cutoff = cutoff_day(tz)
+    cutoff = cutoff if isinstance(cutoff, Column | _dt.date) else _dt.date.fromisoformat(str(cutoff))
+    detect = {n: options.pop(n) for n in ("metrics", "fill_calendar", "anscombe_counts", "forest_percentile", "standardize",
+                                          "count_metrics", "rules") if n in options}
+    gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, dict_cols=dict_cols, **options)
     if checkpoint_gold:
         gold = cut_lineage(gold)
-    return daily_alerts(gold, cutoff, days, k, contamination, min_rows, forest_min_rows,
-                        fill_calendar=fill_calendar, anscombe_counts=anscombe_counts,
-                        forest_percentile=forest_percentile, standardize=standardize)
+    domains = account_dictionary(dictionary_raw, *dict_cols).select("domain").distinct() if quality else None
+    return daily_alerts(gold, cutoff, k, contamination, min_rows, forest_min_rows, domains=domains, quality=quality, **detect)
 
 
-def daily_alerts(gold: DataFrame, cutoff: _dt.date, days: int = 65, k: float = 3.5,
+def daily_alerts(gold: DataFrame, cutoff: _dt.date | Column, k: float = 3.5,
                  contamination: float = 0.01, min_rows: int = 14, forest_min_rows: int = 20,
                  metrics=GOLD_METRICS, fill_calendar: bool = False, anscombe_counts: bool = False,
-                 forest_percentile: float | None = None, standardize: bool = False) -> DataFrame:
+                 forest_percentile: float | None = None, standardize: bool = False, count_metrics=COUNT_METRICS,
+                 quality: bool = False, domains: DataFrame | None = None, rules=None) -> DataFrame:
     """DAILY detection on an existing gold table: alerts dated ``cutoff`` only."""
-    tested, col = _tested_long(to_long(gold, ["domain", "day"], list(metrics)), anscombe_counts)
+    day = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
+    long = to_long(gold, ["domain", "day"], list(metrics))
+    tested, col = tested_long(long, anscombe_counts, fill_calendar, count_metrics)
     uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
-                       latest_only=True, cutoff=F.lit(cutoff), fill_calendar=fill_calendar, report_value="value")
+                       latest_only=True, cutoff=day, report_value="value")
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
-                           min_rows=forest_min_rows, latest_only=True, cutoff=F.lit(cutoff),
-                           max_rows=days + 1, percentile=forest_percentile, standardize=standardize)
-    return fuse_alerts(uni, multi)
+                           min_rows=forest_min_rows, latest_only=True, cutoff=day,
+                           percentile=forest_percentile, standardize=standardize)
+    parts = [uni, multi]
+    if quality:
+        parts.append(missing_day_alerts(missing_days(gold, ["domain"], "day", day, day, domains), ["domain"], "day"))
+        parts.append(range_alerts(long.filter(F.col("day") == day), range_rules(gold.sparkSession, rules)))
+    return fuse_alerts(*parts)
+
+
+def daily_job(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame, history: str, report: str,
+              send=None, dashboard_url: str = "", cap: int = DAILY_CAP, **options) -> DataFrame:
+    """The whole run: alerts of the day into the history (a rerun replaces its day), the strongest ``cap``
+    delivered, the report written once all that is done. Returns the one-row report.
+
+    The report adds how many alerts the cap held back from delivery, and sent and total cards.
+    """
+    started = _dt.datetime.now(_dt.timezone.utc)
+    alerts = cut_lineage(route(prioritize(daily_variant(web_raw, ads_raws, dictionary_raw, **options))))
+    write_alerts(alerts, history)
+    shown = cap_per_day(alerts, n=cap)
+    n_all, n_shown = alerts.count(), shown.count()
+    counts = {"held_back": n_all - n_shown, "sent": 0, "total": 0}
+    if send is not None:
+        counts |= delivery_summary(deliver(adaptive_card(shown, dashboard_url), send)).head().asDict()
+    row = run_report(alerts.select("domain").distinct(), alerts, started_at=started)
+    row = row.withColumns({k: F.lit(v).cast("bigint") for k, v in counts.items()})
+    write_report(row, report)
+    return row

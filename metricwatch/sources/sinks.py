@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metricwatch.functions.plan import cut_lineage
 from metricwatch.operators.alerts import retain
 
 
-def write_alerts(df: DataFrame, path: str, mode: str = "append", files_per_day: int | None = None) -> None:
-    """Append alerts to a parquet history partitioned by day (partition pruning on read).
+def write_alerts(df: DataFrame, path: str, files_per_day: int | None = 16) -> None:
+    """Alerts into a parquet history partitioned by day (partition pruning on read).
+
+    The days that ``df`` holds are replaced and all others stay, so a repeated run of a day does
+    not double it.
 
     ``files_per_day`` bounds the number of files written into each day folder: rows are hashed on
     their identity (domain, metric, method, type) into ``files_per_day`` salts per day, each
@@ -26,7 +30,7 @@ def write_alerts(df: DataFrame, path: str, mode: str = "append", files_per_day:
         ident = [c for c in ("domain", "metric", "method", "type") if c in df.columns]
         salt = F.pmod(F.xxhash64(*ident), F.lit(int(files_per_day)))
         df = df.repartition(F.col("day"), salt)
-    df.write.mode(mode).partitionBy("day").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def read_alerts(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
@@ -54,33 +58,38 @@ def deliver(cards: DataFrame, send: Callable[[str, float], bool], attempts: int
     """A5: send every card with ``send(card_json, timeout) -> bool`` from the executors.
 
     ``mapInPandas`` runs the sends partition by partition (no driver loop, no collect); each card
-    is tried up to ``attempts`` times, an exception counts as a failed try. Adds ``sent`` (bool)
-    and ``attempts_used`` (int). Summarize with :func:`delivery_summary`.
+    is tried up to ``attempts`` times, an exception counts as a failed try. Adds ``sent`` (bool),
+    ``attempts_used`` (int) and ``last_error`` (text of the last exception, if any). The sends run
+    once, in this call: the result is checkpointed, so looking at it again sends nothing. Only a
+    task that Spark itself repeats sends its cards again. Summarize with :func:`delivery_summary`.
     """
     schema = T.StructType([*cards.schema.fields, T.StructField("sent", T.BooleanType()),
-                           T.StructField("attempts_used", T.IntegerType())])
+                           T.StructField("attempts_used", T.IntegerType()),
+                           T.StructField("last_error", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sent, used = [], []
+            sent, used, errors = [], [], []
             for card in pdf[card_col].tolist():
-                ok, n = False, 0
+                ok, n, error = False, 0, None
                 while not ok and n < attempts:
                     n += 1
                     try:
                         ok = bool(send(card, timeout))
-                    except Exception:  # a failed try; retried up to ``attempts``
-                        ok = False
+                    except Exception as e:  # a failed try; retried up to ``attempts``
+                        ok, error = False, f"{type(e).__name__}: {e}"
                     if not ok and backoff and n < attempts:
                         time.sleep(backoff * n)
                 sent.append(ok)
                 used.append(n)
+                errors.append(error)
             out = pdf.copy()
             out["sent"] = sent
             out["attempts_used"] = pd.Series(used, dtype="int32")
+            out["last_error"] = errors
             yield out
 
-    return cards.mapInPandas(run, schema)
+    return cut_lineage(cards.mapInPandas(run, schema))
 
 
 def delivery_summary(delivered: DataFrame) -> DataFrame:

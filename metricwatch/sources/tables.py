@@ -31,6 +31,7 @@ def analysis_window(df: DataFrame, day: str, cutoff: Column | str | _dt.date,
                     days: int = 65) -> DataFrame:
     """Keep rows with cutoff - days <= date(day) <= cutoff, both ends inclusive.
 
+    ``day`` must be a DATE or TIMESTAMP column for that: on ISO text the filter works but prunes nothing.
     With a literal cutoff the bounds fold to constants and the filter reaches the parquet scan as
     a pushed range predicate on the raw timestamp column.
     """
@@ -63,6 +64,11 @@ def daily_sum(df: DataFrame, id_col: str, date_col: str, metrics: dict[str, str]
     aggregation, and the aggregation is partial (map-side), so only one row per account, day and
     map task crosses the shuffle no matter how hot an account is.
     """
+    kinds = dict(df.dtypes)
+
+    def exact(out: str) -> Column:  # floating sums depend on their order, decimal ones don't
+        return F.col(out).cast("decimal(28,6)") if kinds[metrics[out]] in ("double", "float") else F.col(out)
+
     needed = list(dict.fromkeys([id_col, date_col, *metrics.values()]))
     windowed = analysis_window(df.select(*needed), date_col, cutoff, days)
     return (
@@ -72,5 +78,5 @@ def daily_sum(df: DataFrame, id_col: str, date_col: str, metrics: dict[str, str]
             *[F.col(src).alias(out) for out, src in metrics.items()],
         )
         .groupBy(ID, DAY)
-        .agg(*[F.sum(out).cast("int").alias(out) for out in metrics])
+        .agg(*[F.sum(exact(out)).cast("int").alias(out) for out in metrics])
     )

@@ -36,3 +36,46 @@ def mad_flags(resid: np.ndarray, k: float):
     med = np.median(resid)
     mad = max(np.median(np.abs(resid - med)) * 1.4826, 1e-6)
     return med, mad, (resid > med + k * mad) | (resid < med - k * mad)
+
+
+def isolation_scores(key, rows, trees=100, sample=256, seed=42):
+    """Isolation forest over one series, node by node. rows: (order text, [features]) in order; scores in that order.
+
+    A node's two draws are the first and the next 32 bits of the md5 of seed|key|tree|node; a tree
+    of a long series grows on the rows with the least draw, and every row is routed through it.
+    """
+    import hashlib
+    import math
+
+    def draws(*parts):
+        h = hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+        return int(h[:8], 16) / 2 ** 32, int(h[8:16], 16) / 2 ** 32
+
+    def c(n):
+        return 0.0 if n <= 1 else 1.0 if n == 2 else 2.0 * (math.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
+
+    n = len(rows)
+    psi = min(n, sample)
+    limit = (max(psi, 2) - 1).bit_length()
+    paths = [[] for _ in rows]
+
+    def grow(tree, node, depth, drawn, routed):
+        spread = [(min(rows[i][1][f] for i in drawn), max(rows[i][1][f] for i in drawn), f)
+                  for f in range(len(rows[0][1]))] if drawn else []
+        spread = [x for x in spread if x[1] > x[0]]
+        if len(drawn) <= 1 or depth >= limit or not spread:
+            for i in routed:
+                paths[i].append(depth + c(len(drawn)))
+            return
+        pick, cut = draws(seed, key, tree, node)
+        low, high, f = spread[math.floor(pick * len(spread))]
+        right = lambda i: rows[i][1][f] > low + cut * (high - low)
+        for side in (False, True):
+            grow(tree, 2 * node + side, depth + 1, [i for i in drawn if right(i) == side], [i for i in routed if right(i) == side])
+
+    for tree in range(trees):
+        order = range(n)
+        if n > sample:
+            order = sorted(order, key=lambda i: (draws(seed, key, tree, rows[i][0], "s")[0], i))[:sample]
+        grow(tree, 1, 0, list(order), list(range(n)))
+    return [2 ** (-(sum(p) / len(p)) / c(psi)) for p in paths]

@@ -73,16 +73,35 @@ def test_cards_json(spark):
 def test_deliver_retries_and_summary(spark):
     df = adaptive_card(alerts_df(spark, 1, 10), "u").repartition(3)
 
+    log = tempfile.mkdtemp(prefix="mw-sends-")
+
     def send(card, timeout):
-        # fails on the first try for spikes, always for domain dom3
+        # fails on the first try for spikes, always for domain dom3; every try leaves a file
+        import hashlib
+        import os
+        import uuid
+        name = hashlib.md5(card.encode()).hexdigest()
+        tries = sum(f.startswith(name) for f in os.listdir(log))
+        open(f"{log}/{name}-{uuid.uuid4().hex}", "w").close()
         if "dom3.com" in card:
             raise IOError("down")
-        return True
+        return tries > 0 or "Pico" not in card
 
     out = deliver(df, send, attempts=3, timeout=1.0)
     s = delivery_summary(out).first()
+    rows = out.collect()
     assert s.total == 10 and s.sent == 10 - df.filter(F.col("domain") == "dom3.com").count()
-    assert {r.attempts_used for r in out.filter(~F.col("sent")).collect()} == {3}
+    failed = [r for r in rows if not r.sent]
+    assert {r.attempts_used for r in failed} == {3} and all("down" in r.last_error for r in failed)
+    assert {r.attempts_used for r in rows if r.sent and r.type == "spike"} <= {1, 2}
+    import os
+    assert len(os.listdir(log)) == sum(r.attempts_used for r in rows)  # two actions, one delivery
+
+
+def test_quality_cards_have_their_own_look(spark):
+    rows = [("d", D0, None, "missing_day", "missing", None, None, None, [], {}, "tolerance=0")]
+    card = json.loads(message_card(spark.createDataFrame(rows, SCHEMA)).first().card)
+    assert card["themeColor"] == "7B1FA2" and card["sections"][0]["facts"][2]["value"] == "tolerance=0"
 
 
 def test_write_read_back_and_report(spark):
@@ -92,9 +111,11 @@ def test_write_read_back_and_report(spark):
     write_alerts(a, path, files_per_day=2)
     import glob
     day_files = glob.glob(path + f"/day={D0}/*.parquet")
-    assert 1 <= len(day_files) <= a.rdd.getNumPartitions() + 2
+    assert 1 <= len(day_files) <= 2  # written twice, there once
+    write_alerts(a.filter(F.col("day") == D0).limit(1), path)  # another run of one day replaces that day only
+    assert read_alerts(spark, path, D0, D0).count() == 1
     back = read_alerts(spark, path, D0 + dt.timedelta(days=1), D0 + dt.timedelta(days=2))
-    assert back.count() == 2 * a.filter(F.col("day") >= D0 + dt.timedelta(days=1)).count()
+    assert back.count() == a.filter(F.col("day") >= D0 + dt.timedelta(days=1)).count()
     assert set(ALERT_COLUMNS) == set(back.columns)
     gold = spark.createDataFrame([("a", D0), ("b", D0), ("a", D0 + dt.timedelta(days=1))], "domain string, day date")
     started = dt.datetime.now(dt.timezone.utc)

@@ -115,34 +115,48 @@ def forest_df(spark, n, outlier_at=None, keys=("a",)):
 
 
 def test_forest_scores_and_planted_outlier(spark):
-    s = iforest_scores(forest_df(spark, 66, outlier_at=30), ["k"], "day", ["f1", "f2", "f3"], levels=7).toPandas()
+    s = iforest_scores(forest_df(spark, 66, outlier_at=30), ["k"], "day", ["f1", "f2", "f3"]).toPandas()
     assert ((s.score > 0) & (s.score <= 1)).all()
     top = s.sort_values("score", ascending=False).iloc[0]
     assert (top.day - D0).days == 30
 
 
+def test_forest_against_brute_force_with_repeated_rows(spark):
+    from tests.helpers import isolation_scores
+    rng = np.random.default_rng(9)
+    for n, sample in ((21, 256), (70, 32), (300, 256)):
+        rows = [("a", D0 + dt.timedelta(days=i), *map(float, rng.integers(0, 30, 2))) for i in range(n - 3)]
+        rows = sorted(rows + [rows[4], rows[4], rows[9]], key=lambda r: r[1:])  # repeated days, features and all
+        df = spark.createDataFrame(rows, "k string, day date, f1 double, f2 double").repartition(3)
+        got = iforest_scores(df, ["k"], "day", ["f1", "f2"], trees=10, sample=sample).collect()
+        want = isolation_scores("a", [(str(r[1]), list(r[2:])) for r in rows], trees=10, sample=sample)
+        assert len(got) == n and all(r.n == n for r in got)
+        key = lambda r: (r.day, r.f1, r.f2, r.score)
+        np.testing.assert_allclose([r.score for r in sorted(got, key=key)],
+                                   [s for _, s in sorted(zip(rows, want))], atol=1e-12)
+
+
 def test_forest_min_rows(spark):
     feats = ["f1", "f2", "f3"]
-    assert iforest_alerts(forest_df(spark, 9, 3), ["k"], "day", feats, contamination=0.2, levels=4).count() == 0
-    assert iforest_alerts(forest_df(spark, 10, 3), ["k"], "day", feats, contamination=0.2, levels=4).count() > 0
+    assert iforest_alerts(forest_df(spark, 9, 3), ["k"], "day", feats, contamination=0.2).count() == 0
+    assert iforest_alerts(forest_df(spark, 10, 3), ["k"], "day", feats, contamination=0.2).count() > 0
     last = D0 + dt.timedelta(days=18)
     assert iforest_alerts(forest_df(spark, 19, 18), ["k"], "day", feats, min_rows=20, latest_only=True,
-                          cutoff=last, levels=5).count() == 0
+                          cutoff=last).count() == 0
     got = iforest_alerts(forest_df(spark, 20, 19), ["k"], "day", feats, min_rows=20, latest_only=True,
-                         cutoff=last + dt.timedelta(days=1), levels=5).collect()
+                         cutoff=last + dt.timedelta(days=1)).collect()
     assert len(got) == 1 and got[0].score is None and got[0].context["f1"] == 400.0
 
 
 def test_forest_subsample_longer_series(spark):
-    s = iforest_scores(forest_df(spark, 300, outlier_at=150), ["k"], "day", ["f1", "f2", "f3"], sample=64,
-                       levels=6).toPandas()
+    s = iforest_scores(forest_df(spark, 300, outlier_at=150), ["k"], "day", ["f1", "f2", "f3"], sample=64).toPandas()
     assert (s.psi == 64).all() and len(s) == 300
     assert (s.sort_values("score", ascending=False).iloc[0].day - D0).days == 150
 
 
 def test_forest_standardize_and_percentile(spark):
     a = iforest_alerts(forest_df(spark, 66, outlier_at=12), ["k"], "day", ["f1", "f2", "f3"], percentile=99.0,
-                       standardize=True, levels=7).collect()
+                       standardize=True).collect()
     assert len(a) == 1 and (a[0].day - D0).days == 12 and a[0].context["f3"] == 900.0
 
 

@@ -11,7 +11,9 @@ def test_entry_scored_rows(spark):
 
 
 def test_every_query_has_sql_and_runs(spark):
+    from metricwatch.plans.oracle_queries import SQL
+    from metricwatch.plans.queries import QUERIES
     qs, sql = E.queries(), E.oracle_sql()
-    assert set(qs) == set(sql)
+    assert set(QUERIES) == set(SQL) and set(QUERIES) <= set(qs) and set(SQL) <= set(sql)
     for name in ["gold_daily", "mad_alerts_all", "missing_days", "validate", "cutoff_day"]:
         assert qs[name](spark, SF).count() >= 0

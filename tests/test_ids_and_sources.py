@@ -89,19 +89,33 @@ def test_read_source_by_name_and_path(spark, tmp_path):
     assert read_source(spark, p).count() == 1
 
 
-def test_broadcast_if_small_checks_size(spark):
-    from metricwatch.functions.plan import broadcast_if_small
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_daily_sum_of_doubles_does_not_depend_on_partitions(spark):
+    import datetime as dt
+
+    from metricwatch.sources.tables import daily_sum
+    day = dt.date(2001, 7, 1)
+    df = spark.createDataFrame([("7", day, 0.1)] * 10, "a string, d date, x double")
+    for n in (1, 2, 5):
+        assert daily_sum(df.repartition(n), "a", "d", {"x": "x"}, day).first().x == 1
+
+
+def test_cutoff_day_of_a_zone_alone(spark):
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    from metricwatch.functions.columns import cutoff_day
+    old = spark.conf.get("spark.sql.session.timeZone")
     try:
-        hinted = big.join(broadcast_if_small(small, max_rows=100), "k")
-        plain = big.join(broadcast_if_small(small, max_rows=5), "k")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert hinted.count() == plain.count() == 10
+        for session in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            for zone in ("America/Bogota", "Pacific/Kiritimati"):
+                want = dt.datetime.now(ZoneInfo(zone)).date() - dt.timedelta(days=1)
+                at = F.timestamp_seconds(F.lit(1_700_000_000))
+                assert spark.range(1).select(cutoff_day(zone)).first()[0] == want
+                assert spark.range(1).select(cutoff_day(zone, at)).first()[0] == \
+                    dt.datetime.fromtimestamp(1_700_000_000, ZoneInfo(zone)).date() - dt.timedelta(days=1)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_cut_lineage_reads_back(spark):

@@ -45,7 +45,7 @@ def test_local_variant_with_quality(spark):
     w, a, d = raw_tables(spark)
     gold = build_gold(w, [a], d, CUT, 65)
     gold = gold.filter(~((gold.domain == "a.com") & (gold.day == CUT - dt.timedelta(days=30))))
-    alerts = local_variant(gold, quality=True, start=CUT - dt.timedelta(days=65), end=CUT, max_days=66).collect()
+    alerts = local_variant(gold, quality=True, start=CUT - dt.timedelta(days=65), end=CUT).collect()
     methods = {(r.domain, r.method) for r in alerts}
     assert ("a.com", "missing_day") in methods
     assert ("a.com", "seasonal_mad") in methods and ("b.com", "iforest") in methods
@@ -64,3 +64,43 @@ def test_forest_options_in_daily_variant(spark):
     alerts = daily_variant(w, [a], d, CUT, 65, forest_percentile=99.0, standardize=True).collect()
     assert ("b.com", "iforest") in {(r.domain, r.method) for r in alerts}
     assert all(r.params == "P99.0" for r in alerts if r.method == "iforest")
+
+
+def test_dark_domain_and_zone_cutoff(spark):
+    from pyspark.sql import functions as F
+
+    from metricwatch.functions.columns import cutoff_day
+    w, a, d = raw_tables(spark)
+    d = d.unionByName(spark.createDataFrame([("900", "dark.com")], "AccountID string, domain string"))
+    now = F.lit("2001-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit((CUT - dt.date(2000, 12, 31)).days))
+    for cutoff in (CUT, F.lit(CUT), cutoff_day("UTC", now, now_zone="UTC")):
+        alerts = daily_variant(w, [a], d, cutoff, 65).collect()
+        got = {(r.domain, r.metric, r.method) for r in alerts}
+        assert ("dark.com", None, "missing_day") in got and ("a.com", "sessions", "seasonal_mad") in got
+    assert daily_variant(w, [a], d, tz="America/Bogota").filter("method <> 'missing_day'").count() == 0  # long ago
+    assert daily_variant(w, [a], d, CUT, 65, quality=False).filter("method = 'missing_day'").count() == 0
+
+
+def test_filled_days_are_zero_before_the_transform(spark):
+    from metricwatch.plans.variants import tested_long
+    rows = [("a", "leads", CUT - dt.timedelta(days=k), 10.0) for k in (0, 1, 3)]
+    long = spark.createDataFrame(rows, "domain string, metric string, day date, value double")
+    out, col = tested_long(long, True, True)
+    gap = out.where(out.day == CUT - dt.timedelta(days=2)).first()
+    assert gap.value == 0.0 and abs(gap[col] - 2 * 0.375 ** 0.5) < 1e-12
+
+
+def test_daily_job_stores_delivers_and_reports(spark, tmp_path):
+    import time
+
+    from metricwatch.plans.variants import daily_job
+    from metricwatch.sources.sinks import read_alerts
+    w, a, d = raw_tables(spark)
+    for _ in range(2):  # a rerun replaces its day
+        t = time.time()
+        row = daily_job(w, [a], d, str(tmp_path / "alerts"), str(tmp_path / "report"), send=lambda card, timeout: True,
+                        cap=1, cutoff=CUT, days=65).first()
+        took = time.time() - t
+    stored = read_alerts(spark, str(tmp_path / "alerts")).count()
+    assert stored == row.total_alerts == row.held_back + row.total and (row.sent, row.total) == (1, 1)
+    assert 0.3 * took < row.run_seconds <= took

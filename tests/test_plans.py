@@ -2,6 +2,7 @@
 filters on the analysis window reach the parquet scans."""
 
 import __spark_entry__ as E
+from metricwatch.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
@@ -9,9 +10,9 @@ CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
 def test_plans_stay_in_the_jvm_and_have_no_cross_joins(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in ("fused_alerts", "priority_route", "cap_per_day", "adaptive_card", "message_card",
-                    "run_report", "retain", "daily_alerts"):
+                    "run_report", "retain", "daily_alerts", "daily_alerts_sensitive"):
             continue  # these checkpoint gold eagerly; their detector part is covered by the next test
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not any(n in plan for n in PYTHON_NODES), name
