@@ -31,8 +31,8 @@ from metricwatch.operators.gold import GOLD_METRICS, build_gold
 from metricwatch.operators.iforest import iforest_alerts
 from metricwatch.operators.quality import missing_day_alerts, missing_days, range_alerts, range_rules
 from metricwatch.operators.series import calendar_fill, to_long
-from metricwatch.sources.sinks import deliver, delivery_summary, write_alerts, write_report
-from metricwatch.sources.tables import account_dictionary
+from metricwatch.sources.sinks import deliver, delivery_summary, store_gold, write_alerts, write_report
+from metricwatch.sources.tables import account_dictionary, analysis_window
 
 
 COUNT_METRICS = ("leads", "sessions")
@@ -84,11 +84,15 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
 def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
                   cutoff: _dt.date | str | Column | None = None, days: int = 65, k: float = 3.5, contamination: float = 0.01,
                   min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True, tz: str | None = None,
-                  quality: bool = True, dict_cols: tuple[str, str] = ("AccountID", "domain"), **options) -> DataFrame:
+                  quality: bool = True, dict_cols: tuple[str, str] = ("AccountID", "domain"), gold_path: str | None = None,
+                  gold_days: int = 0, **options) -> DataFrame:
     """The production job: raw daily tables -> gold -> alerts of the cutoff day.
 
     ``cutoff`` is a date, ISO text or a Column; without one it is yesterday in the time zone ``tz``
-    (B4). With ``quality`` a dictionary domain without a row on that day raises a missing-day alert
+    (B4). With ``gold_path`` gold is a stored table by day: the run adds the cutoff day (and
+    ``gold_days`` days before it; give the window's length once, to begin with) and reads the window
+    from there, so the raw tables are aggregated for new days only. Without it the whole window is
+    aggregated and checkpointed. With ``quality`` a dictionary domain without a row on that day raises a missing-day alert
     and values out of range raise one each. Further ``options`` go to :func:`daily_alerts` or
     :func:`build_gold` by name.
     """
@@ -99,9 +103,13 @@ def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw:
     cutoff = cutoff if isinstance(cutoff, Column | _dt.date) else _dt.date.fromisoformat(str(cutoff))
     detect = {n: options.pop(n) for n in ("metrics", "fill_calendar", "anscombe_counts", "forest_percentile", "standardize",
                                           "count_metrics", "rules") if n in options}
-    gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, dict_cols=dict_cols, **options)
-    if checkpoint_gold:
-        gold = cut_lineage(gold)
+    if gold_path is not None:
+        store_gold(build_gold(web_raw, ads_raws, dictionary_raw, cutoff, gold_days, dict_cols=dict_cols, **options), gold_path)
+        gold = analysis_window(web_raw.sparkSession.read.parquet(gold_path), "day", cutoff, days)
+    else:
+        gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, dict_cols=dict_cols, **options)
+        if checkpoint_gold:
+            gold = cut_lineage(gold)
     domains = account_dictionary(dictionary_raw, *dict_cols).select("domain").distinct() if quality else None
     return daily_alerts(gold, cutoff, k, contamination, min_rows, forest_min_rows, domains=domains, quality=quality, **detect)
 

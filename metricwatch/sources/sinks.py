@@ -33,6 +33,15 @@ def write_alerts(df: DataFrame, path: str, files_per_day: int | None = 16) -> No
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
+def store_gold(gold: DataFrame, path: str) -> None:
+    """Write gold rows into a parquet table by day; the days that ``gold`` holds are replaced, others stay.
+
+    A domain-day depends on the raw rows of that day alone, so adding a day equals a full rebuild.
+    Rows are hashed by domain into the tasks that write; a day has a file per such task at most.
+    """
+    gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
 def read_alerts(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """Read the history back for a day range; the range prunes partitions."""
     df = spark.read.parquet(path)

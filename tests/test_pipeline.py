@@ -104,3 +104,15 @@ def test_daily_job_stores_delivers_and_reports(spark, tmp_path):
     stored = read_alerts(spark, str(tmp_path / "alerts")).count()
     assert stored == row.total_alerts == row.held_back + row.total and (row.sent, row.total) == (1, 1)
     assert 0.3 * took < row.run_seconds <= took
+
+
+def test_gold_table_grows_by_a_day(spark, tmp_path):
+    w, a, d = raw_tables(spark)
+    path, yesterday = str(tmp_path / "gold"), CUT - dt.timedelta(days=1)
+    daily_variant(w, [a], d, yesterday, 65, gold_path=path, gold_days=65)
+    out = daily_variant(w, [a], d, CUT, 65, gold_path=path)
+    whole = build_gold(w, [a], d, CUT, 66).select("domain", "day", "spend", "leads", "sessions")
+    stored = spark.read.parquet(path).select(*whole.columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, whole.collect()))
+    cols = [c for c in out.columns if c not in ("affected", "context")]
+    assert sorted(map(str, out.select(*cols).collect())) == sorted(map(str, daily_variant(w, [a], d, CUT, 65).select(*cols).collect()))
