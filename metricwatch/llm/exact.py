@@ -27,27 +27,27 @@ BUCKET_ENTRIES = 200_000
 MAX_DEPTH = 16
 
 
-def _cell(key: Column, depth: Column | int) -> Column:
-    """The leading ``depth`` bits of a 64-bit key as a number (depth 0: 0)."""
-    if isinstance(depth, int):
-        return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("bigint")
-    return F.when(depth == 0, F.lit(0).cast("bigint")).otherwise(F.expr("shiftrightunsigned(cell, max_depth - depth)"))
+def _cell(key: Column, depth: int) -> Column:
+    """The leading ``depth`` bits of a 64-bit key as a number."""
+    return F.shiftrightunsigned(key, 64 - depth)
 
 
 def directory(entries: DataFrame, capacity: int = BUCKET_ENTRIES, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(cell, depth, bucket): for every cell of ``max_depth`` leading bits the bucket that holds it.
+    """(cell, bucket): for every cell of ``max_depth`` leading bits the bucket that holds it.
 
-    A cell's bucket has the least depth at which its prefix holds at most ``capacity`` entries.
+    Entries are counted under every prefix of every depth. A bucket is a prefix with at most
+    ``capacity`` entries (or at the largest depth) whose half-as-long directory still was overfull.
     """
     cells = entries.groupBy(_cell(F.col("key"), max_depth).alias("cell")).agg(F.count("*").alias("n"))
-    levels = (cells.select("cell", "n", F.lit(max_depth).alias("max_depth"),
-                           F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth"))
-              .select("cell", "n", "depth", _cell(F.col("cell"), F.col("depth")).alias("prefix")))
-    full = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("held"))
-    fits = levels.join(full, ["depth", "prefix"]).where((F.col("held") <= capacity) | (F.col("depth") == max_depth))
-    best = fits.groupBy("cell").agg(F.min(F.struct("depth", "prefix")).alias("best"))
-    name = F.concat(F.lpad(F.col("best.depth").cast("string"), 2, "0"), F.lit("-"), F.col("best.prefix").cast("string"))
-    return best.select("cell", F.col("best.depth").alias("depth"), name.alias("bucket"))
+    levels = cells.select("n", "cell", F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth"))
+    held = levels.groupBy("depth", F.expr(f"shiftright(cell, {max_depth} - depth)").alias("prefix")).agg(F.sum("n").alias("held"))
+    above = held.where(F.col("held") > capacity).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("up"))
+    fits = held.where((F.col("held") <= capacity) | (F.col("depth") == max_depth)).withColumn("up", F.shiftright("prefix", 1))
+    leaves = fits.where("depth > 0").join(above, ["depth", "up"], "left_semi").select("depth", "prefix").unionAll(
+        fits.where("depth = 0").select("depth", "prefix"))
+    name = F.concat(F.lpad(F.col("depth").cast("string"), 2, "0"), F.lit("-"), F.col("prefix").cast("string"))
+    span = F.expr(f"sequence(shiftleft(prefix, {max_depth} - depth), shiftleft(prefix + 1, {max_depth} - depth) - 1)")
+    return leaves.select(F.explode(span).alias("cell"), name.alias("bucket"))
 
 
 def build_index(docs: DataFrame, path: str, capacity: int = BUCKET_ENTRIES, max_depth: int = MAX_DEPTH,
@@ -61,7 +61,7 @@ def build_index(docs: DataFrame, path: str, capacity: int = BUCKET_ENTRIES, max_
               .groupBy("key", "text").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")))
     entries = checkpoint(chains.select("key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"))
     cells = F.broadcast(directory(entries, capacity, max_depth))  # at most 2**max_depth rows
-    placed = entries.withColumn("cell", _cell(F.col("key"), max_depth)).join(cells, "cell").drop("cell", "depth")
+    placed = entries.withColumn("cell", _cell(F.col("key"), max_depth)).join(cells, "cell").drop("cell")
     owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chain = W.partitionBy("bucket", "key").orderBy("text_sha256")
     (placed.repartition(owners, "bucket").withColumn("link", F.row_number().over(chain))
