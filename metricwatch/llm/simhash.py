@@ -78,6 +78,8 @@ def ball(radius: int) -> list[int]:
 def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     """Distinct fingerprints (column fp) -> verified links (a, b), a > b, that connect all within ``max_bits``."""
     half = (max_bits + 1) // 2
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a few rows here are many below
+    fps = fps.repartition(parts, "fp")
     masks = F.array(*[F.lit(m) for m in ball(half)])
     buckets = (fps.select("fp", F.explode_outer(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("value"))
                .groupBy("value").agg(F.collect_list("fp").alias("members")).where(F.size("members") > 1))
@@ -98,7 +100,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
     found = components(links(distinct.select("fp"), max_bits))
     linked = distinct.join(found, distinct["fp"] == found["node"]).select("fp", "component", "first")
     named = linked.join(linked.groupBy("component").agg(F.min("first").alias("name")), "component").select("fp", "name")
-    names = distinct.join(named, "fp", "left").select("fp", F.coalesce("name", "first").alias("component"))
+    # written out, so that the last join is a plain one of two shuffles: a fingerprint of many copies can be split
+    names = checkpoint(distinct.join(named, "fp", "left").select("fp", F.coalesce("name", "first").alias("component")))
     return rows.join(names, "fp").select("id", "sig", "fp", "component")
 
 
