@@ -1,12 +1,18 @@
 """Line dedup by content-defined chunks (built-in functions only).
 
-The lines of a text are hashed; a polynomial rolling hash over the last few line hashes marks a
-boundary wherever it is divisible by ``divisor``. So boundaries depend on nearby lines alone, and a
-passage is cut alike wherever it stands. Chunks of several lines are grouped by hash and whole text
-(the grouping compares bytes; its map-side half makes a common chunk one row per task). Of a chunk
-that occurs again, anywhere, the first occurrence (by id, text hash and place) stays and all others
-are taken out of their texts. Texts cross the network twice: as distinct chunks and as the rows
-that are rewritten; everything else is ids, places and digests.
+The lines of a text are hashed, and a polynomial rolling hash runs over the last few line hashes.
+Each of its lowest ``bits`` bits makes two cuts of the text: one with a boundary at every line where
+the bit is 0, one where it is 1. So boundaries depend on nearby lines alone, and a passage is cut
+alike wherever it stands. A chunk reaches from one boundary line to the next, both included; two
+neighbouring lines that agree in any of the bits are a chunk of their own, so that a passage of a
+few lines is seldom missed. Of a chunk that occurs again, anywhere, the first occurrence (by id,
+text hash and place) stays whole: its lines stay. All other lines of repeated chunks go.
+
+Bytes are compared by line: distinct lines are grouped by key and whole line, so that a key stands
+for one line's bytes, and chunks are grouped by the whole array of their lines' keys. Chunks with a
+key that two lines share (none are expected below some 10^9 distinct lines) never go. So texts cross
+the network twice however many cuts there are, as distinct lines (the map-side half makes a common
+line one row per task) and as the rows that are rewritten; all else is ids, places and keys.
 
 Defined results: null texts stay null; chunks of fewer than ``min_lines`` lines, or without a word,
 never go; a text may end up empty, its row stays; rows that repeat id and text are treated alike;
@@ -20,69 +26,108 @@ from pyspark.sql import functions as F
 
 from metricwatch.llm.common import checkpoint, fresh, hex_number, text_of
 
-WINDOW, DIVISOR, MIN_LINES = 2, 2, 2
+WINDOW, BITS, MIN_LINES = 2, 2, 2
 #: Modulus (a Mersenne prime) and base of the rolling hash.
 PRIME, BASE = 2147483647, 1000003
+#: A chunk's place is one number: first line * PLACE + last line.
+PLACE = 1 << 32
 
 
-def with_chunks(df: DataFrame, text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> tuple[DataFrame, str]:
-    """``df`` with a column of chunks (array of n_lines, chunk) and that column's name."""
-    lines, hashes, ends, chunks = fresh(df, "c_lines", "c_hashes", "c_ends", "c_chunks")
-    out = df.select("*", F.split(text, "\n").alias(lines))
-    out = out.select("*", F.transform(F.col(lines), lambda s: hex_number(s)).alias(hashes))
+def _first(span: Column) -> Column:
+    return F.floor(span / PLACE).cast("int")
+
+
+def _last(span: Column) -> Column:
+    return (span % PLACE).cast("int")
+
+
+def with_chunks(df: DataFrame, text: str, window: int = WINDOW, bits: int = BITS, min_lines: int = MIN_LINES) -> DataFrame:
+    """Columns id and sig of ``df`` and chunks: array of (span, keys of the lines, whether there is a word).
+
+    The steps are separate selects because each uses the arrays of the one before several times.
+    """
+    out = df.select("id", "sig", F.split(text, "\n").alias("lines"))
+    out = out.select("id", "sig", F.transform("lines", lambda s: hex_number(s)).alias("hashes"), F.transform(
+        "lines", lambda s: F.struct(F.xxhash64(s).alias("key"), s.rlike(r"[^\x20\x09-\x0D]").alias("word"))).alias("facts"))
 
     def rolling(i: Column) -> Column:
         value = F.lit(0).cast("bigint")
         for back in range(window - 1, -1, -1):  # Horner's rule over the window, the oldest line first
-            value = (value * BASE + F.coalesce(F.get(F.col(hashes), i - back), F.lit(0))) % PRIME
+            value = (value * BASE + F.coalesce(F.get("hashes", i - back), F.lit(0))) % PRIME
         return value
 
-    last = F.size(lines) - 1
-    cut = F.filter(F.sequence(F.lit(0), last), lambda i: (rolling(i) % divisor == 0) | (i == last))
-    out = out.select("*", cut.alias(ends))
+    last = F.size("facts") - 1
+    out = out.select("id", "sig", "facts", F.transform(F.sequence(F.lit(0), last), rolling).alias("values"))
+
+    def boundaries(bit: int, side: int) -> Column:
+        here = lambda i: (F.shiftright(F.get("values", i), bit) % 2 == side) | (i == last)
+        return F.filter(F.sequence(F.lit(0), last), here)
+
+    cuts = [boundaries(bit, side) for bit in range(bits) for side in (0, 1)]
+    names = [f"cut{k}" for k in range(len(cuts))]
+    out = out.select("id", "sig", "facts", *[c.alias(n) for c, n in zip(cuts, names)])
+
+    def spans(cut: str) -> Column:
+        begin = lambda k: F.coalesce(F.get(cut, k - 1), F.lit(0)).cast("bigint")
+        ends = F.transform(cut, lambda end, k: F.when(end - begin(k) + 1 >= min_lines, begin(k) * PLACE + end))
+        return F.filter(ends, lambda p: p.isNotNull())
+
+    out = out.select("id", "sig", "facts", F.array_distinct(F.flatten(F.array(*map(spans, names)))).alias("spans"))
+
+    def chunk(span: Column) -> Column:
+        part = F.slice("facts", _first(span) + 1, _last(span) - _first(span) + 1)
+        return F.struct(span.alias("span"), F.transform(part, lambda f: f["key"]).alias("keys"),
+                        F.exists(part, lambda f: f["word"]).alias("word"))
+
+    return out.select("id", "sig", F.transform("spans", chunk).alias("chunks"))
 
-    def chunk(end: Column, k: Column) -> Column:
-        begin = F.coalesce(F.get(F.col(ends), k - 1) + 1, F.lit(0))
-        return F.struct((end - begin + 1).alias("n_lines"),
-                        F.array_join(F.slice(F.col(lines), begin + 1, end - begin + 1), "\n").alias("chunk"))
 
-    out = out.select("*", F.transform(F.col(ends), chunk).alias(chunks))
-    return out.drop(lines, hashes, ends), chunks
+def shared_keys(texts: DataFrame, text: str) -> DataFrame:
+    """The keys that different lines share, found by comparing whole lines."""
+    lines = texts.select(F.explode_outer(F.split(text, "\n")).alias("line")).where("line is not null")
+    return (lines.select(F.xxhash64("line").alias("key"), "line").distinct()
+            .groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
-    """(id, sig, gone): per text that loses chunks the numbers of the chunks that go; sig is the text's hash."""
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                   bits: int = BITS, min_lines: int = MIN_LINES) -> DataFrame:
+    """(id, sig, gone): per text that loses lines the numbers of the lines that go; sig is the text's hash."""
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("sig"), F.col(text_col).alias("text"))
-    cut, chunks = with_chunks(base.where("text is not null"), F.col("text"), window, divisor)
-    each = (cut.select("id", "sig", F.posexplode_outer(chunks).alias("place", "c"))
-            .select("id", "sig", "place", F.col("c.n_lines").alias("n_lines"), F.col("c.chunk").alias("chunk"))
-            .where((F.col("n_lines") >= min_lines) & F.col("chunk").rlike(r"[^\x20\x09-\x0D]")))
-    at = F.struct("id", "sig", "place")
-    again = (each.groupBy(F.sha2("chunk", 256).alias("digest"), "chunk").agg(F.min(at).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("digest", "first"))
-    found = each.select("id", "sig", "place", F.sha2("chunk", 256).alias("digest")).join(again, "digest")
-    return (found.where(~at.eqNullSafe(F.col("first"))).groupBy("id", "sig").agg(F.collect_set("place").alias("gone")))
+    base = base.where("text is not null")
+    each = (with_chunks(base, "text", window, bits, min_lines).select("id", "sig", F.explode_outer("chunks").alias("c"))
+            .select("id", "sig", F.col("c.span").alias("span"), F.col("c.keys").alias("keys"), F.col("c.word").alias("word"))
+            .where("word").drop("word"))
+    at = F.struct("id", "sig", "span")
+    again = checkpoint(each.groupBy("keys").agg(F.min(at).alias("first"), F.count("*").alias("n"))
+                       .where("n > 1").select("keys", "first"))
+    unsure = (again.select("keys", F.explode("keys").alias("key")).join(shared_keys(base, "text"), "key", "left_semi")
+              .select("keys").distinct())
+    found = each.join(again.join(unsure, "keys", "left_anti"), "keys")
+    stays = at.eqNullSafe(F.col("first"))
+    lines = lambda spans: F.flatten(F.transform(spans, lambda p: F.sequence(_first(p), _last(p))))
+    return (found.groupBy("id", "sig").agg(F.collect_set(F.when(~stays, F.col("span"))).alias("later"),
+                                           F.collect_set(F.when(stays, F.col("span"))).alias("first"))
+            .select("id", "sig", F.array_except(lines("later"), lines("first")).alias("gone")).where("size(gone) > 0"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
-                window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
-    """``docs`` without repeated chunks in the text, and n_gone: how many chunks it lost (its name is the last column's).
+                window: int = WINDOW, bits: int = BITS, min_lines: int = MIN_LINES) -> DataFrame:
+    """``docs`` without repeated passages in the text, and n_gone: how many lines it lost (its name is the last column's).
 
     If ``chars_col`` is a column it follows the new text's length.
     """
-    gone = repeated_chunks(docs, id_col, text_col, window, divisor, min_lines)
-    sig, his, her, places, n_gone = fresh(docs, "l_sig", "l_id", "l_text_sig", "l_places", "n_gone")
+    gone = repeated_lines(docs, id_col, text_col, window, bits, min_lines)
+    sig, his, her, places, lines, new, n_gone = fresh(
+        docs, "l_sig", "l_id", "l_text_sig", "l_places", "l_lines", "l_new", "n_gone")
     gone = checkpoint(gone.select(F.col("id").alias(his), F.col("sig").alias(her), F.col("gone").alias(places)))
     rows = docs.withColumn(sig, F.xxhash64(text_of(text_col)))
     rows = rows.join(gone, rows[id_col].eqNullSafe(gone[his]) & (F.col(sig) == F.col(her)), "left")
-    lossy = F.when(F.col(places).isNotNull(), F.col(text_col))  # other rows are not cut again
-    cut, chunks = with_chunks(rows, lossy, window, divisor)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col(places))
-    left = F.transform(stay, lambda i: F.get(F.col(chunks), i)["chunk"])
-    text = F.when(F.col(places).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    new = cut.select("*", text.alias(sig + "_new"))
-    cols = [F.col(sig + "_new").alias(c) if c == text_col
-            else F.length(sig + "_new").cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(c)
+    lossy = F.when(F.col(places).isNotNull(), F.col(text_col))  # other rows are not cut
+    cut = rows.select("*", F.split(lossy, "\n").alias(lines))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(places))
+    left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    out = cut.select("*", F.when(F.col(places).isNull(), F.col(text_col)).otherwise(left).alias(new))
+    cols = [F.col(new).alias(c) if c == text_col
+            else F.length(new).cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(c)
             for c in docs.columns]
-    return new.select(*cols, F.coalesce(F.size(places), F.lit(0)).alias(n_gone))
+    return out.select(*cols, F.coalesce(F.size(places), F.lit(0)).alias(n_gone))

@@ -6,7 +6,7 @@ tests hold them against brute force.
 
 from __future__ import annotations
 
-from metricwatch.llm.lines import BASE, DIVISOR, MIN_LINES, PRIME
+from metricwatch.llm.lines import BASE, BITS, MIN_LINES, PRIME
 from metricwatch.llm.mixing import BLOCKS, ENTROPY, MAX_REPEAT
 from metricwatch.llm.quality import RULES, STOP_WORDS
 
@@ -28,19 +28,24 @@ FROM (SELECT row_number() OVER () AS rid, * FROM parts) LEFT JOIN judged USING (
 """
 
 LINES = f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
-l AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT rid, len(lines) AS n, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM l),
-b AS (SELECT *, ((coalesce(lag(h) OVER w, 0) * {BASE} + h) % {PRIME}) % {DIVISOR} = 0 AS cut FROM h WINDOW w AS (PARTITION BY rid ORDER BY i)),
-g AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM b),
-c AS (SELECT rid, doc_id, place, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n FROM g GROUP BY rid, doc_id, place),
-r AS (SELECT *, n >= {MIN_LINES} AND regexp_matches(chunk, '[^\\x20\\x09-\\x0D]')
-        AND row_number() OVER (PARTITION BY chunk, n >= {MIN_LINES} ORDER BY doc_id, rid, place) > 1 AS gone FROM c),
-t AS (SELECT rid, doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text,
-        count(*) FILTER (gone) AS n_gone FROM r GROUP BY rid, doc_id)
+v AS (SELECT *, (coalesce(lag(h) OVER w, 0) * {BASE} + h) % {PRIME} AS v FROM h WINDOW w AS (PARTITION BY rid ORDER BY i)),
+cuts AS (SELECT rid, i, bit, side FROM v, range({BITS}) b(bit), range(2) s(side) WHERE (v >> bit) % 2 = side OR i = n),
+spans AS (SELECT DISTINCT rid, first, last FROM (
+  SELECT rid, coalesce(lag(i) OVER (PARTITION BY rid, bit, side ORDER BY i), 1) AS first, i AS last FROM cuts)
+  WHERE last - first + 1 >= {MIN_LINES}),
+c AS (SELECT rid, doc_id, first, last, array_to_string(lines[first:last], chr(10)) AS chunk FROM spans JOIN d USING (rid)),
+r AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id NULLS FIRST, rid, first) > 1 AS later,
+        count(*) OVER (PARTITION BY chunk) AS found FROM c WHERE regexp_matches(chunk, '[^\\x20\\x09-\\x0D]')),
+gone AS (SELECT rid, i FROM (SELECT rid, later, unnest(range(first, last + 1)) AS i FROM r WHERE found > 1)
+         GROUP BY rid, i HAVING bool_and(later)),
+t AS (SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (g.rid IS NULL), '') AS text, count(g.rid) AS n_gone
+      FROM l LEFT JOIN gone g USING (rid, i) GROUP BY rid)
 SELECT doc_id, coalesce(n_gone, 0)::INT AS n_gone, CASE WHEN d.text IS NOT NULL THEN length(t.text) END AS n_chars,
        sha256(coalesce(t.text, '')) AS text_sha256
-FROM d LEFT JOIN t USING (rid, doc_id)
+FROM d LEFT JOIN t USING (rid)
 """
 
 EXACT = """

@@ -109,29 +109,34 @@ def test_directory_splits_only_overfull_buckets(spark):
 
 
 def plain_lines(docs):
-    """Texts without repeated chunks, chunk by chunk; docs: (id, text)."""
+    """Texts without repeated passages, chunk by chunk; docs: (id, text)."""
     import hashlib
 
-    def chunks(text):
-        h = [int(hashlib.md5(s.encode()).hexdigest()[:7], 16) for s in text.split("\n")]
-        out, held = [], []
-        for k, line in enumerate(text.split("\n")):
-            held.append(line)
-            roll = ((h[k - 1] if k else 0) * lines.BASE + h[k]) % lines.PRIME
-            if roll % lines.DIVISOR == 0:
-                out, held = out + [held], []
-        return out + [held] * bool(held)
+    def spans(text):
+        h = [int(hashlib.md5(s.encode()).hexdigest()[:7], 16) for s in text]
+        roll = [((h[k - 1] if k else 0) * lines.BASE + h[k]) % lines.PRIME for k in range(len(h))]
+        out = set()
+        for bit in range(lines.BITS):
+            for side in (0, 1):
+                begin = 0
+                for k, v in enumerate(roll):
+                    if v >> bit & 1 == side or k == len(roll) - 1:
+                        if k - begin + 1 >= lines.MIN_LINES and words("\n".join(text[begin:k + 1])):
+                            out.add((begin, k))
+                        begin = k
+        return sorted(out)
+    texts = sorted({(i is not None, i, t) for i, t in docs if t is not None}, key=lambda x: (x[0], x[1] or 0))
+    split = [(key[1:], key[2].split("\n")) for key in texts]
+    counts = Counter("\n".join(t[a:b + 1]) for _, t in split for a, b in spans(t))
     seen, out = set(), {}
-    for key in sorted({(i is not None, i, t) for i, t in docs if t is not None}, key=lambda x: (x[0], x[1] or 0)):
-        left = []
-        for c in chunks(key[2]):
-            body = "\n".join(c)
-            if len(c) >= lines.MIN_LINES and words(body):
-                if body in seen:
-                    continue
+    for key, text in split:
+        later, first = set(), set()
+        for a, b in spans(text):
+            body = "\n".join(text[a:b + 1])
+            if counts[body] > 1:
+                (later if body in seen else first).update(range(a, b + 1))
                 seen.add(body)
-            left.append(body)
-        out[key[1:]] = "\n".join(left)
+        out[key] = "\n".join(s for k, s in enumerate(text) if k not in later - first)
     return [(i, None if t is None else out[(i, t)]) for i, t in docs]
 
 
@@ -153,5 +158,20 @@ def test_shared_passage_goes_wherever_it_stands(spark):
     got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(spark, data)).collect()}
     assert got[0] == data[0][1]
     for k in range(1, 5):
-        assert len(got[k]) < len(data[k][1]) - 0.5 * len(shared)
+        assert len(got[k]) < len(data[k][1]) - 0.8 * len(shared)
         assert data[k][1].startswith(got[k].split("\n")[0])
+
+
+def test_first_occurrences_stay_whole(spark):
+    block = prose(8, 54).split("\n")
+    data = [(k, "\n".join(block[k:k + 4]), None, None, None, None, None, None, None) for k in range(3)] + [
+        (9, "same\n" * 12 + "end", None, None, None, None, None, None, None)]
+    got = lines.dedup_lines(frame(spark, data)).collect()
+    assert order((r["doc_id"], r["text"]) for r in got) == order(plain_lines([r[:2] for r in data]))
+    left = [r["text"].split("\n") for r in got]
+    assert {s for text in left for s in text} == {*block, "same", "end"}
+
+
+def test_lines_that_share_a_key_are_found(spark):
+    texts = spark.createDataFrame([("a\nb\nb",), ("b\nc",)], "text string")
+    assert lines.shared_keys(texts, "text").collect() == []
