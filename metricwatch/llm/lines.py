@@ -93,7 +93,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    bits: int = BITS, min_lines: int = MIN_LINES) -> DataFrame:
     """(id, sig, gone): per text that loses lines the numbers of the lines that go; sig is the text's hash."""
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("sig"), F.col(text_col).alias("text"))
-    base = base.where("text is not null")
+    base = base.where(F.col("text").contains("\n"))  # others are no chunk of several lines
     each = (with_chunks(base, "text", window, bits, min_lines).select("id", "sig", F.explode_outer("chunks").alias("c"))
             .select("id", "sig", F.col("c.span").alias("span"), F.col("c.keys").alias("keys"), F.col("c.word").alias("word"))
             .where("word").drop("word"))
