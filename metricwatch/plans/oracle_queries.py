@@ -369,6 +369,22 @@ SELECT CAST((SELECT count(DISTINCT domain) FROM gold) AS BIGINT) AS total_domain
        CAST(count(*) FILTER (WHERE method = 'out_of_range') AS BIGINT) AS alerts_range
 FROM fused"""
 
+SQL["delivery_summary"] = _FUSED_CTES + """
+SELECT CAST(count(*) FILTER (WHERE extract(day FROM day) % 5 <> 0) AS BIGINT) AS sent, CAST(count(*) AS BIGINT) AS total
+FROM fused"""
+
+SQL["anscombe_filled"] = with_(ALL_GOLD.replace("r.r_name", "n.n_name"), """
+cal AS (
+  SELECT domain, 'leads' AS metric, CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM gold GROUP BY domain
+),
+filled AS (
+  SELECT c.domain, c.metric, c.day, CAST(coalesce(g.leads, 0) AS BIGINT) AS value,
+         2.0 * sqrt(CAST(coalesce(g.leads, 0) AS DOUBLE) + 0.375) AS value_tested
+  FROM cal c LEFT JOIN gold g ON c.domain = g.domain AND c.day = g.day
+)""", decompose_sql("filled", ["domain", "metric"], "day", "value_tested")) + f"""
+SELECT domain, day, value, {_r('value_tested')}, {_r('trend')}, {_r('seasonal')}, {_r('resid')} FROM dec"""
+
 SQL["retain"] = _FUSED_CTES + f"""
 SELECT {_FUSED_COLS} FROM fused WHERE day >= CAST('{CUTOFF}' AS DATE) - 30"""
 

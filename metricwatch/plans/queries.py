@@ -28,7 +28,8 @@ from metricwatch.operators.quality import (
 )
 from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
-from metricwatch.plans.variants import daily_variant, local_variant
+from metricwatch.plans.variants import daily_variant, local_variant, tested_long
+from metricwatch.sources.sinks import delivery_summary
 from metricwatch.sources.tables import account_dictionary, analysis_window, daily_sum
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,6 +228,15 @@ def q_anscombe(spark: SparkSession, d: str) -> DataFrame:
     return dec.select("event_type", "day", _r("value"), _r("trend"), _r("seasonal"), _r("resid"))
 
 
+def q_anscombe_filled(spark: SparkSession, d: str) -> DataFrame:
+    """Leads per nation, silent days filled with 0 before the transform, then decomposed."""
+    g = build_gold(fx.web_raw(spark, d), [fx.ads_raw(spark, d, "a"), fx.ads_raw(spark, d, "b")],
+                   fx.dictionary_raw(spark, d, "nation"), fx.CUTOFF, fx.DAYS)
+    tested, col = tested_long(to_long(g, ["domain", "day"], ["leads"]), anscombe_counts=True, fill_calendar=True)
+    dec = decompose(tested, ["domain", "metric"], "day", col)
+    return dec.select("domain", "day", F.col("value").cast("bigint").alias("value"), _r(col), _r("trend"), _r("seasonal"), _r("resid"))
+
+
 def q_standardize(spark: SparkSession, d: str) -> DataFrame:
     """the forest features standardized per event type."""
     z = standardize_columns(fx.events_daily(spark, d), EVENT_KEY, fx.EVENTS_FEATURES, prefix="z_")
@@ -385,6 +395,11 @@ def q_run_report(spark: SparkSession, d: str) -> DataFrame:
     return run_report(g, alerts)
 
 
+def q_delivery_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Sent and total over all alerts, those of every fifth day of a month counting as not sent."""
+    return delivery_summary(fused(spark, d).withColumn("sent", F.dayofmonth("day") % 5 != 0))
+
+
 def q_retain(spark: SparkSession, d: str) -> DataFrame:
     """Alerts of the last 30 days up to the cutoff."""
     return _fused_out(retain(fused(spark, d), fx.CUTOFF, 30))
@@ -431,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "iforest_long": q_iforest_long,
     "score_p99": q_score_p99,
     "anscombe": q_anscombe,
+    "anscombe_filled": q_anscombe_filled,
     "standardize": q_standardize,
     "missing_days": q_missing_days,
     "range_alerts": q_range_alerts,
@@ -445,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "evaluate": q_evaluate,
     "run_report": q_run_report,
     "retain": q_retain,
+    "delivery_summary": q_delivery_summary,
     "daily_alerts": q_daily_alerts,
     "daily_alerts_sensitive": q_daily_alerts_sensitive,
     "cutoff_day": q_cutoff_day,
