@@ -115,6 +115,35 @@ def test_licenses(spark):
     assert licenses.scan_licenses(frame(spark, [])).collect() == []
 
 
+def test_licenses_are_found_whatever_stands_around(spark):
+    flat = lambda seed, n: prose(seed, n).replace("\n", " ")
+    short = [(name, text) for name, text, _ in licenses.TEMPLATES if len(licenses.words(text)) < 10]
+    mit = next(text for name, text, key in licenses.TEMPLATES if key == "sublicense").split()
+    texts = [flat(1, 200) + " Released under the MIT License. " + flat(2, 200),
+             "Copyright 2019 " + flat(3, 16) + " All rights reserved.",
+             "Released under the MIT License. All rights reserved.",
+             flat(4, 30) + " ".join(f" {text} {flat(9 + k, 20)}" for k, (_, text) in enumerate(short)),
+             "\n".join(" ".join(mit[k:k + 12]) for k in range(0, len(mit), 12)),
+             "Released under the MIT License. " * 3]
+    data = [(k, t, None, None, None, None, None, None, None) for k, t in enumerate(texts)]
+    got = sorted(licenses.scan_licenses(frame(spark, data)).collect(), key=lambda r: r["id"])
+    found = [[r["license"] for r in got if r["id"] == k] for k in range(len(texts))]
+    assert found == [["MIT"], ["Proprietary"], ["MIT", "Proprietary"], [name for name, _ in short], ["MIT"], ["MIT"] * 3]
+    assert all(r["confirmed"] and r["differences"] == 0 and r["block"] in texts[r["id"]] for r in got)
+
+
+@pytest.mark.parametrize("change, n", [((), 0), ((5,), 1), ((5, 9), 2), ((5, 9, 12, 20, 25, 30, 35), None)])
+def test_license_wording_allows_a_tenth(change, n):
+    name, text, keys = next(t for t in licenses.TEMPLATES if t[2] == "sublicense")
+    own = text.split()
+    for k in change:
+        own[k] = "other"
+    scanner = licenses.Scanner()
+    got = scanner.scan(prose(1, 300) + " " + " ".join(own) + " " + prose(2, 300))
+    assert [(r[2], r[4]) for r in got] == ([] if n is None else [("MIT", n)])
+    assert scanner.scan(text.replace("sublicense", "license")) == []
+
+
 def test_licenses_of_query_against_line_search(spark):
     sf = "/root/testdata/sf0.01"
     want = {(r[0], name) for r in queries.documents(spark, sf).select("doc_id", "text").collect() for line in r[1].split("\n")
