@@ -8,11 +8,12 @@ neighbouring lines that agree in any of the bits are a chunk of their own, so th
 few lines is seldom missed. Of a chunk that occurs again, anywhere, the first occurrence (by id,
 text hash and place) stays whole: its lines stay. All other lines of repeated chunks go.
 
-Bytes are compared by line: distinct lines are grouped by key and whole line, so that a key stands
-for one line's bytes, and chunks are grouped by the whole array of their lines' keys. Chunks with a
+Chunks are first counted by a 64-bit digest of their lines' keys. Of those whose digest occurs again
+the whole arrays of line keys are compared, fetched once a text. Bytes are compared by line: distinct
+lines are grouped by key and whole line, so that a key stands for one line's bytes. Chunks with a
 key that two lines share (none are expected below some 10^9 distinct lines) never go. So texts cross
 the network twice however many cuts there are, as distinct lines (the map-side half makes a common
-line one row per task) and as the rows that are rewritten; all else is ids, places and keys.
+line one row per task) and as the rows that are rewritten; all else is ids, places, digests and keys.
 
 Defined results: null texts stay null; chunks of fewer than ``min_lines`` lines, or without a word,
 never go; a text may end up empty, its row stays; rows that repeat id and text are treated alike;
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from metricwatch.llm.common import checkpoint, fresh, hex_number, text_of
 
-WINDOW, BITS, MIN_LINES = 2, 2, 2
+WINDOW, BITS, MIN_LINES = 2, 4, 2
 #: Modulus (a Mersenne prime) and base of the rolling hash.
 PRIME, BASE = 2147483647, 1000003
 #: A chunk's place is one number: first line * PLACE + last line.
@@ -41,14 +42,27 @@ def _last(span: Column) -> Column:
     return (span % PLACE).cast("int")
 
 
+def _part(array: str, span: Column) -> Column:
+    return F.slice(array, _first(span) + 1, _last(span) - _first(span) + 1)
+
+
+def digest(keys: Column) -> Column:
+    """The number by which chunks are counted; equal digests are told apart by the keys."""
+    return F.xxhash64(keys)
+
+
+def line_keys(text: str) -> Column:
+    return F.transform(F.split(text, "\n"), lambda s: F.xxhash64(s))
+
+
 def with_chunks(df: DataFrame, text: str, window: int = WINDOW, bits: int = BITS, min_lines: int = MIN_LINES) -> DataFrame:
-    """Columns id and sig of ``df`` and chunks: array of (span, keys of the lines, whether there is a word).
+    """Columns id and sig of ``df`` and chunks: array of (span, digest of the lines' keys, whether there is a word).
 
     The steps are separate selects because each uses the arrays of the one before several times.
     """
-    out = df.select("id", "sig", F.split(text, "\n").alias("lines"))
-    out = out.select("id", "sig", F.transform("lines", lambda s: hex_number(s)).alias("hashes"), F.transform(
-        "lines", lambda s: F.struct(F.xxhash64(s).alias("key"), s.rlike(r"[^\x20\x09-\x0D]").alias("word"))).alias("facts"))
+    out = df.select("id", "sig", line_keys(text).alias("keys"), F.split(text, "\n").alias("lines"))
+    out = out.select("id", "sig", "keys", F.transform("lines", lambda s: hex_number(s)).alias("hashes"),
+                     F.transform("lines", lambda s: s.rlike(r"[^\x20\x09-\x0D]")).alias("words"))
 
     def rolling(i: Column) -> Column:
         value = F.lit(0).cast("bigint")
@@ -56,8 +70,8 @@ def with_chunks(df: DataFrame, text: str, window: int = WINDOW, bits: int = BITS
             value = (value * BASE + F.coalesce(F.get("hashes", i - back), F.lit(0))) % PRIME
         return value
 
-    last = F.size("facts") - 1
-    out = out.select("id", "sig", "facts", F.transform(F.sequence(F.lit(0), last), rolling).alias("values"))
+    last = F.size("keys") - 1
+    out = out.select("id", "sig", "keys", "words", F.transform(F.sequence(F.lit(0), last), rolling).alias("values"))
 
     def boundaries(bit: int, side: int) -> Column:
         here = lambda i: (F.shiftright(F.get("values", i), bit) % 2 == side) | (i == last)
@@ -65,23 +79,33 @@ def with_chunks(df: DataFrame, text: str, window: int = WINDOW, bits: int = BITS
 
     cuts = [boundaries(bit, side) for bit in range(bits) for side in (0, 1)]
     names = [f"cut{k}" for k in range(len(cuts))]
-    out = out.select("id", "sig", "facts", *[c.alias(n) for c, n in zip(cuts, names)])
+    out = out.select("id", "sig", "keys", "words", *[c.alias(n) for c, n in zip(cuts, names)])
 
     def spans(cut: str) -> Column:
         begin = lambda k: F.coalesce(F.get(cut, k - 1), F.lit(0)).cast("bigint")
         ends = F.transform(cut, lambda end, k: F.when(end - begin(k) + 1 >= min_lines, begin(k) * PLACE + end))
         return F.filter(ends, lambda p: p.isNotNull())
 
-    out = out.select("id", "sig", "facts", F.array_distinct(F.flatten(F.array(*map(spans, names)))).alias("spans"))
+    out = out.select("id", "sig", "keys", "words", F.array_distinct(F.flatten(F.array(*map(spans, names)))).alias("spans"))
 
     def chunk(span: Column) -> Column:
-        part = F.slice("facts", _first(span) + 1, _last(span) - _first(span) + 1)
-        return F.struct(span.alias("span"), F.transform(part, lambda f: f["key"]).alias("keys"),
-                        F.exists(part, lambda f: f["word"]).alias("word"))
+        return F.struct(span.alias("span"), digest(_part("keys", span)).alias("digest"),
+                        F.array_contains(_part("words", span), True).alias("word"))
 
     return out.select("id", "sig", F.transform("spans", chunk).alias("chunks"))
 
 
+def again_by_keys(base: DataFrame, each: DataFrame) -> DataFrame:
+    """(id, sig, span, keys) of the chunks ``each`` whose digest occurs again; few others are left to tell apart."""
+    twice = checkpoint(each.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"))
+    found = each.join(twice, "digest").groupBy("id", "sig").agg(F.collect_set("span").alias("spans"))
+    found = found.select(F.col("id").alias("his"), F.col("sig").alias("her"), "spans")
+    texts = base.select("id", "sig", line_keys("text").alias("all"))
+    rows = texts.join(found, texts["id"].eqNullSafe(found["his"]) & (F.col("sig") == F.col("her")))
+    rows = rows.select("id", "sig", "all", F.explode("spans").alias("span"))
+    return checkpoint(rows.select("id", "sig", "span", _part("all", F.col("span")).alias("keys")))
+
+
 def shared_keys(texts: DataFrame, text: str) -> DataFrame:
     """The keys that different lines share, found by comparing whole lines."""
     lines = texts.select(F.explode_outer(F.split(text, "\n")).alias("line")).where("line is not null")
@@ -95,8 +119,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("sig"), F.col(text_col).alias("text"))
     base = base.where(F.col("text").contains("\n"))  # others are no chunk of several lines
     each = (with_chunks(base, "text", window, bits, min_lines).select("id", "sig", F.explode_outer("chunks").alias("c"))
-            .select("id", "sig", F.col("c.span").alias("span"), F.col("c.keys").alias("keys"), F.col("c.word").alias("word"))
-            .where("word").drop("word"))
+            .where("c.word").select("id", "sig", F.col("c.span").alias("span"), F.col("c.digest").alias("digest")))
+    each = again_by_keys(base, each)
     at = F.struct("id", "sig", "span")
     again = checkpoint(each.groupBy("keys").agg(F.min(at).alias("first"), F.count("*").alias("n"))
                        .where("n > 1").select("keys", "first"))

@@ -172,6 +172,22 @@ def test_first_occurrences_stay_whole(spark):
     assert {s for text in left for s in text} == {*block, "same", "end"}
 
 
+def test_most_two_line_passages_go(spark):
+    lone = lambda k, n: prose(1000 + k, 9 * n).split("\n")
+    shared = [prose(5000 + k, 60, 30) for k in range(300)]
+    data = [(k, "\n".join([*lone(k, 3), shared[k % 300], *lone(7000 + k, 3)]), None, None, None, None, None, None, None) for k in range(600)]
+    got = {r["doc_id"]: r for r in lines.dedup_lines(frame(spark, data)).collect()}
+    assert all(got[k]["n_gone"] == 0 for k in range(300))
+    assert sum(got[k]["n_gone"] == 2 for k in range(300, 600)) >= 0.75 * 300
+
+
+def test_chunks_of_one_digest_are_told_apart(spark, monkeypatch):
+    data = [r for r in rows() if r[0] != 99]
+    monkeypatch.setattr(lines, "digest", lambda keys: F.size(keys) % 2)
+    got = lines.dedup_lines(frame(spark, data)).collect()
+    assert order((r["doc_id"], r["text"]) for r in got) == order(plain_lines([r[:2] for r in data]))
+
+
 def test_lines_that_share_a_key_are_found(spark):
     texts = spark.createDataFrame([("a\nb\nb",), ("b\nc",)], "text string")
     assert lines.shared_keys(texts, "text").collect() == []
