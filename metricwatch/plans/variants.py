@@ -96,6 +96,16 @@ def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw:
     and values out of range raise one each. Further ``options`` go to :func:`daily_alerts` or
     :func:`build_gold` by name.
     """
+    return daily_gold_and_alerts(web_raw, ads_raws, dictionary_raw, cutoff, days, k, contamination, min_rows, forest_min_rows,
+                                 checkpoint_gold, tz, quality, dict_cols, gold_path, gold_days, **options)[1]
+
+
+def daily_gold_and_alerts(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
+                          cutoff: _dt.date | str | Column | None = None, days: int = 65, k: float = 3.5, contamination: float = 0.01,
+                          min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True, tz: str | None = None,
+                          quality: bool = True, dict_cols: tuple[str, str] = ("AccountID", "domain"), gold_path: str | None = None,
+                          gold_days: int = 0, **options) -> tuple[DataFrame, DataFrame]:
+    """The gold window of :func:`daily_variant` (checkpointed or stored) and its alerts."""
     if cutoff is None:
         if tz is None:
             raise ValueError("daily_variant needs a cutoff or a time zone")
@@ -111,7 +121,7 @@ def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw:
         if checkpoint_gold:
             gold = cut_lineage(gold)
     domains = account_dictionary(dictionary_raw, *dict_cols).select("domain").distinct() if quality else None
-    return daily_alerts(gold, cutoff, k, contamination, min_rows, forest_min_rows, domains=domains, quality=quality, **detect)
+    return gold, daily_alerts(gold, cutoff, k, contamination, min_rows, forest_min_rows, domains=domains, quality=quality, **detect)
 
 
 def daily_alerts(gold: DataFrame, cutoff: _dt.date | Column, k: float = 3.5,
@@ -143,14 +153,15 @@ def daily_job(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: Dat
     The report adds how many alerts the cap held back from delivery, and sent and total cards.
     """
     started = _dt.datetime.now(_dt.timezone.utc)
-    alerts = cut_lineage(route(prioritize(daily_variant(web_raw, ads_raws, dictionary_raw, **options))))
+    gold, found = daily_gold_and_alerts(web_raw, ads_raws, dictionary_raw, **options)
+    alerts = cut_lineage(route(prioritize(found)))
     write_alerts(alerts, history)
     shown = cap_per_day(alerts, n=cap)
     n_all, n_shown = alerts.count(), shown.count()
     counts = {"held_back": n_all - n_shown, "sent": 0, "total": 0}
     if send is not None:
         counts |= delivery_summary(deliver(adaptive_card(shown, dashboard_url), send)).head().asDict()
-    row = run_report(alerts.select("domain").distinct(), alerts, started_at=started)
+    row = run_report(gold, alerts, started_at=started)
     row = row.withColumns({k: F.lit(v).cast("bigint") for k, v in counts.items()})
     write_report(row, report)
     return row

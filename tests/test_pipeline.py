@@ -106,6 +106,15 @@ def test_daily_job_stores_delivers_and_reports(spark, tmp_path):
     assert 0.3 * took < row.run_seconds <= took
 
 
+def test_daily_job_reports_all_of_gold(spark, tmp_path):
+    from metricwatch.plans.variants import daily_job
+    w, a, d = raw_tables(spark)
+    for k, path in enumerate((None, str(tmp_path / "gold"))):
+        row = daily_job(w, [a], d.unionByName(spark.createDataFrame([("900", "dark.com")], "AccountID string, domain string")),
+                        str(tmp_path / f"alerts{k}"), str(tmp_path / f"report{k}"), cutoff=CUT, days=65, gold_path=path, gold_days=65).first()
+        assert (row.total_domains, row.gold_rows) == (2, 132)  # dark.com raises an alert and has no row
+
+
 def test_gold_table_grows_by_a_day(spark, tmp_path):
     w, a, d = raw_tables(spark)
     path, yesterday = str(tmp_path / "gold"), CUT - dt.timedelta(days=1)
