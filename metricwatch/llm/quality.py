@@ -6,6 +6,8 @@ verdict of all rules costs no shuffle and no Python.
 
 Defined results: null and empty texts have zero words and fail the base rule; a ratio over zero
 words or lines is 0; repeated rows are judged alike; texts of any length are judged whole.
+The stop words are English, German, French and Spanish: nearly all texts in other languages fail
+``stop_words``.
 """
 
 from __future__ import annotations
