@@ -1,6 +1,6 @@
 """DuckDB statements for the corpus queries that SQL can express.
 
-op1, op4 (bin packing), op6 (compression), op7 (learned profiles) and op10 (XXH64, reachability) have none;
+op1, op4 (bin packing), op6 (compression), op7 (learned profiles), op10 (XXH64, reachability) and op12 (HTML) have none;
 tests hold them against brute force.
 """
 
@@ -127,5 +127,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS terms FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(terms)) AS total FROM d WHERE len(terms) > 0),
+q AS (SELECT iid, item_id, unnest(list_distinct(terms)) AS term FROM (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS terms FROM benchmark)),
+t AS MATERIALIZED (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s),
+c AS (SELECT q.iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // total)))) AS score
+      FROM t JOIN w USING (term) JOIN q USING (term), s GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score::BIGINT AS score FROM r WHERE rank <= 10
+"""
+
+# crc32 by its public rule: reflected polynomial EDB88320, a byte at a time through a table of 256 numbers
+SPELLING = rf"""
+WITH RECURSIVE bits(k, v, step) AS (SELECT k, k::BIGINT, 0 FROM range(256) b(k)
+  UNION ALL SELECT k, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS MATERIALIZED (SELECT list(v ORDER BY k) AS tab FROM bits WHERE step = 8),
+runs AS MATERIALIZED (SELECT id, run, count(*) AS n FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id,
+         unnest(regexp_extract_all({_FOLDED}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+drawn AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(
+         hex(encode(id || ':' || run)), '..')]), lambda c, b: xor(c >> 8, list_extract(tab, xor(c, b) % 256 + 1)))) AS h FROM runs, crc),
+told AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM drawn),
+v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM told WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b
+         FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS MATERIALIZED (
+  SELECT x.word, y.word AS other, y.n FROM holes x JOIN holes y ON x.a = y.a AND x.b = y.b AND x.i = y.i AND x.word <> y.word
+  UNION SELECT v.word, y.word, y.n FROM v JOIN holes y ON v.word = y.a || y.b
+  UNION SELECT y.word, v.word, v.n FROM v JOIN holes y ON v.word = y.a || y.b),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS best_n FROM near GROUP BY word),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * v.n THEN other END AS form,
+         CASE WHEN best_n >= 10 * v.n THEN best_n END AS form_n FROM v LEFT JOIN best USING (word)),
+ways AS (SELECT word, form AS goal, 1 AS step FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT w.word, f.form, step + 1 FROM ways w JOIN f ON f.word = w.goal WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(goal, step) AS root FROM ways GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM f LEFT JOIN ends USING (word)
+"""
+
 SQL = {"op2_url_filters": URLS, "op3_line_dedup": LINES, "op5_exact_dedup": EXACT, "op8_mixing_weights": MIXING,
-       "op9_quality_rules": QUALITY}
+       "op9_quality_rules": QUALITY, "op11_ranked_lexical_search": LEXICAL, "op13_spelling_variants": SPELLING}

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwatch.llm import exact, langid, licenses, lines, mixing, packing, quality, sharding, simhash, urls
+from metricwatch.llm import exact, langid, lexical, licenses, lines, mixing, packing, quality, sharding, simhash, spelling, urls, webtext
 from metricwatch.llm.oracle import SQL
 
 #: Environment variable with another tokenizer file; else the public vocabulary of 49k words.
@@ -92,8 +92,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_url_filters, op3_line_dedup, op4_sharding, op5_exact_dedup, op6_license_scans,
-    op7_language_id, op8_mixing_weights, op9_quality_rules, op10_simhash_near_dedup)}
+    op7_language_id, op8_mixing_weights, op9_quality_rules, op10_simhash_near_dedup, op11_ranked_lexical_search,
+    op12_html_extraction, op13_spelling_variants)}
 
 __all__ = ["QUERIES", "SQL"]
