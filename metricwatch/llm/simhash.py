@@ -10,7 +10,7 @@ odd one the bounded bucket's pairs are checked one by one. All links are verifie
 
 Defined results: null and empty texts have fingerprint zero, which links like any other; texts with
 fewer words than a shingle are one shingle; rows without an id take part but name no component;
-repeated rows get equal results.
+repeated rows get equal results. ``keep_one`` leaves one row a component, whatever ids repeat or are missing.
 """
 
 from __future__ import annotations
@@ -112,27 +112,28 @@ def hex_digits(fp: Column) -> Column:
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``docs`` without near-duplicates: of each component the document with the least id stays.
+    """``docs`` without near-duplicates: of each component exactly one row stays.
 
-    Where that id occurs in several rows of the component, the row with the least text hash stays,
-    and of equal rows the least, column by column. Rows without an id cannot be named as copies
-    and stay. Only ids, hashes and fingerprints are grouped; texts are shuffled once, by id.
+    It is the row with the least id (a missing id comes last), of those the one with the least text hash, and of
+    rows equal in both the one whose JSON form is the least. Components are told by fingerprint, so unlike
+    texts with one id are groups of their own. Only ids, hashes and fingerprints are grouped; texts are shuffled once, by id.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    mine, sig, text_sig = fresh(docs, "near_id", "near_sig", "text_sig")
-    each = checkpoint(found.where(F.col("id").isNotNull()).groupBy("id", "sig").agg(
-        F.min("component").alias("component"), F.count("*").alias("n")))
-    heads = each.where("component = id").groupBy("id").agg(F.min("sig").alias("head"))
-    state = each.join(heads, "id", "left").select(
-        "id", "sig", "n", (F.col("component") == F.col("id")).alias("own"), "head")
-    stays = F.col("own") & (F.col("sig") == F.col("head"))
-    gone = checkpoint(state.where(~stays | (F.col("n") > 1))
-                      .select(F.col("id").alias(mine), F.col("sig").alias(sig), stays.alias("stays")))
+    rows = fingerprints(docs, shingle, id_col, text_col)
+    each = checkpoint(rows.groupBy("id", "sig", "fp").agg(F.count("*").alias("n")))
+    heads = checkpoint(each.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sig")).alias("head")))
+    found = components(links(heads.select("fp"), max_bits))
+    stay = (heads.join(found, heads["fp"] == found["node"], "left").groupBy(F.coalesce("component", "fp").alias("least"))
+            .agg(F.min("head").alias("head")).select(F.col("head.id").alias("stay_id"), F.col("head.sig").alias("stay_sig")))
+    mine, sig, text_sig, form = fresh(docs, "near_id", "near_sig", "text_sig", "near_form")
+    stays = F.col("stay_sig").isNotNull()
+    gone = checkpoint(each.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("sig") == F.col("stay_sig")), "left")
+                      .where(~stays | (F.col("n") > 1)).select(F.col("id").alias(mine), F.col("sig").alias(sig), stays.alias("stays")))
     signed = docs.withColumn(text_sig, F.xxhash64(text_of(text_col)))
-    same = (signed[id_col] == F.col(mine)) & (F.col(text_sig) == F.col(sig))
+    same = signed[id_col].eqNullSafe(F.col(mine)) & (F.col(text_sig) == F.col(sig))
     left = signed.join(gone, same, "left_anti").drop(text_sig)
     if gone.where("stays").isEmpty():  # no row that stays occurs twice
         return left
-    again = signed.join(gone.where("stays"), same, "left_semi").drop(text_sig)
-    one = again.groupBy(id_col, F.xxhash64(text_of(text_col)).alias(sig)).agg(F.min(F.struct(*docs.columns)).alias(mine))
-    return left.unionByName(one.select(f"{mine}.*"))
+    again = signed.join(gone.where("stays"), same, "left_semi")
+    whole = F.struct(*docs.columns)
+    one = again.groupBy(id_col, F.col(text_sig).alias(sig)).agg(F.min_by(whole, F.to_json(whole)).alias(form))
+    return left.unionByName(one.select(f"{form}.*"))

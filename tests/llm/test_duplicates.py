@@ -66,17 +66,41 @@ def test_links_of_planted_fingerprints(spark):
     assert {r["node"] for r in found} == set(fps[:4]) and len({r["component"] for r in found}) == 1
 
 
-def test_keep_one_stays_with_one_row_a_group(spark):
-    df = frame(spark)
-    kept = simhash.keep_one(df)
-    assert kept.columns == df.columns
-    got = kept.collect()
-    near = plain_components([(r[0], plain_fingerprint(r[1])) for r in rows()], 2)
-    assert Counter(r["doc_id"] for r in got if r["doc_id"] is not None) == Counter({c: 1 for i, _, c in near if i is not None})
-    assert sum(r["doc_id"] is None for r in got) == 2  # rows without an id stay
+def plain_groups(data, bits=2):
+    """The rows' groups as sets of row numbers, by comparing all pairs."""
+    named = plain_components([(k, plain_fingerprint(r[1])) for k, r in enumerate(data)], bits)
+    groups = defaultdict(list)
+    for k, _, c in named:
+        groups[c].append(k)
+    return list(groups.values())
+
+
+def stays(group, data):
+    """(id, text) of the row that stays, unless texts of one id are told by hash."""
+    least = min((data[k][0] is None, data[k][0] or 0) for k in group)
+    return [(data[k][0], data[k][1]) for k in group if (data[k][0] is None, data[k][0] or 0) == least]
+
+
+def test_keep_one_leaves_one_row_of_every_group(spark):
+    data = rows()
+    kept = simhash.keep_one(frame(spark))
+    assert kept.columns == frame(spark).columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    groups = plain_groups(data)
+    assert len(got) == len(groups)
+    for group in groups:
+        assert any(x in got for x in stays(group, data))
     assert simhash.keep_one(frame(spark, [])).collect() == []
 
 
+def test_keep_one_with_repeated_and_missing_ids(spark):
+    a, b, c = prose(31, 90), prose(32, 90), prose(33, 90)
+    data = [(7, a), (7, b), (8, c), (None, c), (None, c), (None, prose(34, 90)), (None, prose(34, 90)), (9, a)]
+    df = spark.createDataFrame(data, "doc_id int, text string").withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
+    got = order((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect())
+    assert got == order([(7, a), (7, b), (8, c), (None, prose(34, 90))])
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 400)] + [(5, 5), (2000, 2001), (2001, 2000)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}

@@ -42,7 +42,7 @@ def test_pipeline_stages(spark, tmp_path):
     pairs = lambda df: sorted((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect())
     assert pairs(lined) == sorted(plain_lines(pairs(good)))
     want = plain_components([(i, plain_fingerprint(t)) for i, t in pairs(lined)], 2)
-    assert [i for i, _ in pairs(near)] == sorted({c for _, _, c in want})
+    assert [i for i, _ in pairs(near)] == sorted({c for _, _, c in want})  # ids are unique here: a group is named by the row that stays
     assert set(pairs(mixed)) == set(pairs(near))  # some more than once
     assert {r["doc_id"] for r in packed.collect()} == {i for i, _ in pairs(near)}
     assert packed.where("piece = 0").count() == mixed.count()
