@@ -1,32 +1,42 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups (equal texts).
 
 Groups are summed in Spark from narrow rows (a hash of the text, its size; no texts are shuffled).
-Groups of at least a fixed small fraction of a shard are packed one by one; there can't be more of
-them than shards times that fraction's inverse. All smaller groups are dealt by hash into a fixed
-number of parcels, and each parcel is packed as one item. So the item table has a bound that does
-not depend on the input, while every group stays whole. One task packs it: items by falling size,
-each into the tightest bin that still has room, found in a balanced tree over remaining capacities.
+Packing needs only how many groups have a size: groups of one size are interchangeable. Sizes are
+counted in classes: every size up to ``EXACT`` is one, larger ones share a class with sizes that
+differ by less than a 1024th, so their number has a bound (some ten thousand) whatever the input,
+and every group is packed, at any scale, by one and the same way. Classes go by falling size, and each
+group into the tightest bin that still has room, found in a balanced tree over remaining
+capacities; a bin that has taken one is the tightest still, so it takes as many as fit in one step.
+The steps ("these ranks of this class go into this bin") are a bounded table; a group finds its
+shard from its rank in its class, counted in two phases.
+
 The capacity is bisected to the least one that needs no more than the wanted number of shards, so
-sizes come out near equal; an indivisible group above an equal share gets a shard of its own.
+sizes come out near equal. Groups above an equal share get a shard each before that. With a fixed
+``capacity`` the same packing opens as many shards as it needs.
 
 Defined results: a null text is sized and grouped like an empty one; rows are placed row by row,
-repeated rows included; ties between equal items go by item key; an empty table has no shards.
+repeated rows included; ties between equal groups go by hash; an empty table has no shards; with
+a fixed capacity a larger group has a shard to itself.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from random import Random
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metricwatch.llm.common import checkpoint, text_of
 
-#: Groups of a share of this part or more are items of their own; smaller ones go into parcels.
+#: Sizes up to this one are classes of their own; above, a class has sizes with the same leading PRECISION bits.
+EXACT, PRECISION = 4096, 10
+#: Groups of a shard's share divided by this, or more, find their shard by a broadcast; there are at most shards times it.
 LARGE_PART = 512
-PARCELS_PER_SHARD = 64
 
 
 class CapacityTreap:
@@ -74,39 +84,68 @@ class CapacityTreap:
         self.root = self._merge(left, right)
         return node[0]
 
+def size_class(size: Column) -> Column:
+    """The least size of a size's class."""
+    drop = F.greatest(F.length(F.bin(size)) - (PRECISION + 1), F.lit(0))
+    return F.when(size <= EXACT, size).otherwise(F.call_function("shiftleft", F.call_function("shiftright", size, drop), drop))
+
 
-def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None) -> list[int] | None:
-    """Bin of each item (in the given order, which must fall); None if more than ``most`` bins were needed."""
-    tree, bins, out = CapacityTreap(), 0, []
-    for size in sizes:
-        found = tree.take_tightest(size)
+def best_fit_steps(classes: list[list[int]], capacity: int, most: int | None = None) -> list[tuple] | None:
+    """Best-fit decreasing over (class, size, number of groups), sizes falling: rows (class, first rank, bin).
+
+    None if more than ``most`` bins were needed or a group is above the capacity.
+    """
+    tree, bins, steps = CapacityTreap(), 0, []
+    for name, size, left in classes:
+        if size > capacity:
+            return None
+        rank = 0
+        while left:
+            found = tree.take_tightest(size)
+            if found is None:
+                if bins == most:
+                    return None
+                found, bins = (capacity, bins), bins + 1
+            took = min(left, found[0] // size)
+            steps.append((name, rank, found[1]))
+            tree.add(found[0] - took * size, found[1])
+            rank, left = rank + took, left - took
+    return steps
+
+
+def plan(classes: list[tuple[int, int, int, int]], shards: int | None, capacity: int | None = None) -> list[tuple]:
+    """Steps (class, first rank, shard) for (class, groups, total size, largest size): near-equal shards, or shards of a capacity."""
+    classes, steps, used = sorted(classes, reverse=True), [], 0
+    if capacity is not None:
+        items = [[name, high, n] for name, n, _, high in classes]
+        while items and items[0][1] > capacity:  # one shard each
+            name, _, n = items.pop(0)
+            steps += [(name, rank, used + rank) for rank in range(n)]
+            used += n
+        return steps + [(name, rank, used + k) for name, rank, k in best_fit_steps(items, capacity)]
+    items = [[name, -(-total // n), n] for name, n, total, _ in classes]  # a group counts as its class's mean
+    left, alone = sum(size * n for _, size, n in items), Counter()
+    while items and used < shards - 1 and items[0][1] * (shards - used) > left:  # above an equal share of what is left
+        name, size, _ = items[0]
+        steps.append((name, alone[name], used))
+        alone[name] += 1
+        used, left = used + 1, left - size
+        items[0][2] -= 1
+        if not items[0][2]:
+            items.pop(0)
+    if not items:
+        return steps
+    low = high = max(items[0][1], -(-left // (shards - used)))
+    while (best := best_fit_steps(items, high, shards - used)) is None:
+        low, high = high + 1, high + max(1, high // 1024)
+    while low < high:
+        middle = (low + high) // 2
+        found = best_fit_steps(items, middle, shards - used)
         if found is None:
-            if bins == most or size > capacity:
-                return None
-            found, bins = (capacity, bins), bins + 1
-        out.append(found[1])
-        tree.add(found[0] - size, found[1])
-    return out
-
-
-def pack_items(items: pd.DataFrame, shards: int) -> pd.DataFrame:
-    """items (key, size) -> (key, shard): best fit at the least capacity that needs at most ``shards`` bins."""
-    items = items.sort_values(["size", "key"], ascending=[False, True], kind="stable")
-    sizes = [int(x) for x in items["size"]]
-    low = max(sizes[0], -(-sum(sizes) // shards))
-    high, best = low, None
-    while best is None:  # at most twice the lower bound: a bin is opened only if two others together are over a capacity
-        best = best_fit_decreasing(sizes, high, shards)
-        low, high = (high, high) if best else (high + 1, high + max(1, high // 64))
-    top = high
-    while low < top:
-        middle = (low + top) // 2
-        got = best_fit_decreasing(sizes, middle, shards)
-        if got is None:
             low = middle + 1
         else:
-            top, best = middle, got
-    return items.assign(shard=best)[["key", "shard"]]
+            high, best = middle, found
+    return steps + [(name, alone[name] + rank, used + k) for name, rank, k in best]
 
 
 def group_key(text: Column) -> Column:
@@ -114,28 +153,52 @@ def group_key(text: Column) -> Column:
     return F.concat(F.lpad(F.hex(F.xxhash64(text)), 16, "0"), F.lpad(F.hex(F.crc32(text)), 8, "0"))
 
 
-def shard_rows(docs: DataFrame, shards: int = 40, extra_bytes: int = 16, id_col: str = "doc_id", text_col: str = "text",
-               rows_per_block: int = 1_000_000) -> DataFrame:
-    """One row per row of ``docs``: id, size, text_crc32, shard, slot (from 0 without gaps in each shard)."""
+def place_groups(groups: DataFrame, shards: int | None, capacity: int | None = None, rows_per_block: int = 1_000_000) -> DataFrame:
+    """groups (grp, size) -> (grp, size, shard); ``groups`` should be a checkpointed table, as it is read several times."""
+    classed = groups.withColumn("class", size_class(F.col("size")))
+    # bounded by the number of classes
+    classes = [tuple(r) for r in classed.groupBy("class").agg(F.count("*"), F.sum("size"), F.max("size")).collect()]
+    steps = np.array(plan(classes, shards, capacity), np.int64).reshape(-1, 3)
+    names = np.unique(steps[:, 0])
+    keys = np.searchsorted(names, steps[:, 0]) << 44 | steps[:, 1]
+    order = np.argsort(keys)
+    shared = groups.sparkSession.sparkContext.broadcast((names, keys[order], steps[order, 2].astype(np.int32)))  # at most a step per class and shard
+    blocks = max(64, -(-sum(c[1] for c in classes) // rows_per_block))
+    rows = classed.withColumn("block", F.pmod(F.xxhash64("grp"), F.lit(blocks)))
+    counts = rows.groupBy("class", "block").agg(F.count("*").alias("n"))
+    before = counts.select("class", "block", (F.sum("n").over(
+        W.partitionBy("class").orderBy("block").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("before"))
+    ranked = (rows.withColumn("at", F.row_number().over(W.partitionBy("class", "block").orderBy("grp"))).join(before, ["class", "block"])
+              .select("grp", "size", "class", (F.col("before") + F.col("at") - 1).alias("rank")))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, keys, shard = shared.value
+        for batch in batches:
+            name, rank = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+            at = np.searchsorted(keys, np.searchsorted(names, name) << 44 | rank, side="right") - 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shard[at])], ["grp", "size", "shard"])
+
+    return ranked.mapInArrow(place, "grp string, size bigint, shard int")
+
+
+def shard_rows(docs: DataFrame, shards: int | None = 40, extra_bytes: int = 16, id_col: str = "doc_id", text_col: str = "text",
+               rows_per_block: int = 1_000_000, capacity: int | None = None) -> DataFrame:
+    """One row per row of ``docs``: id, size, text_crc32, shard, slot (from 0 without gaps in each shard).
+
+    ``shards`` near-equal shards or, if ``capacity`` is given, as many as best-fit decreasing needs of that size.
+    """
     text = text_of(text_col)
     rows = checkpoint(docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + F.lit(extra_bytes)).cast("bigint").alias("size"),
                                   F.crc32(text).alias("text_crc32"), group_key(text).alias("grp")))
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).head()
-    large = max(1, total // (shards * LARGE_PART))
-    parcel = F.concat(F.lit("parcel "), F.pmod(F.xxhash64("grp"), F.lit(shards * PARCELS_PER_SHARD)).cast("string"))
-    groups = checkpoint(rows.groupBy("grp").agg(F.sum("size").alias("size")).where(F.col("size") >= large))
-    # at most shards * LARGE_PART large groups and shards * PARCELS_PER_SHARD parcels
-    small = (rows.groupBy("grp").agg(F.sum("size").alias("size")).where(F.col("size") < large)
-             .groupBy(parcel.alias("key")).agg(F.sum("size").alias("size")))
-    items = groups.select(F.col("grp").alias("key"), "size").unionAll(small)
-    placed = checkpoint(items.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(
-        lambda pdf: pack_items(pdf[["key", "size"]], shards), "key string, shard int"))
-    by_key = placed.withColumn("is_parcel", F.col("key").startswith("parcel "))
-    own = F.broadcast(by_key.where(~F.col("is_parcel")).select(F.col("key").alias("grp"), F.col("shard").alias("own")))
-    dealt = F.broadcast(by_key.where("is_parcel").select(F.col("key").alias("parcel"), F.col("shard").alias("dealt")))
-    at = (rows.withColumn("parcel", parcel).join(own, "grp", "left").join(dealt, "parcel", "left")
-          .select("id", "size", "text_crc32", F.coalesce("own", "dealt").alias("shard")))
-    return with_slots(at, "shard", ["id", "text_crc32", "size"], max(64, -(-n // (shards * rows_per_block))))
+    placed = checkpoint(place_groups(checkpoint(rows.groupBy("grp").agg(F.sum("size").alias("size"))), shards, capacity, rows_per_block))
+    parts = shards or max(1, total // capacity)
+    large = F.col("size") * (parts * LARGE_PART) >= total
+    # at most parts * LARGE_PART large groups, which are the ones with many or long rows
+    own = F.broadcast(placed.where(large).select("grp", "shard"))
+    few = placed.where(~large).select("grp", "shard")
+    at = rows.join(own, "grp").unionByName(rows.join(own, "grp", "left_anti").join(few, "grp")).drop("grp")
+    return with_slots(at, "shard", ["id", "text_crc32", "size"], max(64, -(-n // (parts * rows_per_block))))
 
 
 def with_slots(rows: DataFrame, shard: str, order: list[str], blocks: int) -> DataFrame:

@@ -2,8 +2,8 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from metricwatch.llm import packing, queries, sharding
 from tests.llm.data import frame, prose, rows
@@ -116,11 +116,13 @@ def check_shards(found, docs, shards):
     return loads, by_text
 
 
-def test_sharding_query_is_near_equal(spark):
-    found = queries.op4_sharding(spark, "/root/testdata/sf0.01").collect()
-    docs = [tuple(r) for r in queries.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text").collect()]
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_sharding_query_is_near_equal(spark, size):
+    found = queries.op4_sharding(spark, f"/root/testdata/{size}").collect()
+    docs = [tuple(r) for r in queries.documents(spark, f"/root/testdata/{size}").select("doc_id", "text").collect()]
     loads, _ = check_shards(found, docs, 40)
-    assert max(loads.values()) < 1.02 * sum(loads.values()) / 40 and len(loads) == 40
+    share = sum(loads.values()) / 40
+    assert len(loads) == 40 and max(loads.values()) < 1.005 * share and min(loads.values()) > 0.995 * share
 
 
 def test_sharding_odd_documents(spark):
@@ -129,12 +131,59 @@ def test_sharding_odd_documents(spark):
     assert sharding.shard_rows(frame(spark, []), 4).collect() == []
 
 
-def test_treap_is_best_fit():
+def test_groups_above_a_share_stand_alone(spark):
+    data = [(k, "copy " * 50, *[None] * 7) for k in range(60)] + [(100 + k, f"text {k} " * 5, *[None] * 7) for k in range(120)]
+    found = [r.asDict() for r in sharding.shard_rows(frame(spark, data), 5).collect()]
+    loads, _ = check_shards(found, [r[:2] for r in data], 5)
+    alone = {r["shard"] for r in found if r["id"] < 100}
+    rest = [v for k, v in loads.items() if k not in alone]
+    assert len(alone) == 1 and len(rest) == 4 and max(rest) - min(rest) <= 2 * 60
+    assert all(r["id"] < 100 for r in found if r["shard"] in alone)
+
+
+def test_shards_of_a_fixed_capacity(spark):
+    data = [(k, "x" * (40 + 13 * k), *[None] * 7) for k in range(70)] + [(900, "y" * 5000, *[None] * 7)]
+    found = [r.asDict() for r in sharding.shard_rows(frame(spark, data), capacity=2000).collect()]
+    loads, _ = check_shards(found, [r[:2] for r in data], 10 ** 6)
+    sizes = sorted((len(r[1]) + 16 for r in data[:-1]), reverse=True)
+    assert len(loads) == best_fit_bins(sizes, 2000) + 1
+    assert sorted(loads.values())[-1] == 5016 and sorted(loads.values())[-2] <= 2000
+
+
+def plain_steps(classes, capacity, most=None):
+    """Best-fit decreasing, group by group over a list of bins."""
+    bins, out = [], []
+    for name, size, n in classes:
+        for rank in range(n):
+            room = [(r, k) for k, r in enumerate(bins) if r >= size]
+            if not room:
+                if len(bins) == most or size > capacity:
+                    return None
+                bins.append(capacity)
+                room = [(capacity, len(bins) - 1)]
+            k = min(room)[1]
+            bins[k] -= size
+            out.append((name, rank, k))
+    return out
+
+
+def test_steps_are_best_fit():
     rng = np.random.default_rng(5)
-    for _ in range(20):
-        sizes = sorted(rng.integers(1, 90, 150).tolist(), reverse=True)
-        got = sharding.best_fit_decreasing(sizes, 100)
-        assert max(got) + 1 == best_fit_bins(sizes, 100)
-        assert all(v <= 100 for v in pd.Series(sizes).groupby(got).sum())
-    packed = sharding.pack_items(pd.DataFrame({"key": ["a", "b", "c", "d"], "size": [50, 30, 20, 100]}), 2)
-    assert set(packed.groupby("shard").key.apply(lambda k: "".join(sorted(k)))) == {"abc", "d"}
+    for _ in range(40):
+        sizes = np.unique(rng.integers(1, 90, 30))[::-1].tolist()
+        classes = [[s, s, int(rng.integers(1, 6))] for s in sizes]
+        for most in (None, 12):
+            got, want = sharding.best_fit_steps(classes, 100, most), plain_steps(classes, 100, most)
+            assert (got is None) == (want is None)
+            if got:
+                runs = dict(((c, r), k) for c, r, k in got)
+                at = {}
+                for c, r, k in want:
+                    at[c] = runs.get((c, r), at.get(c))
+                    assert at[c] == k
+
+
+@pytest.mark.parametrize("size", [1, 5, 4095, 4096, 4097, 5000, 10 ** 6 + 17, 10 ** 13 + 5])
+def test_size_classes(spark, size):
+    got = spark.range(1).select(sharding.size_class(F.lit(size).cast("bigint"))).head()[0]
+    assert got <= size < got * (1 + 2 ** -10) + 1 and (got == size or size > sharding.EXACT)
