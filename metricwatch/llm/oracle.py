@@ -6,7 +6,7 @@ tests hold them against brute force.
 
 from __future__ import annotations
 
-from metricwatch.llm.lines import BASE, BITS, MIN_LINES, PRIME
+from metricwatch.llm.lines import BASE, CUTS, MIN_LINES, PRIME
 from metricwatch.llm.mixing import BLOCKS, ENTROPY, MAX_REPEAT
 from metricwatch.llm.quality import RULES, STOP_WORDS
 
@@ -31,10 +31,11 @@ LINES = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 l AS (SELECT rid, len(lines) AS n, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM l),
-v AS (SELECT *, (coalesce(lag(h) OVER w, 0) * {BASE} + h) % {PRIME} AS v FROM h WINDOW w AS (PARTITION BY rid ORDER BY i)),
-cuts AS (SELECT rid, i, bit, side FROM v, range({BITS}) b(bit), range(2) s(side) WHERE (v >> bit) % 2 = side OR i = n),
+v AS (SELECT *, h % {PRIME} AS v1, (coalesce(lag(h) OVER w, 0) * {BASE} + h) % {PRIME} AS v2 FROM h WINDOW w AS (PARTITION BY rid ORDER BY i)),
+cuts AS (SELECT rid, i, win, bit, side FROM v, (VALUES {", ".join(map(str, CUTS))}) b(win, bit), range(2) s(side)
+         WHERE (CASE win WHEN 1 THEN v1 ELSE v2 END >> bit) % 2 = side OR i = n),
 spans AS (SELECT DISTINCT rid, first, last FROM (
-  SELECT rid, coalesce(lag(i) OVER (PARTITION BY rid, bit, side ORDER BY i), 1) AS first, i AS last FROM cuts)
+  SELECT rid, coalesce(lag(i) OVER (PARTITION BY rid, win, bit, side ORDER BY i), 1) AS first, i AS last FROM cuts)
   WHERE last - first + 1 >= {MIN_LINES}),
 c AS (SELECT rid, doc_id, first, last, array_to_string(lines[first:last], chr(10)) AS chunk FROM spans JOIN d USING (rid)),
 r AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id NULLS FIRST, rid, first) > 1 AS later,
