@@ -31,8 +31,11 @@ from metricwatch.operators.gold import GOLD_METRICS, build_gold
 from metricwatch.operators.iforest import iforest_alerts
 from metricwatch.operators.quality import missing_day_alerts, missing_days, range_alerts, range_rules
 from metricwatch.operators.series import calendar_fill, to_long
-from metricwatch.sources.sinks import deliver, delivery_summary, store_gold, write_alerts, write_report
-from metricwatch.sources.tables import account_dictionary, analysis_window
+from metricwatch.sources.changes import read_gold, refresh_gold
+from metricwatch.sources.history import as_date, read_days
+from metricwatch.sources.ledger import deliver_once
+from metricwatch.sources.sinks import deliver, delivery_summary, write_alerts, write_report
+from metricwatch.sources.tables import account_dictionary
 
 
 COUNT_METRICS = ("leads", "sessions")
@@ -85,26 +88,26 @@ def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw:
                   cutoff: _dt.date | str | Column | None = None, days: int = 65, k: float = 3.5, contamination: float = 0.01,
                   min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True, tz: str | None = None,
                   quality: bool = True, dict_cols: tuple[str, str] = ("AccountID", "domain"), gold_path: str | None = None,
-                  gold_days: int = 0, **options) -> DataFrame:
+                  **options) -> DataFrame:
     """The production job: raw daily tables -> gold -> alerts of the cutoff day.
 
     ``cutoff`` is a date, ISO text or a Column; without one it is yesterday in the time zone ``tz``
-    (B4). With ``gold_path`` gold is a stored table by day: the run adds the cutoff day (and
-    ``gold_days`` days before it; give the window's length once, to begin with) and reads the window
-    from there, so the raw tables are aggregated for new days only. Without it the whole window is
-    aggregated and checkpointed. With ``quality`` a dictionary domain without a row on that day raises a missing-day alert
+    (B4). With ``gold_path`` gold is a stored table by day: the run aggregates the days of the window that are
+    new or have changed since (:func:`refresh_gold`: late rows, days that earlier runs have skipped) and reads the window
+    from there. Without it the whole window is aggregated and checkpointed. With ``quality`` a dictionary domain
+    without a row on that day (with ``calendar``: on any day of the window) raises a missing-day alert
     and values out of range raise one each. Further ``options`` go to :func:`daily_alerts` or
     :func:`build_gold` by name.
     """
     return daily_gold_and_alerts(web_raw, ads_raws, dictionary_raw, cutoff, days, k, contamination, min_rows, forest_min_rows,
-                                 checkpoint_gold, tz, quality, dict_cols, gold_path, gold_days, **options)[1]
+                                 checkpoint_gold, tz, quality, dict_cols, gold_path, **options)[1]
 
 
 def daily_gold_and_alerts(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame,
                           cutoff: _dt.date | str | Column | None = None, days: int = 65, k: float = 3.5, contamination: float = 0.01,
                           min_rows: int = 14, forest_min_rows: int = 20, checkpoint_gold: bool = True, tz: str | None = None,
                           quality: bool = True, dict_cols: tuple[str, str] = ("AccountID", "domain"), gold_path: str | None = None,
-                          gold_days: int = 0, **options) -> tuple[DataFrame, DataFrame]:
+                          **options) -> tuple[DataFrame, DataFrame]:
     """The gold window of :func:`daily_variant` (checkpointed or stored) and its alerts."""
     if cutoff is None:
         if tz is None:
@@ -113,9 +116,12 @@ def daily_gold_and_alerts(web_raw: DataFrame, ads_raws: list[DataFrame], diction
     cutoff = cutoff if isinstance(cutoff, Column | _dt.date) else _dt.date.fromisoformat(str(cutoff))
     detect = {n: options.pop(n) for n in ("metrics", "fill_calendar", "anscombe_counts", "forest_percentile", "standardize",
                                           "count_metrics", "rules") if n in options}
+    if options.pop("calendar", False):
+        detect["calendar_days"] = days
     if gold_path is not None:
-        store_gold(build_gold(web_raw, ads_raws, dictionary_raw, cutoff, gold_days, dict_cols=dict_cols, **options), gold_path)
-        gold = analysis_window(web_raw.sparkSession.read.parquet(gold_path), "day", cutoff, days)
+        cutoff = as_date(web_raw.sparkSession, cutoff)
+        refresh_gold(web_raw, ads_raws, dictionary_raw, gold_path, cutoff, days, dict_cols=dict_cols, **options)
+        gold = read_gold(web_raw.sparkSession, gold_path, cutoff - _dt.timedelta(days=days), cutoff)
     else:
         gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, dict_cols=dict_cols, **options)
         if checkpoint_gold:
@@ -128,8 +134,11 @@ def daily_alerts(gold: DataFrame, cutoff: _dt.date | Column, k: float = 3.5,
                  contamination: float = 0.01, min_rows: int = 14, forest_min_rows: int = 20,
                  metrics=GOLD_METRICS, fill_calendar: bool = False, anscombe_counts: bool = False,
                  forest_percentile: float | None = None, standardize: bool = False, count_metrics=COUNT_METRICS,
-                 quality: bool = False, domains: DataFrame | None = None, rules=None) -> DataFrame:
-    """DAILY detection on an existing gold table: alerts dated ``cutoff`` only."""
+                 quality: bool = False, domains: DataFrame | None = None, rules=None, calendar_days: int = 0) -> DataFrame:
+    """DAILY detection on an existing gold table: alerts dated ``cutoff`` only.
+
+    Missing days are looked for from ``calendar_days`` before the cutoff on; those alerts are dated on the missing day.
+    """
     day = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
     long = to_long(gold, ["domain", "day"], list(metrics))
     tested, col = tested_long(long, anscombe_counts, fill_calendar, count_metrics)
@@ -140,28 +149,44 @@ def daily_alerts(gold: DataFrame, cutoff: _dt.date | Column, k: float = 3.5,
                            percentile=forest_percentile, standardize=standardize)
     parts = [uni, multi]
     if quality:
-        parts.append(missing_day_alerts(missing_days(gold, ["domain"], "day", day, day, domains), ["domain"], "day"))
+        parts.append(missing_day_alerts(missing_days(gold, ["domain"], "day", F.date_sub(day, calendar_days), day, domains), ["domain"], "day"))
         parts.append(range_alerts(long.filter(F.col("day") == day), range_rules(gold.sparkSession, rules)))
     return fuse_alerts(*parts)
 
 
 def daily_job(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw: DataFrame, history: str, report: str,
-              send=None, dashboard_url: str = "", cap: int = DAILY_CAP, **options) -> DataFrame:
-    """The whole run: alerts of the day into the history (a rerun replaces its day), the strongest ``cap``
-    delivered, the report written once all that is done. Returns the one-row report.
-
-    The report adds how many alerts the cap held back from delivery, and sent and total cards.
+              send=None, dashboard_url: str = "", cap: int = DAILY_CAP, ledger: str | None = None, **options) -> DataFrame:
+    """The whole run: alerts of the day into the history, the strongest ``cap`` delivered, the report
+    written once all that is done. Returns the one-row report.
+
+    A rerun replaces its day in the history, also by nothing. With ``calendar=True`` missing days of the
+    whole window are found; in the history they join the alerts that their day has. With ``ledger`` cards
+    that an earlier run has delivered are not sent again. The report adds how many alerts the cap held
+    back from delivery, and sent and total cards.
     """
     started = _dt.datetime.now(_dt.timezone.utc)
-    gold, found = daily_gold_and_alerts(web_raw, ads_raws, dictionary_raw, **options)
+    spark = web_raw.sparkSession
+    cutoff = as_date(spark, options.pop("cutoff", None) or cutoff_day(options.pop("tz")))
+    gold, found = daily_gold_and_alerts(web_raw, ads_raws, dictionary_raw, cutoff, **options)
     alerts = cut_lineage(route(prioritize(found)))
-    write_alerts(alerts, history)
+    earlier = [r[0] for r in alerts.select("day").where(F.col("day") != F.lit(cutoff)).distinct().collect()]  # at most the window's days
+    rows = alerts
+    if earlier:  # such days keep their other alerts
+        had = read_days(spark, history, min(earlier), max(earlier), _ddl(alerts)).where(
+            F.col("day").isin(earlier) & (F.col("method") != "missing_day"))
+        rows = cut_lineage(alerts.unionByName(had, allowMissingColumns=True).select(*alerts.columns))
+    write_alerts(rows, history, days=[cutoff, *earlier])
     shown = cap_per_day(alerts, n=cap)
     n_all, n_shown = alerts.count(), shown.count()
     counts = {"held_back": n_all - n_shown, "sent": 0, "total": 0}
     if send is not None:
-        counts |= delivery_summary(deliver(adaptive_card(shown, dashboard_url), send)).head().asDict()
+        cards = adaptive_card(shown, dashboard_url)
+        counts |= delivery_summary(deliver_once(cards, send, ledger) if ledger else deliver(cards, send)).head().asDict()
     row = run_report(gold, alerts, started_at=started)
     row = row.withColumns({k: F.lit(v).cast("bigint") for k, v in counts.items()})
     write_report(row, report)
     return row
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 import time
 from collections.abc import Callable, Iterator
 
@@ -13,48 +12,32 @@ from pyspark.sql import types as T
 
 from metricwatch.functions.plan import cut_lineage
 from metricwatch.operators.alerts import retain
+from metricwatch.sources.history import read_days, write_days
 
 
-def write_alerts(df: DataFrame, path: str, files_per_day: int | None = 16) -> None:
-    """Alerts into a parquet history partitioned by day (partition pruning on read).
+def write_alerts(df: DataFrame, path: str, files_per_day: int | None = 16, days=None) -> None:
+    """Alerts into a history by day (partition pruning on read).
 
-    The days that ``df`` holds are replaced and all others stay, so a repeated run of a day does
-    not double it.
+    ``days`` are the days that this run covers (default: those that ``df`` holds). Their rows are
+    replaced, also by none, and all others stay, so a repeated run of a day neither doubles it nor
+    keeps what it no longer finds. The change is committed at once (:mod:`metricwatch.sources.history`).
 
     ``files_per_day`` bounds the number of files written into each day folder: rows are hashed on
     their identity (domain, metric, method, type) into ``files_per_day`` salts per day, each
     (day, salt) group lands in one task, so a busy day is still written by up to
     ``files_per_day`` tasks in parallel and never by one.
     """
-    if files_per_day:
-        ident = [c for c in ("domain", "metric", "method", "type") if c in df.columns]
-        salt = F.pmod(F.xxhash64(*ident), F.lit(int(files_per_day)))
-        df = df.repartition(F.col("day"), salt)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
-
-
-def store_gold(gold: DataFrame, path: str) -> None:
-    """Write gold rows into a parquet table by day; the days that ``gold`` holds are replaced, others stay.
-
-    A domain-day depends on the raw rows of that day alone, so adding a day equals a full rebuild.
-    Rows are hashed by domain into the tasks that write; a day has a file per such task at most.
-    """
-    gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    write_days(df, path, days, files_per_day, ("domain", "metric", "method", "type"))
 
 
 def read_alerts(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    """Read the history back for a day range; the range prunes partitions."""
-    df = spark.read.parquet(path)
-    if start is not None:
-        df = df.filter(F.col("day") >= F.lit(_dt.date.fromisoformat(str(start))))
-    if end is not None:
-        df = df.filter(F.col("day") <= F.lit(_dt.date.fromisoformat(str(end))))
-    return df
+    """Read the history back for a day range; only the folders of those days are read."""
+    return read_days(spark, path, start, end)
 
 
 def retain_history(spark: SparkSession, path: str, out_path: str, cutoff, days: int = 30) -> None:
     """A6 on a stored history: write the retained window to ``out_path`` (a new folder)."""
-    retain(spark.read.parquet(path), cutoff, days).write.mode("overwrite").partitionBy("day").parquet(out_path)
+    write_days(retain(read_days(spark, path), cutoff, days), out_path)
 
 
 def write_report(report: DataFrame, path: str, mode: str = "append") -> None:

@@ -111,17 +111,18 @@ def test_daily_job_reports_all_of_gold(spark, tmp_path):
     w, a, d = raw_tables(spark)
     for k, path in enumerate((None, str(tmp_path / "gold"))):
         row = daily_job(w, [a], d.unionByName(spark.createDataFrame([("900", "dark.com")], "AccountID string, domain string")),
-                        str(tmp_path / f"alerts{k}"), str(tmp_path / f"report{k}"), cutoff=CUT, days=65, gold_path=path, gold_days=65).first()
+                        str(tmp_path / f"alerts{k}"), str(tmp_path / f"report{k}"), cutoff=CUT, days=65, gold_path=path).first()
         assert (row.total_domains, row.gold_rows) == (2, 132)  # dark.com raises an alert and has no row
 
 
 def test_gold_table_grows_by_a_day(spark, tmp_path):
+    from metricwatch.sources.changes import read_gold
     w, a, d = raw_tables(spark)
     path, yesterday = str(tmp_path / "gold"), CUT - dt.timedelta(days=1)
-    daily_variant(w, [a], d, yesterday, 65, gold_path=path, gold_days=65)
+    daily_variant(w, [a], d, yesterday, 65, gold_path=path)
     out = daily_variant(w, [a], d, CUT, 65, gold_path=path)
     whole = build_gold(w, [a], d, CUT, 66).select("domain", "day", "spend", "leads", "sessions")
-    stored = spark.read.parquet(path).select(*whole.columns)
+    stored = read_gold(spark, path).select(*whole.columns)
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, whole.collect()))
     cols = [c for c in out.columns if c not in ("affected", "context")]
     assert sorted(map(str, out.select(*cols).collect())) == sorted(map(str, daily_variant(w, [a], d, CUT, 65).select(*cols).collect()))
