@@ -11,6 +11,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricwatch.operators.loess import loess_decompose
 from metricwatch.operators.series import N, decompose
 
 MAD_SCALE = 1.4826  # consistency factor of the MAD for a normal distribution
@@ -36,13 +37,16 @@ def mad_bounds(df: DataFrame, key: list[str], k: float, resid: str = "resid",
 
 
 def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: float = 3.2,
-                  min_rows: int = 14, period: int = 7, fill_calendar: bool = False) -> DataFrame:
+                  min_rows: int = 14, period: int = 7, fill_calendar: bool = False, decomposition: str = "classical") -> DataFrame:
     """Decompose, bound and flag every row of every series with at least ``min_rows`` rows.
 
     Adds trend/seasonal/resid, resid_median, mad, lower, upper, ``series_mean`` (D10) and
-    ``is_outlier`` (F2: strictly outside the bounds).
+    ``is_outlier`` (F2: strictly outside the bounds). ``decomposition="loess"`` decomposes by robust Loess.
     """
-    dec = decompose(df, key, order, value, period=period, fill_calendar=fill_calendar)
+    if decomposition not in ("classical", "loess"):
+        raise ValueError("decomposition is classical or loess")
+    take = decompose if decomposition == "classical" else loess_decompose
+    dec = take(df, key, order, value, period=period, fill_calendar=fill_calendar)
     dec = dec.filter(F.col(N) >= F.lit(max(min_rows, 2 * period)))
     out = mad_bounds(dec, key, k, mean_of=value)
     return out.select("*", ((F.col("resid") > F.col("upper")) | (F.col("resid") < F.col("lower"))).alias("is_outlier"))
@@ -51,7 +55,7 @@ def scored_series(df: DataFrame, key: list[str], order: str, value: str, k: floa
 def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float = 3.2,
                  min_rows: int = 14, latest_only: bool = False, cutoff=None, period: int = 7,
                  metric_col: str | None = "metric", fill_calendar: bool = False,
-                 report_value: str | None = None) -> DataFrame:
+                 report_value: str | None = None, decomposition: str = "classical") -> DataFrame:
     """seasonal-residual MAD alerts for every series in ``df`` (long form).
 
     * ``latest_only=False`` (LOCAL variant): every flagged day.
@@ -74,7 +78,8 @@ def seasonal_mad(df: DataFrame, key: list[str], order: str, value: str, k: float
         c = cutoff if isinstance(cutoff, Column) else F.lit(
             cutoff if isinstance(cutoff, _dt.date) else _dt.date.fromisoformat(str(cutoff)))
         df = df.withColumn("_last", last).filter(F.col("_last") == c).drop("_last")
-    s = scored_series(df, key, order, value, k=k, min_rows=min_rows, period=period, fill_calendar=fill_calendar)
+    s = scored_series(df, key, order, value, k=k, min_rows=min_rows, period=period, fill_calendar=fill_calendar,
+                      decomposition=decomposition)
     if latest_only:
         s = s.filter(F.col("pos") == F.col(N) - 1)
     s = s.filter(F.col("is_outlier"))

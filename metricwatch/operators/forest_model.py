@@ -14,7 +14,7 @@ Scoring: a row walks the arrays of its series' trees in one projection after one
 Series of at most ``sample`` rows use all of them in every tree. Longer ones draw the rows with the
 least hashed draws per tree; Spark keeps the least of every map task before it shuffles, so a
 series of any length sends a bounded number of rows per task. Rows with a missing feature count as
-0 there; a series without rows has no model, and rows whose series has none get a NULL score.
+0 there; a series without rows has no model, and rows whose series has none, or one fitted on a single row, get a NULL score.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ def iforest_score(df: DataFrame, model: DataFrame, key: list[str], features: lis
                               "'size', CAST(l.size[l.at - 1] AS DOUBLE))) AS _leaves")
     total = f"aggregate(_leaves, 0D, (s, l) -> s + l.depth + {_c('l.size')})"
     scored = paths.selectExpr(*map(_q, df.columns), "n", "psi", f"{total} / size(_leaves) AS mean_path")
-    return scored.selectExpr("*", f"pow(2D, -mean_path / {_c('CAST(psi AS DOUBLE)')}) AS score")
+    return scored.selectExpr("*", f"pow(2D, -try_divide(mean_path, {_c('CAST(psi AS DOUBLE)')})) AS score")
 
 
 def with_cutoff(model: DataFrame, scored: DataFrame, key: list[str], contamination: float = 0.01,

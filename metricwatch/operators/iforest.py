@@ -75,7 +75,7 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
     size would put the whole forest in a handful of tasks; an exchange with an explicit count is
     left alone by AQE.
 
-    Returns key..., order, features..., carry..., ``n``, ``psi``, ``mean_path``, ``score``.
+    Returns key..., order, features..., carry..., ``n``, ``psi``, ``mean_path``, ``score`` (NULL for a series of one row).
     """
     levels = max(1, math.ceil(math.log2(max(sample, 2))))
     q = lambda c: f"`{c}`"
@@ -141,7 +141,7 @@ def iforest_scores(df: DataFrame, key: list[str], order: str, features: list[str
 
     scored = x.groupBy(*key, "_row").agg(*[F.first(c).alias(c) for c in (order, *features, *carry, "n", "psi")],
                                          F.avg("_path").alias("mean_path")).drop("_row")
-    return scored.withColumn("score", F.pow(F.lit(2.0), -F.col("mean_path") / avg_path_length(F.col("psi"))))
+    return scored.withColumn("score", F.pow(F.lit(2.0), -F.try_divide(F.col("mean_path"), avg_path_length(F.col("psi")))))
 
 
 def iforest_alerts(df: DataFrame, key: list[str], order: str, features: list[str],

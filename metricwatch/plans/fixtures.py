@@ -59,8 +59,11 @@ def dictionary_raw(spark: SparkSession, sf_dir: str, level: str = "region") -> D
         F.col("c_name").alias("AccountID"), F.col("r_name").alias("domain"))
 
 
-def web_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus")
+def web_raw(spark: SparkSession, sf_dir: str, without_every: int | None = None) -> DataFrame:
+    """``without_every``: an earlier state of the table that lacks every so manieth order."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    if without_every:
+        o = o.filter(F.col("o_orderkey") % without_every != 0)
     j = o.join(_accounts(spark, sf_dir), o.o_custkey == F.col("c_custkey"))
     return j.select(
         F.col("c_name").alias("propertyID"),
@@ -70,10 +73,12 @@ def web_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ads_raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+def ads_raw(spark: SparkSession, sf_dir: str, source: str, without_every: int | None = None) -> DataFrame:
     """source 'a': line items with l_returnflag <> 'N'; source 'b': l_returnflag = 'N'."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice", "l_returnflag")
     li = li.filter(F.col("l_returnflag") != "N") if source == "a" else li.filter(F.col("l_returnflag") == "N")
+    if without_every:
+        li = li.filter(F.col("l_orderkey") % without_every != 0)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(_accounts(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
     return j.select(

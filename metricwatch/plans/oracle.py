@@ -25,9 +25,16 @@ def _in_window(col: str, cutoff: str = CUTOFF, days: int = DAYS) -> str:
     return f"CAST({col} AS DATE) BETWEEN CAST('{cutoff}' AS DATE) - {days} AND CAST('{cutoff}' AS DATE)"
 
 
-def _draw(*parts: str, at: int = 1) -> str:
-    joined = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"(CAST(('0x' || substr(md5(concat_ws('|', {joined})), {at}, 8)) AS BIGINT) / 4294967296.0)"
+def _hash(*parts: str) -> str:
+    return f"md5(concat_ws('|', {', '.join(f'CAST({p} AS VARCHAR)' for p in parts)}))"
+
+
+def _part(hash_: str, at: int) -> str:
+    return f"(CAST(('0x' || substr({hash_}, {at}, 8)) AS BIGINT) / 4294967296.0)"
+
+
+def _draw(*parts: str) -> str:
+    return _part(_hash(*parts), 1)
 
 
 # ---------------------------------------------------------------- fixture inputs
@@ -87,7 +94,7 @@ web_dom AS (
   SELECT d.domain, w.day, sum(w.leads) AS leads, sum(w.sessions) AS sessions
   FROM web w JOIN dict d ON w.account_id_norm = d.account_id_norm GROUP BY 1, 2
 ),
-gold AS (
+gold AS MATERIALIZED (
   SELECT coalesce(a.domain, w.domain) AS domain, coalesce(a.day, w.day) AS day,
          CAST(coalesce(a.spend, 0) AS BIGINT) AS spend,
          CAST(coalesce(w.leads, 0) AS BIGINT) AS leads,
@@ -96,7 +103,7 @@ gold AS (
 )"""
 
 GOLD_LONG = """
-gold_long AS (
+gold_long AS MATERIALIZED (
   SELECT domain, 'spend' AS metric, day, CAST(spend AS DOUBLE) AS value FROM gold
   UNION ALL SELECT domain, 'leads', day, CAST(leads AS DOUBLE) FROM gold
   UNION ALL SELECT domain, 'sessions', day, CAST(sessions AS DOUBLE) FROM gold
@@ -177,18 +184,72 @@ def mad_sql(src: str, key: list[str], k_mult: float, name: str = "mad", min_rows
 )"""
 
 
+def loess_sql(src: str, key: list[str], order: str, value: str, name: str = "lo", period: int = 7, span: int = 11, rounds: int = 2) -> str:
+    """CTEs ending in ``{name}``: robust Loess decomposition over ``src``; neighbours by a self-join, the line by its normal equations."""
+    k = ", ".join(key)
+    same = " AND ".join(f"a.{c} = b.{c}" for c in key)
+    ctes, at = [f"""
+{name}_p0 AS (
+  SELECT {k}, {order}, CAST({value} AS DOUBLE) AS y, row_number() OVER (PARTITION BY {k} ORDER BY {order}) - 1 AS pos,
+         count(*) OVER (PARTITION BY {k}) AS n, 1.0::DOUBLE AS rho, 0.0::DOUBLE AS trend
+  FROM {src}
+)"""], 0
+    for done in range(rounds + 1):
+        for _ in range(2):
+            p = f"{name}_p{at}"
+            ctes.append(f"""
+{p}m AS (
+  SELECT {k}, {order}, y, pos, n, rho, trend, coalesce(sum(rho * (y - trend)) OVER ph / nullif(sum(rho) OVER ph, 0), avg(y - trend) OVER ph) AS pm, count(*) OVER ph AS pc
+  FROM {p} WINDOW ph AS (PARTITION BY {k}, pos % {period})
+),
+{p}s AS MATERIALIZED (
+  SELECT *, pm - sum(pm / pc) OVER (PARTITION BY {k}) / {period} AS season, greatest(0, least(pos - {span // 2}, n - {span})) AS lo,
+         least(n - 1, greatest(0, least(pos - {span // 2}, n - {span})) + {span - 1}) AS hi FROM {p}m
+),
+{p}w AS (
+  SELECT {", ".join(f"a.{c}" for c in key)}, a.pos, b.pos - a.pos AS x, b.y - b.season AS z,
+         b.rho * pow(greatest(0, 1 - pow(abs(b.pos - a.pos) / (greatest(a.pos - a.lo, a.hi - a.pos) + greatest(0, {span} - a.n) // 2)::DOUBLE, 3)), 3) AS w
+  FROM {p}s a JOIN {p}s b ON {same} AND b.pos BETWEEN a.lo AND a.hi
+),
+{p}l AS (
+  SELECT {k}, pos, sum(w) AS sw, sum(w * x) AS sx, sum(w * x * x) AS sxx, sum(w * z) AS sz, sum(w * x * z) AS sxz FROM {p}w GROUP BY {k}, pos
+),
+{name}_p{at + 1} AS (
+  SELECT {", ".join(f"a.{c}" for c in key)}, a.{order}, y, a.pos, n, rho, season, CASE WHEN sw <= 1e-12 THEN y - season
+         WHEN sw * sxx - sx * sx <= 1e-9 * sw THEN sz / sw ELSE (sxx * sz - sx * sxz) / (sw * sxx - sx * sx) END AS trend
+  FROM {p}s a JOIN {p}l b ON {same} AND a.pos = b.pos
+)""")
+            at += 1
+        if done < rounds:
+            ctes.append(f"""
+{name}_p{at + 1} AS (
+  SELECT * EXCLUDE (rho, far), CASE WHEN far <= 1e-12 THEN 1.0 ELSE pow(greatest(0, 1 - pow(abs(y - trend - season) / far, 2)), 2) END AS rho
+  FROM (SELECT *, 6 * median(abs(y - trend - season)) OVER (PARTITION BY {k}) AS far FROM {name}_p{at})
+)""")
+            at += 1
+    ctes.append(f"""
+{name} AS (
+  SELECT {k}, {order}, y AS _y, pos, n, trend, season AS seasonal, y - trend - season AS resid, rho AS weight FROM {name}_p{at} WHERE n >= {2 * period}
+)""")
+    return ",".join(ctes)
+
+
 # ---------------------------------------------------------------- isolation forest
 def iforest_sql(src: str, key: list[str], order: str, features: list[str], name: str = "ifo",
-                trees: int = 100, sample: int = 256, seed: int = 42) -> str:
-    """CTEs ending in ``{name}``: (key, order, features, n, psi, mean_path, score)."""
-    levels = max(1, math.ceil(math.log2(max(sample, 2))))
+                trees: int = 100, sample: int = 256, seed: int = 42, longest: int | None = None, fitted: str = "true") -> str:
+    """CTEs ending in ``{name}``: (key, order, features, n, psi, mean_path, score).
+
+    ``longest`` is the length of the longest series, if known: its trees need no deeper levels. The trees are
+    fitted on the rows for which ``fitted`` holds, and all rows are scored.
+    """
+    levels = max(1, math.ceil(math.log2(max(min(sample, longest or sample), 2))))
     k = ", ".join(key)
     feats = ", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in features)
     fl = ", ".join(features)
     ctes = [f"""
 {name}_b AS (
   SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {order}, {fl}) AS _row
-  FROM (SELECT {k}, {order}, {feats}, count(*) OVER (PARTITION BY {k}) AS n FROM {src})
+  FROM (SELECT {k}, {order}, {feats}, count(*) FILTER ({fitted}) OVER (PARTITION BY {k}) AS n, {fitted} AS _fit FROM {src})
 ),
 {name}_x AS (
   SELECT *, least(n, {sample}) AS psi,
@@ -197,7 +258,7 @@ def iforest_sql(src: str, key: list[str], order: str, features: list[str], name:
   FROM {name}_b, (SELECT CAST(range AS INTEGER) AS tree FROM range({trees})) t
 ),
 {name}_0 AS (
-  SELECT *, (n <= {sample} OR row_number() OVER (PARTITION BY {k}, tree ORDER BY {_draw(str(seed), *key, 'tree', order, "'s'")}, _row) <= {sample}) AS _in,
+  SELECT *, _fit AND (n <= {sample} OR row_number() OVER (PARTITION BY {k}, tree ORDER BY NOT _fit, {_draw(str(seed), *key, 'tree', order, "'s'")}, _row) <= {sample}) AS _in,
          CAST(1 AS BIGINT) AS _node, 0 AS _depth, false AS _done, CAST(NULL AS BIGINT) AS _leaf
   FROM {name}_x
 )"""]
@@ -208,31 +269,24 @@ def iforest_sql(src: str, key: list[str], order: str, features: list[str], name:
             f"min(CASE WHEN _in THEN {f} END) OVER w AS _mn{i}, max(CASE WHEN _in THEN {f} END) OVER w AS _mx{i}"
             for i, f in enumerate(features))
         spread = [f"(_mx{i} > _mn{i})" for i in range(len(features))]
-        nsp = " + ".join(f"CAST({s} AS INTEGER)" for s in spread)
-        pick = f"floor({_draw(str(seed), *key, 'tree', '_node')} * ({nsp}))"
-        u = _draw(str(seed), *key, "tree", "_node", at=9)
         # right-hand branch test: the pick-th feature with spread
-        cases = []
-        before = "0"
+        cases, before = [], "0"
         for i, f in enumerate(features):
-            cases.append(f"WHEN {spread[i]} AND ({before}) = {pick} THEN {f} > _mn{i} + {u} * (_mx{i} - _mn{i})")
+            cases.append(f"WHEN {spread[i]} AND {before} = _pick THEN {f} > _mn{i} + _u * (_mx{i} - _mn{i})")
             before = f"{before} + CAST({spread[i]} AS INTEGER)"
-        right = "CASE " + " ".join(cases) + " ELSE false END"
-        stop = f"(_done OR _cnt <= 1 OR _depth >= _limit OR ({nsp}) = 0)"
         ctes.append(f"""
 {st} AS (
-  SELECT *, count(CASE WHEN _in THEN 1 END) OVER w AS _cnt,
+  SELECT *, count(CASE WHEN _in THEN 1 END) OVER w AS _cnt, {_hash(str(seed), *key, 'tree', '_node')} AS _h,
          {stats}
   FROM {prev}
   WINDOW w AS (PARTITION BY {k}, tree, _node)
 ),
 {nx} AS (
-  SELECT {base_cols},
-         CASE WHEN {stop} THEN _node ELSE _node * 2 + CAST({right} AS BIGINT) END AS _node,
-         CASE WHEN {stop} THEN _depth ELSE _depth + 1 END AS _depth,
-         {stop} AS _done,
-         CASE WHEN NOT _done AND {stop} THEN _cnt ELSE _leaf END AS _leaf
-  FROM {st}
+  SELECT {base_cols}, CASE WHEN _stop THEN _node ELSE _node * 2 + _right END AS _node, CASE WHEN _stop THEN _depth ELSE _depth + 1 END AS _depth,
+         _stop AS _done, CASE WHEN NOT _done AND _stop THEN _cnt ELSE _leaf END AS _leaf
+  FROM (SELECT *, _done OR _cnt <= 1 OR _depth >= _limit OR _sp = 0 AS _stop, CAST(CASE {" ".join(cases)} ELSE false END AS BIGINT) AS _right
+        FROM (SELECT *, {_part('_h', 9)} AS _u, floor({_part('_h', 1)} * _sp) AS _pick
+              FROM (SELECT *, {before} AS _sp FROM {st})))
 )""")
     last = f"{name}_{levels}"
     c_leaf = ("CASE WHEN _lf <= 1 THEN 0.0 WHEN _lf = 2 THEN 1.0 "

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from metricwatch.plans.oracle import (
-    ADS_DAILY, ADS_RAW, ALL_GOLD, CUTOFF, DICTIONARY, WEB_DAILY, WEB_RAW, _in_window, with_,
+    ADS_DAILY, ADS_RAW, ALL_GOLD, CUTOFF, DAYS, DICTIONARY, WEB_DAILY, WEB_RAW, _in_window, with_,
 )
 
 SQL: dict[str, str] = {}
@@ -30,7 +30,7 @@ SQL["combine_sources"] = with_(ALL_GOLD) + "\nSELECT domain, day, spend, leads,
 SQL["gold_daily"] = with_(ALL_GOLD) + "\nSELECT domain, day, spend, leads, sessions FROM gold ORDER BY domain, day"
 
 # ------------------------------------------------------------------ series and detectors
-from metricwatch.plans.oracle import EVENTS_DAILY, GOLD_LONG, decompose_sql, iforest_sql, mad_sql  # noqa: E402
+from metricwatch.plans.oracle import EVENTS_DAILY, GOLD_LONG, decompose_sql, iforest_sql, loess_sql, mad_sql  # noqa: E402
 
 _FEATS = ["events", "value_sum", "users"]
 _GOLD_FEATS = ["spend", "leads", "sessions"]
@@ -91,7 +91,7 @@ SQL["score_p99"] = _forest_alerts(0.99, "P99.0")
 
 SQL["iforest_latest_rank"] = with_(ALL_GOLD, f"""
 g AS (SELECT * FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))""",
-                              iforest_sql("g", ["domain"], "day", _GOLD_FEATS)) + f""",
+                              iforest_sql("g", ["domain"], "day", _GOLD_FEATS, longest=DAYS + 1)) + f""",
 r AS (
   SELECT *, quantile_cont(score, 0.8) OVER (PARTITION BY domain) AS cutoff_score,
          CAST(rank() OVER (PARTITION BY domain ORDER BY score DESC) AS BIGINT) AS score_rank,
@@ -105,7 +105,7 @@ SQL["iforest_latest"] = with_(ALL_GOLD, f"""
 g AS (
   SELECT * FROM (SELECT *, max(day) OVER (PARTITION BY domain) AS _last FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))
   WHERE _last = CAST('{CUTOFF}' AS DATE)
-)""", iforest_sql("g", ["domain"], "day", _GOLD_FEATS)) + f"""
+)""", iforest_sql("g", ["domain"], "day", _GOLD_FEATS, longest=DAYS + 1)) + f"""
 SELECT domain, day, 'iforest' AS method, 'irregular' AS type, CAST(NULL AS DOUBLE) AS score, 'spend,leads,sessions' AS affected,
        spend AS ctx_spend, leads AS ctx_leads, sessions AS ctx_sessions, 'Contam=0.4' AS params
 FROM (SELECT *, quantile_cont(score, 0.6) OVER (PARTITION BY domain) AS q FROM ifo WHERE n >= 20)
@@ -116,7 +116,7 @@ daily AS (
   SELECT n_regionkey AS region, CAST(o_orderdate AS DATE) AS day, count(*) AS orders,
          sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2
-)""", iforest_sql("daily", ["region"], "day", ["orders", "revenue"], trees=20)) + f"""
+)""", iforest_sql("daily", ["region"], "day", ["orders", "revenue"])) + f"""
 SELECT region, day, orders, round(revenue, 2) AS revenue, n, psi, {_r('mean_path')}, {_r('score')} FROM ifo"""
 
 SQL["anscombe"] = with_(EVENTS_DAILY, """
@@ -135,19 +135,13 @@ FROM ev WINDOW w AS (PARTITION BY event_type)"""
 # ------------------------------------------------------------------ data quality
 _START = "2001-05-28"  # cutoff - 65 days
 
-SQL["missing_days"] = f"""
-WITH obs AS (
-  SELECT DISTINCT n.n_name AS domain, CAST(o.o_orderdate AS DATE) AS day
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE {_in_window('o.o_orderdate')}
-),
-cal AS (
-  SELECT n.n_name AS domain, CAST(t.d AS DATE) AS day
-  FROM (SELECT DISTINCT n_name FROM nation) n,
-       generate_series(TIMESTAMP '{_START} 00:00:00', TIMESTAMP '{CUTOFF} 00:00:00', INTERVAL 1 DAY) t(d)
-)
+_NATION_GOLD = ALL_GOLD.replace("r.r_name", "n.n_name")
+
+SQL["missing_days"] = with_(_NATION_GOLD) + f"""
 SELECT domain, day, 'missing_day' AS method, 'missing' AS type, 'tolerance=0' AS params
-FROM cal WHERE NOT EXISTS (SELECT 1 FROM obs WHERE obs.domain = cal.domain AND obs.day = cal.day)"""
+FROM (SELECT DISTINCT domain FROM dict), (SELECT CAST(d AS DATE) AS day
+      FROM generate_series(TIMESTAMP '{_START} 00:00:00', TIMESTAMP '{CUTOFF} 00:00:00', INTERVAL 1 DAY) t(d))
+WHERE (domain, day) NOT IN (SELECT (domain, day) FROM gold)"""
 
 _RULES = """
 rules AS (SELECT metric, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi
@@ -171,22 +165,16 @@ SELECT i.input, '' AS missing_columns, coalesce(sum(c), 0) = 0 AS is_empty, CAST
        CAST(count(*) FILTER (WHERE c > 1) AS BIGINT) AS duplicate_days, coalesce(sum(c), 0) > 0 AS valid
 FROM (VALUES ('web'), ('ads_a'), ('ads_b')) i(input) LEFT JOIN per ON per.input = i.input GROUP BY 1"""
 
-SQL["series_status"] = f"""
-WITH s AS (
-  SELECT n.n_name AS domain, CAST(o.o_orderdate AS DATE) AS day, count(*) AS orders
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE {_in_window('o.o_orderdate')}
-  GROUP BY 1, 2
-)
-SELECT domain, count(*) AS rows, max(day) AS last_day,
+SQL["series_status"] = with_(_NATION_GOLD, GOLD_LONG) + f"""
+SELECT domain, metric, count(*) AS rows, max(day) AS last_day,
        CASE WHEN max(day) <> CAST('{CUTOFF}' AS DATE) THEN 'stale'
             WHEN count(*) < 14 THEN 'too_short' ELSE 'ok' END AS status
-FROM s GROUP BY domain"""
+FROM gold_long GROUP BY domain, metric"""
 
 # ------------------------------------------------------------------ alerts
 _FUSED_CTES = with_(ALL_GOLD, GOLD_LONG, decompose_sql("gold_long", ["domain", "metric"], "day", "value"),
                     mad_sql("dec", ["domain", "metric"], 3.2),
-                    iforest_sql("gold", ["domain"], "day", _GOLD_FEATS), _RULES) + f""",
+                    iforest_sql("gold", ["domain"], "day", _GOLD_FEATS, longest=DAYS + 1), _RULES) + f""",
 uni AS (
   SELECT domain, day, metric, 'seasonal_mad' AS method, CASE WHEN resid > 0 THEN 'spike' ELSE 'drop' END AS type,
          _y AS value, round(abs(resid) / mad, 2) AS score,
@@ -218,7 +206,7 @@ rng AS (
          'range=[' || CAST(r.lo AS VARCHAR) || ', ' || CAST(r.hi AS VARCHAR) || ']' AS params
   FROM gold_long g JOIN rules r ON g.metric = r.metric WHERE NOT (g.value BETWEEN r.lo AND r.hi)
 ),
-fused AS (
+fused AS MATERIALIZED (
   SELECT * FROM uni UNION ALL SELECT * FROM multi UNION ALL SELECT * FROM miss UNION ALL SELECT * FROM rng
 ),
 pr AS (
@@ -373,7 +361,7 @@ SQL["delivery_summary"] = _FUSED_CTES + """
 SELECT CAST(count(*) FILTER (WHERE extract(day FROM day) % 5 <> 0) AS BIGINT) AS sent, CAST(count(*) AS BIGINT) AS total
 FROM fused"""
 
-SQL["anscombe_filled"] = with_(ALL_GOLD.replace("r.r_name", "n.n_name"), """
+SQL["anscombe_filled"] = with_(_NATION_GOLD, """
 cal AS (
   SELECT domain, 'leads' AS metric, CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
   FROM gold GROUP BY domain
@@ -397,7 +385,7 @@ def _daily(k: float, contamination: float, level: str) -> str:
 gfresh AS (
   SELECT * FROM (SELECT *, max(day) OVER (PARTITION BY domain) AS _last FROM gold WHERE day <= CAST('{CUTOFF}' AS DATE))
   WHERE _last = CAST('{CUTOFF}' AS DATE)
-)""", iforest_sql("gfresh", ["domain"], "day", _GOLD_FEATS), _RULES) + f""",
+)""", iforest_sql("gfresh", ["domain"], "day", _GOLD_FEATS, longest=DAYS + 1), _RULES) + f""",
 uni AS (
   SELECT domain, day, metric, 'seasonal_mad' AS method, CASE WHEN resid > 0 THEN 'spike' ELSE 'drop' END AS type,
          _y AS value, round(abs(resid) / mad, 2) AS score,
@@ -431,5 +419,37 @@ UNION ALL SELECT {_FUSED_COLS} FROM outside"""
 SQL["daily_alerts"] = _daily(3.5, 0.01, "r.r_name")
 SQL["daily_alerts_sensitive"] = _daily(1.0, 0.2, "n.n_name")
 
+SQL["stl_events"] = with_(EVENTS_DAILY, loess_sql("ev", ["event_type"], "day", "events")) + f"""
+SELECT event_type, day, pos, n, _y AS value, {_r('trend')}, {_r('seasonal')}, {_r('resid')}, {_r('weight')} FROM lo"""
+
+SQL["iforest_model_scores"] = with_(ALL_GOLD, iforest_sql("gold", ["domain"], "day", _GOLD_FEATS, longest=DAYS + 1,
+                                                          fitted="day < CAST('2001-07-26' AS DATE)")) + f"""
+SELECT domain, day, day >= CAST('2001-07-26' AS DATE) AS is_new, spend, leads, sessions, n, psi, {_r('mean_path')}, {_r('score')} FROM ifo"""
+
+SQL["changed_days"] = with_(WEB_RAW, ADS_RAW, f"""
+rows_now AS (
+  SELECT CASE source WHEN 'a' THEN 'ads0' ELSE 'ads1' END AS source, CAST(date AS DATE) AS day,
+         concat_ws('|', account_id, date, spend_gbp) AS line FROM ads_raw WHERE {_in_window('date')}
+  UNION ALL SELECT 'web', CAST(date AS DATE), concat_ws('|', propertyID, date, TotalConversions, TotalSessions) FROM web_raw WHERE {_in_window('date')}
+),
+web_old AS (
+  SELECT c.c_name AS propertyID, o.o_orderdate AS date, CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS TotalConversions, 1 AS TotalSessions
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderkey % 61 <> 0 AND CAST(o.o_orderdate AS DATE) < CAST('{CUTOFF}' AS DATE) - 2
+),
+ads_old AS (
+  SELECT CASE WHEN l.l_returnflag <> 'N' THEN 'ads0' ELSE 'ads1' END AS source, c.c_name AS account_id, l.l_shipdate AS date,
+         CAST(l.l_extendedprice AS DECIMAL(12,2)) AS spend_gbp
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE l.l_returnflag IS NOT NULL AND l.l_orderkey % 61 <> 0 AND CAST(l.l_shipdate AS DATE) < CAST('{CUTOFF}' AS DATE) - 2
+),
+rows_old AS (
+  SELECT source, CAST(date AS DATE) AS day, concat_ws('|', account_id, date, spend_gbp) AS line FROM ads_old WHERE {_in_window('date')}
+  UNION ALL SELECT 'web', CAST(date AS DATE), concat_ws('|', propertyID, date, TotalConversions, TotalSessions) FROM web_old WHERE {_in_window('date')}
+),
+p_now AS (SELECT source, day, string_agg(line, ',' ORDER BY line) AS body FROM rows_now GROUP BY ALL),
+p_old AS (SELECT source, day, string_agg(line, ',' ORDER BY line) AS body FROM rows_old GROUP BY ALL)""") + """
+SELECT source, day, CASE WHEN p_old.body IS NULL THEN 'new' WHEN p_now.body IS NULL THEN 'gone' ELSE 'changed' END AS change
+FROM p_now FULL JOIN p_old USING (source, day) WHERE p_now.body IS DISTINCT FROM p_old.body"""
+
 SQL["cutoff_day"] = """
 SELECT event_id, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Bogota' AS DATE) - 1 AS cutoff FROM events"""

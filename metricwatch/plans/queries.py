@@ -22,13 +22,16 @@ from metricwatch.operators.alerts import (
 from metricwatch.operators.detect import scored_series, seasonal_mad
 from metricwatch.operators.evaluate import evaluate
 from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources
+from metricwatch.operators.forest_model import iforest_fit, iforest_score
 from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize_columns
+from metricwatch.operators.loess import loess_decompose
 from metricwatch.operators.quality import (
     duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, series_status, validate,
 )
 from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
 from metricwatch.plans.variants import daily_variant, local_variant, tested_long
+from metricwatch.sources.changes import changed_days, day_fingerprints
 from metricwatch.sources.sinks import delivery_summary
 from metricwatch.sources.tables import account_dictionary, analysis_window, daily_sum
 
@@ -202,7 +205,7 @@ def q_iforest_long(spark: SparkSession, d: str) -> DataFrame:
     daily = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
              .groupBy(F.col("n_regionkey").alias("region"), F.to_date("o_orderdate").alias("day"))
              .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue")))
-    s = iforest_scores(daily, ["region"], "day", ["orders", "revenue"], trees=20)
+    s = iforest_scores(daily, ["region"], "day", ["orders", "revenue"])
     return s.select("region", "day", "orders", _r("revenue", 2), "n", "psi", _r("mean_path"), _r("score"))
 
 
@@ -221,6 +224,26 @@ def q_iforest_latest_rank(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("score") > F.col("cutoff_score")).alias("is_alert"))
 
 
+#: The first day that a fitted forest has not seen.
+NEW_DAYS = fx.CUTOFF - _dt.timedelta(days=6)
+
+
+def q_iforest_model_scores(spark: SparkSession, d: str) -> DataFrame:
+    """F8 and F9 apart: a forest per gold domain fitted on the days before the last seven, all days scored in it."""
+    g = cut_lineage(gold(spark, d))
+    model = iforest_fit(g.where(F.col("day") < F.lit(NEW_DAYS)), ["domain"], "day", list(GOLD_METRICS))
+    s = iforest_score(g, model, ["domain"], list(GOLD_METRICS))
+    return s.select("domain", "day", (F.col("day") >= F.lit(NEW_DAYS)).alias("is_new"),
+                    *[F.col(m).cast("double").alias(m) for m in GOLD_METRICS], "n", "psi", _r("mean_path"), _r("score"))
+
+
+def q_stl_events(spark: SparkSession, d: str) -> DataFrame:
+    """E1-E5 by robust Loess: trend, seasonal, residual and robustness weight of the daily event counts per type."""
+    s = loess_decompose(fx.events_daily(spark, d), EVENT_KEY, "day", "events")
+    return s.select("event_type", "day", "pos", "n", F.col("events").cast("double").alias("value"), _r("trend"), _r("seasonal"),
+                    _r("resid"), _r("weight"))
+
+
 def q_anscombe(spark: SparkSession, d: str) -> DataFrame:
     """decomposition of 2·sqrt(count + 3/8) per event type."""
     ev = fx.events_daily(spark, d).withColumn("value", anscombe("events"))
@@ -230,9 +253,7 @@ def q_anscombe(spark: SparkSession, d: str) -> DataFrame:
 
 def q_anscombe_filled(spark: SparkSession, d: str) -> DataFrame:
     """Leads per nation, silent days filled with 0 before the transform, then decomposed."""
-    g = build_gold(fx.web_raw(spark, d), [fx.ads_raw(spark, d, "a"), fx.ads_raw(spark, d, "b")],
-                   fx.dictionary_raw(spark, d, "nation"), fx.CUTOFF, fx.DAYS)
-    tested, col = tested_long(to_long(g, ["domain", "day"], ["leads"]), anscombe_counts=True, fill_calendar=True)
+    tested, col = tested_long(to_long(nation_gold(spark, d), ["domain", "day"], ["leads"]), anscombe_counts=True, fill_calendar=True)
     dec = decompose(tested, ["domain", "metric"], "day", col)
     return dec.select("domain", "day", F.col("value").cast("bigint").alias("value"), _r(col), _r("trend"), _r("seasonal"), _r("resid"))
 
@@ -247,15 +268,15 @@ def q_standardize(spark: SparkSession, d: str) -> DataFrame:
 WINDOW_START = fx.CUTOFF - _dt.timedelta(days=fx.DAYS)
 
 
+def nation_gold(spark: SparkSession, d: str) -> DataFrame:
+    return build_gold(fx.web_raw(spark, d), [fx.ads_raw(spark, d, "a"), fx.ads_raw(spark, d, "b")],
+                      fx.dictionary_raw(spark, d, "nation"), fx.CUTOFF, fx.DAYS)
+
+
 def q_missing_days(spark: SparkSession, d: str) -> DataFrame:
-    """(nation, day) pairs of the window without any order, for all 25 nations."""
-    o = analysis_window(fx.table(spark, d, "orders").select("o_custkey", "o_orderdate"), "o_orderdate",
-                        fx.CUTOFF, fx.DAYS)
-    c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = F.broadcast(fx.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("domain")))
-    obs = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-           .select("domain", F.to_date("o_orderdate").alias("day")))
-    miss = missing_days(obs, ["domain"], "day", WINDOW_START, fx.CUTOFF, keys=n.select("domain"))
+    """(nation, day) pairs of the window without a gold row, for all nations of the dictionary."""
+    nations = account_dictionary(fx.dictionary_raw(spark, d, "nation"), "AccountID", "domain").select("domain")
+    miss = missing_days(nation_gold(spark, d), ["domain"], "day", WINDOW_START, fx.CUTOFF, keys=nations)
     a = missing_day_alerts(miss, ["domain"], "day")
     return a.select("domain", "day", "method", "type", "params")
 
@@ -289,15 +310,23 @@ def q_validate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_series_status(spark: SparkSession, d: str) -> DataFrame:
-    """B10, B11 reported: per (nation, metric) order-count series of the window, whether the DAILY
-    detector would test it (ok), or skip it (stale last day, fewer than 14 rows)."""
-    o = analysis_window(fx.table(spark, d, "orders").select("o_custkey", "o_orderdate"), "o_orderdate",
-                        fx.CUTOFF, fx.DAYS)
-    c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = F.broadcast(fx.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("domain")))
-    series = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-              .groupBy("domain", F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders")))
-    return series_status(series, ["domain"], "day", min_rows=14, cutoff=fx.CUTOFF)
+    """B10, B11 reported: per (nation, metric) series of gold whether the DAILY detector would test it (ok),
+    or skip it (stale last day, fewer than 14 rows)."""
+    long = to_long(nation_gold(spark, d), ["domain", "day"], list(GOLD_METRICS))
+    return series_status(long, ["domain", "metric"], "day", min_rows=14, cutoff=fx.CUTOFF)
+
+
+def q_changed_days(spark: SparkSession, d: str) -> DataFrame:
+    """A1, D1-D4 over time: days whose fingerprint differs from an earlier state of the sources, which lacked
+    every 61st order (late rows) and the last three days (skipped runs)."""
+    def sources(late: bool) -> dict:
+        web_cols, ads_cols = ["propertyID", "date", "TotalConversions", "TotalSessions"], ["account_id", "date", "spend_gbp"]
+        keep = None if late else 61
+        frames = {"web": (fx.web_raw(spark, d, keep), web_cols), "ads0": (fx.ads_raw(spark, d, "a", keep), ads_cols),
+                  "ads1": (fx.ads_raw(spark, d, "b", keep), ads_cols)}
+        return {name: (df, "date", cols) for name, (df, cols) in frames.items()}
+    before = day_fingerprints(sources(False), fx.CUTOFF, fx.DAYS).where(F.col("day") < F.date_sub(F.lit(fx.CUTOFF), 2))
+    return changed_days(day_fingerprints(sources(True), fx.CUTOFF, fx.DAYS), before)
 
 
 # ------------------------------------------------------------------ alerts
@@ -445,6 +474,8 @@ QUERIES: dict[str, Query] = {
     "iforest_latest_rank": q_iforest_latest_rank,
     "iforest_long": q_iforest_long,
     "score_p99": q_score_p99,
+    "iforest_model_scores": q_iforest_model_scores,
+    "stl_events": q_stl_events,
     "anscombe": q_anscombe,
     "anscombe_filled": q_anscombe_filled,
     "standardize": q_standardize,
@@ -453,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_days": q_duplicate_days,
     "validate": q_validate,
     "series_status": q_series_status,
+    "changed_days": q_changed_days,
     "fused_alerts": q_fused_alerts,
     "priority_route": q_priority_route,
     "cap_per_day": q_cap_per_day,

@@ -60,18 +60,19 @@ def local_variant(gold: DataFrame, k: float = 3.2, contamination: float = 0.01,
                   forest_min_rows: int = 10, metrics=GOLD_METRICS, quality: bool = False, start=None, end=None, domains: DataFrame | None = None,
                   fill_calendar: bool = False, anscombe_counts: bool = False,
                   forest_percentile: float | None = None, standardize: bool = False,
-                  count_metrics=COUNT_METRICS, rules=None) -> DataFrame:
+                  count_metrics=COUNT_METRICS, rules=None, decomposition: str = "classical") -> DataFrame:
     """Every flagged day of every (domain, metric) series plus every forest outlier day.
 
     With ``quality=True`` missing-day alerts over [start, end] (for ``domains`` or the gold
     domains) and range alerts are fused in as well. ``anscombe_counts`` tests 2·sqrt(x + 3/8) of
     the count metrics (leads, sessions) instead of the raw counts; alerts still report raw values.
     ``forest_percentile`` (F15) replaces the contamination cut-off by a score percentile and
-    ``standardize`` (F14) scales the forest features per domain first.
+    ``standardize`` (F14) scales the forest features per domain first. ``decomposition="loess"`` takes robust Loess.
     """
     long = to_long(gold, ["domain", "day"], list(metrics))
     tested, col = tested_long(long, anscombe_counts, fill_calendar, count_metrics)
-    uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows, report_value="value")
+    uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows, report_value="value",
+                       decomposition=decomposition)
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
                            min_rows=forest_min_rows, percentile=forest_percentile, standardize=standardize)
     parts = [uni, multi]
@@ -115,7 +116,7 @@ def daily_gold_and_alerts(web_raw: DataFrame, ads_raws: list[DataFrame], diction
         cutoff = cutoff_day(tz)
     cutoff = cutoff if isinstance(cutoff, Column | _dt.date) else _dt.date.fromisoformat(str(cutoff))
     detect = {n: options.pop(n) for n in ("metrics", "fill_calendar", "anscombe_counts", "forest_percentile", "standardize",
-                                          "count_metrics", "rules") if n in options}
+                                          "count_metrics", "rules", "decomposition") if n in options}
     if options.pop("calendar", False):
         detect["calendar_days"] = days
     if gold_path is not None:
@@ -134,7 +135,8 @@ def daily_alerts(gold: DataFrame, cutoff: _dt.date | Column, k: float = 3.5,
                  contamination: float = 0.01, min_rows: int = 14, forest_min_rows: int = 20,
                  metrics=GOLD_METRICS, fill_calendar: bool = False, anscombe_counts: bool = False,
                  forest_percentile: float | None = None, standardize: bool = False, count_metrics=COUNT_METRICS,
-                 quality: bool = False, domains: DataFrame | None = None, rules=None, calendar_days: int = 0) -> DataFrame:
+                 quality: bool = False, domains: DataFrame | None = None, rules=None, calendar_days: int = 0,
+                 decomposition: str = "classical") -> DataFrame:
     """DAILY detection on an existing gold table: alerts dated ``cutoff`` only.
 
     Missing days are looked for from ``calendar_days`` before the cutoff on; those alerts are dated on the missing day.
@@ -143,7 +145,7 @@ def daily_alerts(gold: DataFrame, cutoff: _dt.date | Column, k: float = 3.5,
     long = to_long(gold, ["domain", "day"], list(metrics))
     tested, col = tested_long(long, anscombe_counts, fill_calendar, count_metrics)
     uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
-                       latest_only=True, cutoff=day, report_value="value")
+                       latest_only=True, cutoff=day, report_value="value", decomposition=decomposition)
     multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
                            min_rows=forest_min_rows, latest_only=True, cutoff=day,
                            percentile=forest_percentile, standardize=standardize)

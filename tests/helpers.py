@@ -79,3 +79,40 @@ def isolation_scores(key, rows, trees=100, sample=256, seed=42):
             order = sorted(order, key=lambda i: (draws(seed, key, tree, rows[i][0], "s")[0], i))[:sample]
         grow(tree, 1, 0, list(order), list(range(n)))
     return [2 ** (-(sum(p) / len(p)) / c(psi)) for p in paths]
+
+
+def robust_loess(y, period=7, span=11, rounds=2):
+    """Robust Loess decomposition, row by row: trend, seasonal, resid, weight. NaN values weigh nothing."""
+    y = np.asarray(y, float)
+    n, phase = len(y), np.arange(len(y)) % period
+    known = ~np.isnan(y)
+    rho, trend = known.astype(float), np.zeros(n)
+    for done in range(rounds + 1):
+        for _ in range(2):
+            means = np.zeros(period)
+            for p in range(period):
+                at = (phase == p) & known
+                w = rho[at] if rho[at].sum() > 0 else np.ones(at.sum())
+                means[p] = np.average((y - trend)[at], weights=w)
+            season = (means - means.mean())[phase]
+            z = np.where(known, y - season, 0.0)
+            fitted = np.empty(n)
+            for i in range(n):
+                left = max(0, min(i - span // 2, n - span))
+                right = min(n - 1, left + span - 1)
+                far = max(i - left, right - i) + max(0, span - n) // 2
+                x = np.arange(left, right + 1) - i
+                w = rho[left:right + 1] * np.maximum(0, 1 - (np.abs(x) / far) ** 3) ** 3
+                if w.sum() <= 1e-12:
+                    fitted[i] = z[i]
+                elif np.count_nonzero(w) < 2:
+                    fitted[i] = np.average(z[left:right + 1], weights=w)
+                else:
+                    design = np.stack([np.ones(len(x)), x], 1) * np.sqrt(w)[:, None]
+                    fitted[i] = np.linalg.lstsq(design, z[left:right + 1] * np.sqrt(w), rcond=None)[0][0]
+            trend = fitted
+        if done < rounds:
+            off = np.abs(y - trend - season)
+            far = 6 * np.median(off[known])
+            rho = np.where(known, 1.0 if far <= 1e-12 else np.maximum(0, 1 - (off / far) ** 2) ** 2, 0.0)
+    return trend, season, y - trend - season, rho
