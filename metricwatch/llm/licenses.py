@@ -1,15 +1,17 @@
 """License scans by conditional compression.
 
-Texts that name a license or its usual words (found by a JVM filter) are searched whole for passages
-with the exact wording of a template: at most a tenth of the template's words inserted, deleted or
-changed, and no difference at all in the words that tell it from other templates. A template of
-under ten words thus stands word for word and is found as a string; a longer one is found by
-dynamic programming around its rarest telling word, in a window no longer than a passage can be, so
-nothing is lost by it. All templates are searched, whatever stands around a notice.
+Texts that name a license or its usual words (found by a JVM filter) are cut into passages of bounded
+length around every such word, for each template as long as three of it. Each passage is compressed
+by zstandard alone and with the template as a raw dictionary. How many bytes the template saves,
+measured against what the template itself compresses to, ranks the templates; those below a floor are
+dropped. The rest are confirmed by their exact wording inside the passage: at most a tenth of
+the template's words inserted, deleted or changed, and no difference at all in the words that tell
+it from other templates. Of a template's wordings that overlap the most exact one counts. These are ranked by the
+bytes their template saves on them (then by fewest differences, then by the template's place);
+from the top, every one that overlaps none before it is a row.
 
-Found passages are ranked by fewest differences, then by how many bytes zstandard saves on the
-passage with the template as a raw dictionary, then by the template's place; from the top, every
-passage that overlaps none before it is confirmed and is a row.
+Passages overlap so that any wording around a usual word is whole in one of them, and their length follows
+the template, so it doesn't matter how much other text stands around a notice or in its line.
 
 Defined results: null and empty texts have no row; a run of lines with usual words that no confirmed
 passage touches is a row with a null license and confirmed = false, its reduction the best
@@ -20,8 +22,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -64,6 +66,8 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
 CUE = r"(?i)licen[sc]e|copyright|all rights reserved|public domain|permission|redistribut|\bcc(0| by)|creative commons|warrant"
 #: Allowed part of differing words.
 ALLOWED = 0.1
+#: A template is a candidate for a passage if it saves at least this part of its own compressed size.
+FLOOR = 0.08
 _word = re.compile(r"[^\W_]+(?:[-.'][^\W_]+)*")
 
 
@@ -115,14 +119,32 @@ def passages(template: list[str], keys: set[str], limit: int, block: list[str])
 
 
 class Passage(NamedTuple):
-    differences: int
     saved: int
+    differences: int
     template: int
     first: int
     end: int
     reduction: float
 
 
+def apart(passages_: Iterable[Passage]) -> list[Passage]:
+    """From the front, every passage that overlaps none before it; in the order of their places."""
+    taken: list[Passage] = []
+    for p in passages_:
+        at = bisect(taken, p.first, key=lambda q: q.first)
+        if (at == 0 or taken[at - 1].end <= p.first) and (at == len(taken) or p.end <= taken[at].first):
+            taken.insert(at, p)
+    return taken
+
+
+class Template(NamedTuple):
+    license: str
+    words: list[str]
+    keys: set[str]
+    compressor: zstandard.ZstdCompressor
+    size: int
+
+
 class Scanner:
     """Templates prepared once per task."""
 
@@ -130,64 +152,65 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
         self.templates = []
         for name, text, keys in templates:
-            raw = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.templates.append((name, words(text), set(keys.split()) & set(words(text)),
-                                   zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False)))
+            data = text.lower().encode()
+            raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            self.templates.append(Template(name, words(text), set(keys.split()) & set(words(text)),
+                                           zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False),
+                                           len(self.plain.compress(data))))
 
     def sizes(self, part: str, k: int | None = None) -> tuple[int, int]:
         """Compressed bytes of a part alone and with template k, or with the template that saves most."""
         data = part.lower().encode("utf-8", "surrogatepass")
         some = self.templates if k is None else self.templates[k:k + 1]
         alone = len(self.plain.compress(data))
-        return alone, min((len(t[3].compress(data)) for t in some), default=alone)
-
-    def wordings(self, own: list[str]) -> Iterator[tuple[int, int, int, int]]:
-        """(template, first word, end, edits) of all passages close enough to a template."""
-        counts, joined = Counter(own), f" {' '.join(own)} "
-        for k, (_, template, keys, _) in enumerate(self.templates):
-            limit = int(ALLOWED * len(template))
-            if not all(counts[key] for key in keys):
-                continue
-            if not limit:
-                wanted, at, first = f" {' '.join(template)} ", 0, 0
-                while (found := joined.find(wanted, at)) >= 0:
-                    first += joined.count(" ", at, found)
-                    yield k, first, first + len(template), 0
-                    at, first = found + 1, first + 1
-                continue
-            rarest = min(keys, key=lambda w: (counts[w], w), default=None)
-            reach, spans = len(template) + limit, []
-            for i in (i for i, w in enumerate(own) if rarest is None or w == rarest):
-                if spans and i - reach <= spans[-1][1]:
-                    spans[-1][1] = i + reach
-                else:
-                    spans.append([max(i - reach, 0), i + reach])
-            for low, high in spans:
-                part = own[low:high]
-                there = set(part)
-                if keys <= there and len(set(template) - there) <= limit:
-                    for first, end, edits in passages(template, keys, limit, part):
-                        yield k, low + first, low + end, edits
-
-    def scan(self, text: str) -> list[tuple[int, int, str, float, int, list[str]]]:
+        return alone, min((len(t.compressor.compress(data)) for t in some), default=alone)
+
+    def candidates(self, text: str, places: list[tuple[int, int]], cues: list[int]) -> list[tuple[float, int, int, int]]:
+        """(part of its size that it saves, template, first word, end) of all passages above the floor, the best first.
+
+        ``places`` are the words' places in the text, ``cues`` the numbers of the words that a cue begins in.
+        """
+        out = []
+        for k, template in enumerate(self.templates):
+            reach, covered = len(template.words) + int(ALLOWED * len(template.words)), -1
+            for cue in cues:
+                if cue <= covered:
+                    continue
+                covered = cue + reach  # a wording with a cue up to here is whole in this passage
+                first, end = max(0, cue - reach), min(len(places), cue + 2 * reach)
+                alone, with_it = self.sizes(text[places[first][0]:places[end - 1][1]], k)
+                if alone - with_it >= FLOOR * template.size:
+                    out.append(((alone - with_it) / template.size, k, first, end))
+        return sorted(out, reverse=True)
+
+    def wordings(self, own: list[str], k: int, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """(first word, end, edits) of the passages of words low to high that are close enough to template k."""
+        _, template, keys, _, _ = self.templates[k]
+        limit, part = int(ALLOWED * len(template)), own[low:high]
+        there = set(part)
+        if keys <= there and len(set(template) - there) <= limit:
+            for first, end, edits in passages(template, keys, limit, part):
+                yield low + first, low + end, edits
+
+    def scan(self, text: str, cue: re.Pattern) -> list[tuple[int, int, str, float, int, list[str]]]:
         """(begin, end, license, reduction, differences, lost words) of the confirmed passages, in order."""
-        own = words(text)
-        found = list(self.wordings(own))
-        if not found:
-            return []
-        places, ranked, taken = [m.span() for m in _word.finditer(text)], [], []
+        places = [m.span() for m in _word.finditer(text)]
+        ends = [end for _, end in places]
+        cues = sorted({bisect(ends, m.start()) for m in cue.finditer(text)} - {len(places)})
+        own = [text[a:b].lower() for a, b in places]
+        found = {(k, *w) for _, k, first, end in self.candidates(text, places, cues) for w in self.wordings(own, k, first, end)}
+        ranked = []
         for k, first, end, edits in found:
             alone, with_it = self.sizes(text[places[first][0]:places[end - 1][1]], k)
-            ranked.append(Passage(edits, with_it - alone, k, first, end, 1 - with_it / alone))
-        for p in sorted(ranked):
-            at = bisect(taken, p.first, key=lambda q: q.first)
-            if (at == 0 or taken[at - 1].end <= p.first) and (at == len(taken) or p.end <= taken[at].first):
-                taken.insert(at, p)
+            ranked.append(Passage(with_it - alone, edits, k, first, end, 1 - with_it / alone))
+        exact = sorted(ranked, key=lambda p: (p.template, p.differences, p))  # of a template's own, the most exact ones
+        own_best = [p for _, same in groupby(exact, lambda p: p.template) for p in apart(same)]
+        taken = apart(sorted(own_best))
         out = []
         for p in taken:
-            name, template, _, _ = self.templates[p.template]
-            lost = wording_differences(template, own[p.first:p.end])[1]
-            out.append((places[p.first][0], places[p.end - 1][1], name, p.reduction, p.differences, lost))
+            template = self.templates[p.template]
+            lost = wording_differences(template.words, own[p.first:p.end])[1]
+            out.append((places[p.first][0], places[p.end - 1][1], template.license, p.reduction, p.differences, lost))
         return out
 
 
@@ -208,7 +231,7 @@ def blocks(text: str, cue: re.Pattern) -> Iterator[tuple[int, int, str]]:
 def scan_text(text: str, scanner: Scanner, cue: re.Pattern) -> Iterator[tuple]:
     """Rows of a text, without its id: confirmed passages, then the blocks that none of them touches."""
     lines, line, at = set(), 0, 0
-    for begin, end, name, reduction, differences, lost in scanner.scan(text):
+    for begin, end, name, reduction, differences, lost in scanner.scan(text, cue):
         line += text.count("\n", at, begin)
         n = text.count("\n", begin, end) + 1
         at = begin
