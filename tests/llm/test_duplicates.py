@@ -122,6 +122,44 @@ def test_exact_duplicates_odd_documents(spark, tmp_path):
     assert exact.exact_duplicates(frame(spark, [])).collect() == []
 
 
+def test_results_come_from_the_buckets(spark, tmp_path):
+    """What the owners have written decides: another entry gives another result, a misled row finds none."""
+    docs = frame(spark, [(k, f"text {k % 40}", *[None] * 7) for k in range(200)])
+    path, other = str(tmp_path / "index"), str(tmp_path / "other")
+    cells = exact.build_index(docs, path, capacity=8)
+    index = exact.read_index(docs, path)
+    assert exact.look_up(docs, index, cells).count() == 200 and index.select("bucket").distinct().count() > 4
+    index.withColumn("keep_id", F.lit(-1).cast("bigint")).write.partitionBy("bucket").parquet(other)
+    assert exact.look_up(docs, exact.read_index(docs, other), cells).where("keep_id = -1 AND NOT kept").count() == 200
+    last = cells.agg(F.max("bucket")).head()[0]
+    misled = exact.look_up(docs, index, cells.withColumn("bucket", F.lit(last))).count()
+    assert misled == 5 * index.where(F.col("bucket") == last).count() < 200
+
+
+def test_a_bucket_has_one_owner_and_a_range_of_keys(spark, tmp_path):
+    docs = frame(spark, [(k, f"text {k % 300}", *[None] * 7) for k in range(900)])
+    exact.build_index(docs, str(tmp_path / "index"), capacity=20)
+    index = exact.read_index(docs, str(tmp_path / "index")).withColumn("file", F.input_file_name())
+    files = index.groupBy("bucket").agg(F.countDistinct("file").alias("n")).collect()
+    assert len(files) > 10 and all(r["n"] == 1 for r in files)
+    spans = sorted((r["lo"], r["hi"]) for r in index.withColumn("cell", exact._cell(F.col("key"), exact.MAX_DEPTH)).groupBy("bucket").agg(
+        F.min("cell").alias("lo"), F.max("cell").alias("hi")).collect())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("part", [0.0, 0.4, 1.0])
+def test_colliding_keys_and_hot_texts(spark, monkeypatch, part):
+    """Texts that share keys are told apart in their chain, whichever way their rows come to the owner."""
+    monkeypatch.setattr(exact, "HOT_PART", part)
+    monkeypatch.setattr(exact.F, "xxhash64", lambda c: F.length(c).cast("bigint") % 3)
+    data = [(k, ("same" if k % 2 else f"t{k % 7}"), *[None] * 7) for k in range(60)]
+    got = sorted(tuple(r) for r in exact.exact_duplicates(frame(spark, data)).select("id", "keep_id", "group_size").collect())
+    groups = defaultdict(list)
+    for r in data:
+        groups[r[1]].append(r[0])
+    assert got == sorted((i, max(g), len(g)) for g in groups.values() for i in g)
+
+
 def test_directory_splits_only_overfull_buckets(spark):
     entries = spark.range(20000).select(F.xxhash64("id").alias("key"))
     cells = exact.directory(entries, 1000, 8)
