@@ -69,6 +69,39 @@ def test_language_grams_against_plain_python(spark):
         assert sorted(n.tolist()) == sorted(plain_ranks(text).values())
 
 
+def test_language_against_plain_profiles(spark):
+    """Profiles, ranks, out-of-place distance and the nearest language, from the grams on."""
+    docs = [(k, r["text"], r["lang"]) for k, r in enumerate(queries.documents(spark, SF).select("text", "lang").collect())]
+    totals = {}
+    for _, text, lang in docs[::2]:
+        if lang is not None:
+            for g, n in plain_ranks(text or "").items():
+                totals.setdefault(lang, {})[g] = totals.get(lang, {}).get(g, 0) + n
+    df = spark.createDataFrame(docs, "doc_id int, text string, lang string")
+    profiles = langid.learn(df.where("doc_id % 2 = 0"))
+    assert set(profiles) == set(totals)
+    size = max(len(p) for p in profiles.values())
+    for lang, counts in totals.items():
+        kept = sorted(counts.values(), reverse=True)[:size]
+        assert len(profiles[lang]) == len(kept)
+    near = 0
+    got = {r["id"]: r["lang_pred"] for r in langid.identify(df, profiles).collect()}
+    for k, text, lang in docs[1::2]:
+        if not plain_ranks(text or ""):
+            assert got[k] == "und"
+            continue
+        near += got[k] == plain_language(text, totals, size)
+    assert near >= 0.99 * len([1 for k, t, _ in docs[1::2] if plain_ranks(t or "")])  # equal counts may be ranked either way
+
+
+def plain_language(text, totals, size):
+    ranks = lambda counts: {g: k for k, (g, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size])}
+    own = ranks(plain_ranks(text))
+    far = {lang: sum(abs(k - profile[g]) if g in profile else size for g, k in own.items())
+           for lang, profile in ((lang, ranks(c)) for lang, c in totals.items())}
+    return min(sorted(far), key=far.get)
+
+
 def test_language_odd_documents(spark):
     df = frame(spark)
     profiles = langid.learn(df)
@@ -254,5 +287,17 @@ def test_url_rules(spark):
 def test_bloom_holds_every_entry_and_few_others(spark):
     keys = spark.range(3000).select(F.concat(F.lit("host"), "id", F.lit(".org/")).alias("key"))
     bloom = urls.BlockedBloom(urls.build_filter(keys))
-    assert all(bloom.may_hold(f"host{k}.org/".encode()) for k in range(3000))
-    assert sum(bloom.may_hold(f"other{k}.org/".encode()) for k in range(3000)) < 60
+    assert bloom.may_hold([f"host{k}.org/".encode() for k in range(3000)]).all()
+    assert bloom.may_hold([f"other{k}.org/".encode() for k in range(3000)]).sum() < 60
+    assert not urls.BlockedBloom(urls.build_filter(keys.limit(0))).may_hold([b"host1.org/", b""]).any()
+    assert bloom.may_hold([]).tolist() == []
+
+
+@pytest.mark.parametrize("part", [0.0, 1.0])
+def test_common_entries_are_joined_alike(spark, monkeypatch, part):
+    monkeypatch.setattr(urls, "HOT_PART", part)
+    monkeypatch.setattr(urls, "max", min, raising=False)  # no least number of hits
+    rules = spark.createDataFrame(list(queries.URL_RULES), "host string, path string, verdict string")
+    pages = spark.createDataFrame([(k, f"http://{'www.' * (k % 3)}example.com/{'en/' * (k % 2)}{k}") for k in range(60)], "page_id int, url string")
+    got = {r["page_id"]: r["rule"] for r in urls.judge_urls(pages, rules).collect()}
+    assert got == {k: ("com/" if k % 2 == 0 else "example.com/en/" if k % 3 == 0 else "www.example.com/en/") for k in range(60)}
