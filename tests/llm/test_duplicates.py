@@ -126,13 +126,13 @@ def test_results_come_from_the_buckets(spark, tmp_path):
     """What the owners have written decides: another entry gives another result, a misled row finds none."""
     docs = frame(spark, [(k, f"text {k % 40}", *[None] * 7) for k in range(200)])
     path, other = str(tmp_path / "index"), str(tmp_path / "other")
-    cells = exact.build_index(docs, path, capacity=8)
+    cells, depth = exact.build_index(docs, path, capacity=8)
     index = exact.read_index(docs, path)
-    assert exact.look_up(docs, index, cells).count() == 200 and index.select("bucket").distinct().count() > 4
+    assert exact.look_up(docs, index, cells, depth).count() == 200 and index.select("bucket").distinct().count() > 4
     index.withColumn("keep_id", F.lit(-1).cast("bigint")).write.partitionBy("bucket").parquet(other)
-    assert exact.look_up(docs, exact.read_index(docs, other), cells).where("keep_id = -1 AND NOT kept").count() == 200
+    assert exact.look_up(docs, exact.read_index(docs, other), cells, depth).where("keep_id = -1 AND NOT kept").count() == 200
     last = cells.agg(F.max("bucket")).head()[0]
-    misled = exact.look_up(docs, index, cells.withColumn("bucket", F.lit(last))).count()
+    misled = exact.look_up(docs, index, cells.withColumn("bucket", F.lit(last)), depth).count()
     assert misled == 5 * index.where(F.col("bucket") == last).count() < 200
 
 
@@ -162,12 +162,13 @@ def test_colliding_keys_and_hot_texts(spark, monkeypatch, part):
 
 def test_directory_splits_only_overfull_buckets(spark):
     entries = spark.range(20000).select(F.xxhash64("id").alias("key"))
-    cells = exact.directory(entries, 1000, 8)
-    assert cells.count() == cells.select("cell").distinct().count() == 256
-    sizes = entries.withColumn("cell", exact._cell(F.col("key"), 8)).join(cells, "cell").groupBy("bucket").count().collect()
+    cells, depth = exact.directory(entries, 1000, 8)
+    assert depth < 8
+    assert cells.count() == cells.select("cell").distinct().count() == 2 ** depth
+    sizes = entries.withColumn("cell", exact._cell(F.col("key"), depth)).join(cells, "cell").groupBy("bucket").count().collect()
     assert max(r["count"] for r in sizes) <= 1000 and sum(r["count"] for r in sizes) == 20000
-    assert exact.directory(entries, 10 ** 6, 8).select("bucket").distinct().count() == 1
-    assert exact.directory(entries, 1, 4).count() == 16  # overfull at the largest depth: longer buckets
+    assert exact.directory(entries, 10 ** 6, 8)[0].count() == 1
+    assert exact.directory(entries, 1, 4)[0].count() == 16  # overfull at the largest depth: longer buckets
 
 
 def plain_lines(docs):
