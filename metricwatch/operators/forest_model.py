@@ -119,6 +119,27 @@ def iforest_score(df: DataFrame, model: DataFrame, key: list[str], features: lis
     return scored.selectExpr("*", f"pow(2D, -try_divide(mean_path, {_c('CAST(psi AS DOUBLE)')})) AS score")
 
 
+def iforest_credit(df: DataFrame, model: DataFrame, key: list[str], features: list[str], levels: int = 8) -> DataFrame:
+    """``df`` plus ``credit``: per feature (an array in their order) how much its splits have isolated the row.
+
+    A split on the row's path credits its feature with log2 of how many times fewer sampled rows the row's side
+    has (a side without any counts as half a row); credits are summed along the path and averaged over the trees.
+    """
+    m = model.selectExpr(*[f"{_q(k)} AS `_m_{k}`" for k in key], "trees AS _trees")
+    on = F.expr(" AND ".join(f"{_q(k)} <=> `_m_{k}`" for k in key))
+    x = ", ".join(f"coalesce(CAST({_q(f)} AS DOUBLE), 0D)" for f in features)
+    rows = df.selectExpr("*", f"array({x}) AS _x").join(m, on, "left")
+    zero = f"array_repeat(0D, {len(features)})"
+    # one step: from node a.i to the side b the row is on, whose size the credit depends on
+    step = """transform(array(2 * a.i + CAST(_x[t.feature[a.i - 1]] > t.threshold[a.i - 1] AS INT)), b -> named_struct('i', b, 'c',
+              transform(a.c, (v, k) -> v + CASE WHEN k = t.feature[a.i - 1] THEN log2(t.size[a.i - 1] / greatest(t.size[b - 1], 0.5D)) ELSE 0D END)))[0]"""
+    walk = (f"aggregate(sequence(1, {int(levels)}), named_struct('i', 1, 'c', {zero}), (a, l) -> "
+            f"CASE WHEN t.feature[a.i - 1] IS NULL THEN a ELSE {step} END).c")
+    each = rows.selectExpr(*map(_q, df.columns), f"transform(_trees, t -> {walk}) AS _credits")
+    total = f"aggregate(_credits, {zero}, (s, c) -> transform(s, (v, k) -> v + c[k]))"
+    return each.selectExpr(*map(_q, df.columns), f"CASE WHEN _credits IS NOT NULL THEN transform({total}, v -> v / size(_credits)) END AS credit")
+
+
 def with_cutoff(model: DataFrame, scored: DataFrame, key: list[str], contamination: float = 0.01,
                 percentile: float | None = None) -> DataFrame:
     """The model plus ``cutoff_score``: the exact linear percentile of the scores of the rows it was fitted on."""
@@ -130,14 +151,18 @@ def with_cutoff(model: DataFrame, scored: DataFrame, key: list[str], contaminati
 
 def iforest_model_alerts(df: DataFrame, model: DataFrame, key: list[str], order: str, features: list[str], min_rows: int = 20,
                          params: str = "model", levels: int = 8) -> DataFrame:
-    """F10-F12 on new rows: those whose score is above their series' stored ``cutoff_score``; ``df`` holds the new rows only."""
+    """F10-F12 on new rows: those whose score is above their series' stored ``cutoff_score``; ``df`` holds the new rows only.
+
+    ``affected`` names all features, those first that have isolated the row the most (:func:`iforest_credit`).
+    """
     scored = iforest_score(df.select(*key, order, *features), model.select(*key, "n", "psi", "trees"), key, features, levels)
     cut = model.selectExpr(*[f"{_q(k)} AS `_c_{k}`" for k in key], "cutoff_score")
     on = F.expr(" AND ".join(f"{_q(k)} <=> `_c_{k}`" for k in key))
     found = scored.join(cut, on).where((F.col("n") >= min_rows) & (F.col("score") > F.col("cutoff_score")))
-    names = ", ".join(repr(f) for f in features)
+    credited = iforest_credit(found, model.select(*key, "trees"), key, features, levels)
+    names = ", ".join(f"named_struct('c', -credit[{i}], 'i', {i}, 'f', {f!r})" for i, f in enumerate(features))
     pairs = ", ".join(f"'{f}', CAST({_q(f)} AS DOUBLE)" for f in features)
-    return found.selectExpr(
+    return credited.selectExpr(
         *map(_q, key), f"{_q(order)} AS day", "CAST(NULL AS STRING) AS metric", "'iforest' AS method", "'irregular' AS type",
         "CAST(NULL AS DOUBLE) AS value", "round(score - cutoff_score, 4) AS score", "CAST(NULL AS DOUBLE) AS relative_magnitude",
-        f"array({names}) AS affected", f"map({pairs}) AS context", f"'{params}' AS params")
+        f"transform(array_sort(array({names})), a -> a.f) AS affected", f"map({pairs}) AS context", f"'{params}' AS params")

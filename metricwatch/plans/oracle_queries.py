@@ -111,12 +111,14 @@ SELECT domain, day, 'iforest' AS method, 'irregular' AS type, CAST(NULL AS DOUBL
 FROM (SELECT *, quantile_cont(score, 0.6) OVER (PARTITION BY domain) AS q FROM ifo WHERE n >= 20)
 WHERE score > q AND day = CAST('{CUTOFF}' AS DATE)"""
 
-SQL["iforest_long"] = with_("""
+_ORDERS_DAILY = """
 daily AS (
   SELECT n_regionkey AS region, CAST(o_orderdate AS DATE) AS day, count(*) AS orders,
          sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2
-)""", iforest_sql("daily", ["region"], "day", ["orders", "revenue"])) + f"""
+)"""
+
+SQL["iforest_long"] = with_(_ORDERS_DAILY, iforest_sql("daily", ["region"], "day", ["orders", "revenue"])) + f"""
 SELECT region, day, orders, round(revenue, 2) AS revenue, n, psi, {_r('mean_path')}, {_r('score')} FROM ifo"""
 
 SQL["anscombe"] = with_(EVENTS_DAILY, """
@@ -426,6 +428,32 @@ SQL["iforest_model_scores"] = with_(ALL_GOLD, iforest_sql("gold", ["domain"], "d
                                                           fitted="day < CAST('2001-07-26' AS DATE)")) + f"""
 SELECT domain, day, day >= CAST('2001-07-26' AS DATE) AS is_new, spend, leads, sessions, n, psi, {_r('mean_path')}, {_r('score')} FROM ifo"""
 
+SQL["long_series_bounds"] = with_(_ORDERS_DAILY, decompose_sql("daily", ["region"], "day", "orders"), mad_sql("dec", ["region"], 3.2)) + f"""
+SELECT region, day, _y AS value, pos, n, {_r('trend')}, {_r('seasonal')}, {_r('resid')}, {_r('resid_median')}, {_r('mad')}, {_r('lower')},
+       {_r('upper')}, (resid > upper OR resid < lower) AS is_outlier FROM mad"""
+
+SQL["precision_recall_curve"] = with_(ALL_GOLD, GOLD_LONG, decompose_sql("gold_long", ["domain", "metric"], "day", "value"),
+                                      mad_sql("dec", ["domain", "metric"], 3.2)) + """,
+s AS (SELECT round(abs(resid) / mad, 2) AS threshold, _y > 1.5 * series_mean OR _y < 0.5 * series_mean AS bad FROM mad),
+e AS (SELECT threshold, count(*) AS n, count(*) FILTER (bad) AS anomalies FROM s GROUP BY threshold),
+c AS (SELECT threshold, anomalies, sum(n) OVER w AS alerts, sum(anomalies) OVER w AS tp, sum(anomalies) OVER () AS pos
+      FROM e WINDOW w AS (ORDER BY threshold DESC))
+SELECT threshold, CAST(anomalies AS BIGINT) AS anomalies, CAST(alerts AS BIGINT) AS alerts, CAST(tp AS BIGINT) AS tp,
+       CAST(alerts - tp AS BIGINT) AS fp, CAST(pos - tp AS BIGINT) AS fn, round(CAST(tp AS DOUBLE) / CAST(alerts AS DOUBLE), 6) AS precision,
+       CASE WHEN pos > 0 THEN round(CAST(tp AS DOUBLE) / CAST(pos AS DOUBLE), 6) END AS recall
+FROM c"""
+
+SQL["alert_incidents"] = _FUSED_CTES + """,
+per AS (SELECT domain, metric, day, count(*) AS alerts, max(score) AS peak FROM fused GROUP BY 1, 2, 3),
+marked AS (SELECT *, CASE WHEN day - lag(day) OVER w <= 1 THEN 0 ELSE 1 END AS b FROM per WINDOW w AS (PARTITION BY domain, metric ORDER BY day)),
+runs AS (SELECT *, sum(b) OVER (PARTITION BY domain, metric ORDER BY day) AS run FROM marked),
+found AS (SELECT domain, metric, run, min(day) AS first_day, max(day) AS last_day, count(*) AS days, CAST(sum(alerts) AS BIGINT) AS alerts,
+          max(peak) AS peak_score FROM runs GROUP BY 1, 2, 3)
+SELECT i.domain, i.metric, first_day, last_day, days, alerts, peak_score,
+       (SELECT string_agg(DISTINCT f.method, ',' ORDER BY f.method) FROM fused f
+        WHERE f.domain = i.domain AND f.metric IS NOT DISTINCT FROM i.metric AND f.day BETWEEN first_day AND last_day) AS methods
+FROM found i"""
+
 SQL["changed_days"] = with_(WEB_RAW, ADS_RAW, f"""
 rows_now AS (
   SELECT CASE source WHEN 'a' THEN 'ads0' ELSE 'ads1' END AS source, CAST(date AS DATE) AS day,

@@ -20,11 +20,13 @@ from metricwatch.operators.alerts import (
     adaptive_card, cap_per_day, message_card, prioritize, retain, route, run_report,
 )
 from metricwatch.operators.detect import scored_series, seasonal_mad
-from metricwatch.operators.evaluate import evaluate
+from metricwatch.operators.evaluate import evaluate, precision_recall_curve
 from metricwatch.operators.gold import GOLD_METRICS, build_gold, combine_sources, map_to_domain, union_sources
 from metricwatch.operators.forest_model import iforest_fit, iforest_score
 from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standardize_columns
+from metricwatch.operators.incidents import incidents
 from metricwatch.operators.loess import loess_decompose
+from metricwatch.operators.long_series import bounds_blocks
 from metricwatch.operators.quality import (
     duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, series_status, validate,
 )
@@ -197,15 +199,19 @@ def q_iforest_latest(spark: SparkSession, d: str) -> DataFrame:
     return a.select("domain", "day", "method", "type", "score", F.array_join("affected", ",").alias("affected"), *ctx, "params")
 
 
-def q_iforest_long(spark: SparkSession, d: str) -> DataFrame:
-    """F8, F9 on series longer than a tree's sample: daily orders and revenue per region over all days."""
+def _orders_daily(spark: SparkSession, d: str) -> DataFrame:
+    """(region, day, orders, revenue) over all days."""
     o = fx.table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = fx.table(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    daily = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-             .groupBy(F.col("n_regionkey").alias("region"), F.to_date("o_orderdate").alias("day"))
-             .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue")))
-    s = iforest_scores(daily, ["region"], "day", ["orders", "revenue"])
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .groupBy(F.col("n_regionkey").alias("region"), F.to_date("o_orderdate").alias("day"))
+            .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue")))
+
+
+def q_iforest_long(spark: SparkSession, d: str) -> DataFrame:
+    """F8, F9 on series longer than a tree's sample: daily orders and revenue per region over all days."""
+    s = iforest_scores(_orders_daily(spark, d), ["region"], "day", ["orders", "revenue"])
     return s.select("region", "day", "orders", _r("revenue", 2), "n", "psi", _r("mean_path"), _r("score"))
 
 
@@ -244,6 +250,13 @@ def q_stl_events(spark: SparkSession, d: str) -> DataFrame:
                     _r("resid"), _r("weight"))
 
 
+def q_long_series_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """E1-E5, D8, D9 in blocks of a year: daily orders per region over all days, decomposed, with exact medians."""
+    s = bounds_blocks(_orders_daily(spark, d), ["region"], "day", "orders", k=K_LOCAL, rows_per_block=365, left_over=100)
+    return s.select("region", "day", F.col("orders").cast("double").alias("value"), "pos", "n", _r("trend"), _r("seasonal"), _r("resid"),
+                    _r("resid_median"), _r("mad"), _r("lower"), _r("upper"), "is_outlier")
+
+
 def q_anscombe(spark: SparkSession, d: str) -> DataFrame:
     """decomposition of 2·sqrt(count + 3/8) per event type."""
     ev = fx.events_daily(spark, d).withColumn("value", anscombe("events"))
@@ -418,6 +431,20 @@ def q_evaluate(spark: SparkSession, d: str) -> DataFrame:
     return e.select("tp", "fp", "fn", _r("precision"), _r("recall"), _r("f1"))
 
 
+def q_precision_recall_curve(spark: SparkSession, d: str) -> DataFrame:
+    """L6 over all thresholds: MAD scores of every gold row against the threshold labels."""
+    s = scored_series(gold_long(spark, d), ["domain", "metric"], "day", "value")
+    v, m = F.col("value"), F.col("series_mean")
+    rows = s.select(F.round(F.abs(F.col("resid")) / F.col("mad"), 2).alias("score"),
+                    ((v > F.lit(1.5) * m) | (v < F.lit(0.5) * m)).alias("is_anomaly"))
+    return precision_recall_curve(rows).select("threshold", "anomalies", "alerts", "tp", "fp", "fn", _r("precision"), _r("recall"))
+
+
+def q_alert_incidents(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of alert days per (domain, metric) over the fused alerts."""
+    return incidents(fused(spark, d)).withColumn("methods", F.array_join("methods", ","))
+
+
 def q_run_report(spark: SparkSession, d: str) -> DataFrame:
     """Domains, gold rows and alerts per method for one run (no clock columns)."""
     g, alerts = fused_with_gold(spark, d)
@@ -476,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "score_p99": q_score_p99,
     "iforest_model_scores": q_iforest_model_scores,
     "stl_events": q_stl_events,
+    "long_series_bounds": q_long_series_bounds,
     "anscombe": q_anscombe,
     "anscombe_filled": q_anscombe_filled,
     "standardize": q_standardize,
@@ -491,6 +519,8 @@ QUERIES: dict[str, Query] = {
     "adaptive_card": q_adaptive_card,
     "message_card": q_message_card,
     "evaluate": q_evaluate,
+    "precision_recall_curve": q_precision_recall_curve,
+    "alert_incidents": q_alert_incidents,
     "run_report": q_run_report,
     "retain": q_retain,
     "delivery_summary": q_delivery_summary,
