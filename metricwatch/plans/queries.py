@@ -27,6 +27,7 @@ from metricwatch.operators.iforest import iforest_alerts, iforest_scores, standa
 from metricwatch.operators.incidents import incidents
 from metricwatch.operators.loess import loess_decompose
 from metricwatch.operators.long_series import bounds_blocks
+from metricwatch.operators.profiles import day_profiles, estimates, merge_profiles
 from metricwatch.operators.quality import (
     duplicate_days, missing_day_alerts, missing_days, range_alerts, range_rules, series_status, validate,
 )
@@ -322,6 +323,24 @@ def q_validate(spark: SparkSession, d: str) -> DataFrame:
                            for name, (df, required, key) in _inputs(spark, d).items()])
 
 
+def q_window_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """The window's profile of every input, merged from its days; the estimates are held against exact values
+    (distinct ids within 5 %, rank of the median within 2 % of the middle)."""
+    inputs = {"web": (fx.web_raw(spark, d), "propertyID", "TotalSessions"), "ads_a": (fx.ads_raw(spark, d, "a"), "account_id", "spend_gbp"),
+              "ads_b": (fx.ads_raw(spark, d, "b"), "account_id", "spend_gbp")}
+    rows = union_sources(*[analysis_window(df, "date", fx.CUTOFF, fx.DAYS).select(
+        F.lit(name).alias("input"), "date", F.col(i).alias("id"), F.col(v).cast("double").alias("value")) for name, (df, i, v) in inputs.items()])
+    days = union_sources(*[day_profiles(rows.where(F.col("input") == name), name, "id", "date", "value") for name in inputs])
+    merged = estimates(merge_profiles(days)).withColumnsRenamed({"rows": "n"})
+    exact = rows.join(merged.select("input", "q50"), "input").groupBy("input").agg(
+        F.countDistinct("id").alias("_ids"), F.avg((F.col("value") < F.col("q50")).cast("double")).alias("_below"),
+        F.avg((F.col("value") <= F.col("q50")).cast("double")).alias("_upto"))
+    return merged.join(exact, "input").select(
+        "input", "first_day", "last_day", "days", F.col("n").alias("rows"), "missing_ids", "missing_values", _r("low"), _r("high"),
+        F.col("total").cast("double").alias("total"), (F.abs(F.col("ids") - F.col("_ids")) <= 0.05 * F.col("_ids")).alias("ids_ok"),
+        ((F.col("_below") <= 0.52) & (F.col("_upto") >= 0.48)).alias("median_ok"))
+
+
 def q_series_status(spark: SparkSession, d: str) -> DataFrame:
     """B10, B11 reported: per (nation, metric) series of gold whether the DAILY detector would test it (ok),
     or skip it (stale last day, fewer than 14 rows)."""
@@ -513,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "validate": q_validate,
     "series_status": q_series_status,
     "changed_days": q_changed_days,
+    "window_profiles": q_window_profiles,
     "fused_alerts": q_fused_alerts,
     "priority_route": q_priority_route,
     "cap_per_day": q_cap_per_day,
