@@ -49,3 +49,9 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def hex_number(col: Column, digits: int = 7) -> Column:
     """The first hex digits of the MD5 of a string as a number: the same in any SQL engine."""
     return F.conv(F.substring(F.md5(col), 1, digits), 16, 10).cast("bigint")
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`shared_path` has named, once nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

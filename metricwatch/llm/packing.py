@@ -15,6 +15,7 @@ documents of their own; ties between equal lengths go by id, piece and digest.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,16 @@ _odd_blank = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u20
 #: A run of Latin-1 letters (all of them composed, each with a lower case of one letter) and then stops or commas.
 _plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]*)").fullmatch
 _workers: dict[str, "WordTokenizer"] = {}
+# The rules of the public word vocabulary, under which a text's ids are its words' ids in order.
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "truncation": None, "padding": None}
+WORD_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>",
+              "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
 
 
 def _byte_letters() -> list[str]:
@@ -44,14 +55,21 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
 
 
+def has_word_rules(spec: dict) -> bool:
+    """Whether a tokenizer file has the rules of the public word vocabulary: every rule, and no added token with a blank or of plain words."""
+    added = [t["content"] for t in spec["added_tokens"]]
+    return (all(spec[k] == v for k, v in WORD_RULES.items()) and all(spec["model"].get(k) == v for k, v in WORD_MODEL.items())
+            and not any(_plain(t) or t.split() != [t] or not t.startswith("<|") for t in added))
+
+
 class WordTokenizer(dict):
-    """Ids of texts for tokenizers that never join characters across blanks: word -> its ids as bytes.
+    """Ids of texts, word by word where the tokenizer file has the rules of the public word vocabulary: word -> its ids as bytes.
 
-    Exact: the tokenizer drops white space and cuts there, so a text's ids are its words' ids in
+    Exact: such a tokenizer drops white space and cuts there, so a text's ids are its words' ids in
     order. A word is encoded when it is first met and remembered, in two generations so that the
     memory is bounded and frequent words stay. Plain words skip the normalizer: their lower-case
-    letters go straight to the tokenizer's own BPE model, as its rules would pass them on; whether
-    the file at hand has such rules is tried out first, else all words take the whole way.
+    letters go straight to the tokenizer's own BPE model, as its rules would pass them on. With a file of
+    any other rules every text is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -60,7 +78,8 @@ class WordTokenizer(dict):
         super().__init__()
         self.encoder = Tokenizer.from_file(path)
         self.letters, self.old, self.tails = _byte_letters(), {}, {"": b""}
-        self.direct = all(self._plain_ids(w) == self._ids(w) for w in ("Été", "naïve.", "THE", "Straße,", "of", "x..,"))
+        with open(path, encoding="utf-8") as file:
+            self.by_words = has_word_rules(json.load(file))
 
     @classmethod
     def of(cls, path: str) -> "WordTokenizer":
@@ -86,7 +105,7 @@ class WordTokenizer(dict):
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = (self._plain_ids(word) if self.direct else None) or self._ids(word)
+            ids = self._plain_ids(word) or self._ids(word)
         if len(self) >= REMEMBERED_WORDS:
             self.old = dict(self)
             self.clear()
@@ -96,6 +115,8 @@ class WordTokenizer(dict):
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
+        if not self.by_words:
+            return self._ids(text)
         return b"".join(map(self.__getitem__, _blanks(text) if _odd_blank(text) else text.split()))
 
 

@@ -1,10 +1,13 @@
 """Queries with SQL against DuckDB, and the pipeline stage by stage."""
 
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
+from metricwatch.session import ensure_checkpoint_dir
 from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -46,5 +49,8 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(pairs(mixed)) == set(pairs(near))  # some more than once
     assert {r["doc_id"] for r in packed.collect()} == {i for i, _ in pairs(near)}
     assert packed.where("piece = 0").count() == mixed.count()
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    there = set(os.listdir(base))
     whole = corpus_pipeline.run(spark, SF)
+    assert [n[:16] for n in set(os.listdir(base)) - there if n.startswith("pipeline-stage")] == ["pipeline-stage-4"]  # the others are gone
     assert sorted(map(tuple, whole.drop("sequence_id", "offset").collect())) == sorted(map(tuple, packed.drop("sequence_id", "offset").collect()))

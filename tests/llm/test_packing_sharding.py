@@ -78,13 +78,34 @@ def test_packing_empty_table(spark):
 
 def test_words_are_tokenized_like_whole_texts(encoder):
     tok = packing.WordTokenizer(queries.tokenizer_path())
-    assert tok.direct
+    assert tok.by_words
     texts = [r[1] or "" for r in rows()] + ["a\x1cb c", "x\xa0y", "don't it's <|endoftext|> foo<|startoftext|>bar", "ΑΣ Σ ﬁ İ", "a\x85b ̈x",
                                             "...,, a.b,c. 12,3", "ＡＢ　c"]
     for text in texts:
         assert tok.encode(text) == np.array(encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:40]
 
 
+def test_files_of_other_rules_are_encoded_whole(encoder):
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    spec = json.load(open(queries.tokenizer_path()))
+    assert packing.has_word_rules(spec)
+    for change in ({"normalizer": None}, {"model": spec["model"] | {"byte_fallback": True}}, {"truncation": {}},
+                   {"added_tokens": [{"content": "the"}]}, {"added_tokens": [{"content": "<|a b|>"}]}):
+        assert not packing.has_word_rules(spec | change)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, other, text = packing.WordTokenizer(path), Tokenizer.from_file(path), "The  cat sat,\n on Été \u3000 mats."
+    assert not tok.by_words and tok.encode(text) == np.array(other.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_special_strings_in_texts(encoder):
+    tok = packing.WordTokenizer(queries.tokenizer_path())
+    for text in ("a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|><|endoftext|>", "the<|end"):
+        assert tok.encode(text) == np.array(encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_remembered_words_are_bounded(monkeypatch, encoder):
     monkeypatch.setattr(packing, "REMEMBERED_WORDS", 5)
     tok, text = packing.WordTokenizer(queries.tokenizer_path()), prose(8, 300)
