@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from metricwatch.llm import lines, mixing, packing, quality, simhash
-from metricwatch.llm.common import shared_path
+from metricwatch.llm.common import drop_path, shared_path
 from metricwatch.llm.queries import CAPACITY, documents, tokenizer_path
 
 
@@ -48,10 +48,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
-    docs = documents(spark, sf_dir)
+    """All stages over the whole documents table.
+
+    A stage's folder goes when the next one is written; the last stays, as the result reads it.
+    """
+    docs, before = documents(spark, sf_dir), None
     for k, (_, stage) in enumerate(STAGES):
         path = shared_path(spark, f"pipeline-stage-{k}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_path(spark, before)
+        before = path
     return docs
