@@ -211,8 +211,11 @@ def _orders_daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_iforest_long(spark: SparkSession, d: str) -> DataFrame:
-    """F8, F9 on series longer than a tree's sample: daily orders and revenue per region over all days."""
-    s = iforest_scores(_orders_daily(spark, d), ["region"], "day", ["orders", "revenue"])
+    """F8, F9 on series longer than a tree's sample: daily orders and revenue per region over all days, by fit and score
+    (the trees are grown on their samples alone, and no series is one task's)."""
+    daily = cut_lineage(_orders_daily(spark, d))
+    s = iforest_score(daily, iforest_fit(daily, ["region"], "day", ["orders", "revenue"]), ["region"], ["orders", "revenue"])
+    s = s.withColumns({c: F.col(c).cast("double") for c in ("orders", "revenue")})
     return s.select("region", "day", "orders", _r("revenue", 2), "n", "psi", _r("mean_path"), _r("score"))
 
 
