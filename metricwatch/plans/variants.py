@@ -27,12 +27,13 @@ from metricwatch.functions.columns import anscombe, cutoff_day
 from metricwatch.functions.plan import cut_lineage
 from metricwatch.operators.alerts import DAILY_CAP, adaptive_card, cap_per_day, fuse_alerts, prioritize, route, run_report
 from metricwatch.operators.detect import seasonal_mad
+from metricwatch.operators.forest_model import iforest_fit, iforest_model_alerts, iforest_score, with_cutoff
 from metricwatch.operators.gold import GOLD_METRICS, build_gold
 from metricwatch.operators.iforest import iforest_alerts
 from metricwatch.operators.quality import missing_day_alerts, missing_days, range_alerts, range_rules
 from metricwatch.operators.series import calendar_fill, to_long
 from metricwatch.sources.changes import read_gold, refresh_gold
-from metricwatch.sources.history import as_date, read_days
+from metricwatch.sources.history import as_date, manifest, read_days, write_days
 from metricwatch.sources.ledger import deliver_once
 from metricwatch.sources.sinks import deliver, delivery_summary, write_alerts, write_report
 from metricwatch.sources.tables import account_dictionary
@@ -97,7 +98,8 @@ def daily_variant(web_raw: DataFrame, ads_raws: list[DataFrame], dictionary_raw:
     new or have changed since (:func:`refresh_gold`: late rows, days that earlier runs have skipped) and reads the window
     from there. Without it the whole window is aggregated and checkpointed. With ``quality`` a dictionary domain
     without a row on that day (with ``calendar``: on any day of the window) raises a missing-day alert
-    and values out of range raise one each. Further ``options`` go to :func:`daily_alerts` or
+    and values out of range raise one each. With ``model_path`` the forest is a stored model that is fitted anew every
+    ``refit_days`` days. Further ``options`` go to :func:`daily_alerts` or
     :func:`build_gold` by name.
     """
     return daily_gold_and_alerts(web_raw, ads_raws, dictionary_raw, cutoff, days, k, contamination, min_rows, forest_min_rows,
@@ -110,6 +112,7 @@ def daily_gold_and_alerts(web_raw: DataFrame, ads_raws: list[DataFrame], diction
                           quality: bool = True, dict_cols: tuple[str, str] = ("AccountID", "domain"), gold_path: str | None = None,
                           **options) -> tuple[DataFrame, DataFrame]:
     """The gold window of :func:`daily_variant` (checkpointed or stored) and its alerts."""
+    model_path, refit_days = options.pop("model_path", None), options.pop("refit_days", 7)
     if cutoff is None:
         if tz is None:
             raise ValueError("daily_variant needs a cutoff or a time zone")
@@ -127,28 +130,55 @@ def daily_gold_and_alerts(web_raw: DataFrame, ads_raws: list[DataFrame], diction
         gold = build_gold(web_raw, ads_raws, dictionary_raw, cutoff, days, dict_cols=dict_cols, **options)
         if checkpoint_gold:
             gold = cut_lineage(gold)
+    if model_path is not None:
+        if detect.get("standardize"):
+            raise ValueError("a stored forest is fitted on raw values")
+        detect["forest_model"] = stored_forest(gold, model_path, as_date(gold.sparkSession, cutoff), refit_days, contamination,
+                                               detect.get("forest_percentile"), detect.get("metrics", GOLD_METRICS))
     domains = account_dictionary(dictionary_raw, *dict_cols).select("domain").distinct() if quality else None
     return gold, daily_alerts(gold, cutoff, k, contamination, min_rows, forest_min_rows, domains=domains, quality=quality, **detect)
 
 
+def stored_forest(gold: DataFrame, path: str, cutoff: _dt.date, refit_days: int = 7, contamination: float = 0.01,
+                  percentile: float | None = None, metrics=GOLD_METRICS) -> DataFrame:
+    """The forest of every domain to score ``cutoff`` in: the last one stored for a day in the ``refit_days`` up to it.
+
+    If there is none, it is fitted on the days of ``gold`` before the cutoff, with its cut-off score, and stored for the cutoff day.
+    """
+    spark, key, metrics = gold.sparkSession, ["domain"], list(metrics)
+    fresh = [d for d in manifest(spark, path.rstrip("/"))["days"] if 0 <= (cutoff - _dt.date.fromisoformat(d)).days < refit_days]
+    if not fresh:
+        old = gold.filter(F.col("day") < F.lit(cutoff))
+        model = cut_lineage(iforest_fit(old, key, "day", metrics))
+        full = with_cutoff(model, iforest_score(old, model, key, metrics), key, contamination, percentile)
+        write_days(full.withColumn("day", F.lit(cutoff)), path, [cutoff])
+        fresh = [cutoff.isoformat()]
+    return read_days(spark, path, max(fresh), max(fresh)).drop("day")
+
+
 def daily_alerts(gold: DataFrame, cutoff: _dt.date | Column, k: float = 3.5,
                  contamination: float = 0.01, min_rows: int = 14, forest_min_rows: int = 20,
                  metrics=GOLD_METRICS, fill_calendar: bool = False, anscombe_counts: bool = False,
                  forest_percentile: float | None = None, standardize: bool = False, count_metrics=COUNT_METRICS,
                  quality: bool = False, domains: DataFrame | None = None, rules=None, calendar_days: int = 0,
-                 decomposition: str = "classical") -> DataFrame:
+                 decomposition: str = "classical", forest_model: DataFrame | None = None) -> DataFrame:
     """DAILY detection on an existing gold table: alerts dated ``cutoff`` only.
 
     Missing days are looked for from ``calendar_days`` before the cutoff on; those alerts are dated on the missing day.
+    With a ``forest_model`` (:func:`stored_forest`) the day is scored in it instead of a forest fitted on the window.
     """
     day = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
     long = to_long(gold, ["domain", "day"], list(metrics))
     tested, col = tested_long(long, anscombe_counts, fill_calendar, count_metrics)
     uni = seasonal_mad(tested, ["domain", "metric"], "day", col, k=k, min_rows=min_rows,
                        latest_only=True, cutoff=day, report_value="value", decomposition=decomposition)
-    multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
-                           min_rows=forest_min_rows, latest_only=True, cutoff=day,
-                           percentile=forest_percentile, standardize=standardize)
+    if forest_model is not None:
+        multi = iforest_model_alerts(gold.filter(F.col("day") == day), forest_model, ["domain"], "day", list(metrics), forest_min_rows,
+                                     f"Contam={contamination}" if forest_percentile is None else f"P{forest_percentile}")
+    else:
+        multi = iforest_alerts(gold, ["domain"], "day", list(metrics), contamination=contamination,
+                               min_rows=forest_min_rows, latest_only=True, cutoff=day,
+                               percentile=forest_percentile, standardize=standardize)
     parts = [uni, multi]
     if quality:
         parts.append(missing_day_alerts(missing_days(gold, ["domain"], "day", F.date_sub(day, calendar_days), day, domains), ["domain"], "day"))

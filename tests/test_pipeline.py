@@ -126,3 +126,17 @@ def test_gold_table_grows_by_a_day(spark, tmp_path):
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, whole.collect()))
     cols = [c for c in out.columns if c not in ("affected", "context")]
     assert sorted(map(str, out.select(*cols).collect())) == sorted(map(str, daily_variant(w, [a], d, CUT, 65).select(*cols).collect()))
+
+
+def test_daily_variant_with_a_stored_forest(spark, tmp_path):
+    from metricwatch.sources.history import manifest
+    w, a, d = raw_tables(spark)
+    path = str(tmp_path / "model")
+    for cutoff in (CUT - dt.timedelta(days=3), CUT):  # the second run scores in the first one's trees
+        alerts = daily_variant(w, [a], d, cutoff, 65, model_path=path).collect()
+        assert list(manifest(spark, path)["days"]) == [(CUT - dt.timedelta(days=3)).isoformat()]
+    found = {(r.domain, r.method): r for r in alerts}
+    assert ("b.com", "iforest") in found and ("a.com", "seasonal_mad") in found and found["b.com", "iforest"].params == "Contam=0.01"
+    assert sorted(found["b.com", "iforest"].affected) == ["leads", "sessions", "spend"] and all(r.day == CUT for r in alerts)
+    daily_variant(w, [a], d, CUT, 65, model_path=path, refit_days=2)
+    assert sorted(manifest(spark, path)["days"]) == [(CUT - dt.timedelta(days=3)).isoformat(), CUT.isoformat()]
