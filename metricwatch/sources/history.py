@@ -12,7 +12,8 @@ day, and of two runs of a day at the same time the one that commits last is vali
 manifest is published under a number nobody has taken (hard link on a local disk, rename without
 overwriting elsewhere); a run that loses the race takes over the other's days and tries the next.
 
-Old versions stay for readers that have begun, until :func:`drop_old_versions` removes them.
+Old versions stay for readers that have begun, until :func:`drop_old_versions` removes them, and so do old manifests.
+A column named ``version`` is refused, as the folders' names have it.
 """
 
 from __future__ import annotations
@@ -100,6 +101,8 @@ def write_days(df: DataFrame, path: str, days: Iterable | None = None, files_per
     holds. Rows of other days are not written. ``files_per_day`` deals a day's rows out by the ``identity`` columns.
     """
     spark, path = df.sparkSession, path.rstrip("/")
+    if "version" in [c.lower() for c in df.columns]:
+        raise ValueError("a column named version would be read as the name of the version's folder")
     covered = {as_date(spark, d) for d in days} if days is not None else None
     version = uuid.uuid4().hex
     if covered is not None:
@@ -148,7 +151,8 @@ def read_days(spark: SparkSession, path: str, start=None, end=None, schema: str
 def drop_old_versions(spark: SparkSession, path: str, older_than_seconds: float = 86400.0) -> int:
     """Remove the folders that no day of the manifest names and that are older; returns how many.
 
-    Younger ones may belong to a run that has not committed, or to a reader that has begun.
+    Younger ones may belong to a run that has not committed, or to a reader that has begun. Manifests
+    before the last one go at the same age: a run that still takes one of them for the last would have to be as old.
     """
     path = path.rstrip("/")
     valid = set(manifest(spark, path)["days"].values())
@@ -158,4 +162,8 @@ def drop_old_versions(spark: SparkSession, path: str, older_than_seconds: float
         age = time.time() - fs.getFileStatus(place).getModificationTime() / 1000
         if name.removeprefix("version=") not in valid and age > older_than_seconds:
             gone += bool(fs.delete(place, True))
+    for name in [n for n in _names(spark, f"{path}/manifest") if n.endswith(".json")][:-1]:
+        fs, place = _file_system(spark, f"{path}/manifest/{name}")
+        if time.time() - fs.getFileStatus(place).getModificationTime() / 1000 > older_than_seconds:
+            fs.delete(place, False)
     return gone

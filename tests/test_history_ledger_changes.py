@@ -72,6 +72,18 @@ def test_runs_at_the_same_time_leave_one_whole_version(spark, tmp_path):
     assert history.manifest(spark, path)["number"] == 6
 
 
+def test_old_manifests_go_and_the_last_stays(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(3):
+        history.write_days(numbers(spark, 4 + k), path, [D0])
+    assert history.drop_old_versions(spark, path) == 0 and len(os.listdir(f"{path}/manifest")) >= 3  # all are young
+    history.drop_old_versions(spark, path, older_than_seconds=-1)
+    assert [f for f in os.listdir(f"{path}/manifest") if f.endswith(".json") and not f.startswith(".")] == ["000000000003.json"]
+    assert history.write_days(numbers(spark, 9), path, [D0])["number"] == 4 and history.read_days(spark, path).count() == 9
+    with pytest.raises(ValueError, match="version"):
+        history.write_days(numbers(spark, 1).withColumn("Version", F.lit(1)), path, [D0])
+
+
 def test_publish_takes_a_name_once(spark, tmp_path):
     assert history._publish(spark, str(tmp_path / "m"), "1.json", "a") and not history._publish(spark, str(tmp_path / "m"), "1.json", "b")
     assert os.listdir(tmp_path / "m") == ["1.json"] and (tmp_path / "m" / "1.json").read_text() == "a"
@@ -171,6 +183,40 @@ def test_gold_after_late_rows_and_skipped_days_equals_a_rebuild(spark, tmp_path)
     assert {r.domain for r in changes.read_gold(spark, path, CUT, CUT).collect()} == {"a.comx", "b.comx"}
 
 
+def test_gold_by_files_reads_no_metric_of_unchanged_days(spark, tmp_path):
+    w, a, d = raw_tables(spark)
+    web, ads, path = str(tmp_path / "web"), str(tmp_path / "ads"), str(tmp_path / "gold")
+    late = CUT - 10 * DAY
+    is_late = F.to_date("date") == late
+    for df, place in ((w, web), (a, ads)):
+        df.where(~is_late | (F.hash(*df.columns) % 2 == 0)).withColumn("d", F.to_date("date")).repartition("d").write.partitionBy("d").parquet(place)
+    read = lambda place: spark.read.parquet(place)
+
+    def refresh():
+        return changes.refresh_gold(read(web), [read(ads)], d, path, CUT, fingerprints="files")
+    assert len(refresh()) == 66 and refresh() == []
+    for df, place in ((w, web), (a, ads)):
+        df.where(is_late & (F.hash(*df.columns) % 2 != 0)).withColumn("d", F.to_date("date")).write.mode("append").partitionBy("d").parquet(place)
+    assert refresh() == [late] and refresh() == []
+    assert rows_of(changes.read_gold(spark, path, CUT - 65 * DAY, CUT).select(GOLD)) == rows_of(build_gold(w, [a], d, CUT, 65).select(GOLD))
+    plan = changes.day_fingerprints({"web": (read(web), "date", w.columns)}, CUT, by="files")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<date:" in plan and "TotalSessions" not in plan and "propertyID" not in plan
+    by_day = changes.day_fingerprints({"web": (read(web), "d", w.columns)}, CUT, by="files")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in by_day
+    with pytest.raises(ValueError):
+        changes.day_fingerprints({"web": (read(web), "date", w.columns)}, CUT, by="names")
+
+
+def test_a_day_whose_gold_another_run_has_written_is_done_again(spark, tmp_path):
+    w, a, d = raw_tables(spark)
+    path = str(tmp_path / "gold")
+    changes.refresh_gold(w, [a], d, path, CUT, 5)
+    stale = changes.read_gold(spark, path, CUT, CUT).withColumn("spend", F.col("spend") + 1)
+    history.write_days(stale, f"{path}/gold", [CUT])  # as a run that began earlier and commits its gold last
+    assert changes.refresh_gold(w, [a], d, path, CUT, 5) == [CUT] and changes.refresh_gold(w, [a], d, path, CUT, 5) == []
+    assert rows_of(changes.read_gold(spark, path, CUT, CUT).select(GOLD)) == rows_of(build_gold(w, [a], d, CUT, 0).select(GOLD))
+
+
 def test_fingerprints_tell_repeats_and_nulls(spark):
     def prints(rows):
         df = spark.createDataFrame(rows, "id string, date date, v double")
