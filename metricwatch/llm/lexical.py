@@ -179,7 +179,7 @@ def _blocks(items: DataFrame, item_col: str, text_col: str, max_terms: int) -> I
     ids, lists, held = [], [], set()
     for row in rows.toLocalIterator():
         found = sorted(set(terms(bytes(row[1]))))
-        if ids and len(held.union(found)) > max_terms:
+        if ids and len(held) + sum(t not in held for t in found) > max_terms:
             yield ids, lists
             ids, lists, held = [], [], set()
         if found:
