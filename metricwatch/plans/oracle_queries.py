@@ -363,6 +363,21 @@ SQL["delivery_summary"] = _FUSED_CTES + """
 SELECT CAST(count(*) FILTER (WHERE extract(day FROM day) % 5 <> 0) AS BIGINT) AS sent, CAST(count(*) AS BIGINT) AS total
 FROM fused"""
 
+SQL["timed_report"] = _FUSED_CTES + """
+SELECT CAST((SELECT count(DISTINCT domain) FROM gold) AS BIGINT) AS total_domains,
+       CAST((SELECT count(*) FROM gold) AS BIGINT) AS gold_rows,
+       CAST(count(*) AS BIGINT) AS total_alerts, true AS run_seconds_right, true AS run_at_right
+FROM fused"""
+
+SQL["alert_history"] = _FUSED_CTES + f"""
+SELECT {_FUSED_COLS} FROM fused
+WHERE extract(day FROM day) % 7 <> 0 AND (extract(day FROM day) % 5 <> 0 OR method = 'seasonal_mad')"""
+
+SQL["delivery_ledger"] = _FUSED_CTES + """
+SELECT domain, day, metric, method, type, true AS sent, extract(day FROM day) % 5 <> 0 AS sent_before,
+       CAST(CASE WHEN extract(day FROM day) % 5 <> 0 THEN 0 ELSE 1 END AS INTEGER) AS attempts_used
+FROM fused"""
+
 SQL["anscombe_filled"] = with_(_NATION_GOLD, """
 cal AS (
   SELECT domain, 'leads' AS metric, CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day

@@ -9,6 +9,8 @@ that two engines agree on the last bits.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,7 +37,9 @@ from metricwatch.operators.series import decompose, to_long
 from metricwatch.plans import fixtures as fx
 from metricwatch.plans.variants import daily_variant, local_variant, tested_long
 from metricwatch.sources.changes import changed_days, day_fingerprints
-from metricwatch.sources.sinks import delivery_summary
+from metricwatch.session import ensure_checkpoint_dir
+from metricwatch.sources.ledger import deliver_once
+from metricwatch.sources.sinks import delivery_summary, read_alerts, write_alerts
 from metricwatch.sources.tables import account_dictionary, analysis_window, daily_sum
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -473,6 +477,49 @@ def q_run_report(spark: SparkSession, d: str) -> DataFrame:
     return run_report(g, alerts)
 
 
+def q_timed_report(spark: SparkSession, d: str) -> DataFrame:
+    """The report with its clock columns, told as whether they lie between the query's begin and end."""
+    started = _dt.datetime.now(_dt.timezone.utc)
+    row = run_report(*fused_with_gold(spark, d), started_at=started)
+    took = (_dt.datetime.now(_dt.timezone.utc) - started).total_seconds()
+    end = F.lit(started) + F.make_dt_interval(secs=F.col("run_seconds"))
+    return row.select("total_domains", "gold_rows", "total_alerts", F.col("run_seconds").between(0.0, took).alias("run_seconds_right"),
+                      (F.abs(F.unix_micros("run_at") - F.unix_micros(end)) < 1000).alias("run_at_right"))
+
+
+def _shared(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_alert_history(spark: SparkSession, d: str) -> DataFrame:
+    """All alerts stored by day; then every fifth day of a month is run again and has MAD alerts alone, every seventh
+    none; the window read back."""
+    alerts, path = cut_lineage(_fused_out(fused(spark, d))), _shared(spark, "alert-history")
+    write_alerts(alerts, path)
+    days = [r[0] for r in alerts.select("day").distinct().collect()]  # at most the window's days
+    write_alerts(alerts.where("method = 'seasonal_mad'"), path, days=[x for x in days if x.day % 5 == 0])
+    write_alerts(alerts.where(F.lit(False)), path, days=[x for x in days if x.day % 7 == 0])
+    return read_alerts(spark, path, WINDOW_START, fx.CUTOFF)
+
+
+def _refuse_fifth_days(card: str, timeout: float) -> bool:
+    facts = json.loads(card)["attachments"][0]["content"]["body"][1]["facts"]
+    return int(facts[3]["value"][-2:]) % 5 != 0
+
+
+def _take(card: str, timeout: float) -> bool:
+    return True
+
+
+def q_delivery_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """A5: all alerts' cards delivered to a receiver that refuses those of every fifth day of a month, then again to one
+    that takes all: only the refused ones are sent the second time."""
+    cards, path = cut_lineage(adaptive_card(fused(spark, d), FIXTURE_URL)), _shared(spark, "delivery-ledger")
+    deliver_once(cards, _refuse_fifth_days, path, attempts=2)
+    told = deliver_once(cards, _take, path)
+    return told.select("domain", "day", "metric", "method", "type", "sent", "sent_before", "attempts_used")
+
+
 def q_delivery_summary(spark: SparkSession, d: str) -> DataFrame:
     """Sent and total over all alerts, those of every fifth day of a month counting as not sent."""
     return delivery_summary(fused(spark, d).withColumn("sent", F.dayofmonth("day") % 5 != 0))
@@ -547,6 +594,9 @@ QUERIES: dict[str, Query] = {
     "run_report": q_run_report,
     "retain": q_retain,
     "delivery_summary": q_delivery_summary,
+    "timed_report": q_timed_report,
+    "alert_history": q_alert_history,
+    "delivery_ledger": q_delivery_ledger,
     "daily_alerts": q_daily_alerts,
     "daily_alerts_sensitive": q_daily_alerts_sensitive,
     "cutoff_day": q_cutoff_day,
